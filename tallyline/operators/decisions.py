@@ -231,7 +231,7 @@ def split_invoices(new_invoices: DataFrame, rules: RuleSet) -> DataFrame:
     for inn, rs in by_inn.items():
         shares = [r.share for r in rs[:-1]]
         if shares:
-            prev = sum_expr = None
+            sum_expr = None
             for s in shares:
                 term = (amount * F.lit(s)).cast(MONEY)
                 sum_expr = term if sum_expr is None else sum_expr + term

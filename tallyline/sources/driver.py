@@ -17,6 +17,7 @@ number do.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,7 +130,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("B"), (eid % 3).cast("string")).alias("branch"),
         F.when(eid % 2 == 0, F.lit("sent")).otherwise(F.lit("queued")).alias("send_status"),
         F.col("ts").alias("send_date_time"),
-        (sale * F.lit(0.6)).cast(MONEY).alias("purchase"),
+        (sale * F.lit(Decimal("0.6"))).cast(MONEY).alias("purchase"),
         sale.alias("sale"),
         eid.alias("lead_id"),
     )
