@@ -1,32 +1,21 @@
-"""Column-expression helpers (all JVM-side, codegen-friendly)."""
+"""Expression helpers. They return Spark SQL expression text, applied with
+``selectExpr`` / ``F.expr`` (JVM-side, codegen-friendly)."""
 
-from .dates import Calendar, period_bounds, week_end
+from .classify import categorize
+from .dates import Calendar, period_bounds, period_text, week_end
+from .money import money, vat_included
+from .sqlexpr import E, case, in_list, lit
 from .text import (
+    grouped_int_py,
+    grouped_int_sql,
     html_escape,
     is_numeric_text,
     pad_short_key,
-    grouped_int_sql,
-    grouped_int_py,
     strip_float_suffix,
 )
-from .money import money, vat_included
-from .classify import categorize
-from .coerce import coerce_datetime, coerce_number_default, cast_strict
 
 __all__ = [
-    "Calendar",
-    "period_bounds",
-    "week_end",
-    "html_escape",
-    "is_numeric_text",
-    "pad_short_key",
-    "grouped_int_sql",
-    "grouped_int_py",
-    "strip_float_suffix",
-    "money",
-    "vat_included",
-    "categorize",
-    "coerce_datetime",
-    "coerce_number_default",
-    "cast_strict",
+    "Calendar", "period_bounds", "period_text", "week_end", "money", "vat_included", "categorize",
+    "E", "case", "in_list", "lit", "grouped_int_py", "grouped_int_sql", "html_escape",
+    "is_numeric_text", "pad_short_key", "strip_float_suffix",
 ]

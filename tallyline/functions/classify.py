@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .. import labels as L
+from .sqlexpr import any_of, case, lit
 
 
-def categorize(text: Column, rules, default: str = L.CATEGORY_DEFAULT) -> Column:
+def categorize(text: str, rules, default: str = L.CATEGORY_DEFAULT) -> str:
     """``rules``: iterable of (kind, patterns, label); kind is contains|equals.
 
     NULL text matches nothing and gets the default label (the original raised).
     """
-    expr = None
+    branches = []
     for kind, patterns, label in rules:
         if kind == "equals":
-            cond = reduce(lambda a, b: a | b, [text == F.lit(p) for p in patterns])
+            cond = any_of(f"{text} = {lit(p)}" for p in patterns)
         elif kind == "contains":
-            cond = reduce(lambda a, b: a | b, [text.contains(F.lit(p)) for p in patterns])
+            cond = any_of(f"contains({text}, {lit(p)})" for p in patterns)
         else:
             raise ValueError(f"unknown rule kind {kind!r}")
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+        branches.append((cond, lit(label)))
+    return case(branches, lit(default))

@@ -1,17 +1,14 @@
-"""Type coercion by mapping."""
+"""Type coercion by mapping (P2, P3, P4), as Spark SQL expression text."""
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from .sqlexpr import lit
 
 # Sentinels meaning "no date" in landed records.
 DATE_SENTINELS = ("0", "0000-00-00", "0000-00-00 00:00:00", "")
 # Range a nanosecond timestamp can hold; outside it the original got NULL.
-TS_MIN = _dt.datetime(1677, 9, 22)
-TS_MAX = _dt.datetime(2262, 4, 11)
+TS_MIN = "1677-09-22 00:00:00"
+TS_MAX = "2262-04-11 00:00:00"
 
 TYPE_WORDS = {
     "datetime": "timestamp_ntz",
@@ -23,31 +20,32 @@ TYPE_WORDS = {
 }
 
 
-def coerce_datetime(c: Column) -> Column:
+def coerce_datetime(c: str) -> str:
     """Sentinels and unparseable text -> NULL, wall clock kept (no zone)."""
-    text = F.trim(c.cast("string"))
-    parsed = text.try_cast("timestamp_ntz")
-    in_range = (parsed >= F.lit(TS_MIN).cast("timestamp_ntz")) & (parsed < F.lit(TS_MAX).cast("timestamp_ntz"))
-    return F.when(text.isin(*DATE_SENTINELS) | text.isNull(), F.lit(None).cast("timestamp_ntz")).when(
-        in_range, parsed
+    text = f"trim(CAST({c} AS STRING))"
+    parsed = f"try_cast({text} AS TIMESTAMP_NTZ)"
+    sentinels = ", ".join(lit(s) for s in DATE_SENTINELS)
+    return (
+        f"CASE WHEN {text} IS NULL OR {text} IN ({sentinels}) THEN CAST(NULL AS TIMESTAMP_NTZ) "
+        f"WHEN {parsed} >= TIMESTAMP_NTZ'{TS_MIN}' AND {parsed} < TIMESTAMP_NTZ'{TS_MAX}' THEN {parsed} END"
     )
 
 
-def coerce_number_default(c: Column, type_word: str) -> Column:
+def coerce_number_default(c: str, type_word: str) -> str:
     """P2 (landed-record flavour): NULL -> 0, then cast; bad text raises (ANSI)."""
-    return F.coalesce(c, F.lit(0)).cast(TYPE_WORDS[type_word])
+    return f"CAST(coalesce({c}, 0) AS {TYPE_WORDS[type_word]})"
 
 
-def cast_strict(c: Column, type_word: str) -> Column:
+def cast_strict(c: str, type_word: str) -> str:
     """P3 (sheet flavour): plain cast, NULL stays NULL; unknown words pass."""
     if type_word == "datetime":
         return coerce_datetime(c)
     if type_word not in TYPE_WORDS:
         return c
-    return c.cast(TYPE_WORDS[type_word])
+    return f"CAST({c} AS {TYPE_WORDS[type_word]})"
 
 
-def coerce_by_word(c: Column, type_word: str, null_default: bool) -> Column:
+def coerce_by_word(c: str, type_word: str, null_default: bool) -> str:
     if type_word == "datetime":
         return coerce_datetime(c)
     if type_word in ("int", "float", "money") and null_default:

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MONEY = "decimal(18,2)"
 
 
-def money(c: Column) -> Column:
-    return c.cast(MONEY)
+def money(c: str) -> str:
+    return f"CAST({c} AS {MONEY})"
 
 
-def vat_included(amount: Column, rate_pct: int = 5) -> Column:
+def vat_included(amount: str, rate_pct: int = 5) -> str:
     """VAT contained in a gross amount, truncated to cents.
 
     Truncation is done on the exact decimal, so 1.47 gives 0.07, not the
     0.06 a binary float would give.
     """
-    cents = (amount.cast("decimal(20,2)") * F.lit(100 * rate_pct) / F.lit(100 + rate_pct)).cast("bigint")
-    return (cents.cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
+    cents = f"CAST(CAST({amount} AS decimal(20,2)) * {100 * rate_pct} / {100 + rate_pct} AS BIGINT)"
+    return f"CAST(CAST({cents} AS decimal(20,0)) / 100 AS {MONEY})"

@@ -1,47 +1,50 @@
-"""Text helpers: numeric test, key padding, number formatting, escaping."""
+"""Text helpers: numeric test, key padding, number formatting, escaping.
+
+All return Spark SQL expression text over an input expression.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from .sqlexpr import lit
 
 # A number as plain decimal text, optional sign and exponent, blanks around.
 # nan / inf / digit underscores are not numbers here (documented divergence).
 NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def is_numeric_text(c: Column) -> Column:
+def is_numeric_text(c: str) -> str:
     """Never NULL; NULL text is not numeric."""
-    return F.coalesce(c.rlike(NUMERIC_TEXT), F.lit(False))
+    return f"coalesce({c} RLIKE {lit(NUMERIC_TEXT)}, false)"
 
 
-def strip_float_suffix(c: Column) -> Column:
+def strip_float_suffix(c: str) -> str:
     """'123.0' -> '123' (ids that went through a float)."""
-    return F.regexp_replace(c, r"\.0$", "")
+    return f"regexp_replace({c}, {lit(r'\.0$')}, '')"
 
 
-def pad_short_key(c: Column) -> Column:
+def pad_short_key(c: str) -> str:
     """Ids that lost a leading zero: 9 or 11 characters get one back."""
-    return F.when(F.length(c).isin(9, 11), F.concat(F.lit("0"), c)).otherwise(c)
+    return f"CASE WHEN length({c}) IN (9, 11) THEN concat('0', {c}) ELSE {c} END"
 
 
-def _grouped(rounded: Column) -> Column:
-    return F.translate(F.format_number(rounded, 0), ",", " ")
+def py_strip(c: str) -> str:
+    """str.strip(): all leading/trailing whitespace, not only blanks."""
+    return f"regexp_replace({c}, {lit(r'^\s+|\s+$')}, '')"
 
 
-def grouped_int_sql(c: Column) -> Column:
+def grouped_int_sql(c: str) -> str:
     """Whole number with space thousands, SQL rounding (half away from zero)."""
-    return _grouped(F.round(c, 0))
+    return f"translate(format_number(round({c}, 0), 0), ',', ' ')"
 
 
-def grouped_int_py(c: Column) -> Column:
+def grouped_int_py(c: str) -> str:
     """Whole number with space thousands, Python rounding (half to even)."""
-    return _grouped(F.bround(c, 0))
+    return f"translate(format_number(bround({c}, 0), 0), ',', ' ')"
 
 
-def html_escape(c: Column) -> Column:
+def html_escape(c: str) -> str:
     """Escape & < > " ' the way html.escape does (& first)."""
-    out = F.replace(c, F.lit("&"), F.lit("&amp;"))
+    out = f"replace({c}, '&', '&amp;')"
     for ch, ent in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
-        out = F.replace(out, F.lit(ch), F.lit(ent))
+        out = f"replace({out}, {lit(ch)}, {lit(ent)})"
     return out

@@ -8,42 +8,41 @@ from its inner terms join (J1), which is exactly what the left terms join
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import Calendar
+from ..functions.dates import BOUND_COLUMNS
+from ..functions.sqlexpr import in_list, lit
 from ..rules import RuleSet
 from .invoices import ACCOUNT, INVOICE_MEASURES
-from .leads import LEADS_MEASURES, leads_window_measures, pick_leads_measures
+from .leads import pick_leads_measures
 from .partners import PARTNER_COLUMNS
-from .terms import BOUND_COLUMNS, TERMS_COLUMNS
+from .terms import TERMS_COLUMNS
 
 
-def leads_with_terms(firsts: DataFrame, terms_cal: DataFrame, cal: Calendar) -> DataFrame:
+def leads_with_terms(accounts: DataFrame, terms_cal: DataFrame) -> DataFrame:
     """A1 + J1 keeping every terms column for the report."""
-    m = leads_window_measures(firsts, cal)
-    j = m.join(terms_cal, "inn", "inner")
+    j = accounts.join(terms_cal, "inn", "inner")
     terms_cols = [c for c in (*TERMS_COLUMNS, *BOUND_COLUMNS) if c != "inn"]
-    return j.select(*ACCOUNT, *pick_leads_measures(j, F.col("payment_type")), *terms_cols)
+    return j.selectExpr(*ACCOUNT, *pick_leads_measures(), *terms_cols)
 
 
 def unique_lookup(df: DataFrame, keys, values, name: str) -> DataFrame:
     """A keyed side table that must hold one row per key.
 
-    The original fanned report rows out on duplicate keys; here any
-    duplicate key raises at run time (lazily, inside the job).
+    The original fanned report rows out on duplicate keys; here a duplicate
+    key raises at run time, inside the job (no driver-side check).
     """
-    n = F.count(F.lit(1))
     aggs = [
-        F.when(n > 1, F.raise_error(F.lit(f"duplicate key in {name}"))).otherwise(F.first(v)).alias(v)
+        F.expr(f"CASE WHEN count(1) > 1 THEN raise_error({lit('duplicate key in ' + name)}) ELSE first({v}) END AS {v}")
         for v in values
     ]
     return df.groupBy(*keys).agg(*aggs)
 
 
-def balance_expr(corrected: Column, correction: Column, sale: Column) -> Column:
+def balance_expr(corrected: str, correction: str, sale: str) -> str:
     """D3: corrected invoices + correction - lead revenue (all coalesced)."""
-    return F.coalesce(corrected, F.lit(0)) + F.coalesce(correction, F.lit(0)) - F.coalesce(sale, F.lit(0))
+    return f"(coalesce({corrected}, 0) + coalesce({correction}, 0) - coalesce({sale}, 0))"
 
 
 def balance_base(
@@ -56,61 +55,56 @@ def balance_base(
 ) -> DataFrame:
     """J4 + J5 + J7: one row per leads account with every input measure."""
     lg = leads_terms.alias("lg")
-    ig = invoice_agg.select(*ACCOUNT, *[F.col(c).alias(f"ig_{c}") for c in INVOICE_MEASURES]).alias("ig")
-    p = partner_pick.select(
-        F.col("inn").alias("p_inn"), F.col("city_invoice").alias("p_city"), *PARTNER_COLUMNS
-    ).alias("p")
+    ig = invoice_agg.selectExpr(*ACCOUNT, *[f"{c} AS ig_{c}" for c in INVOICE_MEASURES]).alias("ig")
+    p = partner_pick.selectExpr("inn AS p_inn", "city_invoice AS p_city", *PARTNER_COLUMNS).alias("p")
     corr = unique_lookup(deposit_corrections, ACCOUNT, ["correction"], "deposit corrections").alias("corr")
-    pm = unique_lookup(pm_corrections, ACCOUNT, ["comment"], "manager comments").select(
-        *ACCOUNT, F.col("comment").alias("pm_comment_raw")
+    pm = unique_lookup(pm_corrections, ACCOUNT, ["comment"], "manager comments").selectExpr(
+        *ACCOUNT, "comment AS pm_comment_raw"
     ).alias("pm")
 
     def on(other: str):
-        return [F.col(f"lg.{k}") == F.col(f"{other}.{k}") for k in ACCOUNT]
+        return F.expr(" AND ".join(f"lg.{k} = {other}.{k}" for k in ACCOUNT))
 
-    any_branch = F.col("lg.inn").isin(*rules.branch_join_any) if rules.branch_join_any else F.lit(False)
-    p_cond = (F.col("lg.inn") == F.col("p.p_inn")) & ((F.col("lg.city_invoice") == F.col("p.p_city")) | any_branch)
+    any_branch = in_list("lg.inn", rules.branch_join_any)
+    p_cond = F.expr(f"lg.inn = p.p_inn AND (lg.city_invoice = p.p_city OR {any_branch})")
     j = (
         lg.join(ig, on("ig"), "left")
         .join(p, p_cond, "left")
         .join(corr, on("corr"), "left")
         .join(pm, on("pm"), "left")
     )
-    return j.select(
+    return j.selectExpr(
         "lg.*",
-        *[F.col(f"ig.ig_{c}") for c in INVOICE_MEASURES],
-        *[F.col(f"p.{c}") for c in PARTNER_COLUMNS],
-        F.col("corr.correction").alias("correction"),
-        F.col("pm.pm_comment_raw").alias("pm_comment_raw"),
+        *[f"ig.ig_{c}" for c in INVOICE_MEASURES],
+        *[f"p.{c}" for c in PARTNER_COLUMNS],
+        "corr.correction AS correction",
+        "pm.pm_comment_raw AS pm_comment_raw",
     )
 
 
 def balance_core(base: DataFrame) -> DataFrame:
     """Minimum slice: account, period revenue, invoices, balance."""
-    return base.select(
+    return base.selectExpr(
         *ACCOUNT,
         "payment_type",
         "interval_cnt",
         "interval_sale",
-        F.coalesce(F.col("ig_interval_invoice"), F.lit(0)).alias("interval_invoice"),
-        F.coalesce(F.col("ig_interval_receipt"), F.lit(0)).alias("interval_receipt"),
-        F.coalesce(F.col("correction"), F.lit(0)).alias("interval_correction"),
-        balance_expr(F.col("ig_interval_invoice_corrected"), F.col("correction"), F.col("interval_sale")).alias(
-            "interval_invoices_minus_leads"
-        ),
+        "coalesce(ig_interval_invoice, 0) AS interval_invoice",
+        "coalesce(ig_interval_receipt, 0) AS interval_receipt",
+        "coalesce(correction, 0) AS interval_correction",
+        f"{balance_expr('ig_interval_invoice_corrected', 'correction', 'interval_sale')} AS interval_invoices_minus_leads",
     )
 
 
 def total_balance(base: DataFrame) -> DataFrame:
     """Whole-history totals (uncorrected sums)."""
-    corr = F.coalesce(F.col("correction"), F.lit(0))
-    return base.select(
+    return base.selectExpr(
         *ACCOUNT,
         "total_cnt",
         "total_purchase",
         "total_sale",
-        (F.coalesce(F.col("ig_total_invoice"), F.lit(0)) + corr).alias("total_invoice"),
-        (F.coalesce(F.col("ig_total_receipt"), F.lit(0)) + corr).alias("total_receipt"),
-        F.col("ig_total_max_invoice_dt").alias("total_max_invoice_dt"),
-        (F.coalesce(F.col("ig_total_invoice"), F.lit(0)) + corr - F.col("total_sale")).alias("total_invoices_minus_leads"),
+        "coalesce(ig_total_invoice, 0) + coalesce(correction, 0) AS total_invoice",
+        "coalesce(ig_total_receipt, 0) + coalesce(correction, 0) AS total_receipt",
+        "ig_total_max_invoice_dt AS total_max_invoice_dt",
+        "coalesce(ig_total_invoice, 0) + coalesce(correction, 0) - total_sale AS total_invoices_minus_leads",
     )

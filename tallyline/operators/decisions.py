@@ -11,170 +11,145 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.dates import period_text
 from ..functions.money import MONEY, vat_included
+from ..functions.sqlexpr import case, in_list, lit
 from ..functions.text import grouped_int_sql
 from ..rules import RuleSet
 from .balance import balance_expr
 
 
-def _c(name: str) -> Column:
-    return F.col(name)
-
-
-def decision_columns(base: DataFrame, rules: RuleSet) -> DataFrame:
-    """Adds balance, flag, reasons, amount and errors to the balance base."""
-    corrected, corr, sale = _c("ig_interval_invoice_corrected"), _c("correction"), _c("interval_sale")
-    bal = balance_expr(corrected, corr, sale)
-    bal_raw = F.coalesce(corrected, F.lit(0)) + F.coalesce(corr, F.lit(0)) - sale  # sale not coalesced (D7)
-    curr = _c("ig_curr_invoice")
-    dep = _c("payment_type") == F.lit(L.DEPOSIT)
-    dmin, davg = _c("deposit_min_value"), _c("deposit_average_value")
-    inn = _c("inn")
-    pid_null, cid_null = _c("partner_id").isNull(), _c("contract_id").isNull()
-
-    excluded = inn.isin(*rules.excluded_clients) if rules.excluded_clients else F.lit(False)
-    stopped = _c("stop_flg") == F.lit(L.STOP_FLAG)
-    no_leads = _c("prev_cnt") == 0
-    already = curr > 0
-    above_min = dep & (bal > dmin)
-    no_setup = pid_null | cid_null
-    no_terms = _c("project") == F.lit(L.NO_INFO_PROJECT)
-    entity = F.coalesce(_c("partner_name"), _c("legal_entity"))
-
-    short = (
-        F.when(excluded, F.lit(L.REASON_EXCLUDED))
-        .when(stopped, F.lit(L.REASON_STOPPED))
-        .when(no_leads, F.lit(L.REASON_NO_LEADS))
-        .when(already, F.lit(L.REASON_ALREADY_INVOICED))
-        .when(above_min, F.lit(L.REASON_ABOVE_MIN))
-        .when(no_setup, F.lit(L.REASON_ACCOUNTING_SETUP))
-        .when(no_terms, F.lit(L.REASON_NO_TERMS))
-        .otherwise(F.lit(""))
+def decision_exprs(rules: RuleSet) -> dict[str, str]:
+    """Balance, reasons, amount and errors as expressions of the base row."""
+    bal = balance_expr("ig_interval_invoice_corrected", "correction", "interval_sale")
+    bal_raw = "(coalesce(ig_interval_invoice_corrected, 0) + coalesce(correction, 0) - interval_sale)"
+    dep = f"payment_type = {lit(L.DEPOSIT)}"
+    excluded = in_list("inn", rules.excluded_clients)
+    stopped = f"stop_flg = {lit(L.STOP_FLAG)}"
+    no_leads = "prev_cnt = 0"
+    already = "ig_curr_invoice > 0"
+    above_min = f"{dep} AND {bal} > deposit_min_value"
+    no_setup = "(partner_id IS NULL OR contract_id IS NULL)"
+    no_terms = f"project = {lit(L.NO_INFO_PROJECT)}"
+    has_terms = f"project != {lit(L.NO_INFO_PROJECT)}"
+
+    short = case(
+        [
+            (excluded, lit(L.REASON_EXCLUDED)),
+            (stopped, lit(L.REASON_STOPPED)),
+            (no_leads, lit(L.REASON_NO_LEADS)),
+            (already, lit(L.REASON_ALREADY_INVOICED)),
+            (above_min, lit(L.REASON_ABOVE_MIN)),
+            (no_setup, lit(L.REASON_ACCOUNTING_SETUP)),
+            (no_terms, lit(L.REASON_NO_TERMS)),
+        ],
+        "''",
     )
-    long = (
-        F.when(excluded, F.concat(entity, F.lit(L.LONG_EXCLUDED_INN), inn, F.lit(L.LONG_EXCLUDED_TAIL)))
-        .when(stopped, F.lit(L.LONG_STOPPED))
-        .when(no_leads, period_text(L.LONG_NO_LEADS, _c("leads_prev_start"), _c("leads_prev_end")))
-        .when(
-            already,
-            F.concat(
-                period_text(L.LONG_ALREADY_FROM, _c("invoice_curr_start"), _c("invoice_curr_end")),
-                F.lit(L.LONG_ALREADY_AMOUNT),
-                grouped_int_sql(curr),
-            ),
-        )
-        .when(
-            above_min,
-            F.concat(
-                F.lit(L.LONG_ABOVE_MIN_HEAD), grouped_int_sql(bal), F.lit(L.LONG_ABOVE_MIN_MID),
-                grouped_int_sql(dmin), F.lit(L.LONG_ABOVE_MIN_TAIL),
-            ),
-        )
-        .when(pid_null, F.concat(F.lit(L.LONG_SETUP_HEAD), inn, F.lit(L.LONG_NO_PARTNER_TAIL)))
-        .when(cid_null, F.concat(F.lit(L.LONG_SETUP_HEAD), inn, F.lit(L.LONG_NO_CONTRACT_TAIL)))
-        .when(no_terms, F.concat(F.lit(L.LONG_NO_TERMS), inn))
-        .otherwise(F.lit(""))
+    long = case(
+        [
+            (excluded, f"concat(coalesce(partner_name, legal_entity), {lit(L.LONG_EXCLUDED_INN)}, inn, {lit(L.LONG_EXCLUDED_TAIL)})"),
+            (stopped, lit(L.LONG_STOPPED)),
+            (no_leads, period_text(L.LONG_NO_LEADS, "leads_prev_start", "leads_prev_end")),
+            (already, f"concat({period_text(L.LONG_ALREADY_FROM, 'invoice_curr_start', 'invoice_curr_end')}, "
+                      f"{lit(L.LONG_ALREADY_AMOUNT)}, {grouped_int_sql('ig_curr_invoice')})"),
+            (above_min, f"concat({lit(L.LONG_ABOVE_MIN_HEAD)}, {grouped_int_sql(bal)}, {lit(L.LONG_ABOVE_MIN_MID)}, "
+                        f"{grouped_int_sql('deposit_min_value')}, {lit(L.LONG_ABOVE_MIN_TAIL)})"),
+            ("partner_id IS NULL", f"concat({lit(L.LONG_SETUP_HEAD)}, inn, {lit(L.LONG_NO_PARTNER_TAIL)})"),
+            ("contract_id IS NULL", f"concat({lit(L.LONG_SETUP_HEAD)}, inn, {lit(L.LONG_NO_CONTRACT_TAIL)})"),
+            (no_terms, f"concat({lit(L.LONG_NO_TERMS)}, inn)"),
+        ],
+        "''",
     )
-    zero = no_leads | already | (dep & (bal_raw >= dmin))
-    amount = (
-        F.when(zero, F.lit(0))
-        .when(dep & (bal_raw >= 0), davg)
-        .when(dep & (bal_raw < 0), davg - bal_raw)
-        .otherwise(sale - F.coalesce(corrected, F.lit(0)))
+    amount = case(
+        [
+            (f"{no_leads} OR {already} OR ({dep} AND {bal_raw} >= deposit_min_value)", "0"),
+            (f"{dep} AND {bal_raw} >= 0", "deposit_average_value"),
+            (f"{dep} AND {bal_raw} < 0", f"deposit_average_value - {bal_raw}"),
+        ],
+        "interval_sale - coalesce(ig_interval_invoice_corrected, 0)",
     )
-    active = (_c("prev_cnt") > 0) & (sale > 0)
-    has_terms = _c("project") != F.lit(L.NO_INFO_PROJECT)
-    errors = (
-        F.when(excluded, F.lit(""))
-        .when(active & no_terms, F.lit(L.ERR_NO_TERMS))
-        .when(
-            active & has_terms & no_setup,
-            F.concat(
-                F.lit(L.ERR_SETUP_HEAD),
-                F.when(pid_null, F.lit(L.ERR_SETUP_PARTNER)).otherwise(F.lit(L.ERR_SETUP_BLANK)),
-                F.when(cid_null, F.lit(L.ERR_SETUP_CONTRACT)).otherwise(F.lit(L.ERR_SETUP_BLANK)),
-            ),
-        )
-        .when(
-            (sale > 0) & has_terms & already & (bal < dmin),
-            F.concat(F.lit(L.ERR_INVOICED_HEAD), grouped_int_sql(curr), F.lit(L.ERR_INVOICED_MID), grouped_int_sql(bal)),
-        )
-        .otherwise(F.lit(""))
+    active = "prev_cnt > 0 AND interval_sale > 0"
+    setup_text = (
+        f"concat({lit(L.ERR_SETUP_HEAD)}, "
+        f"CASE WHEN partner_id IS NULL THEN {lit(L.ERR_SETUP_PARTNER)} ELSE {lit(L.ERR_SETUP_BLANK)} END, "
+        f"CASE WHEN contract_id IS NULL THEN {lit(L.ERR_SETUP_CONTRACT)} ELSE {lit(L.ERR_SETUP_BLANK)} END)"
     )
-    return base.select(
-        "*",
-        bal.alias("interval_invoices_minus_leads"),
-        short.alias("new_invoice_description_short"),
-        long.alias("new_invoice_description_long"),
-        amount.alias("new_invoice_amount"),
-        errors.alias("new_invoice_errors"),
-    ).withColumn(
-        "new_invoice_flag",
-        F.when(F.col("new_invoice_description_short") == F.lit(""), F.lit(L.YES)).otherwise(F.lit(L.NO)),
+    errors = case(
+        [
+            (excluded, "''"),
+            (f"{active} AND {no_terms}", lit(L.ERR_NO_TERMS)),
+            (f"{active} AND {has_terms} AND {no_setup}", setup_text),
+            (f"interval_sale > 0 AND {has_terms} AND {already} AND {bal} < deposit_min_value",
+             f"concat({lit(L.ERR_INVOICED_HEAD)}, {grouped_int_sql('ig_curr_invoice')}, {lit(L.ERR_INVOICED_MID)}, "
+             f"{grouped_int_sql(bal)})"),
+        ],
+        "''",
     )
+    return {
+        "interval_invoices_minus_leads": bal,
+        "new_invoice_description_short": short,
+        "new_invoice_description_long": long,
+        "new_invoice_amount": amount,
+        "new_invoice_errors": errors,
+    }
+
+
+def decision_columns(base: DataFrame, rules: RuleSet) -> DataFrame:
+    """Adds balance, flag (from the short reason), reasons, amount, errors."""
+    ex = decision_exprs(rules)
+    flag = f"CASE WHEN new_invoice_description_short = '' THEN {lit(L.YES)} ELSE {lit(L.NO)} END AS new_invoice_flag"
+    return base.selectExpr("*", *[f"{v} AS {k}" for k, v in ex.items()]).selectExpr("*", flag)
 
 
 # --------------------------------------------------------------------------
 # Row selections (pandas semantics, C8)
 # --------------------------------------------------------------------------
-def _false_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
-
-
-def not_stopped(stop_flg: Column) -> Column:
+def not_stopped(stop_flg: str = "stop_flg") -> str:
     """P25: lower(stop).fillna('') != stop label."""
-    return F.coalesce(F.lower(F.trim(stop_flg)), F.lit("")) != F.lit(L.STOP_FLAG)
+    return f"(coalesce(lower(trim({stop_flg})), '') != {lit(L.STOP_FLAG)})"
 
 
-def _not_excluded(rules: RuleSet) -> Column:
-    if not rules.excluded_clients:
-        return F.lit(True)
-    return ~_false_if_null(F.col("inn").isin(*rules.excluded_clients))
+def _not_excluded(rules: RuleSet) -> str:
+    return f"NOT coalesce({in_list('inn', rules.excluded_clients)}, false)"
 
 
 def select_new_invoices(report: DataFrame) -> DataFrame:
     """Flag yes and not stopped (not gated by the alert window)."""
-    return report.where((F.col("new_invoice_flag") == F.lit(L.YES)) & not_stopped(F.col("stop_flg")))
+    return report.where(f"new_invoice_flag = {lit(L.YES)} AND {not_stopped()}")
 
 
-def select_errors(report: DataFrame, rules: RuleSet) -> DataFrame:
-    """Accounts that should be invoiced but cannot be."""
-    active = _false_if_null((F.col("prev_cnt") > 0) & (F.col("interval_sale") > 0))
-    missing = (
-        _false_if_null(F.col("project") == F.lit(L.NO_INFO_PROJECT))
-        | F.col("partner_id").isNull()
-        | F.col("contract_id").isNull()
+def errors_predicate(rules: RuleSet) -> str:
+    return (
+        f"{_not_excluded(rules)} AND coalesce(new_invoice_flag = {lit(L.NO)}, false) AND {not_stopped()} "
+        f"AND coalesce(prev_cnt > 0 AND interval_sale > 0, false) "
+        f"AND (coalesce(project = {lit(L.NO_INFO_PROJECT)}, false) OR partner_id IS NULL OR contract_id IS NULL)"
+    )
+
+
+def warnings_predicate(rules: RuleSet) -> str:
+    low = (
+        f"(coalesce(payment_type = {lit(L.DEPOSIT)} AND interval_invoices_minus_leads <= deposit_min_value * 2, false) "
+        f"OR coalesce(interval_invoices_minus_leads < 0, false))"
     )
-    return report.where(
-        _not_excluded(rules)
-        & _false_if_null(F.col("new_invoice_flag") == F.lit(L.NO))
-        & not_stopped(F.col("stop_flg"))
-        & active
-        & missing
+    return (
+        f"{_not_excluded(rules)} AND coalesce(new_invoice_flag = {lit(L.NO)}, false) AND {not_stopped()} "
+        f"AND NOT (project <=> {lit(L.NO_INFO_PROJECT)}) AND partner_id IS NOT NULL AND contract_id IS NOT NULL "
+        f"AND coalesce(prev_cnt > 0, false) AND {low}"
     )
 
 
+def select_errors(report: DataFrame, rules: RuleSet) -> DataFrame:
+    """Accounts that should be invoiced but cannot be."""
+    return report.where(errors_predicate(rules))
+
+
 def select_warnings(report: DataFrame, rules: RuleSet) -> DataFrame:
     """Set-up complete, had leads, balance low."""
-    bal = F.col("interval_invoices_minus_leads")
-    low = _false_if_null(
-        (F.col("payment_type") == F.lit(L.DEPOSIT)) & (bal <= F.col("deposit_min_value") * 2)
-    ) | _false_if_null(bal < 0)
-    return report.where(
-        _not_excluded(rules)
-        & _false_if_null(F.col("new_invoice_flag") == F.lit(L.NO))
-        & not_stopped(F.col("stop_flg"))
-        & ~F.col("project").eqNullSafe(F.lit(L.NO_INFO_PROJECT))
-        & F.col("partner_id").isNotNull()
-        & F.col("contract_id").isNotNull()
-        & _false_if_null(F.col("prev_cnt") > 0)
-        & low
-    )
+    return report.where(warnings_predicate(rules))
 
 
 def in_alert_window(run_ts: _dt.datetime, window=("09:50:00", "11:50:00")) -> bool:
@@ -186,7 +161,7 @@ def in_alert_window(run_ts: _dt.datetime, window=("09:50:00", "11:50:00")) -> bo
 def gate_alerts(df: DataFrame, run_ts: _dt.datetime, window=("09:50:00", "11:50:00")) -> DataFrame:
     """R11 as a literal predicate: Catalyst folds it; outside the window the
     plan becomes an empty relation and nothing is scanned."""
-    return df.where(F.lit(in_alert_window(run_ts, window)))
+    return df.where(lit(in_alert_window(run_ts, window)))
 
 
 # --------------------------------------------------------------------------
@@ -195,70 +170,56 @@ def gate_alerts(df: DataFrame, run_ts: _dt.datetime, window=("09:50:00", "11:50:
 def split_invoices(new_invoices: DataFrame, rules: RuleSet) -> DataFrame:
     """D12 (C15, intended behaviour): each account with split rules becomes
     one row per part; amount x share with the last part taking the remainder
-    so parts add up exactly. Other accounts pass with share 1.
+    so parts add up exactly. Other accounts pass as one part of share 1.
 
-    Implemented as a literal array of parts per client + ``inline`` (narrow,
-    no join).
+    A literal array of parts per client + ``inline`` (narrow, no join).
     """
-    amount = F.col("new_invoice_amount").cast(MONEY)
     by_inn: dict[str, list] = {}
     for r in sorted(rules.split_rules, key=lambda r: (r.inn, r.part_no)):
         by_inn.setdefault(r.inn, []).append(r)
+    amount = f"CAST(new_invoice_amount AS {MONEY})"
 
-    def part(r, last):
-        return F.struct(
-            F.lit(r.part_no).alias("part_no"),
-            F.lit(r.share).cast("double").alias("share"),
-            F.lit(last).alias("last"),
-            F.lit(r.partner_id).cast("string").alias("p_partner"),
-            F.lit(r.contract_id).cast("string").alias("p_contract"),
+    def part(no, share, last, partner, contract, earlier):
+        return (
+            f"named_struct('part_no', {no}, 'share', CAST({share!r} AS DOUBLE), 'last', {lit(last)}, "
+            f"'p_partner', CAST({lit(partner)} AS STRING), 'p_contract', CAST({lit(contract)} AS STRING), "
+            f"'earlier', CAST({earlier} AS {MONEY}))"
         )
 
-    whole = F.array(
-        F.struct(
-            F.lit(1).alias("part_no"), F.lit(1.0).alias("share"), F.lit(True).alias("last"),
-            F.lit(None).cast("string").alias("p_partner"), F.lit(None).cast("string").alias("p_contract"),
-        )
-    )
-    parts = whole
-    for inn, rs in reversed(list(by_inn.items())):
-        arr = F.array(*[part(r, i == len(rs) - 1) for i, r in enumerate(rs)])
-        parts = F.when(F.col("inn") == F.lit(inn), arr).otherwise(parts)
-    exploded = new_invoices.select("*", F.inline(parts))
-    share_amt = (amount * F.col("share")).cast(MONEY)
-    # remainder for the last part: amount - sum of the earlier parts' rounded amounts
-    earlier = F.lit(0).cast(MONEY)
+    whole = f"array({part(1, 1.0, True, None, None, 0)})"
+    branches = []
     for inn, rs in by_inn.items():
-        shares = [r.share for r in rs[:-1]]
-        if shares:
-            sum_expr = None
-            for s in shares:
-                term = (amount * F.lit(s)).cast(MONEY)
-                sum_expr = term if sum_expr is None else sum_expr + term
-            earlier = F.when(F.col("inn") == F.lit(inn), sum_expr).otherwise(earlier)
-    part_amount = F.when(F.col("last"), amount - earlier).otherwise(share_amt).cast(MONEY)
-    return exploded.select(
-        *[c for c in new_invoices.columns if c not in ("new_invoice_amount", "partner_id", "contract_id")],
-        F.coalesce(F.col("p_partner"), F.col("partner_id").cast("string")).alias("partner_id"),
-        F.coalesce(F.col("p_contract"), F.col("contract_id").cast("string")).alias("contract_id"),
+        items, earlier = [], []
+        for i, r in enumerate(rs):
+            prev = " + ".join(earlier) if earlier else "0"
+            items.append(part(r.part_no, r.share, i == len(rs) - 1, r.partner_id, r.contract_id, prev))
+            earlier.append(f"CAST({amount} * {r.share!r} AS {MONEY})")
+        branches.append((f"inn = {lit(inn)}", f"array({', '.join(items)})"))
+    parts = case(branches, whole)
+    keep = [c for c in new_invoices.columns if c not in ("new_invoice_amount", "partner_id", "contract_id")]
+    exploded = new_invoices.selectExpr("*", f"inline({parts})")
+    return exploded.selectExpr(
+        *keep,
+        "coalesce(p_partner, CAST(partner_id AS STRING)) AS partner_id",
+        "coalesce(p_contract, CAST(contract_id AS STRING)) AS contract_id",
         "part_no",
         "share",
-        part_amount.alias("new_invoice_amount"),
+        f"CAST(CASE WHEN last THEN {amount} - earlier ELSE {amount} * share END AS {MONEY}) AS new_invoice_amount",
     )
 
 
 def invoice_line(df: DataFrame) -> DataFrame:
-    """Quantity, unit price and text of the single invoice line.
+    """D13 + D14: text, quantity, unit price and VAT of the invoice line.
 
     Post-pay price is revenue per lead over the whole account (not halved by a
     split, C15); quantity is the lead count times the part's share.
     """
-    dep = F.col("payment_type") == F.lit(L.DEPOSIT)
-    per_lead = F.round(F.try_divide(F.col("interval_sale"), F.col("interval_cnt")), 2)
-    return df.select(
+    dep = f"payment_type = {lit(L.DEPOSIT)}"
+    return df.selectExpr(
         "*",
-        F.when(dep, F.lit(L.LINE_TEXT_DEPOSIT)).otherwise(F.lit(L.LINE_TEXT_POSTPAY)).alias("line_text"),
-        F.when(dep, F.lit(0.0)).otherwise(F.col("interval_cnt") * F.col("share")).alias("line_quantity"),
-        F.when(dep, F.col("new_invoice_amount")).otherwise(per_lead).cast(MONEY).alias("line_price"),
-        vat_included(F.col("new_invoice_amount")).alias("vat_amount"),
+        f"CASE WHEN {dep} THEN {lit(L.LINE_TEXT_DEPOSIT)} ELSE {lit(L.LINE_TEXT_POSTPAY)} END AS line_text",
+        f"CASE WHEN {dep} THEN CAST(0 AS DOUBLE) ELSE interval_cnt * share END AS line_quantity",
+        f"CAST(CASE WHEN {dep} THEN new_invoice_amount ELSE round(try_divide(interval_sale, interval_cnt), 2) END "
+        f"AS {MONEY}) AS line_price",
+        f"{vat_included('new_invoice_amount')} AS vat_amount",
     )

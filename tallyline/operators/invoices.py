@@ -16,84 +16,80 @@ follows the leads design: every distinct window once, pick per client after.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.classify import categorize
 from ..functions.dates import Calendar, INVOICE_CURR_WINDOW, INVOICE_WINDOW, pick_by_terms
+from ..functions.sqlexpr import case, in_list, lit
 from ..rules import RuleSet
-from .leads import _lookup
+from .leads import lookup
 
 ACCOUNT = ("inn", "city_invoice", "source_invoice")
 
 
 def classify_lines(lines: DataFrame, rules: RuleSet) -> DataFrame:
     """Add the category of each line text."""
-    return lines.withColumn("nomenclature_text_gr", categorize(F.col("nomenclature_text"), rules.line_categories))
+    return lines.withColumn("nomenclature_text_gr", F.expr(categorize("nomenclature_text", rules.line_categories)))
 
 
 def top_line(lines: DataFrame) -> DataFrame:
     """Largest line per invoice (NULL amounts last, then line no, text)."""
-    a = F.col("amount")
-    pick = F.struct(
-        a.isNull().alias("a_null"), (-a).alias("neg_amount"), F.col("line_no"),
-        F.col("nomenclature_text"), F.col("nomenclature_text_gr"),
+    pick = (
+        "min(struct(amount IS NULL AS a_null, -amount AS neg_amount, line_no, nomenclature_text, "
+        "nomenclature_text_gr)) AS _p"
     )
-    return lines.groupBy("invoice_id").agg(F.min(pick).alias("_p")).select(
-        "invoice_id", F.col("_p.nomenclature_text").alias("nomenclature_text"),
-        F.col("_p.nomenclature_text_gr").alias("nomenclature_text_gr"),
+    return lines.groupBy("invoice_id").agg(F.expr(pick)).selectExpr(
+        "invoice_id", "_p.nomenclature_text AS nomenclature_text", "_p.nomenclature_text_gr AS nomenclature_text_gr"
     )
 
 
 def receipts_by_invoice(receipts: DataFrame, receipt_lines: DataFrame) -> DataFrame:
     """R3 + J9 + A3: posted, not deleted receipts; sum and latest date."""
-    live = receipts.where((F.col("is_posted") == F.lit(True)) & (F.col("is_deleted") == F.lit(False)))
-    joined = receipt_lines.join(live.select("receipt_id", "receipt_dt"), "receipt_id", "inner")
+    live = receipts.where("is_posted = true AND is_deleted = false").select("receipt_id", "receipt_dt")
+    joined = receipt_lines.join(live, "receipt_id", "inner")
     return joined.groupBy("invoice_id").agg(
-        F.sum("receipt_amount").alias("receipt_amount"), F.max("receipt_dt").alias("receipt_dt")
+        F.expr("sum(receipt_amount) AS receipt_amount"), F.expr("max(receipt_dt) AS receipt_dt")
     )
 
 
-def invoice_branch(partner_inn: Column, partner_name: Column, comment: Column, rules: RuleSet) -> Column:
+def invoice_branch(partner_inn: str, partner_name: str, comment: str | None, rules: RuleSet) -> str:
     """Partner-name rules, then comment rules ('ne' is plain !=, C2)."""
-    expr = None
-    for inn, name, branch in rules.branch_by_partner:
-        cond = (partner_inn == F.lit(inn)) & (partner_name == F.lit(name))
-        expr = F.when(cond, F.lit(branch)) if expr is None else expr.when(cond, F.lit(branch))
+    branches = [
+        (f"{partner_inn} = {lit(i)} AND {partner_name} = {lit(n)}", lit(b)) for i, n, b in rules.branch_by_partner
+    ]
     if comment is not None:
-        for inn, text, match, branch in rules.branch_by_comment:
-            cmp = comment == F.lit(text) if match == "eq" else comment != F.lit(text)
-            cond = (partner_inn == F.lit(inn)) & cmp
-            expr = F.when(cond, F.lit(branch)) if expr is None else expr.when(cond, F.lit(branch))
-    return F.lit("") if expr is None else expr.otherwise(F.lit(""))
+        for i, text, match, b in rules.branch_by_comment:
+            op = "=" if match == "eq" else "!="
+            branches.append((f"{partner_inn} = {lit(i)} AND {comment} {op} {lit(text)}", lit(b)))
+    return case(branches, "''")
 
 
-def invoice_channel(partner_inn: Column, comment: Column, rules: RuleSet) -> Column:
+def invoice_channel(partner_inn: str, comment: str, rules: RuleSet) -> str:
     """Comment -> code for listed clients, with a non-empty default."""
-    if not rules.channel_clients:
-        return F.lit("")
-    inner = _lookup(comment, rules.channel_comments, F.lit(rules.channel_default))
-    return F.when(partner_inn.isin(*rules.channel_clients), inner).otherwise(F.lit(""))
+    inner = lookup(comment, rules.channel_comments, lit(rules.channel_default))
+    return case([(in_list(partner_inn, rules.channel_clients), inner)], "''")
 
 
-def invoice_status(is_posted: Column, is_deleted: Column) -> Column:
+def invoice_status(is_posted: str = "is_posted", is_deleted: str = "is_deleted") -> str:
     """Unposted, deleted, valid -- in this order."""
-    return (
-        F.when(is_posted == F.lit(False), F.lit(L.STATUS_UNPOSTED))
-        .when(is_deleted == F.lit(True), F.lit(L.STATUS_DELETED))
-        .otherwise(F.lit(L.STATUS_VALID))
+    return case(
+        [(f"{is_posted} = false", lit(L.STATUS_UNPOSTED)), (f"{is_deleted} = true", lit(L.STATUS_DELETED))],
+        lit(L.STATUS_VALID),
     )
 
 
-def payment_status(receipt: Column, amount: Column) -> Column:
+def payment_status(receipt: str = "receipt_amount", amount: str = "invoice_amount") -> str:
     """P20 (C3): zero/missing first; negative or NULL amount -> error label."""
-    return (
-        F.when(F.coalesce(receipt, F.lit(0)) == 0, F.lit(L.PAY_UNPAID))
-        .when((receipt > 0) & (receipt < amount), F.lit(L.PAY_PART))
-        .when(receipt == amount, F.lit(L.PAY_FULL))
-        .when(receipt > amount, F.lit(L.PAY_OVER))
-        .otherwise(F.lit(L.PAY_ERROR))
+    return case(
+        [
+            (f"coalesce({receipt}, 0) = 0", lit(L.PAY_UNPAID)),
+            (f"{receipt} > 0 AND {receipt} < {amount}", lit(L.PAY_PART)),
+            (f"{receipt} = {amount}", lit(L.PAY_FULL)),
+            (f"{receipt} > {amount}", lit(L.PAY_OVER)),
+        ],
+        lit(L.PAY_ERROR),
     )
 
 
@@ -115,66 +111,60 @@ def enrich_invoices(
         .join(orgs, "organization_id", "left")
         .join(parts, "partner_id", "left")
     )
-    pin, comment = F.col("partner_inn"), F.col("invoice_comment")
-    return j.select(
+    return j.selectExpr(
         "invoice_id",
         "invoice_number",
         "invoice_dt",
-        invoice_branch(pin, F.col("partner_name"), comment, rules).alias("city_invoice"),
-        invoice_channel(pin, comment, rules).alias("source_invoice"),
+        f"{invoice_branch('partner_inn', 'partner_name', 'invoice_comment', rules)} AS city_invoice",
+        f"{invoice_channel('partner_inn', 'invoice_comment', rules)} AS source_invoice",
         "nomenclature_text",
-        F.coalesce(F.col("nomenclature_text_gr"), F.lit(L.CATEGORY_DEFAULT)).alias("nomenclature_text_gr"),
-        invoice_status(F.col("is_posted"), F.col("is_deleted")).alias("invoice_status"),
+        f"coalesce(nomenclature_text_gr, {lit(L.CATEGORY_DEFAULT)}) AS nomenclature_text_gr",
+        f"{invoice_status()} AS invoice_status",
         "organization_name",
         "organization_inn",
         "partner_name",
-        _lookup(pin, rules.invoice_key_remap, pin).alias("partner_inn"),
+        f"{lookup('partner_inn', rules.invoice_key_remap, 'partner_inn')} AS partner_inn",
         "partner_type",
         "invoice_amount",
-        F.coalesce(F.col("receipt_amount"), F.lit(0).cast("decimal(18,2)")).alias("receipt_amount"),
+        "coalesce(receipt_amount, CAST(0 AS decimal(18,2))) AS receipt_amount",
         "receipt_dt",
-        payment_status(F.col("receipt_amount"), F.col("invoice_amount")).alias("invoice_payment_status"),
+        f"{payment_status()} AS invoice_payment_status",
     )
 
 
-def _sum_if(cond: Column, value: Column, zero: bool = True) -> Column:
-    v = F.when(cond, value)
-    return F.sum(v.otherwise(F.lit(0)) if zero else v)
-
-
 def invoice_window_measures(enriched: DataFrame, cal: Calendar, rules: RuleSet) -> DataFrame:
     """A2 before the pick (R4 billable filter first)."""
-    billable = enriched.where(F.col("nomenclature_text_gr") == F.lit(rules.billable_category))
-    valid = F.col("invoice_status") == F.lit(L.STATUS_VALID)
-    amt, rec, ts = F.col("invoice_amount"), F.col("receipt_amount"), F.col("invoice_dt")
-    d = F.to_date(ts)
+    billable = enriched.where(f"nomenclature_text_gr = {lit(rules.billable_category)}")
+    valid = f"invoice_status = {lit(L.STATUS_VALID)}"
+    d = "CAST(invoice_dt AS DATE)"
     aggs = [
-        _sum_if(valid, amt).alias("total_invoice"),
-        _sum_if(valid, rec).alias("total_receipt"),
-        F.max(F.when(valid, ts)).alias("total_max_invoice_dt"),
+        f"sum(CASE WHEN {valid} THEN invoice_amount ELSE 0 END) AS total_invoice",
+        f"sum(CASE WHEN {valid} THEN receipt_amount ELSE 0 END) AS total_receipt",
+        f"max(CASE WHEN {valid} THEN invoice_dt END) AS total_max_invoice_dt",
     ]
     windows = cal.invoice_windows()
     for name, (lo, hi) in windows.items():
-        inside = valid & d.between(lo, hi)
+        inside = f"{valid} AND {d} BETWEEN {lo} AND {hi}"
         aggs += [
-            _sum_if(inside, amt).alias(f"inv_{name}"),
-            _sum_if(inside, rec).alias(f"rec_{name}"),
-            F.max(F.when(inside, ts)).alias(f"maxdt_{name}"),
+            f"sum(CASE WHEN {inside} THEN invoice_amount ELSE 0 END) AS inv_{name}",
+            f"sum(CASE WHEN {inside} THEN receipt_amount ELSE 0 END) AS rec_{name}",
+            f"max(CASE WHEN {inside} THEN invoice_dt END) AS maxdt_{name}",
         ]
     for name in sorted(set(INVOICE_CURR_WINDOW.values()) | {"week"}):
         lo, hi = windows[name]
-        inside = d.between(lo, hi)  # any status (C5)
+        inside = f"{d} BETWEEN {lo} AND {hi}"  # any status (C5)
         aggs += [
-            _sum_if(inside, amt, zero=False).alias(f"cinv_{name}"),
-            _sum_if(inside, rec, zero=False).alias(f"crec_{name}"),
-            F.max(F.when(inside, ts)).alias(f"cmax_{name}"),
+            f"sum(CASE WHEN {inside} THEN invoice_amount END) AS cinv_{name}",
+            f"sum(CASE WHEN {inside} THEN receipt_amount END) AS crec_{name}",
+            f"max(CASE WHEN {inside} THEN invoice_dt END) AS cmax_{name}",
         ]
-    return billable.groupBy(F.col("partner_inn").alias("inn"), "city_invoice", "source_invoice").agg(*aggs)
+    grouped = billable.withColumnRenamed("partner_inn", "inn").groupBy(*ACCOUNT)
+    return grouped.agg(*[F.expr(a) for a in aggs])
 
 
-def _greater_sum(receipt: Column, invoice: Column) -> Column:
+def greater_sum(receipt: str, invoice: str) -> str:
     """C4: receipts if strictly greater, else invoices (max of sums)."""
-    return F.when(receipt > invoice, receipt).otherwise(invoice)
+    return f"CASE WHEN {receipt} > {invoice} THEN {receipt} ELSE {invoice} END"
 
 
 INVOICE_MEASURES = (
@@ -188,23 +178,22 @@ def invoices_period_agg(enriched: DataFrame, terms_cal: DataFrame, cal: Calendar
     """A2 + J2: per account invoice measures for clients with terms."""
     m = invoice_window_measures(enriched, cal, rules)
     j = m.join(terms_cal.select("inn", "payment_type"), "inn", "inner")
-    pt = F.col("payment_type")
 
     def pick(mapping, prefix):
-        return pick_by_terms(pt, mapping, lambda w: F.col(f"{prefix}_{w}"))
+        return pick_by_terms("payment_type", mapping, lambda w: f"{prefix}_{w}")
 
     inv, rec = pick(INVOICE_WINDOW, "inv"), pick(INVOICE_WINDOW, "rec")
-    return j.select(
+    return j.selectExpr(
         *ACCOUNT,
-        F.col("total_invoice"),
-        _greater_sum(F.col("total_receipt"), F.col("total_invoice")).alias("total_invoice_corrected"),
-        F.col("total_receipt"),
-        F.col("total_max_invoice_dt"),
-        inv.alias("interval_invoice"),
-        _greater_sum(rec, inv).alias("interval_invoice_corrected"),
-        rec.alias("interval_receipt"),
-        pick(INVOICE_WINDOW, "maxdt").alias("interval_max_invoice_dt"),
-        pick(INVOICE_CURR_WINDOW, "cinv").alias("curr_invoice"),
-        pick(INVOICE_CURR_WINDOW, "crec").alias("curr_receipt"),
-        pick(INVOICE_CURR_WINDOW, "cmax").alias("curr_max_invoice_dt"),
+        "total_invoice",
+        f"{greater_sum('total_receipt', 'total_invoice')} AS total_invoice_corrected",
+        "total_receipt",
+        "total_max_invoice_dt",
+        f"{inv} AS interval_invoice",
+        f"{greater_sum(rec, inv)} AS interval_invoice_corrected",
+        f"{rec} AS interval_receipt",
+        f"{pick(INVOICE_WINDOW, 'maxdt')} AS interval_max_invoice_dt",
+        f"{pick(INVOICE_CURR_WINDOW, 'cinv')} AS curr_invoice",
+        f"{pick(INVOICE_CURR_WINDOW, 'crec')} AS curr_receipt",
+        f"{pick(INVOICE_CURR_WINDOW, 'cmax')} AS curr_max_invoice_dt",
     )

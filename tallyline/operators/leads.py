@@ -6,10 +6,13 @@ end), W1 (duplicate flag), A1 (period aggregate), R1/R2/J1.
 Scale notes
 -----------
 * Duplicate detection is a ``groupBy`` on the duplicate key keeping the
-  smallest (timestamp, lead id) with ``min(struct)``. Hash aggregation with
-  map-side partial aggregation: a hot key (one phone holding a third of all
+  smallest (timestamp, lead id) with ``min(struct)``. It aggregates
+  partially on the map side (struct buffers make it a sort-based aggregate,
+  which spills gracefully): a hot key (one phone holding a third of all
   leads) collapses to one row per map task before the shuffle, whereas a
   ``row_number`` window would sort that whole key inside one task.
+* The same aggregate keeps each group's latest lead, so the latest legal
+  entity per client (W2) needs no second pass over the fact table.
 * The period aggregate never joins the fact table to the terms table. Period
   bounds depend only on (payment terms, as_of), so every distinct window is
   evaluated once per lead inside one partial+final hash aggregate, and the
@@ -18,17 +21,12 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import labels as L
-from ..functions.dates import (
-    Calendar,
-    LEADS_PREV_WINDOW,
-    LEADS_WINDOW,
-    pick_by_terms,
-    week_end,
-)
+from ..functions.dates import Calendar, LEADS_PREV_WINDOW, LEADS_WINDOW, pick_by_terms, week_end
+from ..functions.sqlexpr import case, in_list, lit
 from ..functions.text import pad_short_key
 from ..rules import RuleSet
 
@@ -36,81 +34,52 @@ DEDUP_KEYS = ("_dk_inn", "_dk_phone", "_dk_source", "_dk_city", "_dk_month")
 ACCOUNT = ("inn", "city_invoice", "source_invoice")
 
 
-def _lookup(key: Column, pairs, default: Column) -> Column:
-    expr = None
-    for k, v in pairs:
-        cond = key == F.lit(k)
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return default if expr is None else expr.otherwise(default)
+def lookup(key: str, pairs, default: str) -> str:
+    return case([(f"{key} = {lit(k)}", lit(v)) for k, v in pairs], default)
 
 
-def client_key(raw: Column, rules: RuleSet) -> Column:
+def client_key(raw: str, rules: RuleSet) -> str:
     """Remap on the raw key first, else pad a key that lost its zero."""
-    return _lookup(raw, rules.lead_key_remap, pad_short_key(raw))
+    return lookup(raw, rules.lead_key_remap, pad_short_key(raw))
 
 
-def lead_branch(raw: Column, city: Column, rules: RuleSet) -> Column:
+def lead_branch(raw: str, city: str, rules: RuleSet) -> str:
     """P13, on the raw key. NULL city of the default client gives NULL."""
-    expr = None
-    for k, branch in rules.branch_default:
-        cond = (raw == F.lit(k)) & (city == F.lit(""))
-        expr = F.when(cond, F.lit(branch)) if expr is None else expr.when(cond, F.lit(branch))
-    listed = raw.isin(*rules.branch_clients) if rules.branch_clients else F.lit(False)
-    expr = F.when(listed, city) if expr is None else expr.when(listed, city)
-    return expr.otherwise(F.lit(""))
+    branches = [(f"{raw} = {lit(k)} AND {city} = ''", lit(b)) for k, b in rules.branch_default]
+    branches.append((in_list(raw, rules.branch_clients), city))
+    return case(branches, "''")
 
 
-def lead_channel(raw: Column, source: Column, rules: RuleSet) -> Column:
+def lead_channel(raw: str, source: str, rules: RuleSet) -> str:
     """Ordered prefix test for listed clients, else ''."""
-    if not rules.channel_clients:
-        return F.lit("")
-    inner = None
-    for prefix, code in rules.channel_prefixes:
-        cond = source.startswith(F.lit(prefix))
-        inner = F.when(cond, F.lit(code)) if inner is None else inner.when(cond, F.lit(code))
-    inner = F.lit("") if inner is None else inner.otherwise(F.lit(""))
-    return F.when(raw.isin(*rules.channel_clients), inner).otherwise(F.lit(""))
+    inner = case([(f"startswith({source}, {lit(p)})", lit(c)) for p, c in rules.channel_prefixes], "''")
+    return case([(in_list(raw, rules.channel_clients), inner)], "''")
 
 
-def enrich_leads(leads: DataFrame, rules: RuleSet) -> DataFrame:
-    """Leads with account columns and the duplicate key (narrow, no shuffle)."""
-    raw, city = F.col("inn"), F.col("city")
-    dedup_city = (
-        F.when(raw.isin(*rules.dedup_city_clients), city).otherwise(F.lit(""))
-        if rules.dedup_city_clients
-        else F.lit("")
-    )
-    return leads.select(
-        "project",
-        "date_add",
-        "date_time_add",
-        week_end(F.col("date_add")).alias("week_end"),
-        client_key(raw, rules).alias("inn"),
-        lead_branch(raw, city, rules).alias("city_invoice"),
-        lead_channel(raw, F.col("source"), rules).alias("source_invoice"),
-        "legal_entity",
-        "source",
-        "company",
-        "name",
-        "phone",
-        "city",
-        "branch",
-        "send_status",
-        "send_date_time",
-        "purchase",
-        "sale",
-        "lead_id",
-        raw.alias("_dk_inn"),
-        F.col("phone").alias("_dk_phone"),
-        F.col("source").alias("_dk_source"),
-        dedup_city.alias("_dk_city"),
-        F.trunc(F.col("date_add"), "MM").alias("_dk_month"),
-    )
+LEAD_OUT = (
+    "project", "date_add", "date_time_add", "week_end", "inn", "city_invoice", "source_invoice", "legal_entity",
+    "source", "company", "name", "phone", "city", "branch", "send_status", "send_date_time", "purchase", "sale",
+    "lead_id",
+)
 
 
-def _order_key() -> Column:
-    # timestamp first (NULL first, as the window ordered), lead id breaks ties
-    return F.struct(F.col("date_time_add"), F.col("lead_id"))
+def enrich_leads(leads: DataFrame, rules: RuleSet) -> DataFrame:
+    """Leads with account columns and the duplicate key (narrow, no shuffle)."""
+    exprs = {
+        "week_end": week_end("date_add"),
+        "inn": client_key("inn", rules),
+        "city_invoice": lead_branch("inn", "city", rules),
+        "source_invoice": lead_channel("inn", "source", rules),
+    }
+    cols = [f"{exprs[c]} AS {c}" if c in exprs else c for c in LEAD_OUT]
+    cols += [
+        "inn AS _dk_inn",
+        "phone AS _dk_phone",
+        "source AS _dk_source",
+        f"{case([(in_list('inn', rules.dedup_city_clients), 'city')], lit(''))} AS _dk_city",
+        "trunc(date_add, 'MM') AS _dk_month",
+    ]
+    return leads.selectExpr(*cols)
 
 
 def flag_duplicates(enriched: DataFrame) -> DataFrame:
@@ -120,55 +89,70 @@ def flag_duplicates(enriched: DataFrame) -> DataFrame:
     the (null-safe) duplicate key; AQE's skew-join split handles a hot key on
     the fact side of that join.
     """
-    firsts = enriched.groupBy(*DEDUP_KEYS).agg(F.min(_order_key()).alias("_first"))
+    firsts = enriched.groupBy(*DEDUP_KEYS).agg(F.expr("min(struct(date_time_add, lead_id)) AS _first"))
     e, f = enriched.alias("e"), firsts.alias("f")
-    cond = [F.col(f"e.{k}").eqNullSafe(F.col(f"f.{k}")) for k in DEDUP_KEYS]
-    out = e.join(f, cond, "left").select(
-        "e.*",
-        F.when(F.struct(F.col("e.date_time_add"), F.col("e.lead_id")) == F.col("f._first"), F.lit(""))
-        .otherwise(F.lit(L.DUPLICATE_FLAG))
-        .alias("duplicate_flag"),
+    cond = F.expr(" AND ".join(f"e.{k} <=> f.{k}" for k in DEDUP_KEYS))
+    flag = (
+        f"CASE WHEN struct(e.date_time_add, e.lead_id) = f._first THEN '' "
+        f"ELSE {lit(L.DUPLICATE_FLAG)} END AS duplicate_flag"
     )
-    return out.drop(*DEDUP_KEYS)
+    return e.join(f, cond, "left").selectExpr(*[f"e.{c}" for c in LEAD_OUT], flag)
 
 
 def first_leads(enriched: DataFrame) -> DataFrame:
     """Only first-of-group leads, straight from the dedup aggregate."""
-    payload = F.struct(
-        F.col("date_time_add"),
-        F.col("lead_id"),
-        F.col("inn"),
-        F.col("city_invoice"),
-        F.col("source_invoice"),
-        F.col("date_add"),
-        F.col("sale"),
-        F.col("purchase"),
-    )
-    return enriched.groupBy(*DEDUP_KEYS).agg(F.min(payload).alias("_f")).select("_f.*")
+    return lead_groups(enriched).select("_f.*")
 
 
-def _sum_if(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value).otherwise(F.lit(0)))
+def lead_groups(enriched: DataFrame) -> DataFrame:
+    """One row per duplicate group: its first lead (R1) and its latest lead.
 
+    Keeping the latest (timestamp, id, legal entity) of every group lets the
+    latest legal entity per client (W2) come out of the same pass over the
+    fact table: the max over groups is the max over leads.
+    """
+    first = "min(struct(date_time_add, lead_id, inn, city_invoice, source_invoice, date_add, sale, purchase)) AS _f"
+    latest = "max(struct(date_time_add, lead_id, legal_entity)) AS _latest"
+    return enriched.groupBy(*DEDUP_KEYS).agg(F.expr(first), F.expr(latest))
 
-def leads_window_measures(firsts: DataFrame, cal: Calendar) -> DataFrame:
-    """A1 before the pick: totals + (cnt, purchase, sale) for every window."""
-    pos = F.col("sale") > 0
-    d = F.col("date_add")
+
+def lead_accounts(groups: DataFrame, cal: Calendar) -> DataFrame:
+    """A1 before the pick, plus W2's per-account latest lead.
+
+    Account-sized output: the only thing later stages need from the fact
+    table, so it is the natural place to cut lineage at scale.
+    """
+    firsts = groups.selectExpr("_f.*", "_latest")
+    return _window_measures(firsts, cal, ["max(_latest) AS latest"])
+
+
+def _window_measures(firsts: DataFrame, cal: Calendar, extra=()) -> DataFrame:
     aggs = [
-        _sum_if(pos, F.lit(1)).cast("bigint").alias("total_cnt"),
-        F.max("date_time_add").alias("last_lead_dttm"),
-        F.sum("purchase").alias("total_purchase"),
-        F.sum("sale").alias("total_sale"),
+        "CAST(sum(CASE WHEN sale > 0 THEN 1 ELSE 0 END) AS BIGINT) AS total_cnt",
+        "max(date_time_add) AS last_lead_dttm",
+        "sum(purchase) AS total_purchase",
+        "sum(sale) AS total_sale",
     ]
     for name, (lo, hi) in cal.leads_windows().items():
-        inside = d.between(lo, hi)
+        inside = f"date_add BETWEEN {lo} AND {hi}"
         aggs += [
-            _sum_if(pos & inside, F.lit(1)).cast("bigint").alias(f"cnt_{name}"),
-            _sum_if(inside, F.col("purchase")).alias(f"purchase_{name}"),
-            _sum_if(inside, F.col("sale")).alias(f"sale_{name}"),
+            f"CAST(sum(CASE WHEN sale > 0 AND {inside} THEN 1 ELSE 0 END) AS BIGINT) AS cnt_{name}",
+            f"sum(CASE WHEN {inside} THEN purchase ELSE 0 END) AS purchase_{name}",
+            f"sum(CASE WHEN {inside} THEN sale ELSE 0 END) AS sale_{name}",
         ]
-    return firsts.groupBy(*ACCOUNT).agg(*aggs)
+    return firsts.groupBy(*ACCOUNT).agg(*[F.expr(a) for a in [*aggs, *extra]])
+
+
+def leads_window_measures(firsts: DataFrame, cal: Calendar) -> DataFrame:
+    """A1 before the pick: totals + (cnt, purchase, sale) for every window."""
+    return _window_measures(firsts, cal)
+
+
+def latest_entity_of(accounts: DataFrame) -> DataFrame:
+    """W2 from the account aggregate: latest legal entity per client key."""
+    return accounts.groupBy("inn").agg(F.expr("max(latest) AS _p")).selectExpr(
+        "inn", "_p.legal_entity AS legal_entity"
+    )
 
 
 LEADS_MEASURES = (
@@ -178,18 +162,15 @@ LEADS_MEASURES = (
 )
 
 
-def pick_leads_measures(measures: DataFrame, payment_type: Column) -> list[Column]:
-    out = [F.col(c) for c in ("total_cnt", "last_lead_dttm", "total_purchase", "total_sale")]
-    for fam in ("cnt", "purchase", "sale"):
-        out.append(pick_by_terms(payment_type, LEADS_WINDOW, lambda w, fam=fam: F.col(f"{fam}_{w}")).alias(f"interval_{fam}"))
-    for fam in ("cnt", "purchase", "sale"):
-        out.append(pick_by_terms(payment_type, LEADS_PREV_WINDOW, lambda w, fam=fam: F.col(f"{fam}_{w}")).alias(f"prev_{fam}"))
+def pick_leads_measures(payment_type: str = "payment_type") -> list[str]:
+    out = ["total_cnt", "last_lead_dttm", "total_purchase", "total_sale"]
+    for prefix, mapping in (("interval", LEADS_WINDOW), ("prev", LEADS_PREV_WINDOW)):
+        for fam in ("cnt", "purchase", "sale"):
+            out.append(f"{pick_by_terms(payment_type, mapping, lambda w, fam=fam: f'{fam}_{w}')} AS {prefix}_{fam}")
     return out
 
 
-def leads_period_agg(firsts: DataFrame, terms_cal: DataFrame, cal: Calendar) -> DataFrame:
+def leads_period_agg(accounts: DataFrame, terms_cal: DataFrame) -> DataFrame:
     """A1 + J1: per account measures, only clients that have terms (inner)."""
-    m = leads_window_measures(firsts, cal)
-    t = terms_cal.select("inn", "payment_type")
-    joined = m.join(t, "inn", "inner")
-    return joined.select(*ACCOUNT, *pick_leads_measures(joined, F.col("payment_type")))
+    joined = accounts.join(terms_cal.select("inn", "payment_type"), "inn", "inner")
+    return joined.selectExpr(*ACCOUNT, *pick_leads_measures())

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqlexpr import any_of, lit
 from ..rules import RuleSet
 from .invoices import invoice_branch
 
@@ -26,23 +25,19 @@ def partner_candidates(
         "contract_id", "contract_number", "partner_id", "organization_id", "currency_id", "description", "is_deleted"
     )
     o = organizations.select("organization_id", "organization_name", "organization_inn", "manager_key")
-    i = individuals.select(
-        F.col("individual_id").alias("manager_key"),
-        "individual_number",
-        F.col("description").alias("individual_description"),
+    i = individuals.selectExpr(
+        "individual_id AS manager_key", "individual_number", "description AS individual_description"
+    )
+    issuer = any_of(f"(organization_inn = {lit(org)} AND description = {lit(desc)})" for org, desc in rules.issuers)
+    j = (
+        p.join(c, "partner_id", "inner")
+        .join(o, "organization_id", "inner")
+        .join(i, "manager_key", "inner")
+        .where(f"is_deleted = false AND {issuer}")
     )
-    j = p.join(c, "partner_id", "inner").join(o, "organization_id", "inner").join(i, "manager_key", "inner")
-    if rules.issuers:
-        issuer = reduce(
-            lambda a, b: a | b,
-            [(F.col("organization_inn") == F.lit(org)) & (F.col("description") == F.lit(desc)) for org, desc in rules.issuers],
-        )
-    else:
-        issuer = F.lit(False)
-    j = j.where((F.col("is_deleted") == F.lit(False)) & issuer)
-    return j.select(
-        F.col("partner_inn").alias("inn"),
-        invoice_branch(F.col("partner_inn"), F.col("partner_name"), None, rules).alias("city_invoice"),
+    return j.selectExpr(
+        "partner_inn AS inn",
+        f"{invoice_branch('partner_inn', 'partner_name', None, rules)} AS city_invoice",
         *PARTNER_COLUMNS,
     )
 
@@ -52,7 +47,7 @@ def pick_partners(
 ) -> DataFrame:
     """Lowest partner name per (raw partner key, branch); ties by ids."""
     cand = partner_candidates(partners, contracts, organizations, individuals, rules)
-    pick = F.struct(*PARTNER_COLUMNS)
-    return cand.groupBy("inn", "city_invoice").agg(F.min(pick).alias("_p")).select(
-        "inn", "city_invoice", *[F.col(f"_p.{c}").alias(c) for c in PARTNER_COLUMNS]
+    pick = F.expr(f"min(struct({', '.join(PARTNER_COLUMNS)})) AS _p")
+    return cand.groupBy("inn", "city_invoice").agg(pick).selectExpr(
+        "inn", "city_invoice", *[f"_p.{c} AS {c}" for c in PARTNER_COLUMNS]
     )

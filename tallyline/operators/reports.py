@@ -1,4 +1,4 @@
-"""Report assembly and extracts: D10, D11, R12, R13, O1, A7/M5, K7."""
+"""Report assembly and extracts: D10, D11, R12, R13, O1, A7/M5."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.dates import period_text
+from ..functions.sqlexpr import lit
 
 REPORT_COLUMNS = (
     "inn", "project", "stop_flg", "legal_entity", "city_invoice", "pm_comment", "source_invoice",
@@ -26,64 +27,36 @@ REPORT_COLUMNS = (
     "individual_number", "individual_description",
 )
 
+_EXPR = {
+    "legal_entity": "coalesce(partner_name, legal_entity)",
+    "pm_comment": "coalesce(pm_comment_raw, '')",
+    "txt_payment_type": lit(L.TXT_PAYMENT_TYPE),
+    "txt_interval_leads": lit(L.TXT_INTERVAL_LEADS),
+    "interval_leads": period_text(L.INTERVAL_LEADS_PREFIX, "leads_start", "leads_end"),
+    "interval_invoices": period_text(L.INTERVAL_INVOICES_PREFIX, "invoice_start", "invoice_end"),
+    "interval_invoice": "coalesce(ig_interval_invoice, 0)",
+    "interval_receipt": "coalesce(ig_interval_receipt, 0)",
+    "interval_correction": "coalesce(correction, 0)",
+    "interval_max_invoice_dt": "ig_interval_max_invoice_dt",
+    "txt_interval_invoice": lit(L.TXT_INTERVAL_INVOICE),
+    "txt_total_leads": lit(L.TXT_TOTAL_LEADS),
+    "total_invoices": lit(L.TXT_TOTAL_INVOICES),
+    "total_invoice": "coalesce(ig_total_invoice, 0) + coalesce(correction, 0)",
+    "total_receipt": "coalesce(ig_total_receipt, 0) + coalesce(correction, 0)",
+    "total_max_invoice_dt": "ig_total_max_invoice_dt",
+    "txt_total_invoice": lit(L.TXT_TOTAL_INVOICE),
+    "total_invoices_minus_leads": "coalesce(ig_total_invoice, 0) + coalesce(correction, 0) - total_sale",
+    "txt_check": lit(L.TXT_CHECK),
+    "curr_invoice": "coalesce(ig_curr_invoice, 0)",
+    "curr_receipt": "coalesce(ig_curr_receipt, 0)",
+    "curr_max_invoice_dt": "ig_curr_max_invoice_dt",
+    "txt_comment": lit(L.TXT_COMMENT),
+}
+
 
 def report_full(decided: DataFrame) -> DataFrame:
     """The 58-column balance report (one row per leads account)."""
-    c, lit = F.col, F.lit
-    corr = F.coalesce(c("correction"), lit(0))
-    cols = {
-        "inn": c("inn"),
-        "project": c("project"),
-        "stop_flg": c("stop_flg"),
-        "legal_entity": F.coalesce(c("partner_name"), c("legal_entity")),
-        "city_invoice": c("city_invoice"),
-        "pm_comment": F.coalesce(c("pm_comment_raw"), lit("")),
-        "source_invoice": c("source_invoice"),
-        "txt_payment_type": lit(L.TXT_PAYMENT_TYPE),
-        "payment_type": c("payment_type"),
-        "deposit_min_value": c("deposit_min_value"),
-        "deposit_average_value": c("deposit_average_value"),
-        "txt_interval_leads": lit(L.TXT_INTERVAL_LEADS),
-        "interval_leads": period_text(L.INTERVAL_LEADS_PREFIX, c("leads_start"), c("leads_end")),
-        "interval_cnt": c("interval_cnt"),
-        "interval_purchase": c("interval_purchase"),
-        "interval_sale": c("interval_sale"),
-        "interval_invoices": period_text(L.INTERVAL_INVOICES_PREFIX, c("invoice_start"), c("invoice_end")),
-        "interval_invoice": F.coalesce(c("ig_interval_invoice"), lit(0)),
-        "interval_receipt": F.coalesce(c("ig_interval_receipt"), lit(0)),
-        "interval_correction": corr,
-        "interval_max_invoice_dt": c("ig_interval_max_invoice_dt"),
-        "txt_interval_invoice": lit(L.TXT_INTERVAL_INVOICE),
-        "interval_invoices_minus_leads": c("interval_invoices_minus_leads"),
-        "new_invoice_flag": c("new_invoice_flag"),
-        "new_invoice_description_short": c("new_invoice_description_short"),
-        "new_invoice_description_long": c("new_invoice_description_long"),
-        "new_invoice_amount": c("new_invoice_amount"),
-        "new_invoice_errors": c("new_invoice_errors"),
-        "txt_total_leads": lit(L.TXT_TOTAL_LEADS),
-        "total_cnt": c("total_cnt"),
-        "total_purchase": c("total_purchase"),
-        "total_sale": c("total_sale"),
-        "total_invoices": lit(L.TXT_TOTAL_INVOICES),
-        "total_invoice": F.coalesce(c("ig_total_invoice"), lit(0)) + corr,
-        "total_receipt": F.coalesce(c("ig_total_receipt"), lit(0)) + corr,
-        "total_max_invoice_dt": c("ig_total_max_invoice_dt"),
-        "txt_total_invoice": lit(L.TXT_TOTAL_INVOICE),
-        "total_invoices_minus_leads": F.coalesce(c("ig_total_invoice"), lit(0)) + corr - c("total_sale"),
-        "txt_check": lit(L.TXT_CHECK),
-        "prev_cnt": c("prev_cnt"),
-        "prev_purchase": c("prev_purchase"),
-        "prev_sale": c("prev_sale"),
-        "curr_invoice": F.coalesce(c("ig_curr_invoice"), lit(0)),
-        "curr_receipt": F.coalesce(c("ig_curr_receipt"), lit(0)),
-        "curr_max_invoice_dt": c("ig_curr_max_invoice_dt"),
-        "last_lead_dttm": c("last_lead_dttm"),
-        "txt_comment": lit(L.TXT_COMMENT),
-        "comment": c("comment"),
-    }
-    for name in REPORT_COLUMNS[len(cols):]:
-        cols[name] = c(name)
-    return decided.select(*[cols[n].alias(n) for n in REPORT_COLUMNS])
+    return decided.selectExpr(*[f"{_EXPR[c]} AS {c}" if c in _EXPR else c for c in REPORT_COLUMNS])
 
 
 NEW_INVOICE_COLUMNS = (
@@ -99,12 +72,12 @@ NEW_INVOICE_COLUMNS = (
 
 def report_new_invoices(report: DataFrame) -> DataFrame:
     """Flag yes, 24-column extract."""
-    return report.where(F.col("new_invoice_flag") == F.lit(L.YES)).select(*NEW_INVOICE_COLUMNS)
+    return report.where(f"new_invoice_flag = {lit(L.YES)}").select(*NEW_INVOICE_COLUMNS)
 
 
 def report_errors(report: DataFrame) -> DataFrame:
     """Rows with a non-empty error text."""
-    return report.where(F.col("new_invoice_errors") != F.lit(""))
+    return report.where("new_invoice_errors != ''")
 
 
 def report_ordered(report: DataFrame) -> DataFrame:
@@ -112,21 +85,15 @@ def report_ordered(report: DataFrame) -> DataFrame:
 
     A global sort is a range-partitioned shuffle: it scales, and is only
     worth paying when the consumer needs order (a file or a screen)."""
-    return report.orderBy(
-        F.col("interval_invoices_minus_leads").asc_nulls_first(),
-        F.col("inn").asc_nulls_first(),
-        F.col("city_invoice").asc_nulls_first(),
-        F.col("source_invoice").asc_nulls_first(),
-    )
+    keys = ("interval_invoices_minus_leads", "inn", "city_invoice", "source_invoice")
+    return report.orderBy(*[F.col(c).asc_nulls_first() for c in keys])
 
 
 def run_summary(new_invoices: DataFrame) -> DataFrame:
     """A7 + M5: one-row count of issued invoices and its message."""
-    n = F.count(F.lit(1))
     msg = (
-        F.when(n == 0, F.lit(L.SUMMARY_NONE))
-        .when(n == 1, F.lit(L.SUMMARY_ONE))
-        .when(n < 5, F.replace(F.lit(L.SUMMARY_FEW), F.lit("{n}"), n.cast("string")))
-        .otherwise(F.replace(F.lit(L.SUMMARY_MANY), F.lit("{n}"), n.cast("string")))
+        f"CASE WHEN count(1) = 0 THEN {lit(L.SUMMARY_NONE)} WHEN count(1) = 1 THEN {lit(L.SUMMARY_ONE)} "
+        f"WHEN count(1) < 5 THEN replace({lit(L.SUMMARY_FEW)}, '{{n}}', CAST(count(1) AS STRING)) "
+        f"ELSE replace({lit(L.SUMMARY_MANY)}, '{{n}}', CAST(count(1) AS STRING)) END AS message"
     )
-    return new_invoices.agg(n.alias("invoice_count"), msg.alias("message"))
+    return new_invoices.agg(F.expr("count(1) AS invoice_count"), F.expr(msg))

@@ -8,13 +8,14 @@ missing from the sheet), U1 (union), D2 (period bounds).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import labels as L
-from ..functions.dates import Calendar, period_bounds
+from ..functions.dates import BOUND_COLUMNS, Calendar, period_bounds
 from ..functions.money import MONEY
-from ..functions.text import is_numeric_text, pad_short_key, strip_float_suffix
+from ..functions.sqlexpr import case, lit
+from ..functions.text import is_numeric_text, pad_short_key, py_strip, strip_float_suffix
 from ..rules import RuleSet
 
 SHEET_COLUMNS = (
@@ -45,96 +46,84 @@ def forward_fill_two_phase(
     and use the carried value where the in-block fill found nothing.
 
     The per-block table has (max(row_idx) - min(row_idx)) / block_rows rows;
-    only that table passes through a single-partition window.
+    only that table passes through a single-partition window, and it joins
+    back as a broadcast when AQE sees how small it is.
     """
-    blk = F.floor(F.col(order_col) / F.lit(block_rows)).cast("bigint")
-    base = df.withColumn("_blk", blk)
+    base = df.withColumn("_blk", F.expr(f"CAST(floor({order_col} / {int(block_rows)}) AS BIGINT)"))
     in_block = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     filled = base.withColumn("_in", F.last(F.col(col), ignorenulls=True).over(in_block))
     tails = base.groupBy("_blk").agg(
-        F.max(F.when(F.col(col).isNotNull(), F.struct(F.col(order_col).alias("o"), F.col(col).alias("v")))).alias("_t")
+        F.expr(f"max(CASE WHEN {col} IS NOT NULL THEN struct({order_col} AS o, {col} AS v) END) AS _t")
     )
     before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     carry = tails.select("_blk", F.last(F.col("_t.v"), ignorenulls=True).over(before).alias("_carry"))
     out = filled.join(carry, "_blk", "left")
-    return out.withColumn(col, F.coalesce(F.col("_in"), F.col("_carry"))).drop("_blk", "_in", "_carry")
+    return out.withColumn(col, F.expr("coalesce(_in, _carry)")).drop("_blk", "_in", "_carry")
 
 
 # --------------------------------------------------------------------------
 # P5-P10 sheet cleaning
 # --------------------------------------------------------------------------
-def _pystrip(c: Column) -> Column:
-    """str.strip(): all leading/trailing whitespace, not only blanks."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
-def _alias_chain(pt: Column, aliases) -> Column:
-    expr = None
-    for raw, canonical in aliases:
-        cond = pt == F.lit(raw)
-        expr = F.when(cond, F.lit(canonical)) if expr is None else expr.when(cond, F.lit(canonical))
-    return F.lit(None).cast("string") if expr is None else expr
-
-
 def clean_terms(sheet: DataFrame, rules: RuleSet, two_phase_fill: bool = True) -> DataFrame:
     """Raw sheet (all text + row_idx) -> cleaned payment terms with notes."""
     fill = forward_fill_two_phase if two_phase_fill else forward_fill
     df = fill(sheet, "payment_type", "row_idx")
     df = df.fillna(L.MISSING_MARK, subset=["inn", "payment_type", "deposit_min_value", "deposit_average_value"])
 
-    # id
-    inn = pad_short_key(strip_float_suffix(F.col("inn")))
-    note_inn = F.when(~is_numeric_text(inn), F.lit(L.NOTE_BAD_INN)).otherwise(F.lit(""))
-
-    # Terms (sees the uncut average)
-    pt, mn, av = F.col("payment_type"), F.col("deposit_min_value"), F.col("deposit_average_value")
-    is_q = pt == F.lit(L.MISSING_MARK)
-    q_weekly = (mn == F.lit(L.SHEET_POSTPAY)) | (av == F.lit(L.SHEET_POSTPAY)) | (av == F.lit(L.SHEET_STOPPED))
-    q_dep = is_numeric_text(mn) & is_numeric_text(av)
-    alias = _alias_chain(pt, rules.terms_aliases)
-    canon = (
-        F.when(is_q & q_weekly, F.lit(L.WEEKLY))
-        .when(is_q & q_dep, F.lit(L.DEPOSIT))
-        .when(is_q, F.lit(L.WEEKLY))
-        .otherwise(F.coalesce(alias, F.lit(L.WEEKLY)))
+    inn = pad_short_key(strip_float_suffix("inn"))  # P6
+    is_q = f"payment_type = {lit(L.MISSING_MARK)}"
+    q_weekly = (
+        f"(deposit_min_value = {lit(L.SHEET_POSTPAY)} OR deposit_average_value = {lit(L.SHEET_POSTPAY)} "
+        f"OR deposit_average_value = {lit(L.SHEET_STOPPED)})"
     )
-    note_type = (
-        F.when(is_q & q_weekly, F.lit(L.NOTE_SET_WEEKLY))
-        .when(is_q & q_dep, F.lit(L.NOTE_SET_DEPOSIT))
-        .when(is_q, F.lit(L.NOTE_SET_WEEKLY))
-        .when(alias.isNull(), F.lit(L.NOTE_SET_WEEKLY))
-        .otherwise(F.lit(""))
+    q_dep = f"({is_numeric_text('deposit_min_value')} AND {is_numeric_text('deposit_average_value')})"
+    alias = case([(f"payment_type = {lit(raw)}", lit(canon)) for raw, canon in rules.terms_aliases], "NULL")
+    canon = case(  # P8 (sees the uncut average)
+        [(f"{is_q} AND {q_weekly}", lit(L.WEEKLY)), (f"{is_q} AND {q_dep}", lit(L.DEPOSIT)), (is_q, lit(L.WEEKLY))],
+        f"coalesce({alias}, {lit(L.WEEKLY)})",
     )
-
-    # Deposit values (average cut at a '-' that is not the first char)
-    dash = F.instr(av, "-")
-    has_dash = dash > 1
-    av_cut = F.when(has_dash, _pystrip(av.substr(F.lit(1), dash - 1))).otherwise(_pystrip(av))
-    note_dash = F.when(has_dash, F.lit(L.NOTE_AVG_DASH)).otherwise(F.lit(""))
-
-    df = df.select(
+    note_type = case(
+        [
+            (f"{is_q} AND {q_weekly}", lit(L.NOTE_SET_WEEKLY)),
+            (f"{is_q} AND {q_dep}", lit(L.NOTE_SET_DEPOSIT)),
+            (is_q, lit(L.NOTE_SET_WEEKLY)),
+            (f"{alias} IS NULL", lit(L.NOTE_SET_WEEKLY)),
+        ],
+        "''",
+    )
+    # Average cut at a '-' that is not the first character
+    dash = "instr(deposit_average_value, '-')"
+    av_cut = case(
+        [(f"{dash} > 1", py_strip(f"substring(deposit_average_value, 1, {dash} - 1)"))],
+        py_strip("deposit_average_value"),
+    )
+    step1 = df.selectExpr(
         "row_idx", "project", "legal_entity",
-        inn.alias("inn"),
-        F.lower(F.trim(F.col("stop_flg"))).alias("stop_flg"),
-        canon.alias("payment_type"),
-        mn.alias("_mn"), av_cut.alias("_av"),
-        note_inn.alias("_n1"), note_type.alias("_n2"), note_dash.alias("_n3"),
+        f"{inn} AS inn",
+        "lower(trim(stop_flg)) AS stop_flg",
+        f"{canon} AS payment_type",
+        "deposit_min_value AS _mn",
+        f"{av_cut} AS _av",
+        f"CASE WHEN NOT {is_numeric_text(inn)} THEN {lit(L.NOTE_BAD_INN)} ELSE '' END AS _n1",
+        f"{note_type} AS _n2",
+        f"CASE WHEN {dash} > 1 THEN {lit(L.NOTE_AVG_DASH)} ELSE '' END AS _n3",
     )
-    is_dep = F.col("payment_type") == F.lit(L.DEPOSIT)
-    mn_ok, av_ok = is_numeric_text(F.col("_mn")), is_numeric_text(F.col("_av"))
+    dep = f"payment_type = {lit(L.DEPOSIT)}"
+    mn_ok, av_ok = is_numeric_text("_mn"), is_numeric_text("_av")
 
-    def parsed(c: Column) -> Column:
-        return _pystrip(c).cast("double").cast(MONEY)
+    def value(c, ok, default):
+        return case(
+            [(f"{dep} AND {ok}", f"CAST(CAST({py_strip(c)} AS DOUBLE) AS {MONEY})"),
+             (dep, f"CAST({default} AS {MONEY})")],
+            f"CAST(0 AS {MONEY})",
+        )
 
-    min_v = F.when(is_dep & mn_ok, parsed(F.col("_mn"))).when(is_dep, F.lit(L.DEFAULT_DEPOSIT_MIN).cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
-    avg_v = F.when(is_dep & av_ok, parsed(F.col("_av"))).when(is_dep, F.lit(L.DEFAULT_DEPOSIT_AVG).cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
-    n4 = F.when(is_dep & ~mn_ok, F.lit(L.NOTE_MIN_DEFAULT)).otherwise(F.lit(""))
-    n5 = F.when(is_dep & ~av_ok, F.lit(L.NOTE_AVG_DEFAULT)).otherwise(F.lit(""))
-    return df.select(
+    return step1.selectExpr(
         "row_idx", "project", "legal_entity", "inn", "stop_flg", "payment_type",
-        min_v.alias("deposit_min_value"),
-        avg_v.alias("deposit_average_value"),
-        F.concat(F.col("_n1"), F.col("_n2"), F.col("_n3"), n4, n5).alias("comment"),
+        f"{value('_mn', mn_ok, L.DEFAULT_DEPOSIT_MIN)} AS deposit_min_value",
+        f"{value('_av', av_ok, L.DEFAULT_DEPOSIT_AVG)} AS deposit_average_value",
+        f"concat(_n1, _n2, _n3, CASE WHEN {dep} AND NOT {mn_ok} THEN {lit(L.NOTE_MIN_DEFAULT)} ELSE '' END, "
+        f"CASE WHEN {dep} AND NOT {av_ok} THEN {lit(L.NOTE_AVG_DEFAULT)} ELSE '' END) AS comment",
     )
 
 
@@ -144,20 +133,19 @@ def clean_terms(sheet: DataFrame, rules: RuleSet, two_phase_fill: bool = True) -
 def dedup_terms(clean: DataFrame) -> DataFrame:
     """One row per client, lowest terms text first; ties by project,
     legal entity, sheet row. min(struct) = partial+final aggregate."""
-    pick = F.struct(
-        "payment_type", "project", "legal_entity", "row_idx",
-        "stop_flg", "deposit_min_value", "deposit_average_value", "comment",
+    pick = (
+        "min(struct(payment_type, project, legal_entity, row_idx, stop_flg, deposit_min_value, "
+        "deposit_average_value, comment)) AS _p"
     )
-    return clean.groupBy("inn").agg(F.min(pick).alias("_p")).select(
-        *[F.col(f"_p.{c}").alias(c) if c != "inn" else F.col("inn") for c in TERMS_COLUMNS]
+    return clean.groupBy("inn").agg(F.expr(pick)).selectExpr(
+        *[f"_p.{c} AS {c}" if c != "inn" else "inn" for c in TERMS_COLUMNS]
     )
 
 
-def latest_entity(leads_enriched: DataFrame) -> DataFrame:
+def latest_entity(leads_keyed: DataFrame) -> DataFrame:
     """Latest legal entity per client key (all leads, duplicates too)."""
-    pick = F.struct("date_time_add", "lead_id", "legal_entity")
-    return leads_enriched.groupBy("inn").agg(F.max(pick).alias("_p")).select(
-        "inn", F.col("_p.legal_entity").alias("legal_entity")
+    return leads_keyed.groupBy("inn").agg(F.expr("max(struct(date_time_add, lead_id, legal_entity)) AS _p")).selectExpr(
+        "inn", "_p.legal_entity AS legal_entity"
     )
 
 
@@ -168,26 +156,20 @@ def missing_clients(latest: DataFrame, clean_terms_df: DataFrame) -> DataFrame:
 
 def terms_all(dedup: DataFrame, missing: DataFrame) -> DataFrame:
     """Maintained terms plus weekly defaults for missing clients."""
-    defaults = missing.select(
-        F.lit(L.NO_INFO_PROJECT).alias("project"),
+    defaults = missing.selectExpr(
+        f"{lit(L.NO_INFO_PROJECT)} AS project",
         "legal_entity",
         "inn",
-        F.lit(None).cast("string").alias("stop_flg"),
-        F.lit(L.WEEKLY).alias("payment_type"),
-        F.lit(0).cast(MONEY).alias("deposit_min_value"),
-        F.lit(0).cast(MONEY).alias("deposit_average_value"),
-        F.lit(L.NOTE_FILL_SHEET).alias("comment"),
+        "CAST(NULL AS STRING) AS stop_flg",
+        f"{lit(L.WEEKLY)} AS payment_type",
+        f"CAST(0 AS {MONEY}) AS deposit_min_value",
+        f"CAST(0 AS {MONEY}) AS deposit_average_value",
+        f"{lit(L.NOTE_FILL_SHEET)} AS comment",
     )
     return dedup.select(*TERMS_COLUMNS).unionByName(defaults)
 
 
-BOUND_COLUMNS = (
-    "leads_start", "leads_end", "leads_prev_start", "leads_prev_end",
-    "invoice_start", "invoice_end", "invoice_curr_start", "invoice_curr_end",
-)
-
-
 def terms_calendar(terms: DataFrame, cal: Calendar) -> DataFrame:
     """Terms + eight period bounds for the given as_of."""
-    b = period_bounds(F.col("payment_type"), cal)
-    return terms.select(*TERMS_COLUMNS, *[b[c].alias(c) for c in BOUND_COLUMNS])
+    b = period_bounds("payment_type", cal)
+    return terms.selectExpr(*TERMS_COLUMNS, *[f"{b[c]} AS {c}" for c in BOUND_COLUMNS])

@@ -8,12 +8,10 @@ so the outputs do not recompute the joins.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import Calendar
-from ..operators import balance, decisions, invoices, leads, partners, reports, terms
+from ..operators import balance, decisions, invoices, leads, partners, reports, terms  # noqa: F401
 from ..rules import RuleSet
 from ..sources import driver
 
@@ -33,30 +31,41 @@ INPUT_TABLES = (
 )
 
 
-@dataclass
 class Inputs:
-    tables: dict[str, DataFrame]
+    """Named input tables, built on first use (a query touching two tables
+    does not resolve the other ten)."""
+
+    def __init__(self, factories: dict):
+        self._factories = factories
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, k: str) -> DataFrame:
-        return self.tables[k]
+        if k not in self._built:
+            f = self._factories[k]
+            self._built[k] = f() if callable(f) else f
+        return self._built[k]
+
+    @classmethod
+    def of(cls, tables: dict[str, DataFrame]) -> "Inputs":
+        return cls(dict(tables))
 
 
 def driver_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet) -> Inputs:
     d = driver
     return Inputs(
         {
-            "leads": d.leads(spark, sf_dir),
-            "terms_sheet": d.terms_sheet(spark, sf_dir),
-            "invoice": d.invoices(spark, sf_dir),
-            "invoice_line": d.invoice_lines(spark, sf_dir, rules),
-            "receipt": d.receipts(spark, sf_dir),
-            "receipt_line": d.receipt_lines(spark, sf_dir),
-            "partner": d.partners(spark, sf_dir),
-            "contract": d.contracts(spark, sf_dir),
-            "organization": d.organizations(spark, sf_dir),
-            "individual": d.individuals(spark, sf_dir),
-            "deposit_correction": d.deposit_corrections(spark, sf_dir),
-            "pm_correction": d.pm_corrections(spark, sf_dir),
+            "leads": lambda: d.leads(spark, sf_dir),
+            "terms_sheet": lambda: d.terms_sheet(spark, sf_dir),
+            "invoice": lambda: d.invoices(spark, sf_dir),
+            "invoice_line": lambda: d.invoice_lines(spark, sf_dir, rules),
+            "receipt": lambda: d.receipts(spark, sf_dir),
+            "receipt_line": lambda: d.receipt_lines(spark, sf_dir),
+            "partner": lambda: d.partners(spark, sf_dir),
+            "contract": lambda: d.contracts(spark, sf_dir),
+            "organization": lambda: d.organizations(spark, sf_dir),
+            "individual": lambda: d.individuals(spark, sf_dir),
+            "deposit_correction": lambda: d.deposit_corrections(spark, sf_dir),
+            "pm_correction": lambda: d.pm_corrections(spark, sf_dir),
         }
     )
 
@@ -64,12 +73,17 @@ def driver_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet) -> Inputs:
 class Pipeline:
     """Lazily built stages; each property is one named DataFrame."""
 
-    def __init__(self, inputs: Inputs, rules: RuleSet, as_of, two_phase_fill: bool = True):
+    def __init__(self, inputs: Inputs, rules: RuleSet, as_of, two_phase_fill: bool = True, cut_lineage: bool = True):
         self.inputs, self.rules, self.as_of = inputs, rules, as_of
         self.cal = Calendar.of(as_of)
         self.two_phase_fill = two_phase_fill
+        self.cut_lineage = cut_lineage
         self._cache: dict[str, DataFrame] = {}
 
+    def _cut(self, df: DataFrame) -> DataFrame:
+        """Reliable checkpoint of a small shared stage (see ``materialize``)."""
+        return df.checkpoint(eager=True) if self.cut_lineage else df
+
     def _memo(self, name, fn):
         if name not in self._cache:
             self._cache[name] = fn()
@@ -88,6 +102,15 @@ class Pipeline:
     def first_leads(self) -> DataFrame:
         return self._memo("first_leads", lambda: leads.first_leads(self.leads_keyed))
 
+    @property
+    def lead_accounts(self) -> DataFrame:
+        """Account-level leads aggregate: the one pass over the fact table.
+        Read by the terms (W2) and by the report, so it is cut once."""
+        return self._memo(
+            "lead_accounts",
+            lambda: self._cut(leads.lead_accounts(leads.lead_groups(self.leads_keyed), self.cal)),
+        )
+
     # terms
     @property
     def payment_terms(self) -> DataFrame:
@@ -101,7 +124,7 @@ class Pipeline:
 
     @property
     def latest_entity(self) -> DataFrame:
-        return self._memo("latest_entity", lambda: terms.latest_entity(self.leads_keyed))
+        return self._memo("latest_entity", lambda: leads.latest_entity_of(self.lead_accounts))
 
     @property
     def missing_clients(self) -> DataFrame:
@@ -113,7 +136,9 @@ class Pipeline:
 
     @property
     def payment_terms_calendar(self) -> DataFrame:
-        return self._memo("payment_terms_calendar", lambda: terms.terms_calendar(self.terms_all, self.cal))
+        return self._memo(
+            "payment_terms_calendar", lambda: self._cut(terms.terms_calendar(self.terms_all, self.cal))
+        )
 
     # invoices
     @property
@@ -136,7 +161,7 @@ class Pipeline:
     @property
     def leads_agg(self) -> DataFrame:
         return self._memo(
-            "leads_agg", lambda: balance.leads_with_terms(self.first_leads, self.payment_terms_calendar, self.cal)
+            "leads_agg", lambda: balance.leads_with_terms(self.lead_accounts, self.payment_terms_calendar)
         )
 
     @property

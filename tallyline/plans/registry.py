@@ -35,9 +35,17 @@ def to_driver_types(df: DataFrame) -> DataFrame:
     )
 
 
+_PIPELINES: dict[tuple, Pipeline] = {}
+
+
 def pipeline(spark: SparkSession, sf_dir: str, two_phase_fill: bool = True) -> Pipeline:
-    rules = D.driver_rules()
-    return Pipeline(driver_inputs(spark, sf_dir, rules), rules, D.AS_OF, two_phase_fill)
+    """One lazily built pipeline per (session, data folder): queries that
+    share stages share the same logical plans (plans only, no data)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, two_phase_fill)
+    if key not in _PIPELINES:
+        rules = D.driver_rules()
+        _PIPELINES[key] = Pipeline(driver_inputs(spark, sf_dir, rules), rules, D.AS_OF, two_phase_fill)
+    return _PIPELINES[key]
 
 
 def register(name: str, sql: str | None = None, needs=()):
@@ -80,7 +88,7 @@ LEADS_AGG_SQL = f"""SELECT inn, city_invoice, source_invoice, total_cnt, last_le
 @register("leads_period_agg", LEADS_AGG_SQL, ["leads_grp"])
 def q_leads_period_agg(p: Pipeline) -> DataFrame:
     """A1 + R1 + R2 + J1."""
-    return leads.leads_period_agg(p.first_leads, p.payment_terms_calendar, p.cal)
+    return leads.leads_period_agg(p.lead_accounts, p.payment_terms_calendar)
 
 
 @register("week_end", "SELECT lead_id, date_add, week_end FROM leads_enriched", ["leads_enriched"])
@@ -96,7 +104,7 @@ def q_week_end(p: Pipeline) -> DataFrame:
 )
 def q_lead_key_remap(p: Pipeline) -> DataFrame:
     """P11 (raw key -> client key)."""
-    return p.leads_keyed.select("lead_id", F.col("_dk_inn").alias("raw_inn"), "inn")
+    return p.leads_keyed.selectExpr("lead_id", "_dk_inn AS raw_inn", "inn")
 
 
 @register("lead_branch", "SELECT lead_id, city, city_invoice FROM leads_k", ["leads_k"])
@@ -146,7 +154,7 @@ def q_is_numeric_text(p: Pipeline) -> DataFrame:
     from ..functions.text import is_numeric_text
 
     s = p.inputs["terms_sheet"]
-    return s.select("row_idx", "deposit_min_value", is_numeric_text(F.col("deposit_min_value")).alias("is_numeric"))
+    return s.selectExpr("row_idx", "deposit_min_value", f"{is_numeric_text('deposit_min_value')} AS is_numeric")
 
 
 @register("terms_id_clean", "SELECT row_idx, inn, comment FROM terms_clean", ["terms_clean"])
@@ -184,7 +192,7 @@ def q_terms_notes(p: Pipeline) -> DataFrame:
 )
 def q_stop_flag(p: Pipeline) -> DataFrame:
     """P25."""
-    return p.payment_terms.select("row_idx", "stop_flg", decisions.not_stopped(F.col("stop_flg")).alias("not_stopped"))
+    return p.payment_terms.selectExpr("row_idx", "stop_flg", f"{decisions.not_stopped()} AS not_stopped")
 
 
 TERMS_SQL = f"""SELECT project, legal_entity, inn, stop_flg, payment_type,
@@ -244,7 +252,7 @@ CALENDAR_SQL = (
 def q_calendar(p: Pipeline) -> DataFrame:
     """D1 for every day that has leads (a back-fill calendar)."""
     days = p.inputs["leads"].select(F.col("date_add").alias("as_of")).distinct()
-    return days.select("as_of", *Calendar.of(F.col("as_of")).columns())
+    return days.selectExpr("as_of", *Calendar.of("as_of").exprs())
 
 
 @register(
@@ -265,7 +273,7 @@ def q_period_text(p: Pipeline) -> DataFrame:
     from ..functions.dates import period_text
 
     t = p.payment_terms_calendar
-    return t.select("inn", period_text(L.INTERVAL_LEADS_PREFIX, F.col("leads_start"), F.col("leads_end")).alias("interval_leads"))
+    return t.selectExpr("inn", f"{period_text(L.INTERVAL_LEADS_PREFIX, 'leads_start', 'leads_end')} AS interval_leads")
 
 
 # =================================================================== invoices
@@ -399,9 +407,7 @@ def q_join_residual(p: Pipeline) -> DataFrame:
 )
 def q_join_corrections(p: Pipeline) -> DataFrame:
     """J7 with the uniqueness guard."""
-    return p.balance_base.select(
-        *invoices.ACCOUNT, "correction", F.coalesce(F.col("pm_comment_raw"), F.lit("")).alias("pm_comment")
-    )
+    return p.balance_base.selectExpr(*invoices.ACCOUNT, "correction", "coalesce(pm_comment_raw, '') AS pm_comment")
 
 
 @register(

@@ -17,14 +17,14 @@ number do.
 from __future__ import annotations
 
 import datetime as _dt
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.classify import categorize
 from ..functions.money import MONEY
+from ..functions.sqlexpr import lit
 from ..rules import RuleSet, SplitRule
 
 AS_OF = _dt.date(2024, 1, 25)
@@ -43,13 +43,14 @@ def client_key(k: int) -> str:
     return "0" + raw_key(k) if k % 10 == 3 else raw_key(k)
 
 
-def raw_key_col(k: Column) -> Column:
-    return F.when(k % 10 == 3, (k + 700000000).cast("string")).otherwise((k + 7700000000).cast("string"))
+def raw_key_sql(k: str) -> str:
+    return f"CASE WHEN {k} % 10 = 3 THEN CAST({k} + 700000000 AS STRING) ELSE CAST({k} + 7700000000 AS STRING) END"
 
 
-def client_key_col(k: Column) -> Column:
-    return F.when(k % 10 == 3, F.concat(F.lit("0"), (k + 700000000).cast("string"))).otherwise(
-        (k + 7700000000).cast("string")
+def client_key_sql(k: str) -> str:
+    return (
+        f"CASE WHEN {k} % 10 = 3 THEN concat('0', CAST({k} + 700000000 AS STRING)) "
+        f"ELSE CAST({k} + 7700000000 AS STRING) END"
     )
 
 
@@ -98,226 +99,198 @@ def driver_rules() -> RuleSet:
     )
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One resolved scan per (session, table); views over the same table
+    share it (Catalyst prunes columns per use)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
 
 
-def _shift_day(ts: Column, extra: int = 0) -> Column:
+def _shift_day(ts: str, extra: int = 0) -> str:
     """Map a 1995..2001 date onto January 2024 (31-day cycle)."""
-    days = (F.datediff(F.to_date(ts), F.lit(ORDER_EPOCH)) + F.lit(extra)) % 31
-    return F.date_add(F.lit(BASE_DAY), days.cast("int"))
+    return (
+        f"date_add({lit(BASE_DAY)}, CAST((datediff(CAST({ts} AS DATE), {lit(ORDER_EPOCH)}) + {extra}) % 31 AS INT))"
+    )
 
 
 # ---------------------------------------------------------------- leads ----
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    sale = F.when(eid % 50 == 7, F.lit(0).cast(MONEY)).when(eid % 113 == 5, F.lit(None).cast(MONEY)).otherwise(
-        F.col("value").cast(MONEY)
+    sale = (
+        f"CASE WHEN event_id % 50 = 7 THEN CAST(0 AS {MONEY}) WHEN event_id % 113 = 5 THEN CAST(NULL AS {MONEY}) "
+        f"ELSE CAST(value AS {MONEY}) END"
     )
-    city = F.when(eid % 4 == 0, F.lit("North")).when(eid % 4 == 1, F.lit("South")).when(eid % 4 == 2, F.lit(""))
-    return e.select(
-        F.concat(F.lit("proj-"), (uid % 4).cast("string")).alias("project"),
-        F.to_date("ts").alias("date_add"),
-        F.col("ts").alias("date_time_add"),
-        F.when(eid % 997 == 0, F.lit(None).cast("string")).otherwise(raw_key_col(uid)).alias("inn"),
-        F.concat(F.lit("LE "), uid.cast("string"), F.lit(" "), F.col("event_type")).alias("legal_entity"),
-        F.col("event_type").alias("source"),
-        F.concat(F.lit("Co "), uid.cast("string")).alias("company"),
-        F.concat(F.lit("Lead "), eid.cast("string")).alias("name"),
-        F.get_json_object("props", "$.k").alias("phone"),
-        city.alias("city"),
-        F.concat(F.lit("B"), (eid % 3).cast("string")).alias("branch"),
-        F.when(eid % 2 == 0, F.lit("sent")).otherwise(F.lit("queued")).alias("send_status"),
-        F.col("ts").alias("send_date_time"),
-        (sale * F.lit(Decimal("0.6"))).cast(MONEY).alias("purchase"),
-        sale.alias("sale"),
-        eid.alias("lead_id"),
+    return (
+        _read(spark, sf_dir, "events")
+        .selectExpr("*", f"{sale} AS _sale")
+        .selectExpr(
+            "concat('proj-', CAST(user_id % 4 AS STRING)) AS project",
+            "CAST(ts AS DATE) AS date_add",
+            "ts AS date_time_add",
+            f"CASE WHEN event_id % 997 = 0 THEN CAST(NULL AS STRING) ELSE {raw_key_sql('user_id')} END AS inn",
+            "concat('LE ', CAST(user_id AS STRING), ' ', event_type) AS legal_entity",
+            "event_type AS source",
+            "concat('Co ', CAST(user_id AS STRING)) AS company",
+            "concat('Lead ', CAST(event_id AS STRING)) AS name",
+            "get_json_object(props, '$.k') AS phone",
+            "CASE event_id % 4 WHEN 0 THEN 'North' WHEN 1 THEN 'South' WHEN 2 THEN '' END AS city",
+            "concat('B', CAST(event_id % 3 AS STRING)) AS branch",
+            "CASE WHEN event_id % 2 = 0 THEN 'sent' ELSE 'queued' END AS send_status",
+            "ts AS send_date_time",
+            f"CAST(_sale * 0.6BD AS {MONEY}) AS purchase",
+            "_sale AS sale",
+            "event_id AS lead_id",
+        )
     )
 
 
 # ------------------------------------------------------------ terms sheet ----
 def terms_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dirty hand-kept sheet: blanks, '?', ranges, '.0' ids, 9-char ids."""
-    c = _read(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    x = F.round(F.abs(F.col("c_acctbal"))).cast("bigint")
-    avg_x = x * 4
-    inn = (
-        F.when(k % 211 == 13, F.lit(None).cast("string"))
-        .when(k % 97 == 11, F.concat(F.lit("X"), k.cast("string")))
-        .when(k % 10 == 3, (k + 700000000).cast("string"))
-        .when(k % 10 == 7, F.concat((k + 7700000000).cast("string"), F.lit(".0")))
-        .when(k % 50 == 49, (k + 7700000000 - 1).cast("string"))
-        .otherwise((k + 7700000000).cast("string"))
-    )
-    stop = F.when(k % 17 == 0, F.lit("На стопе")).when(k % 41 == 1, F.lit("НА СТОПЕ "))
-    dmin = (
-        F.when(k % 19 == 4, F.lit(L.SHEET_POSTPAY))
-        .when(k % 23 == 6, F.lit(None).cast("string"))
-        .when(k % 29 == 8, F.lit("n/a"))
-        .otherwise(x.cast("string"))
-    )
-    davg = (
-        F.when(k % 19 == 4, F.lit(L.SHEET_POSTPAY))
-        .when(k % 37 == 10, F.lit(L.SHEET_STOPPED))
-        .when(k % 7 == 2, F.concat(avg_x.cast("string"), F.lit("-"), (avg_x * 2).cast("string")))
-        .when(k % 31 == 9, F.lit("-5"))
-        .when(k % 43 == 12, F.lit(None).cast("string"))
-        .when(k % 11 == 5, F.concat(F.lit(" "), avg_x.cast("string"), F.lit(" ")))
-        .otherwise(avg_x.cast("string"))
-    )
-    seg = F.col("c_mktsegment")
-    ptype = (
-        F.when((k % 13 == 5) | (k == 0), F.lit(None).cast("string"))
-        .when((seg == "BUILDING") & (k % 3 == 0), F.lit(L.TERMS_ALIASES[0][0]))
-        .when((seg == "BUILDING") & (k % 3 == 1), F.lit(L.TERMS_ALIASES[1][0]))
-        .when(seg == "BUILDING", F.lit(L.TERMS_ALIASES[2][0]))
-        .when(seg == "AUTOMOBILE", F.lit(L.TERMS_ALIASES[5][0]))
-        .when(seg == "MACHINERY", F.lit(L.TERMS_ALIASES[6][0]))
-        .when((seg == "HOUSEHOLD") & (k % 2 == 0), F.lit(L.TERMS_ALIASES[3][0]))
-        .when(seg == "HOUSEHOLD", F.lit(L.TERMS_ALIASES[4][0]))
-        .otherwise(F.lit("by agreement"))
-    )
-    mgr = F.element_at(F.array(*[F.lit(m) for m in MANAGERS]), (F.col("c_nationkey") % 5 + 1).cast("int"))
-    return c.select(
-        k.alias("row_idx"),
-        mgr.alias("project"),
-        F.col("c_name").alias("legal_entity"),
-        inn.alias("inn"),
-        stop.alias("stop_flg"),
-        dmin.alias("deposit_min_value"),
-        davg.alias("deposit_average_value"),
-        ptype.alias("payment_type"),
+    a = L.TERMS_ALIASES
+    managers = ", ".join(lit(m) for m in MANAGERS)
+    return (
+        _read(spark, sf_dir, "customer")
+        .selectExpr("*", "CAST(round(abs(c_acctbal)) AS BIGINT) AS _x")
+        .selectExpr(
+            "c_custkey AS row_idx",
+            f"element_at(array({managers}), CAST(c_nationkey % 5 + 1 AS INT)) AS project",
+            "c_name AS legal_entity",
+            "CASE WHEN c_custkey % 211 = 13 THEN CAST(NULL AS STRING)"
+            " WHEN c_custkey % 97 = 11 THEN concat('X', CAST(c_custkey AS STRING))"
+            " WHEN c_custkey % 10 = 3 THEN CAST(c_custkey + 700000000 AS STRING)"
+            " WHEN c_custkey % 10 = 7 THEN concat(CAST(c_custkey + 7700000000 AS STRING), '.0')"
+            " WHEN c_custkey % 50 = 49 THEN CAST(c_custkey + 7700000000 - 1 AS STRING)"
+            " ELSE CAST(c_custkey + 7700000000 AS STRING) END AS inn",
+            f"CASE WHEN c_custkey % 17 = 0 THEN {lit('На стопе')} WHEN c_custkey % 41 = 1 THEN {lit('НА СТОПЕ ')} END"
+            " AS stop_flg",
+            f"CASE WHEN c_custkey % 19 = 4 THEN {lit(L.SHEET_POSTPAY)} WHEN c_custkey % 23 = 6 THEN CAST(NULL AS STRING)"
+            " WHEN c_custkey % 29 = 8 THEN 'n/a' ELSE CAST(_x AS STRING) END AS deposit_min_value",
+            f"CASE WHEN c_custkey % 19 = 4 THEN {lit(L.SHEET_POSTPAY)} WHEN c_custkey % 37 = 10 THEN {lit(L.SHEET_STOPPED)}"
+            " WHEN c_custkey % 7 = 2 THEN concat(CAST(_x * 4 AS STRING), '-', CAST(_x * 8 AS STRING))"
+            " WHEN c_custkey % 31 = 9 THEN '-5' WHEN c_custkey % 43 = 12 THEN CAST(NULL AS STRING)"
+            " WHEN c_custkey % 11 = 5 THEN concat(' ', CAST(_x * 4 AS STRING), ' ')"
+            " ELSE CAST(_x * 4 AS STRING) END AS deposit_average_value",
+            "CASE WHEN c_custkey % 13 = 5 OR c_custkey = 0 THEN CAST(NULL AS STRING)"
+            f" WHEN c_mktsegment = 'BUILDING' AND c_custkey % 3 = 0 THEN {lit(a[0][0])}"
+            f" WHEN c_mktsegment = 'BUILDING' AND c_custkey % 3 = 1 THEN {lit(a[1][0])}"
+            f" WHEN c_mktsegment = 'BUILDING' THEN {lit(a[2][0])}"
+            f" WHEN c_mktsegment = 'AUTOMOBILE' THEN {lit(a[5][0])}"
+            f" WHEN c_mktsegment = 'MACHINERY' THEN {lit(a[6][0])}"
+            f" WHEN c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0 THEN {lit(a[3][0])}"
+            f" WHEN c_mktsegment = 'HOUSEHOLD' THEN {lit(a[4][0])}"
+            " ELSE 'by agreement' END AS payment_type",
+        )
     )
 
 
 # -------------------------------------------------------------- invoices ----
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
-    ok = F.col("o_orderkey")
-    pr = F.col("o_orderpriority")
-    comment = (
-        F.when(pr == "1-URGENT", F.lit("clicks"))
-        .when(pr == "2-HIGH", F.lit("purchases"))
-        .when(pr == "3-MEDIUM", F.lit("North"))
-        .when(pr == "5-LOW", F.lit("misc"))
-    )
-    dt = F.timestamp_add("HOUR", (ok % 24).cast("int"), _shift_day(F.col("o_orderdate")).cast("timestamp_ntz"))
-    return o.select(
-        ok.alias("invoice_id"),
-        F.concat(F.lit("INV-"), ok.cast("string")).alias("invoice_number"),
-        dt.alias("invoice_dt"),
-        comment.alias("invoice_comment"),
-        F.col("o_totalprice").cast(MONEY).alias("invoice_amount"),
-        (F.col("o_orderstatus") != "O").alias("is_posted"),
-        (F.col("o_orderstatus") == "P").alias("is_deleted"),
-        (ok % 5).alias("organization_id"),
-        F.when(ok % 4 == 1, F.col("o_custkey") + SUPPLIER_PARTNER_OFFSET).otherwise(F.col("o_custkey")).alias("partner_id"),
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS invoice_id",
+        "concat('INV-', CAST(o_orderkey AS STRING)) AS invoice_number",
+        f"timestampadd(HOUR, CAST(o_orderkey % 24 AS INT), CAST({_shift_day('o_orderdate')} AS TIMESTAMP_NTZ)) AS invoice_dt",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'clicks' WHEN '2-HIGH' THEN 'purchases'"
+        " WHEN '3-MEDIUM' THEN 'North' WHEN '5-LOW' THEN 'misc' END AS invoice_comment",
+        f"CAST(o_totalprice AS {MONEY}) AS invoice_amount",
+        "o_orderstatus != 'O' AS is_posted",
+        "o_orderstatus = 'P' AS is_deleted",
+        "o_orderkey % 5 AS organization_id",
+        f"CASE WHEN o_orderkey % 4 = 1 THEN o_custkey + {SUPPLIER_PARTNER_OFFSET} ELSE o_custkey END AS partner_id",
     )
 
 
 def invoice_lines(spark: SparkSession, sf_dir: str, rules: RuleSet) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
-    j = li.join(p, li.l_partkey == p.p_partkey, "left")
-    text = F.concat(F.col("p_type"), F.lit(" "), F.col("p_name"))
-    return j.select(
-        F.col("l_orderkey").alias("invoice_id"),
-        F.col("l_linenumber").alias("line_no"),
-        text.alias("nomenclature_text"),
-        categorize(text, rules.line_categories).alias("nomenclature_text_gr"),
-        F.col("l_extendedprice").cast(MONEY).alias("amount"),
+    text = "concat(p_type, ' ', p_name)"
+    return li.join(p, F.expr("l_partkey = p_partkey"), "left").selectExpr(
+        "l_orderkey AS invoice_id",
+        "l_linenumber AS line_no",
+        f"{text} AS nomenclature_text",
+        f"{categorize(text, rules.line_categories)} AS nomenclature_text_gr",
+        f"CAST(l_extendedprice AS {MONEY}) AS amount",
     )
 
 
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
-    ok = F.col("o_orderkey")
-    return o.select(
-        ok.alias("receipt_id"),
-        _shift_day(F.col("o_orderdate"), 3).cast("timestamp_ntz").alias("receipt_dt"),
-        (F.col("o_orderstatus") != "O").alias("is_posted"),
-        (ok % 10 == 0).alias("is_deleted"),
+    return _read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS receipt_id",
+        f"CAST({_shift_day('o_orderdate', 3)} AS TIMESTAMP_NTZ) AS receipt_dt",
+        "o_orderstatus != 'O' AS is_posted",
+        "o_orderkey % 10 = 0 AS is_deleted",
     )
 
 
 def receipt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem")
-    ok = F.col("l_orderkey")
-    net = (F.col("l_extendedprice").cast(MONEY) * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast(MONEY)
-    amt = F.when(ok % 9 == 0, -net).when(ok % 6 == 0, net * 3).otherwise(net).cast(MONEY)
-    return li.select(ok.alias("receipt_id"), ok.alias("invoice_id"), amt.alias("receipt_amount"))
+    net = f"CAST(CAST(l_extendedprice AS {MONEY}) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS {MONEY})"
+    return (
+        _read(spark, sf_dir, "lineitem")
+        .selectExpr("l_orderkey", f"{net} AS _net")
+        .selectExpr(
+            "l_orderkey AS receipt_id",
+            "l_orderkey AS invoice_id",
+            f"CAST(CASE WHEN l_orderkey % 9 = 0 THEN -_net WHEN l_orderkey % 6 = 0 THEN _net * 3 ELSE _net END"
+            f" AS {MONEY}) AS receipt_amount",
+        )
+    )
 
 
 # ------------------------------------------------------------ dimensions ----
 def partners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("partner_id"),
-        F.col("c_name").alias("partner_name"),
-        client_key_col(F.col("c_custkey")).alias("partner_inn"),
-        F.lit("customer").alias("partner_type"),
+    c = _read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS partner_id", "c_name AS partner_name",
+        f"{client_key_sql('c_custkey')} AS partner_inn", "'customer' AS partner_type",
     )
-    s = _read(spark, sf_dir, "supplier").select(
-        (F.col("s_suppkey") + SUPPLIER_PARTNER_OFFSET).alias("partner_id"),
-        F.col("s_name").alias("partner_name"),
-        client_key_col(F.col("s_suppkey")).alias("partner_inn"),
-        F.lit("supplier").alias("partner_type"),
+    s = _read(spark, sf_dir, "supplier").selectExpr(
+        f"s_suppkey + {SUPPLIER_PARTNER_OFFSET} AS partner_id", "s_name AS partner_name",
+        f"{client_key_sql('s_suppkey')} AS partner_inn", "'supplier' AS partner_type",
     )
     return c.unionByName(s)
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pid = F.col("partner_id")
-    return partners(spark, sf_dir).select(
-        pid.alias("contract_id"),
-        F.concat(F.lit("K-"), pid.cast("string")).alias("contract_number"),
-        pid,
-        (pid % 5).alias("organization_id"),
-        F.lit("RUB").alias("currency_id"),
-        F.when(pid % 7 == 0, F.lit("other")).otherwise(F.lit("paid traffic")).alias("description"),
-        (pid % 11 == 0).alias("is_deleted"),
+    return partners(spark, sf_dir).selectExpr(
+        "partner_id AS contract_id",
+        "concat('K-', CAST(partner_id AS STRING)) AS contract_number",
+        "partner_id",
+        "partner_id % 5 AS organization_id",
+        "'RUB' AS currency_id",
+        "CASE WHEN partner_id % 7 = 0 THEN 'other' ELSE 'paid traffic' END AS description",
+        "partner_id % 11 = 0 AS is_deleted",
     )
 
 
 def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _read(spark, sf_dir, "region")
-    rk = F.col("r_regionkey").cast("bigint")
-    return r.select(
-        rk.alias("organization_id"),
-        F.col("r_name").alias("organization_name"),
-        (rk + 5500000000).cast("string").alias("organization_inn"),
-        rk.alias("manager_key"),
+    return _read(spark, sf_dir, "region").selectExpr(
+        "CAST(r_regionkey AS BIGINT) AS organization_id",
+        "r_name AS organization_name",
+        "CAST(CAST(r_regionkey AS BIGINT) + 5500000000 AS STRING) AS organization_inn",
+        "CAST(r_regionkey AS BIGINT) AS manager_key",
     )
 
 
 def individuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _read(spark, sf_dir, "nation")
-    nk = F.col("n_nationkey").cast("bigint")
-    return n.select(
-        nk.alias("individual_id"),
-        F.concat(F.lit("IND-"), nk.cast("string")).alias("individual_number"),
-        F.col("n_name").alias("description"),
+    return _read(spark, sf_dir, "nation").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS individual_id",
+        "concat('IND-', CAST(n_nationkey AS STRING)) AS individual_number",
+        "n_name AS description",
     )
 
 
 def deposit_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    return c.where(k % 11 == 4).select(
-        client_key_col(k).alias("inn"),
-        F.lit("").alias("city_invoice"),
-        F.lit("").alias("source_invoice"),
-        F.col("c_acctbal").cast(MONEY).alias("correction"),
+    return _read(spark, sf_dir, "customer").where("c_custkey % 11 = 4").selectExpr(
+        f"{client_key_sql('c_custkey')} AS inn", "'' AS city_invoice", "'' AS source_invoice",
+        f"CAST(c_acctbal AS {MONEY}) AS correction",
     )
 
 
 def pm_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    return c.where(k % 13 == 2).select(
-        client_key_col(k).alias("inn"),
-        F.lit("").alias("city_invoice"),
-        F.lit("").alias("source_invoice"),
-        F.concat(F.lit("check <"), F.col("c_name"), F.lit("> & call")).alias("comment"),
+    return _read(spark, sf_dir, "customer").where("c_custkey % 13 = 2").selectExpr(
+        f"{client_key_sql('c_custkey')} AS inn", "'' AS city_invoice", "'' AS source_invoice",
+        "concat('check <', c_name, '> & call') AS comment",
     )
