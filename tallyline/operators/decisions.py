@@ -169,8 +169,9 @@ def gate_alerts(df: DataFrame, run_ts: _dt.datetime, window=("09:50:00", "11:50:
 # --------------------------------------------------------------------------
 def split_invoices(new_invoices: DataFrame, rules: RuleSet) -> DataFrame:
     """D12 (C15, intended behaviour): each account with split rules becomes
-    one row per part; amount x share with the last part taking the remainder
-    so parts add up exactly. Other accounts pass as one part of share 1.
+    one row per part; amount x share (exact decimal, half up) with the last
+    part taking the remainder so parts add up exactly. Other accounts pass as
+    one part of share 1.
 
     A literal array of parts per client + ``inline`` (narrow, no join).
     """
@@ -179,11 +180,14 @@ def split_invoices(new_invoices: DataFrame, rules: RuleSet) -> DataFrame:
         by_inn.setdefault(r.inn, []).append(r)
     amount = f"CAST(new_invoice_amount AS {MONEY})"
 
+    def share_dec(share: float) -> str:
+        return f"CAST({share!r} AS DECIMAL(9,6))"
+
     def part(no, share, last, partner, contract, earlier):
         return (
-            f"named_struct('part_no', {no}, 'share', CAST({share!r} AS DOUBLE), 'last', {lit(last)}, "
-            f"'p_partner', CAST({lit(partner)} AS STRING), 'p_contract', CAST({lit(contract)} AS STRING), "
-            f"'earlier', CAST({earlier} AS {MONEY}))"
+            f"named_struct('part_no', {no}, 'share', CAST({share!r} AS DOUBLE), 'share_d', {share_dec(share)}, "
+            f"'last', {lit(last)}, 'p_partner', CAST({lit(partner)} AS STRING), "
+            f"'p_contract', CAST({lit(contract)} AS STRING), 'earlier', CAST({earlier} AS {MONEY}))"
         )
 
     whole = f"array({part(1, 1.0, True, None, None, 0)})"
@@ -193,7 +197,7 @@ def split_invoices(new_invoices: DataFrame, rules: RuleSet) -> DataFrame:
         for i, r in enumerate(rs):
             prev = " + ".join(earlier) if earlier else "0"
             items.append(part(r.part_no, r.share, i == len(rs) - 1, r.partner_id, r.contract_id, prev))
-            earlier.append(f"CAST({amount} * {r.share!r} AS {MONEY})")
+            earlier.append(f"CAST({amount} * {share_dec(r.share)} AS {MONEY})")
         branches.append((f"inn = {lit(inn)}", f"array({', '.join(items)})"))
     parts = case(branches, whole)
     keep = [c for c in new_invoices.columns if c not in ("new_invoice_amount", "partner_id", "contract_id")]
@@ -204,7 +208,7 @@ def split_invoices(new_invoices: DataFrame, rules: RuleSet) -> DataFrame:
         "coalesce(p_contract, CAST(contract_id AS STRING)) AS contract_id",
         "part_no",
         "share",
-        f"CAST(CASE WHEN last THEN {amount} - earlier ELSE {amount} * share END AS {MONEY}) AS new_invoice_amount",
+        f"CAST(CASE WHEN last THEN {amount} - earlier ELSE {amount} * share_d END AS {MONEY}) AS new_invoice_amount",
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.types import DecimalType
 
 from .. import labels as L
 from ..functions.dates import Calendar
-from ..operators import balance, decisions, invoices, leads, partners, reports, terms
+from ..operators import balance, decisions, invoices, leads, outbox, partners, reports, terms
 from ..sources import driver as D
 from . import oracle as O
 from .pipeline import Pipeline, driver_inputs
@@ -485,3 +485,146 @@ def q_report_errors(p: Pipeline) -> DataFrame:
 def q_report_ordered(p: Pipeline) -> DataFrame:
     """O1."""
     return reports.report_ordered(p.balance_report)
+
+
+# ============================================================ decisions out
+def _lines(p: Pipeline) -> DataFrame:
+    return p._memo("invoice_lines", lambda: outbox.invoice_lines_for(p.balance_report, p.rules))
+
+
+SPLIT_COLS = (
+    "inn", "city_invoice", "source_invoice", "payment_type", "part_no", "share", "partner_id", "contract_id",
+    "new_invoice_amount",
+)
+
+
+@register(
+    "select_new_invoices",
+    f"SELECT {report_select(reports.REPORT_COLUMNS)} FROM new_inv",
+    ["new_inv"],
+)
+def q_select_new_invoices(p: Pipeline) -> DataFrame:
+    """R8."""
+    return decisions.select_new_invoices(p.balance_report)
+
+
+@register("select_errors", f"SELECT {report_select(reports.REPORT_COLUMNS)} FROM report WHERE {O.ERRORS_WHERE}", ["report"])
+def q_select_errors(p: Pipeline) -> DataFrame:
+    """R9."""
+    return decisions.select_errors(p.balance_report, p.rules)
+
+
+@register("select_warnings", f"SELECT {report_select(reports.REPORT_COLUMNS)} FROM report WHERE {O.WARNINGS_WHERE}", ["report"])
+def q_select_warnings(p: Pipeline) -> DataFrame:
+    """R10."""
+    return decisions.select_warnings(p.balance_report, p.rules)
+
+
+@register(
+    "alerts_in_window",
+    f"""SELECT inn, city_invoice, source_invoice, 'error' AS kind FROM report WHERE {O.ERRORS_WHERE}
+        UNION ALL SELECT inn, city_invoice, source_invoice, 'warning' FROM report WHERE {O.WARNINGS_WHERE}""",
+    ["report"],
+)
+def q_alerts_in_window(p: Pipeline) -> DataFrame:
+    """Alert rows at a run time inside the window (all of them here)."""
+    ts = D.RUN_TS
+    e = decisions.gate_alerts(decisions.select_errors(p.balance_report, p.rules), ts)
+    w = decisions.gate_alerts(decisions.select_warnings(p.balance_report, p.rules), ts)
+    return e.selectExpr(*invoices.ACCOUNT, "'error' AS kind").unionByName(
+        w.selectExpr(*invoices.ACCOUNT, "'warning' AS kind")
+    )
+
+
+@register(
+    "invoice_split",
+    f"SELECT inn, city_invoice, source_invoice, payment_type, part_no, share, partner_id, contract_id, "
+    f"CAST(new_invoice_amount AS DOUBLE) AS new_invoice_amount FROM split",
+    ["split"],
+)
+def q_invoice_split(p: Pipeline) -> DataFrame:
+    """D12 + U2: one row per invoice part, parts add up exactly."""
+    return decisions.split_invoices(decisions.select_new_invoices(p.balance_report), p.rules).select(*SPLIT_COLS)
+
+
+@register(
+    "invoice_line",
+    "SELECT inn, city_invoice, source_invoice, part_no, line_text, line_quantity, line_price FROM inv_lines",
+    ["inv_lines"],
+)
+def q_invoice_line(p: Pipeline) -> DataFrame:
+    """D13."""
+    return _lines(p).select(*invoices.ACCOUNT, "part_no", "line_text", "line_quantity", "line_price")
+
+
+@register(
+    "vat_extract",
+    "SELECT inn, city_invoice, source_invoice, part_no, CAST(new_invoice_amount AS DOUBLE) AS new_invoice_amount, "
+    "vat_amount FROM inv_lines",
+    ["inv_lines"],
+)
+def q_vat_extract(p: Pipeline) -> DataFrame:
+    """VAT inside the amount, truncated to exact cents."""
+    return _lines(p).select(*invoices.ACCOUNT, "part_no", "new_invoice_amount", "vat_amount")
+
+
+_SUMMARY_SQL = (
+    f"SELECT CAST(count(*) AS BIGINT) AS invoice_count, CASE WHEN count(*) = 0 THEN {O.q(L.SUMMARY_NONE)} "
+    f"WHEN count(*) = 1 THEN {O.q(L.SUMMARY_ONE)} "
+    f"WHEN count(*) < 5 THEN replace({O.q(L.SUMMARY_FEW)}, '{{n}}', CAST(count(*) AS VARCHAR)) "
+    f"ELSE replace({O.q(L.SUMMARY_MANY)}, '{{n}}', CAST(count(*) AS VARCHAR)) END AS message FROM split"
+)
+
+
+@register("run_summary", _SUMMARY_SQL, ["split"])
+def q_run_summary(p: Pipeline) -> DataFrame:
+    """A7 + M5."""
+    return reports.run_summary(decisions.split_invoices(decisions.select_new_invoices(p.balance_report), p.rules))
+
+
+@register(
+    "manager_lookup",
+    "SELECT inn, city_invoice, source_invoice, project, CASE "
+    + " ".join(f"WHEN project = {O.q(m)} THEN {O.q('(' + h + ')')}" for m, h in O.R.manager_contacts)
+    + " ELSE '' END AS manager_handle FROM report",
+    ["report"],
+)
+def q_manager_lookup(p: Pipeline) -> DataFrame:
+    """Manager -> chat handle, '' when unknown."""
+    return p.balance_report.selectExpr(
+        *invoices.ACCOUNT, "project", f"{outbox.manager_handle('project', p.rules)} AS manager_handle"
+    )
+
+
+# ===================================================================== outbox
+@register(
+    "outbox_errors",
+    f"SELECT {O.q(D.AS_OF.isoformat())}::DATE AS as_of, {O.q(L.CHANNEL_ALARM)} AS channel, 'error' AS severity, "
+    f"inn, city_invoice, source_invoice, {O.ERROR_BODY} AS body FROM report WHERE {O.ERRORS_WHERE}",
+    ["report"],
+)
+def q_outbox_errors(p: Pipeline) -> DataFrame:
+    """M1 + M4."""
+    return outbox.outbox_errors(p.balance_report, p.rules, D.AS_OF, D.RUN_TS)
+
+
+@register(
+    "outbox_warnings",
+    f"SELECT {O.q(D.AS_OF.isoformat())}::DATE AS as_of, {O.q(L.CHANNEL_DUE_SOON)} AS channel, {O.SEVERITY} AS severity, "
+    f"inn, city_invoice, source_invoice, {O.WARNING_BODY} AS body FROM report WHERE {O.WARNINGS_WHERE}",
+    ["report"],
+)
+def q_outbox_warnings(p: Pipeline) -> DataFrame:
+    """M2 + M4."""
+    return outbox.outbox_warnings(p.balance_report, p.rules, D.AS_OF, D.RUN_TS)
+
+
+@register(
+    "outbox_invoices",
+    f"SELECT {O.q(D.AS_OF.isoformat())}::DATE AS as_of, {O.q(L.CHANNEL_NEW_INVOICE)} AS channel, 'invoice' AS severity, "
+    f"inn, city_invoice, source_invoice, part_no, {O.INVOICE_BODY} AS body FROM inv_lines",
+    ["inv_lines"],
+)
+def q_outbox_invoices(p: Pipeline) -> DataFrame:
+    """M3 + M4."""
+    return outbox.outbox_invoices(_lines(p), p.rules, D.AS_OF)

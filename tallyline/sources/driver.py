@@ -82,8 +82,11 @@ def driver_rules() -> RuleSet:
         excluded_clients=(client_key(11), client_key(15)),
         branch_join_any=(client_key(3),),
         split_rules=(
-            SplitRule(client_key(14), 1, 0.5),
-            SplitRule(client_key(14), 2, 0.5, str(SUPPLIER_PARTNER_OFFSET + 4), str(SUPPLIER_PARTNER_OFFSET + 4)),
+            SplitRule(client_key(2), 1, 0.5),
+            SplitRule(client_key(2), 2, 0.5, str(SUPPLIER_PARTNER_OFFSET + 4), str(SUPPLIER_PARTNER_OFFSET + 4)),
+            SplitRule(client_key(12), 1, 0.3),
+            SplitRule(client_key(12), 2, 0.3, str(SUPPLIER_PARTNER_OFFSET + 1), str(SUPPLIER_PARTNER_OFFSET + 1)),
+            SplitRule(client_key(12), 3, 0.4, str(SUPPLIER_PARTNER_OFFSET + 2), str(SUPPLIER_PARTNER_OFFSET + 2)),
         ),
         line_categories=(
             ("contains", ("PROMO",), L.CATEGORY_BILLABLE),
