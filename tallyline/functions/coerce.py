@@ -33,7 +33,8 @@ def coerce_datetime(c: str) -> str:
 
 def coerce_number_default(c: str, type_word: str) -> str:
     """P2 (landed-record flavour): NULL -> 0, then cast; bad text raises (ANSI)."""
-    return f"CAST(coalesce({c}, 0) AS {TYPE_WORDS[type_word]})"
+    t = TYPE_WORDS[type_word]
+    return f"coalesce(CAST({c} AS {t}), CAST(0 AS {t}))"
 
 
 def cast_strict(c: str, type_word: str) -> str:

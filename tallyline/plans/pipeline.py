@@ -66,6 +66,9 @@ def driver_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet) -> Inputs:
             "individual": lambda: d.individuals(spark, sf_dir),
             "deposit_correction": lambda: d.deposit_corrections(spark, sf_dir),
             "pm_correction": lambda: d.pm_corrections(spark, sf_dir),
+            "entity_documents": lambda: d.entity_documents(spark, sf_dir),
+            "terms_sheet_lines": lambda: d.terms_sheet_lines(spark, sf_dir),
+            "orders_raw": lambda: d._read(spark, sf_dir, "orders"),
         }
     )
 

@@ -628,3 +628,194 @@ def q_outbox_warnings(p: Pipeline) -> DataFrame:
 def q_outbox_invoices(p: Pipeline) -> DataFrame:
     """M3 + M4."""
     return outbox.outbox_invoices(_lines(p), p.rules, D.AS_OF)
+
+
+# ==================================================================== sources
+def _docs(p: Pipeline, spec=None):
+    from ..sources import entity
+
+    spec = spec or D.document_spec()
+    key = f"records_{spec.name}"
+    return spec, p._memo(key, lambda: entity.parse_entity_text(p.inputs["entity_documents"], "payload", spec))
+
+
+@register("src_json_envelope", O.DOC_HEADER_SQL, ["docs_v"])
+def q_src_json_envelope(p: Pipeline) -> DataFrame:
+    """S1 + S2 + N4: envelope and bare-list documents -> typed header rows."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    return entity.header_rows(rec, spec)
+
+
+@register(
+    "proj_mapping",
+    "SELECT ref, raw_date AS doc_date, number, CAST(amount_raw AS VARCHAR) AS amount, CAST(is_posted AS VARCHAR) AS is_posted, "
+    "partner_key, comment FROM docs_v",
+    ["docs_v"],
+)
+def q_proj_mapping(p: Pipeline) -> DataFrame:
+    """Select + rename by mapping, no typing."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    return entity.header_rows(rec, spec, cast=False)
+
+
+@register("proj_coerce_null_default", O.DOC_HEADER_SQL, ["docs_v"])
+def q_proj_coerce_null_default(p: Pipeline) -> DataFrame:
+    """Landed-record typing (NULL numbers -> 0)."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    return entity.header_rows(rec, spec, null_default=True)
+
+
+@register(
+    "proj_coerce_strict",
+    "SELECT ref, doc_date, number, CAST(CAST(amount_raw AS DECIMAL(18,2)) AS DOUBLE) AS amount, is_posted, partner_key, "
+    "comment FROM docs_v",
+    ["docs_v"],
+)
+def q_proj_coerce_strict(p: Pipeline) -> DataFrame:
+    """Sheet typing (NULL stays NULL)."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    return entity.header_rows(rec, spec, null_default=False)
+
+
+@register("proj_date_sentinel", "SELECT ref, raw_date, doc_date FROM docs_v", ["docs_v"])
+def q_proj_date_sentinel(p: Pipeline) -> DataFrame:
+    """Date sentinels, bad and out-of-range dates -> NULL."""
+    from ..functions.coerce import coerce_datetime
+
+    _, rec = _docs(p)
+    return rec.selectExpr("Ref_Key AS ref", "Date AS raw_date", f"{coerce_datetime('Date')} AS doc_date")
+
+
+@register(
+    "nested_explode",
+    "SELECT ref, line_no_raw IS NOT NULL AS has_line FROM doc_lines_v",
+    ["doc_lines_v"],
+)
+def q_nested_explode(p: Pipeline) -> DataFrame:
+    """Explode with the parent key; empty / NULL arrays keep one row."""
+    _, rec = _docs(p)
+    return rec.selectExpr("Ref_Key AS ref", "explode_outer(lines) AS _e").selectExpr("ref", "_e IS NOT NULL AS has_line")
+
+
+@register(
+    "nested_flatten",
+    "SELECT ref, CAST(COALESCE(line_no_raw, 0) AS BIGINT) AS line_no, text, "
+    "CAST(CAST(COALESCE(sum_raw, 0) AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM doc_lines_v",
+    ["doc_lines_v"],
+)
+def q_nested_flatten(p: Pipeline) -> DataFrame:
+    """N2 (+N3): flattened, renamed, typed detail rows (C17 zeros)."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    return entity.detail_rows(rec, spec)
+
+
+@register(
+    "ingest_header_detail",
+    "SELECT 'document' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM docs_v "
+    "UNION ALL SELECT 'document_line', CAST(count(*) AS BIGINT) FROM doc_lines_v",
+    ["docs_v", "doc_lines_v"],
+)
+def q_ingest_header_detail(p: Pipeline) -> DataFrame:
+    """N4 + K5: one payload -> header table + detail table (row counts)."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    header, detail = entity.ingest(rec, spec)
+    return header.groupBy().agg(F.expr(f"'{spec.header_table}' AS table_name"), F.expr("count(1) AS row_count")).unionByName(
+        detail.groupBy().agg(F.expr(f"'{spec.detail_table}' AS table_name"), F.expr("count(1) AS row_count"))
+    )
+
+
+@register(
+    "src_incremental",
+    O.DOC_HEADER_SQL + f" WHERE doc_date > TIMESTAMP '{D.ENTITY_AS_OF_CUTOFF.isoformat(sep=' ')}'",
+    ["docs_v"],
+)
+def q_src_incremental(p: Pipeline) -> DataFrame:
+    """S3: only documents dated strictly after the cut-off."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    return entity.incremental(entity.header_rows(rec, spec), "doc_date", D.ENTITY_AS_OF_CUTOFF)
+
+
+@register(
+    "src_passthrough",
+    'SELECT ref AS "Ref_Key", raw_date AS "Date", number AS "Number", CAST(amount_raw AS VARCHAR) AS "Amount", '
+    'CAST(is_posted AS VARCHAR) AS "Posted", partner_key AS "Partner_Key", comment AS "Comment" FROM docs_v',
+    ["docs_v"],
+)
+def q_src_passthrough(p: Pipeline) -> DataFrame:
+    """No mapping -> the raw fields as landed."""
+    from ..sources import entity
+
+    spec, rec = _docs(p, D.passthrough_spec())
+    return entity.header_rows(rec, spec, cast=False)
+
+
+@register(
+    "ingest_all_counts",
+    "SELECT 'documents' AS entity, 'header' AS part, CAST(count(*) AS BIGINT) AS row_count FROM docs_v "
+    "UNION ALL SELECT 'documents', 'detail', CAST(count(*) AS BIGINT) FROM doc_lines_v "
+    "UNION ALL SELECT 'partner_refs', 'header', CAST(count(*) AS BIGINT) FROM docs_v",
+    ["docs_v", "doc_lines_v"],
+)
+def q_ingest_all_counts(p: Pipeline) -> DataFrame:
+    """A batch of entity ingests from one landing, rows per table."""
+    from ..sources import entity
+
+    out = None
+    for spec in (D.document_spec(), D.partner_ref_spec()):
+        _, rec = _docs(p, spec)
+        header, detail = entity.ingest(rec, spec)
+        parts = [("header", header)] + ([("detail", detail)] if detail is not None else [])
+        for part, df in parts:
+            c = df.groupBy().agg(
+                F.expr(f"'{spec.name}' AS entity"), F.expr(f"'{part}' AS part"), F.expr("count(1) AS row_count")
+            )
+            out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register(
+    "src_csv_terms",
+    "SELECT row_idx, project, legal_entity, inn, stop_flg, deposit_min_value, deposit_average_value, payment_type "
+    "FROM terms_sheet_v",
+    ["terms_sheet_v"],
+)
+def q_src_csv_terms(p: Pipeline) -> DataFrame:
+    """Sheet CSV records (human headers) -> mapped text columns."""
+    from ..sources.sheet import parse_sheet_lines
+
+    return parse_sheet_lines(p.inputs["terms_sheet_lines"], "line", "row_idx")
+
+
+@register(
+    "src_param_query",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' "
+    "AND o_orderstatus = 'F'",
+    [],
+)
+def q_src_param_query(p: Pipeline) -> DataFrame:
+    """A query with named bind parameters over a DataFrame."""
+    import datetime as _dt
+
+    from ..sources.query import param_query
+
+    orders = p.inputs["orders_raw"]
+    return param_query(
+        orders.sparkSession,
+        "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} WHERE o_orderdate >= :start AND o_orderstatus = :status",
+        {"start": _dt.datetime(1998, 1, 1), "status": "F"},
+        orders=orders,
+    )

@@ -297,3 +297,76 @@ def pm_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{client_key_sql('c_custkey')} AS inn", "'' AS city_invoice", "'' AS source_invoice",
         "concat('check <', c_name, '> & call') AS comment",
     )
+
+
+# ------------------------------------------------- landed documents (S1) ----
+LINE_TYPE = "array<struct<LineNumber:int,Text:string,Sum:double>>"
+ENTITY_AS_OF_CUTOFF = _dt.datetime(2024, 1, 15)
+
+
+def entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed JSON document per event: envelope for even ids, bare list
+    for odd ids; date sentinels, bad dates, empty / NULL line arrays."""
+    date = (
+        "CASE event_id % 9 WHEN 0 THEN '0000-00-00' WHEN 1 THEN '' WHEN 2 THEN '0' "
+        "WHEN 3 THEN '0000-00-00 00:00:00' WHEN 4 THEN '0001-01-01T00:00:00' WHEN 5 THEN 'not a date' "
+        "ELSE date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") END"
+    )
+    lines = (
+        f"CASE event_id % 5 WHEN 0 THEN CAST(array() AS {LINE_TYPE}) WHEN 1 THEN CAST(NULL AS {LINE_TYPE}) "
+        "ELSE array(named_struct('LineNumber', 1, 'Text', event_type, 'Sum', value), "
+        "named_struct('LineNumber', 2, 'Text', props, 'Sum', value * 2)) END"
+    )
+    rec = (
+        "named_struct('Ref_Key', concat('doc-', CAST(event_id AS STRING)), "
+        f"'Date', {date}, 'Number', CAST(event_id AS STRING), "
+        "'Amount', CASE WHEN event_id % 11 = 3 THEN CAST(NULL AS DOUBLE) ELSE value END, "
+        "'Posted', event_id % 3 != 0, 'Partner_Key', CAST(user_id AS STRING), 'Comment', event_type, "
+        f"'lines', {lines})"
+    )
+    return _read(spark, sf_dir, "events").selectExpr(
+        "event_id AS doc_id",
+        f"CASE WHEN event_id % 2 = 0 THEN to_json(named_struct('value', array({rec}))) ELSE to_json(array({rec})) END"
+        " AS payload",
+    )
+
+
+def terms_sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The terms sheet rendered as CSV records (one per row), for S5."""
+    cols = "project, legal_entity, inn, stop_flg, deposit_min_value, deposit_average_value, payment_type"
+    opts = "map('ignoreLeadingWhiteSpace', 'false', 'ignoreTrailingWhiteSpace', 'false')"
+    return terms_sheet(spark, sf_dir).selectExpr("row_idx", f"to_csv(struct({cols}), {opts}) AS line")
+
+
+def document_spec():
+    """Ingest config of the landed documents (mapping as data)."""
+    from .entity import Col, EntitySpec
+
+    return EntitySpec(
+        name="documents",
+        columns=(
+            Col("Ref_Key", "ref"), Col("Date", "doc_date", "datetime"), Col("Number", "number"),
+            Col("Amount", "amount", "money"), Col("Posted", "is_posted", "boolean"),
+            Col("Partner_Key", "partner_key"), Col("Comment", "comment"), Col("lines", "lines"),
+        ),
+        ref_key="Ref_Key",
+        explode_column="lines",
+        detail_columns=(Col("LineNumber", "line_no", "int"), Col("Text", "text"), Col("Sum", "amount", "money")),
+        header_table="document",
+        detail_table="document_line",
+    )
+
+
+def passthrough_spec():
+    """No mapping: raw fields under their own names, as text."""
+    from .entity import Col, EntitySpec
+
+    raw = ("Ref_Key", "Date", "Number", "Amount", "Posted", "Partner_Key", "Comment")
+    return EntitySpec(name="documents_raw", columns=tuple(Col(f, f) for f in raw))
+
+
+def partner_ref_spec():
+    """A second entity set landed in the same documents (S7 batch)."""
+    from .entity import Col, EntitySpec
+
+    return EntitySpec(name="partner_refs", columns=(Col("Partner_Key", "partner_key"), Col("Comment", "comment")))
