@@ -819,3 +819,15 @@ def q_src_param_query(p: Pipeline) -> DataFrame:
         {"start": _dt.datetime(1998, 1, 1), "status": "F"},
         orders=orders,
     )
+
+
+@register("invoice_payload", O.PAYLOAD_SQL, ["inv_lines"])
+def q_invoice_payload(p: Pipeline) -> DataFrame:
+    """The accounting document (header + one line) as JSON."""
+    return outbox.invoice_payload(_lines(p), p.rules, D.RUN_TS)
+
+
+@register("audit_log", O.AUDIT_SQL, ["inv_lines"])
+def q_audit_log(p: Pipeline) -> DataFrame:
+    """K6: one JSON log line per invoice."""
+    return outbox.audit_log(_lines(p), D.RUN_TS)
