@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.dates import Calendar
 from ..operators import balance, decisions, invoices, leads, partners, reports, terms  # noqa: F401
 from ..rules import RuleSet
+from ..session import materialize_shared
 from ..sources import driver
 
 # declared dependencies, in rebuild order
@@ -83,9 +84,10 @@ class Pipeline:
         self.cut_lineage = cut_lineage
         self._cache: dict[str, DataFrame] = {}
 
-    def _cut(self, df: DataFrame) -> DataFrame:
-        """Reliable checkpoint of a small shared stage (see ``materialize``)."""
-        return df.checkpoint(eager=True) if self.cut_lineage else df
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        """Materialise a small stage read by several consumers, once, in the
+        shared checkpoint folder (see ``session.materialize_shared``)."""
+        return materialize_shared(df, name) if self.cut_lineage else df
 
     def _memo(self, name, fn):
         if name not in self._cache:
@@ -111,7 +113,7 @@ class Pipeline:
         Read by the terms (W2) and by the report, so it is cut once."""
         return self._memo(
             "lead_accounts",
-            lambda: self._cut(leads.lead_accounts(leads.lead_groups(self.leads_keyed), self.cal)),
+            lambda: self._cut(leads.lead_accounts(leads.lead_groups(self.leads_keyed), self.cal), "lead_accounts"),
         )
 
     # terms
@@ -140,7 +142,8 @@ class Pipeline:
     @property
     def payment_terms_calendar(self) -> DataFrame:
         return self._memo(
-            "payment_terms_calendar", lambda: self._cut(terms.terms_calendar(self.terms_all, self.cal))
+            "payment_terms_calendar",
+            lambda: self._cut(terms.terms_calendar(self.terms_all, self.cal), "payment_terms_calendar"),
         )
 
     # invoices
@@ -202,15 +205,10 @@ class Pipeline:
     def balance_report(self) -> DataFrame:
         return self._memo("balance_report", lambda: reports.report_full(self.decided))
 
-    def materialize(self, name: str, checkpoint: bool = True) -> DataFrame:
-        """Cut lineage of a stage read by several outputs.
-
-        Uses a reliable checkpoint into ``spark.checkpoint.dir`` (the shared
-        folder the cluster names); survives executor loss, unlike a local
-        checkpoint or a cache."""
-        df = getattr(self, name)
-        if checkpoint:
-            df = df.checkpoint(eager=True)
+    def materialize(self, name: str) -> DataFrame:
+        """Cut lineage of any named stage read by several outputs (written
+        once under ``spark.checkpoint.dir``; survives executor loss)."""
+        df = materialize_shared(getattr(self, name), name)
         self._cache[name] = df
         return df
 

@@ -42,3 +42,24 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     path = fallback or tempfile.mkdtemp(prefix="tallyline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def shared_stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for one materialised stage under the shared
+    ``spark.checkpoint.dir`` (never a machine-local temp folder)."""
+    import uuid
+
+    root = ensure_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/tallyline-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize_shared(df, name: str):
+    """Cut lineage: write the stage once as parquet in the shared checkpoint
+    folder and read it back. Unlike ``checkpoint()`` (which runs the plan
+    again to write it) the plan runs once; unlike a cache it survives
+    executor loss; unlike ``localCheckpoint`` it is not executor-local."""
+    spark = df.sparkSession
+    path = shared_stage_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
