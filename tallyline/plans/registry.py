@@ -831,3 +831,101 @@ def q_invoice_payload(p: Pipeline) -> DataFrame:
 def q_audit_log(p: Pipeline) -> DataFrame:
     """K6: one JSON log line per invoice."""
     return outbox.audit_log(_lines(p), D.RUN_TS)
+
+
+# ====================================================================== sinks
+def _sink_db(spark: SparkSession) -> str:
+    """A database whose managed tables live in the shared checkpoint folder."""
+    from ..session import ensure_checkpoint_dir
+
+    db = "tallyline_sinks"
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/tallyline-warehouse'")
+    return db
+
+
+def _table(spark: SparkSession, stem: str) -> str:
+    import uuid
+
+    return f"{_sink_db(spark)}.{stem}_{uuid.uuid4().hex[:12]}"
+
+
+@register("sink_full_refresh", TERMS_CLEAN_SQL, ["terms_clean"])
+def q_sink_full_refresh(p: Pipeline) -> DataFrame:
+    """K1: load, then refresh from a query that reads the table itself."""
+    from ..sinks import tables
+
+    spark = p.payment_terms.sparkSession
+    name = _table(spark, "payment_terms")
+    tables.full_refresh(p.payment_terms.where("row_idx % 2 = 0"), name)  # a first, partial load
+    tables.full_refresh(p.payment_terms, name)  # the refresh replaces it whole
+    return spark.table(name)
+
+
+@register(
+    "sink_append",
+    "SELECT invoice_status, CAST(2 * count(*) AS BIGINT) AS row_count FROM invoices_enriched GROUP BY invoice_status",
+    ["invoices_enriched"],
+)
+def q_sink_append(p: Pipeline) -> DataFrame:
+    """K2: two append loads of the same rows."""
+    from ..sinks import tables
+
+    src = p.invoices_enriched.select("invoice_id", "invoice_status")
+    spark = src.sparkSession
+    name = _table(spark, "invoice_status_log")
+    tables.append(src, name)
+    tables.append(src, name)
+    return spark.table(name).groupBy("invoice_status").agg(F.expr("count(1) AS row_count"))
+
+
+@register("sink_ctas", TERMS_CAL_SQL, ["terms_cal"])
+def q_sink_ctas(p: Pipeline) -> DataFrame:
+    """K3: materialise a query into a new table (create-as-select)."""
+    from ..sinks import tables
+
+    spark = p.payment_terms_calendar.sparkSession
+    name = _table(spark, "payment_terms_calendar")
+    tables.materialize(p.payment_terms_calendar, name)
+    return spark.table(name)
+
+
+@register(
+    "sink_insert_positional",
+    "SELECT invoice_id, invoice_status AS status FROM invoices_enriched WHERE invoice_status = "
+    + O.q(L.STATUS_VALID)
+    + " UNION ALL SELECT invoice_id, invoice_payment_status FROM invoices_enriched",
+    ["invoices_enriched"],
+)
+def q_sink_insert_positional(p: Pipeline) -> DataFrame:
+    """K4: insert into an existing table by position (names differ)."""
+    from ..sinks import tables
+
+    e = p.invoices_enriched
+    spark = e.sparkSession
+    name = _table(spark, "invoice_flags")
+    tables.materialize(e.where(f"invoice_status = {O.q(L.STATUS_VALID)}").selectExpr("invoice_id", "invoice_status AS status"), name)
+    tables.materialize(e.selectExpr("invoice_id", "invoice_payment_status AS anything"), name, truncate=False)
+    return spark.table(name)
+
+
+@register(
+    "report_bundle_counts",
+    "SELECT 'errors' AS name, CAST(count(*) AS BIGINT) AS row_count FROM report WHERE new_invoice_errors != '' "
+    "UNION ALL SELECT 'invoice_report', CAST(count(*) AS BIGINT) FROM report "
+    f"UNION ALL SELECT 'new_invoices', CAST(count(*) AS BIGINT) FROM report WHERE new_invoice_flag = {O.q(L.YES)} "
+    "UNION ALL SELECT 'payment_terms', CAST(count(*) AS BIGINT) FROM terms_cal",
+    ["report", "terms_cal"],
+)
+def q_report_bundle_counts(p: Pipeline) -> DataFrame:
+    """K7 + T2: the named result sets written under one dated folder."""
+    from ..session import shared_stage_path
+    from ..sinks import tables
+
+    spark = p.balance_report.sparkSession
+    paths = tables.write_bundle(p.outputs(), shared_stage_path(spark, "bundle"), D.AS_OF.isoformat())
+    out = None
+    for name, path in sorted(paths.items()):
+        c = spark.read.parquet(path).groupBy().agg(F.expr(f"'{name}' AS name"), F.expr("count(1) AS row_count"))
+        out = c if out is None else out.unionByName(c)
+    return out
