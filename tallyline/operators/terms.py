@@ -2,8 +2,9 @@
 
 Operators: W6 (forward fill, two forms), P5 (missing marker), P6 (id clean),
 P7 (numeric test), P8 (terms canonicalisation), P9 (deposit values), P10
-(notes), W3 (one row per client), W2 (latest legal entity), R7/J11 (clients
-missing from the sheet), U1 (union), D2 (period bounds).
+(notes), W3 (one row per client), R7/J11 (clients missing from the sheet),
+U1 (union), D2 (period bounds). W2 (latest legal entity per client) comes
+out of the leads aggregate: ``leads.latest_entity_of``.
 """
 
 from __future__ import annotations
@@ -142,13 +143,6 @@ def dedup_terms(clean: DataFrame) -> DataFrame:
     )
 
 
-def latest_entity(leads_keyed: DataFrame) -> DataFrame:
-    """Latest legal entity per client key (all leads, duplicates too)."""
-    return leads_keyed.groupBy("inn").agg(F.expr("max(struct(date_time_add, lead_id, legal_entity)) AS _p")).selectExpr(
-        "inn", "_p.legal_entity AS legal_entity"
-    )
-
-
 def missing_clients(latest: DataFrame, clean_terms_df: DataFrame) -> DataFrame:
     """Lead clients with no sheet row (NOT EXISTS -> left anti)."""
     return latest.join(clean_terms_df.select("inn"), "inn", "left_anti")
