@@ -5,13 +5,15 @@ invoice), J8 (enrichment joins), P12 (partner key remap), P14 (branch),
 P17 (channel), P19 (status), P20 (payment status), R4/J2/A2 (period
 aggregate), A5 (NULL-when-empty current sums), A6 (conditional max).
 
-Scale notes: the line pick (W4) and the receipt sums (A3) are hash
-aggregates keyed by invoice id with map-side partial aggregation, so both
-come out hash-partitioned by invoice id and the enrichment joins against the
-invoice table reuse that partitioning. Dimension joins (organisation,
-partner) are left to AQE, which broadcasts them when their runtime size is
-under the broadcast threshold and sort-merges otherwise. The period aggregate
-follows the leads design: every distinct window once, pick per client after.
+Scale notes: the line pick (W4, a struct pick: sort-based) and the receipt
+sums (A3, hash) are aggregates keyed by invoice id with map-side partial
+aggregation, so an invoice with a huge number of lines collapses per map
+task, and both come out hash-partitioned by invoice id for the enrichment
+joins. Dimension joins (organisation, partner) are left to AQE, which
+broadcasts them when their runtime size is under the broadcast threshold
+and sort-merges otherwise. The period aggregate follows the leads design:
+every distinct window once, pick per client after, on account-sized rows
+(materialised once as ``invoice_measures``).
 """
 
 from __future__ import annotations
@@ -176,8 +178,12 @@ INVOICE_MEASURES = (
 
 def invoices_period_agg(enriched: DataFrame, terms_cal: DataFrame, cal: Calendar, rules: RuleSet) -> DataFrame:
     """A2 + J2: per account invoice measures for clients with terms."""
-    m = invoice_window_measures(enriched, cal, rules)
-    j = m.join(terms_cal.select("inn", "payment_type"), "inn", "inner")
+    return pick_invoice_measures(invoice_window_measures(enriched, cal, rules), terms_cal)
+
+
+def pick_invoice_measures(measures: DataFrame, terms_cal: DataFrame) -> DataFrame:
+    """J2 + the per-client window pick on account-sized measures."""
+    j = measures.join(terms_cal.select("inn", "payment_type"), "inn", "inner")
 
     def pick(mapping, prefix):
         return pick_by_terms("payment_type", mapping, lambda w: f"{prefix}_{w}")

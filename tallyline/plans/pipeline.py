@@ -8,6 +8,10 @@ so the outputs do not recompute the joins.
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import Calendar
@@ -39,11 +43,14 @@ class Inputs:
     def __init__(self, factories: dict):
         self._factories = factories
         self._built: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def __getitem__(self, k: str) -> DataFrame:
         if k not in self._built:
-            f = self._factories[k]
-            self._built[k] = f() if callable(f) else f
+            with self._lock:
+                if k not in self._built:
+                    f = self._factories[k]
+                    self._built[k] = f() if callable(f) else f
         return self._built[k]
 
     @classmethod
@@ -83,6 +90,7 @@ class Pipeline:
         self.two_phase_fill = two_phase_fill
         self.cut_lineage = cut_lineage
         self._cache: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise a small stage read by several consumers, once, in the
@@ -91,9 +99,26 @@ class Pipeline:
 
     def _memo(self, name, fn):
         if name not in self._cache:
-            self._cache[name] = fn()
+            with self._locks[name]:
+                if name not in self._cache:
+                    self._cache[name] = fn()
         return self._cache[name]
 
+    def prepare(self, names=("lead_accounts", "invoice_measures")) -> None:
+        """Materialise independent shared stages as concurrent Spark jobs.
+
+        The lead and invoice fact pipelines meet only at the account level,
+        so their passes over the fact tables run side by side instead of
+        one after the other."""
+        todo = [n for n in names if n not in self._cache]
+        if len(todo) < 2 or not self.cut_lineage:
+            for n in todo:
+                getattr(self, n)
+            return
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for f in [pool.submit(getattr, self, n) for n in todo]:
+                f.result()
+
     # leads
     @property
     def leads_keyed(self) -> DataFrame:
@@ -170,11 +195,23 @@ class Pipeline:
             "leads_agg", lambda: balance.leads_with_terms(self.lead_accounts, self.payment_terms_calendar)
         )
 
+    @property
+    def invoice_measures(self) -> DataFrame:
+        """Account-level invoice measures for every window: the one pass over
+        the invoice facts, cut like the leads aggregate."""
+        return self._memo(
+            "invoice_measures",
+            lambda: self._cut(
+                invoices.invoice_window_measures(self.invoices_enriched, self.cal, self.rules), "invoice_measures"
+            ),
+        )
+
     @property
     def invoices_agg(self) -> DataFrame:
+        self.prepare()
         return self._memo(
             "invoices_agg",
-            lambda: invoices.invoices_period_agg(self.invoices_enriched, self.payment_terms_calendar, self.cal, self.rules),
+            lambda: invoices.pick_invoice_measures(self.invoice_measures, self.payment_terms_calendar),
         )
 
     @property
@@ -188,6 +225,7 @@ class Pipeline:
     # balance / report
     @property
     def balance_base(self) -> DataFrame:
+        self.prepare()
         i = self.inputs
         return self._memo(
             "balance_base",
