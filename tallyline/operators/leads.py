@@ -122,13 +122,23 @@ def lead_accounts(groups: DataFrame, cal: Calendar) -> DataFrame:
     Account-sized output: the only thing later stages need from the fact
     table, so it is the natural place to cut lineage at scale.
     """
-    firsts = groups.selectExpr("_f.*", "_latest")
-    return _window_measures(firsts, cal, ["max(_latest) AS latest"])
+    return _window_measures(_measure_rows(groups), cal)
 
 
-def _window_measures(firsts: DataFrame, cal: Calendar, extra=()) -> DataFrame:
+def _measure_rows(groups: DataFrame) -> DataFrame:
+    """First leads as measure rows: one lead each, ``npos`` = 1 if paid."""
+    return groups.selectExpr(
+        "_f.inn AS inn", "_f.city_invoice AS city_invoice", "_f.source_invoice AS source_invoice",
+        "_f.date_add AS date_add", "_f.date_time_add AS date_time_add",
+        "CASE WHEN _f.sale > 0 THEN 1 ELSE 0 END AS npos", "_f.purchase AS purchase", "_f.sale AS sale", "_latest",
+    )
+
+
+def _window_measures(rows: DataFrame, cal: Calendar) -> DataFrame:
+    """Measure rows (a lead, or a pre-aggregated closed month) -> totals and
+    (count of paid, purchase, sale) for every distinct window."""
     aggs = [
-        "CAST(sum(CASE WHEN sale > 0 THEN 1 ELSE 0 END) AS BIGINT) AS total_cnt",
+        "CAST(sum(npos) AS BIGINT) AS total_cnt",
         "max(date_time_add) AS last_lead_dttm",
         "sum(purchase) AS total_purchase",
         "sum(sale) AS total_sale",
@@ -136,16 +146,62 @@ def _window_measures(firsts: DataFrame, cal: Calendar, extra=()) -> DataFrame:
     for name, (lo, hi) in cal.leads_windows().items():
         inside = f"date_add BETWEEN {lo} AND {hi}"
         aggs += [
-            f"CAST(sum(CASE WHEN sale > 0 AND {inside} THEN 1 ELSE 0 END) AS BIGINT) AS cnt_{name}",
+            f"CAST(sum(CASE WHEN {inside} THEN npos ELSE 0 END) AS BIGINT) AS cnt_{name}",
             f"sum(CASE WHEN {inside} THEN purchase ELSE 0 END) AS purchase_{name}",
             f"sum(CASE WHEN {inside} THEN sale ELSE 0 END) AS sale_{name}",
         ]
-    return firsts.groupBy(*ACCOUNT).agg(*[F.expr(a) for a in [*aggs, *extra]])
+    aggs.append("max(_latest) AS latest")
+    return rows.groupBy(*ACCOUNT).agg(*[F.expr(a) for a in aggs])
+
+
+# ---------------------------------------------------------------------------
+# Monthly snapshot of closed months (scale device for a daily run)
+# ---------------------------------------------------------------------------
+def snapshot_boundary(cal: Calendar) -> str:
+    """First day of the previous month. Every leads window except the
+    deposit window and the all-history totals starts on or after it, so
+    months before it only ever count whole."""
+    return cal.prev_month_01
+
+
+def month_snapshot(groups: DataFrame, upto: str) -> DataFrame:
+    """Closed months (< ``upto``) pre-aggregated per (account, month).
+
+    Exact because duplicate groups never span months (the month is part of
+    the duplicate key). Maintained by appending newly closed months."""
+    firsts = groups.where(f"_dk_month < {upto}")
+    return firsts.groupBy(
+        F.expr("_f.inn AS inn"), F.expr("_f.city_invoice AS city_invoice"),
+        F.expr("_f.source_invoice AS source_invoice"), F.expr("_dk_month AS month"),
+    ).agg(
+        F.expr("CAST(sum(CASE WHEN _f.sale > 0 THEN 1 ELSE 0 END) AS BIGINT) AS npos"),
+        F.expr("sum(_f.purchase) AS purchase"),
+        F.expr("sum(_f.sale) AS sale"),
+        F.expr("max(_f.date_time_add) AS max_ts"),
+        F.expr("max(_latest) AS latest"),
+    )
+
+
+def lead_accounts_incremental(snapshot: DataFrame, live_groups: DataFrame, cal: Calendar) -> DataFrame:
+    """Same result as ``lead_accounts`` over all months, reading only the
+    open months from the fact table: a snapshot month enters the window
+    aggregate as one measure row dated on its first day (inside the deposit
+    window, outside every other), live months as single leads."""
+    boundary = snapshot_boundary(cal)
+    snap_rows = snapshot.where(f"month < {boundary}").selectExpr(
+        *ACCOUNT, "month AS date_add", "max_ts AS date_time_add", "npos", "purchase", "sale", "latest AS _latest"
+    )
+    live_rows = _measure_rows(live_groups.where(f"_dk_month >= {boundary}"))
+    return _window_measures(live_rows.unionByName(snap_rows), cal)
 
 
 def leads_window_measures(firsts: DataFrame, cal: Calendar) -> DataFrame:
-    """A1 before the pick: totals + (cnt, purchase, sale) for every window."""
-    return _window_measures(firsts, cal)
+    """A1 before the pick from first-lead rows (as ``first_leads`` gives)."""
+    rows = firsts.selectExpr(
+        *ACCOUNT, "date_add", "date_time_add", "CASE WHEN sale > 0 THEN 1 ELSE 0 END AS npos", "purchase", "sale",
+        "CAST(NULL AS STRUCT<date_time_add: TIMESTAMP_NTZ, lead_id: BIGINT, legal_entity: STRING>) AS _latest",
+    )
+    return _window_measures(rows, cal).drop("latest")
 
 
 def latest_entity_of(accounts: DataFrame) -> DataFrame:

@@ -929,3 +929,38 @@ def q_report_bundle_counts(p: Pipeline) -> DataFrame:
         c = spark.read.parquet(path).groupBy().agg(F.expr(f"'{name}' AS name"), F.expr("count(1) AS row_count"))
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# ================================================================== snapshot
+def _snap_cal():
+    return Calendar.of(D.SNAPSHOT_AS_OF)
+
+
+@register(
+    "lead_month_snapshot",
+    f"""SELECT inn, city_invoice, source_invoice, CAST(date_trunc('month', date_add) AS DATE) AS month,
+        CAST(sum(CASE WHEN sale > 0 THEN 1 ELSE 0 END) AS BIGINT) AS npos,
+        CAST(sum(purchase) AS DOUBLE) AS purchase, CAST(sum(sale) AS DOUBLE) AS sale, max(date_time_add) AS max_ts
+        FROM leads_enriched WHERE duplicate_flag = '' AND date_add < {O.C_SNAP['prev_month_01']}
+        GROUP BY inn, city_invoice, source_invoice, CAST(date_trunc('month', date_add) AS DATE)""",
+    ["leads_enriched"],
+)
+def q_lead_month_snapshot(p: Pipeline) -> DataFrame:
+    """Closed months pre-aggregated per (account, month)."""
+    snap = leads.month_snapshot(leads.lead_groups(p.leads_keyed), leads.snapshot_boundary(_snap_cal()))
+    return snap.drop("latest")
+
+
+@register(
+    "leads_period_agg_snapshot",
+    LEADS_AGG_SQL.replace("FROM leads_grp", "FROM leads_grp_snap"),
+    ["leads_grp_snap"],
+)
+def q_leads_period_agg_snapshot(p: Pipeline) -> DataFrame:
+    """A1 at a later run date from the monthly snapshot + open months only;
+    equal to the full recompute."""
+    cal = _snap_cal()
+    groups = leads.lead_groups(p.leads_keyed)
+    snap = leads.month_snapshot(groups, leads.snapshot_boundary(cal))
+    acc = leads.lead_accounts_incremental(snap, groups, cal)
+    return leads.leads_period_agg(acc, terms.terms_calendar(p.terms_all, cal))
