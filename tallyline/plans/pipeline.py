@@ -60,7 +60,7 @@ class Inputs:
 
 def driver_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet) -> Inputs:
     d = driver
-    return Inputs(
+    inputs = Inputs(
         {
             "leads": lambda: d.leads(spark, sf_dir),
             "terms_sheet": lambda: d.terms_sheet(spark, sf_dir),
@@ -79,6 +79,8 @@ def driver_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet) -> Inputs:
             "orders_raw": lambda: d._read(spark, sf_dir, "orders"),
         }
     )
+    inputs.sf_dir = sf_dir
+    return inputs
 
 
 class Pipeline:
@@ -86,6 +88,7 @@ class Pipeline:
 
     def __init__(self, inputs: Inputs, rules: RuleSet, as_of, two_phase_fill: bool = True, cut_lineage: bool = True):
         self.inputs, self.rules, self.as_of = inputs, rules, as_of
+        self.sf_dir = getattr(inputs, "sf_dir", None)
         self.cal = Calendar.of(as_of)
         self.two_phase_fill = two_phase_fill
         self.cut_lineage = cut_lineage

@@ -38,13 +38,14 @@ def to_driver_types(df: DataFrame) -> DataFrame:
 _PIPELINES: dict[tuple, Pipeline] = {}
 
 
-def pipeline(spark: SparkSession, sf_dir: str, two_phase_fill: bool = True) -> Pipeline:
-    """One lazily built pipeline per (session, data folder): queries that
-    share stages share the same logical plans (plans only, no data)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, two_phase_fill)
+def pipeline(spark: SparkSession, sf_dir: str, two_phase_fill: bool = True, as_of=None) -> Pipeline:
+    """One lazily built pipeline per (session, data folder, run date):
+    queries that share stages share the same plans and materialised stages."""
+    as_of = as_of or D.AS_OF
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, two_phase_fill, as_of)
     if key not in _PIPELINES:
         rules = D.driver_rules()
-        _PIPELINES[key] = Pipeline(driver_inputs(spark, sf_dir, rules), rules, D.AS_OF, two_phase_fill)
+        _PIPELINES[key] = Pipeline(driver_inputs(spark, sf_dir, rules), rules, as_of, two_phase_fill)
     return _PIPELINES[key]
 
 
@@ -964,3 +965,23 @@ def q_leads_period_agg_snapshot(p: Pipeline) -> DataFrame:
     snap = leads.month_snapshot(groups, leads.snapshot_boundary(cal))
     acc = leads.lead_accounts_incremental(snap, groups, cal)
     return leads.leads_period_agg(acc, terms.terms_calendar(p.terms_all, cal))
+
+
+# ============================================================ other run dates
+def _register_variant(suffix: str, as_of) -> None:
+    def wrap(build):
+        def fn(p: Pipeline) -> DataFrame:
+            return build(pipeline(p.inputs["leads"].sparkSession, p.sf_dir, as_of=as_of))
+
+        return fn
+
+    register(f"leads_period_agg_{suffix}", LEADS_AGG_SQL.replace("FROM leads_grp", f"FROM leads_grp_{suffix}"),
+             [f"leads_grp_{suffix}"])(wrap(lambda v: leads.leads_period_agg(v.lead_accounts, v.payment_terms_calendar)))
+    register(f"invoices_period_agg_{suffix}", INV_AGG_SQL.replace("FROM invoices_grp", f"FROM invoices_grp_{suffix}"),
+             [f"invoices_grp_{suffix}"])(wrap(lambda v: v.invoices_agg))
+    register(f"report_full_{suffix}", REPORT_SQL.replace("FROM report", f"FROM report_{suffix}"),
+             [f"report_{suffix}"])(wrap(lambda v: v.balance_report))
+
+
+for _sfx, _d in D.VARIANT_AS_OF.items():
+    _register_variant(_sfx, _d)

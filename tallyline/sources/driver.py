@@ -30,6 +30,8 @@ from ..rules import RuleSet, SplitRule
 AS_OF = _dt.date(2024, 1, 25)
 # a later run date: January is a closed month then (monthly snapshot path)
 SNAPSHOT_AS_OF = _dt.date(2024, 3, 10)
+# more run dates: first half of a month, last day of a month
+VARIANT_AS_OF = {"d10": _dt.date(2024, 1, 10), "d31": _dt.date(2024, 1, 31)}
 RUN_TS = _dt.datetime(2024, 1, 25, 10, 0, 0)
 BASE_DAY = _dt.date(2024, 1, 1)
 ORDER_EPOCH = _dt.date(1995, 1, 1)
