@@ -122,3 +122,12 @@ def test_pandas_null_semantics(spark):
                                "deposit_min_value decimal(18,2)")
     assert decisions.select_errors(df, RuleSet()).count() == 1  # partner missing
     assert decisions.select_warnings(df.withColumn("partner_id", df.contract_id), RuleSet()).count() == 1
+
+
+def test_corrected_is_at_least_invoices_and_receipts(spark):
+    agg = pipeline(spark, SF_SMALL).invoices_agg
+    bad = agg.where(
+        "interval_invoice_corrected < greatest(interval_invoice, interval_receipt) "
+        "OR total_invoice_corrected < greatest(total_invoice, total_receipt)"
+    )
+    assert bad.count() == 0 and agg.count() > 0
