@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.dates import period_text

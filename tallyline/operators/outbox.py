@@ -14,11 +14,10 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 
 from .. import labels as L
-from ..functions.money import MONEY, vat_included
 from ..functions.sqlexpr import case, in_list, lit
 from ..functions.text import grouped_int_py, html_escape
 from ..rules import RuleSet
-from .decisions import errors_predicate, gate_alerts, in_alert_window, select_new_invoices, warnings_predicate
+from .decisions import errors_predicate, gate_alerts, select_new_invoices, warnings_predicate
 
 
 _PROJECT_RAW = "coalesce(project, 'None')"
@@ -228,8 +227,3 @@ def invoice_lines_for(report: DataFrame, rules: RuleSet) -> DataFrame:
 
     return invoice_line(split_invoices(select_new_invoices(report), rules))
 
-
-__all__ = [
-    "outbox_errors", "outbox_warnings", "outbox_invoices", "invoice_payload", "audit_log",
-    "invoice_lines_for", "in_alert_window", "MONEY", "vat_included",
-]

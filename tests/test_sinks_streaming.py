@@ -58,3 +58,20 @@ def test_streaming_ingest_only_new_files(spark, scratch):
     q = start_incremental_ingest(spark, landing, spec, out, checkpoint_location=ckpt)
     q.awaitTermination(120)
     assert sorted(r.invoice_id for r in spark.read.parquet(f"{out}/invoice").collect()) == ["a", "b", "c"]
+
+
+def test_daily_run_writes_every_table(spark, scratch):
+    from tallyline.plans.pipeline import driver_inputs
+    from tallyline.plans.run import run_daily
+    from tallyline.sources import driver as D
+
+    from .conftest import SF_SMALL
+
+    rules = D.driver_rules()
+    log = os.path.join(scratch, "audit")
+    written = run_daily(spark, driver_inputs(spark, SF_SMALL, rules), rules, D.AS_OF, D.RUN_TS, "tl_daily", log)
+    counts = {k: spark.table(v).count() for k, v in written.items() if k != "audit_log"}
+    assert counts["balance_report"] > 0 and counts["leads_enriched"] > 0
+    assert counts["run_summary"] == 1
+    assert counts["invoice_outbox"] == counts["invoice_documents"] == spark.read.text(log).count()
+    assert counts["out_invoice_report"] == counts["balance_report"]
