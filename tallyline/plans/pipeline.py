@@ -107,19 +107,37 @@ class Pipeline:
                     self._cache[name] = fn()
         return self._cache[name]
 
-    def prepare(self, names=("lead_accounts", "invoice_measures")) -> None:
+    # independent chains of shared stages, run as concurrent Spark jobs
+    PREPARE_CHAINS = (
+        ("terms_dedup",),
+        ("lead_accounts", "payment_terms_calendar"),
+        ("invoice_measures",),
+    )
+
+    def prepare(self, chains=PREPARE_CHAINS) -> None:
         """Materialise independent shared stages as concurrent Spark jobs.
 
         The lead and invoice fact pipelines meet only at the account level,
-        so their passes over the fact tables run side by side instead of
-        one after the other."""
-        todo = [n for n in names if n not in self._cache]
+        and the terms sheet needs the leads only for its missing-client
+        rows, so the three chains run side by side instead of one after
+        the other (each chain in order; a stage another chain needs is
+        waited for through its lock)."""
+        todo = [[n for n in chain if n not in self._cache] for chain in chains]
+        todo = [c for c in todo if c]
+        if not todo:
+            return
         if len(todo) < 2 or not self.cut_lineage:
-            for n in todo:
-                getattr(self, n)
+            for chain in todo:
+                for n in chain:
+                    getattr(self, n)
             return
+
+        def run(chain):
+            for n in chain:
+                getattr(self, n)
+
         with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-            for f in [pool.submit(getattr, self, n) for n in todo]:
+            for f in [pool.submit(run, c) for c in todo]:
                 f.result()
 
     # leads
@@ -153,7 +171,7 @@ class Pipeline:
 
     @property
     def terms_dedup(self) -> DataFrame:
-        return self._memo("terms_dedup", lambda: terms.dedup_terms(self.payment_terms))
+        return self._memo("terms_dedup", lambda: self._cut(terms.dedup_terms(self.payment_terms), "terms_dedup"))
 
     @property
     def latest_entity(self) -> DataFrame:
@@ -169,6 +187,8 @@ class Pipeline:
 
     @property
     def payment_terms_calendar(self) -> DataFrame:
+        if "payment_terms_calendar" not in self._cache and "lead_accounts" not in self._cache:
+            self.prepare((("terms_dedup",), ("lead_accounts",)))
         return self._memo(
             "payment_terms_calendar",
             lambda: self._cut(terms.terms_calendar(self.terms_all, self.cal), "payment_terms_calendar"),
