@@ -182,16 +182,20 @@ def month_snapshot(groups: DataFrame, upto: str) -> DataFrame:
     )
 
 
-def lead_accounts_incremental(snapshot: DataFrame, live_groups: DataFrame, cal: Calendar) -> DataFrame:
+def lead_accounts_incremental(snapshot: DataFrame, keyed: DataFrame, cal: Calendar) -> DataFrame:
     """Same result as ``lead_accounts`` over all months, reading only the
     open months from the fact table: a snapshot month enters the window
     aggregate as one measure row dated on its first day (inside the deposit
-    window, outside every other), live months as single leads."""
+    window, outside every other), live months as single leads.
+
+    The open-month filter is on the lead date itself (the boundary is a
+    month start and duplicate groups are month-local), so on a table
+    partitioned or sorted by date it prunes files before the scan."""
     boundary = snapshot_boundary(cal)
     snap_rows = snapshot.where(f"month < {boundary}").selectExpr(
         *ACCOUNT, "month AS date_add", "max_ts AS date_time_add", "npos", "purchase", "sale", "latest AS _latest"
     )
-    live_rows = _measure_rows(live_groups.where(f"_dk_month >= {boundary}"))
+    live_rows = _measure_rows(lead_groups(keyed.where(f"date_add >= {boundary}")))
     return _window_measures(live_rows.unionByName(snap_rows), cal)
 
 

@@ -963,7 +963,7 @@ def q_leads_period_agg_snapshot(p: Pipeline) -> DataFrame:
     cal = _snap_cal()
     groups = leads.lead_groups(p.leads_keyed)
     snap = leads.month_snapshot(groups, leads.snapshot_boundary(cal))
-    acc = leads.lead_accounts_incremental(snap, groups, cal)
+    acc = leads.lead_accounts_incremental(snap, p.leads_keyed, cal)
     return leads.leads_period_agg(acc, terms.terms_calendar(p.terms_all, cal))
 
 

@@ -42,9 +42,26 @@ def test_snapshot_plus_open_months_equals_full(spark, keyed, as_of):
     groups = leads.lead_groups(keyed)
     full = leads.lead_accounts(groups, cal)
     snap = leads.month_snapshot(groups, leads.snapshot_boundary(cal))
-    inc = leads.lead_accounts_incremental(snap, groups, cal)
+    inc = leads.lead_accounts_incremental(snap, keyed, cal)
     assert _rows(inc) == _rows(full)
     latest_full = {r.inn: r.latest for r in full.collect()}
     latest_inc = {r.inn: r.latest for r in inc.collect()}
     assert latest_full == latest_inc
     assert snap.count() > 0 or as_of == "2024-01-01"
+
+
+def test_open_month_filter_reaches_the_scan(spark, scratch):
+    """On a leads table stored with a date column, the open-month filter of
+    the incremental path is pushed to the parquet scan."""
+    import os
+
+    path = os.path.join(scratch, "leads")
+    rows = [("p", dt.date(2024, 1, 5), dt.datetime(2024, 1, 5, 1), "1000000001", "E", "web", "c", "n", "1", "", "b",
+             "s", dt.datetime(2024, 1, 5, 1), Decimal("1.00"), Decimal("2.00"), 1)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(path)
+    keyed = leads.enrich_leads(spark.read.parquet(path), RuleSet())
+    cal = Calendar.of(dt.date(2024, 3, 10))
+    inc = leads.lead_accounts_incremental(leads.month_snapshot(leads.lead_groups(keyed), leads.snapshot_boundary(cal)),
+                                          keyed, cal)
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date_add,2024-02-01)" in plan
