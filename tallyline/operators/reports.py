@@ -97,3 +97,12 @@ def run_summary(new_invoices: DataFrame) -> DataFrame:
         f"ELSE replace({lit(L.SUMMARY_MANY)}, '{{n}}', CAST(count(1) AS STRING)) END AS message"
     )
     return new_invoices.agg(F.expr("count(1) AS invoice_count"), F.expr(msg))
+
+
+def zero_amount_invoices(report: DataFrame) -> DataFrame:
+    """C20 quality check: accounts flagged for a new invoice whose amount is
+    0 (a deposit client exactly at its minimum balance)."""
+    return report.where(f"new_invoice_flag = {lit(L.YES)} AND new_invoice_amount = 0").select(
+        "inn", "city_invoice", "source_invoice", "payment_type", "deposit_min_value",
+        "interval_invoices_minus_leads", "new_invoice_amount",
+    )

@@ -65,10 +65,6 @@ def register(name: str, sql: str | None = None, needs=()):
 
 
 # ====================================================================== leads
-LEAD_COLS = (
-    "project, date_add, date_time_add, week_end, inn, city_invoice, source_invoice, legal_entity, source, company, "
-    "name, phone, city, branch, send_status, send_date_time, purchase, sale, lead_id, duplicate_flag"
-)
 
 
 @register(
@@ -985,3 +981,14 @@ def _register_variant(suffix: str, as_of) -> None:
 
 for _sfx, _d in D.VARIANT_AS_OF.items():
     _register_variant(_sfx, _d)
+
+
+@register(
+    "quality_zero_amount_yes",
+    f"SELECT inn, city_invoice, source_invoice, payment_type, {O.dbl('deposit_min_value', 'interval_invoices_minus_leads', 'new_invoice_amount')} "
+    f"FROM report WHERE new_invoice_flag = {O.q(L.YES)} AND new_invoice_amount = 0",
+    ["report"],
+)
+def q_quality_zero_amount_yes(p: Pipeline) -> DataFrame:
+    """C20: flagged 'yes' with a zero amount (listed, not hidden)."""
+    return reports.zero_amount_invoices(p.balance_report)

@@ -131,3 +131,20 @@ def test_corrected_is_at_least_invoices_and_receipts(spark):
         "OR total_invoice_corrected < greatest(total_invoice, total_receipt)"
     )
     assert bad.count() == 0 and agg.count() > 0
+
+
+def test_duplicate_correction_key_fails_loudly(spark):
+    """A duplicate key in a side table raises inside the job."""
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    from tallyline.operators.balance import unique_lookup
+
+    df = spark.createDataFrame([("1", "", "", Decimal("1")), ("1", "", "", Decimal("2")), ("2", "", "", Decimal("3"))],
+                               "inn string, city_invoice string, source_invoice string, correction decimal(18,2)")
+    looked = unique_lookup(df, ("inn", "city_invoice", "source_invoice"), ["correction"], "deposit corrections")
+    with pytest.raises((PySparkException, Py4JJavaError)) as err:
+        looked.collect()
+    assert "duplicate key in deposit corrections" in str(err.value)
+    ok = unique_lookup(df.where("inn = '2'"), ("inn", "city_invoice", "source_invoice"), ["correction"], "x")
+    assert [r.correction for r in ok.collect()] == [Decimal("3")]
