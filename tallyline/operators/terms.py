@@ -34,7 +34,9 @@ DEFAULT_BLOCK_ROWS = 1 << 20
 # W6 forward fill
 # --------------------------------------------------------------------------
 def forward_fill(df: DataFrame, col: str, order_col: str = "row_idx") -> DataFrame:
-    """Reference form: one global ordered window (single partition)."""
+    """Reference form: one global ordered window. It runs in a single
+    partition, so it is kept for comparison and for sheet-sized inputs only;
+    ``clean_terms`` uses ``forward_fill_two_phase`` unless told otherwise."""
     w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(col, F.last(F.col(col), ignorenulls=True).over(w))
 
