@@ -148,3 +148,31 @@ def test_duplicate_correction_key_fails_loudly(spark):
     assert "duplicate key in deposit corrections" in str(err.value)
     ok = unique_lookup(df.where("inn = '2'"), ("inn", "city_invoice", "source_invoice"), ["correction"], "x")
     assert [r.correction for r in ok.collect()] == [Decimal("3")]
+
+
+def test_warning_boundary_twice_minimum(spark):
+    """Deposit balance exactly 2 x minimum warns; just above does not."""
+    rows = [("a", Decimal("200")), ("b", Decimal("200.01")), ("c", Decimal("-0.01"))]
+    df = spark.createDataFrame(rows, "inn string, interval_invoices_minus_leads decimal(18,2)").selectExpr(
+        "*", "CAST(NULL AS STRING) AS stop_flg", f"'{L.NO}' AS new_invoice_flag", "'Ann' AS project", "1L AS partner_id",
+        "1L AS contract_id", "2L AS prev_cnt",
+        f"CASE WHEN inn = 'c' THEN '{L.WEEKLY}' ELSE '{L.DEPOSIT}' END AS payment_type",
+        "CAST(100 AS decimal(18,2)) AS deposit_min_value")
+    got = sorted(r.inn for r in decisions.select_warnings(df, RuleSet()).collect())
+    assert got == ["a", "c"]  # c: any terms, balance below zero
+
+
+def test_rules_json_loader(tmp_path):
+    import json
+
+    from tallyline.__main__ import _rules_from_json
+
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps({
+        "lead_key_remap": [["1", "2"]], "excluded_clients": ["9"],
+        "split_rules": [{"inn": "5", "part_no": 1, "share": 0.5}, {"inn": "5", "part_no": 2, "share": 0.5}],
+        "line_categories": [["contains", ["x"], "X"]],
+    }))
+    r = _rules_from_json(str(path))
+    assert r.lead_key_remap == (("1", "2"),) and r.excluded_clients == ("9",)
+    assert len(r.split_rules) == 2 and r.line_categories == (("contains", ("x",), "X"),)

@@ -93,3 +93,15 @@ def test_sheet_csv_with_human_headers(spark, scratch):
     assert [r.inn for r in rows] == ["123456789.0", "1000000002"]
     assert rows[0].payment_type == "счет 15 и 30 числа\nкаждого месяца" and rows[0].legal_entity == "A, LLC"
     assert rows[1].payment_type is None and rows[0].row_idx < rows[1].row_idx
+
+
+def test_bad_number_raises_in_landed_records(spark, scratch):
+    """The landed-record flavour raises on bad numeric text (ANSI)."""
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    _land(scratch, [{"value": [{"Ref_Key": "x", "Sum": "12abc", "Goods": []}]}])
+    header = entity.header_rows(entity.read_entity_files(spark, scratch, SPEC), SPEC)
+    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            header.collect()
