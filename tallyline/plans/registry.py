@@ -85,7 +85,8 @@ LEADS_AGG_SQL = f"""SELECT inn, city_invoice, source_invoice, total_cnt, last_le
 @register("leads_period_agg", LEADS_AGG_SQL, ["leads_grp"])
 def q_leads_period_agg(p: Pipeline) -> DataFrame:
     """A1 + R1 + R2 + J1."""
-    return leads.leads_period_agg(p.lead_accounts, p.payment_terms_calendar)
+    terms_cal = p.payment_terms_calendar  # starts the leads and terms chains together
+    return leads.leads_period_agg(p.lead_accounts, terms_cal)
 
 
 @register("week_end", "SELECT lead_id, date_add, week_end FROM leads_enriched", ["leads_enriched"])
@@ -964,6 +965,11 @@ def q_leads_period_agg_snapshot(p: Pipeline) -> DataFrame:
 
 
 # ============================================================ other run dates
+def _leads_agg_of(v: Pipeline) -> DataFrame:
+    terms_cal = v.payment_terms_calendar
+    return leads.leads_period_agg(v.lead_accounts, terms_cal)
+
+
 def _register_variant(suffix: str, as_of) -> None:
     def wrap(build):
         def fn(p: Pipeline) -> DataFrame:
@@ -972,7 +978,7 @@ def _register_variant(suffix: str, as_of) -> None:
         return fn
 
     register(f"leads_period_agg_{suffix}", LEADS_AGG_SQL.replace("FROM leads_grp", f"FROM leads_grp_{suffix}"),
-             [f"leads_grp_{suffix}"])(wrap(lambda v: leads.leads_period_agg(v.lead_accounts, v.payment_terms_calendar)))
+             [f"leads_grp_{suffix}"])(wrap(_leads_agg_of))
     register(f"invoices_period_agg_{suffix}", INV_AGG_SQL.replace("FROM invoices_grp", f"FROM invoices_grp_{suffix}"),
              [f"invoices_grp_{suffix}"])(wrap(lambda v: v.invoices_agg))
     register(f"report_full_{suffix}", REPORT_SQL.replace("FROM report", f"FROM report_{suffix}"),
