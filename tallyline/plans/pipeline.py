@@ -1,9 +1,12 @@
 """The dependency-ordered rebuild as plain function composition.
 
-``build(inputs, rules, as_of)`` returns every named stage as a lazy
-DataFrame; nothing runs until a stage is written or collected. Stages that
-several outputs read (the report) can be materialised with ``materialize``
-so the outputs do not recompute the joins.
+``Pipeline(inputs, rules, as_of)`` exposes every named stage as a property
+holding a lazy DataFrame. The small stages several consumers read (account
+aggregates, cleaned terms, terms calendar) are written once under
+``spark.checkpoint.dir``, their independent chains as concurrent jobs
+(``prepare``); everything else runs when an output is written or collected.
+``materialize`` cuts any other stage the same way (``plans/run.py`` does it
+for the report before writing its extracts).
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import Calendar
-from ..operators import balance, decisions, invoices, leads, partners, reports, terms  # noqa: F401
+from ..operators import balance, decisions, invoices, leads, partners, reports, terms
 from ..rules import RuleSet
 from ..session import materialize_shared
 from ..sources import driver
