@@ -27,10 +27,15 @@ ORACLE: dict[str, str] = {}
 
 def to_driver_types(df: DataFrame) -> DataFrame:
     """Decimals leave as double (both engines convert the exact value)."""
-    return df.select(
+    from ..functions.sqlexpr import ident
+
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, DecimalType) for f in fields):
+        return df
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
-            for f in df.schema.fields
+            f"CAST({ident(f.name)} AS DOUBLE) AS {ident(f.name)}" if isinstance(f.dataType, DecimalType) else ident(f.name)
+            for f in fields
         ]
     )
 
