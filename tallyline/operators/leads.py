@@ -15,8 +15,10 @@ Scale notes
   entity per client (W2) needs no second pass over the fact table.
 * The period aggregate never joins the fact table to the terms table. Period
   bounds depend only on (payment terms, as_of), so every distinct window is
-  evaluated once per lead inside one partial+final hash aggregate, and the
-  per-client pick happens after the aggregate, on account-sized data.
+  evaluated once per lead inside one partial+final aggregate, and the
+  per-client pick happens after the aggregate, on account-sized data. (That
+  aggregate also carries the latest-lead struct, which makes it sort-based;
+  at sf 0.1 it measured the same as the hash form without the struct.)
 """
 
 from __future__ import annotations
