@@ -18,6 +18,7 @@ from ..functions.dates import Calendar
 from ..operators import balance, decisions, invoices, leads, outbox, partners, reports, terms
 from ..sources import driver as D
 from . import oracle as O
+from ..session import app_id
 from .pipeline import Pipeline, driver_inputs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +48,7 @@ def pipeline(spark: SparkSession, sf_dir: str, two_phase_fill: bool = True, as_o
     """One lazily built pipeline per (session, data folder, run date):
     queries that share stages share the same plans and materialised stages."""
     as_of = as_of or D.AS_OF
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, two_phase_fill, as_of)
+    key = (id(spark), app_id(spark), sf_dir, two_phase_fill, as_of)
     if key not in _PIPELINES:
         rules = D.driver_rules()
         _PIPELINES[key] = Pipeline(driver_inputs(spark, sf_dir, rules), rules, as_of, two_phase_fill)

@@ -30,17 +30,30 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return spark.conf.get("spark.app.id", "app")
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set one only when unset
     (local runs and tests), in a fresh scratch folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: configuration only
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
     path = fallback or tempfile.mkdtemp(prefix="tallyline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
+    else:
+        spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
@@ -50,7 +63,7 @@ def shared_stage_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/tallyline-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/tallyline-stages/{app_id(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize_shared(df, name: str):

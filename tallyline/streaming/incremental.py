@@ -20,10 +20,9 @@ from ..sources.entity import EntitySpec, _records, envelope_schema, ingest, incr
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir (a shared folder) or pass checkpoint_location")
-    return root
+    from ..session import ensure_checkpoint_dir
+
+    return ensure_checkpoint_dir(spark)
 
 
 def start_incremental_ingest(
