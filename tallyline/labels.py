@@ -175,3 +175,41 @@ MSG_LEAD_PRICE = "цена лида = "
 LINE_TEXT_DEPOSIT = "Оплата стоимости лидов (депозит)"
 LINE_TEXT_POSTPAY = "Оплата стоимости лидов"
 VAT_RATE_CODE = "НДС5"
+
+# --- FIXED VALUES: accounting document field names, in document order ------
+# (field name, source): "col:<column>" a report/line column, "const:<key>" a
+# value from RuleSet.document_constants, "lit:<text>" a literal, or a Python
+# literal (True / False / 0).
+DOCUMENT_FIELDS = (
+    ("Date", "col:run_date"),
+    ("Posted", True),
+    ("СтруктурнаяЕдиница_Key", "const:structural_unit"),
+    ("Ответственный_Key", "const:responsible"),
+    ("Контрагент_Key", "col:partner_id"),
+    ("ДоговорКонтрагента_Key", "col:contract_id"),
+    ("СуммаДокумента", "col:new_invoice_amount"),
+    ("Организация_Key", "col:organization_id"),
+    ("ОрганизацияПолучатель_Key", "col:organization_id"),
+    ("Руководитель_Key", "col:manager_key"),
+    ("Комментарий", "col:comment"),
+    ("ВалютаДокумента_Key", "const:currency"),
+    ("ДополнительныеУсловия_Key", "const:terms"),
+    ("СпособДоставки_Key", "const:delivery"),
+    ("ДокументБезНДС", False),
+    ("ВидОперации", "lit:ТоварыИУслуги"),
+    ("ВариантПечатиQRКода", "lit:НеПечатать"),
+)
+DOCUMENT_LINES_FIELD = "Товары"
+DOCUMENT_LINE_FIELDS = (
+    ("LineNumber", "lit:1"),
+    ("Номенклатура", "const:item"),
+    ("Номенклатура_Type", "lit:StandardODATA.Catalog_Номенклатура"),
+    ("Содержание", "col:line_text"),
+    ("Количество", "col:line_quantity"),
+    ("Цена", "col:line_price"),
+    ("Сумма", "col:new_invoice_amount"),
+    ("ПроцентСкидки", 0),
+    ("СуммаСкидки", 0),
+    ("СтавкаНДС", "lit:" + VAT_RATE_CODE),
+    ("СуммаНДС", "col:vat_amount"),
+)

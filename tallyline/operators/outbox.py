@@ -183,17 +183,37 @@ def invoice_comment(rules: RuleSet) -> str:
     )
 
 
+def _doc_value(src, consts: dict, columns: dict) -> str:
+    if isinstance(src, bool):
+        return lit(src)
+    if isinstance(src, int):
+        return str(src)
+    kind, _, val = src.partition(":")
+    if kind == "col":
+        return columns.get(val, val)
+    if kind == "const":
+        return f"CAST({lit(consts.get(val))} AS STRING)"
+    return lit(val)
+
+
 def invoice_payload(lines: DataFrame, rules: RuleSet, run_ts: _dt.datetime) -> DataFrame:
-    """The invoice document (header + array of one line) as JSON."""
-    doc = (
-        f"named_struct('Date', {lit(run_ts.strftime('%Y-%m-%dT%H:%M:%S'))}, 'Posted', true, "
-        "'partner_id', CAST(partner_id AS STRING), 'contract_id', CAST(contract_id AS STRING), "
-        "'amount', new_invoice_amount, 'organization_id', CAST(organization_id AS STRING), "
-        f"'manager_key', CAST(manager_key AS STRING), 'comment', {invoice_comment(rules)}, "
-        "'lines', array(named_struct('LineNumber', '1', 'text', line_text, 'quantity', line_quantity, "
-        f"'price', line_price, 'amount', new_invoice_amount, 'discount_pct', 0, 'discount', 0, "
-        f"'vat_rate', {lit(L.VAT_RATE_CODE)}, 'vat', vat_amount)))"
-    )
+    """The accounting document (header + array of one line) as JSON,
+    with the document's own field names (labels.DOCUMENT_FIELDS)."""
+    consts = dict(rules.document_constants)
+    columns = {
+        "run_date": lit(run_ts.strftime("%Y-%m-%dT%H:%M:%S")),
+        "partner_id": "CAST(partner_id AS STRING)",
+        "contract_id": "CAST(contract_id AS STRING)",
+        "organization_id": "CAST(organization_id AS STRING)",
+        "manager_key": "CAST(manager_key AS STRING)",
+        "comment": invoice_comment(rules),
+    }
+
+    def pairs(fields):
+        return ", ".join(f"{lit(n)}, {_doc_value(v, consts, columns)}" for n, v in fields)
+
+    line = f"named_struct({pairs(L.DOCUMENT_LINE_FIELDS)})"
+    doc = f"named_struct({pairs(L.DOCUMENT_FIELDS)}, {lit(L.DOCUMENT_LINES_FIELD)}, array({line}))"
     return lines.selectExpr(
         "inn", "city_invoice", "source_invoice", "part_no", "share",
         "CAST(partner_id AS STRING) AS partner_id", "CAST(contract_id AS STRING) AS contract_id",

@@ -70,6 +70,8 @@ class RuleSet:
     issuers: tuple[tuple[str, str], ...] = ()
     # mention appended to alerts when accounting set-up is missing
     accountant_mention: str = ""
+    # instance record ids the invoice document refers to (key -> id)
+    document_constants: tuple[tuple[str, str], ...] = ()
 
     def __post_init__(self):
         for name, value in self.__dict__.items():

@@ -104,6 +104,10 @@ def driver_rules() -> RuleSet:
         manager_contacts=(("Ann", "@example_1"), ("Ben", "@example_2"), ("Cat", "@example_3"), ("Dan", "@example_4")),
         issuers=(("5500000000", "paid traffic"), ("5500000001", "paid traffic"), ("5500000002", "paid traffic")),
         accountant_mention=", @example_accountant",
+        document_constants=tuple(
+            (k, f"00000000-0000-0000-0000-{i:012d}")
+            for i, k in enumerate(("structural_unit", "responsible", "currency", "terms", "delivery", "item"), 1)
+        ),
     )
 
 
