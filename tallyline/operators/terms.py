@@ -34,11 +34,12 @@ DEFAULT_BLOCK_ROWS = 1 << 20
 # W6 forward fill
 # --------------------------------------------------------------------------
 def forward_fill(df: DataFrame, col: str, order_col: str = "row_idx") -> DataFrame:
-    """Reference form: one global ordered window. It runs in a single
-    partition, so it is kept for comparison and for sheet-sized inputs only;
-    ``clean_terms`` uses ``forward_fill_two_phase`` unless told otherwise."""
-    w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(col, F.last(F.col(col), ignorenulls=True).over(w))
+    """Fill NULLs with the last value before them in ``order_col`` order.
+
+    Never one global window (that would put every row in one task): blocks
+    of at most ``DEFAULT_BLOCK_ROWS`` rows fill in parallel, see
+    ``forward_fill_two_phase``."""
+    return forward_fill_two_phase(df, col, order_col, DEFAULT_BLOCK_ROWS)
 
 
 def forward_fill_two_phase(
@@ -67,10 +68,9 @@ def forward_fill_two_phase(
 # --------------------------------------------------------------------------
 # P5-P10 sheet cleaning
 # --------------------------------------------------------------------------
-def clean_terms(sheet: DataFrame, rules: RuleSet, two_phase_fill: bool = True) -> DataFrame:
+def clean_terms(sheet: DataFrame, rules: RuleSet, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Raw sheet (all text + row_idx) -> cleaned payment terms with notes."""
-    fill = forward_fill_two_phase if two_phase_fill else forward_fill
-    df = fill(sheet, "payment_type", "row_idx")
+    df = forward_fill_two_phase(sheet, "payment_type", "row_idx", block_rows)
     df = df.fillna(L.MISSING_MARK, subset=["inn", "payment_type", "deposit_min_value", "deposit_average_value"])
 
     inn = pad_short_key(strip_float_suffix("inn"))  # P6

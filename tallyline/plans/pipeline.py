@@ -89,11 +89,10 @@ def driver_inputs(spark: SparkSession, sf_dir: str, rules: RuleSet) -> Inputs:
 class Pipeline:
     """Lazily built stages; each property is one named DataFrame."""
 
-    def __init__(self, inputs: Inputs, rules: RuleSet, as_of, two_phase_fill: bool = True, cut_lineage: bool = True):
+    def __init__(self, inputs: Inputs, rules: RuleSet, as_of, cut_lineage: bool = True):
         self.inputs, self.rules, self.as_of = inputs, rules, as_of
         self.sf_dir = getattr(inputs, "sf_dir", None)
         self.cal = Calendar.of(as_of)
-        self.two_phase_fill = two_phase_fill
         self.cut_lineage = cut_lineage
         self._cache: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
@@ -169,7 +168,7 @@ class Pipeline:
     @property
     def payment_terms(self) -> DataFrame:
         return self._memo(
-            "payment_terms", lambda: terms.clean_terms(self.inputs["terms_sheet"], self.rules, self.two_phase_fill)
+            "payment_terms", lambda: terms.clean_terms(self.inputs["terms_sheet"], self.rules)
         )
 
     @property

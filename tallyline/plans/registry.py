@@ -44,14 +44,14 @@ def to_driver_types(df: DataFrame) -> DataFrame:
 _PIPELINES: dict[tuple, Pipeline] = {}
 
 
-def pipeline(spark: SparkSession, sf_dir: str, two_phase_fill: bool = True, as_of=None) -> Pipeline:
+def pipeline(spark: SparkSession, sf_dir: str, as_of=None) -> Pipeline:
     """One lazily built pipeline per (session, data folder, run date):
     queries that share stages share the same plans and materialised stages."""
     as_of = as_of or D.AS_OF
-    key = (id(spark), app_id(spark), sf_dir, two_phase_fill, as_of)
+    key = (id(spark), app_id(spark), sf_dir, as_of)
     if key not in _PIPELINES:
         rules = D.driver_rules()
-        _PIPELINES[key] = Pipeline(driver_inputs(spark, sf_dir, rules), rules, as_of, two_phase_fill)
+        _PIPELINES[key] = Pipeline(driver_inputs(spark, sf_dir, rules), rules, as_of)
     return _PIPELINES[key]
 
 
@@ -136,7 +136,7 @@ def q_terms_clean(p: Pipeline) -> DataFrame:
 
 @register("ffill", "SELECT row_idx, payment_type FROM terms_ff", ["terms_ff"])
 def q_ffill(p: Pipeline) -> DataFrame:
-    """W6, reference form (one ordered window)."""
+    """W6 with the default block size (one block here, bounded in general)."""
     return terms.forward_fill(p.inputs["terms_sheet"], "payment_type").select("row_idx", "payment_type")
 
 

@@ -38,6 +38,7 @@ def test_forward_fill_forms_agree_with_python(spark):
         last = v if v is not None else last
         expected.append(last)
     for df2 in (terms.forward_fill(df, "payment_type"),
+                terms.forward_fill_two_phase(df, "payment_type", block_rows=1),
                 terms.forward_fill_two_phase(df, "payment_type", block_rows=97),
                 terms.forward_fill_two_phase(df.repartition(7), "payment_type", block_rows=1000)):
         got = [r.payment_type for r in df2.orderBy("row_idx").collect()]
