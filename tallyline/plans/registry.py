@@ -856,13 +856,14 @@ def _table(spark: SparkSession, stem: str) -> str:
 
 @register("sink_full_refresh", TERMS_CLEAN_SQL, ["terms_clean"])
 def q_sink_full_refresh(p: Pipeline) -> DataFrame:
-    """K1: load, then refresh from a query that reads the table itself."""
+    """K1: load, then refresh from a query that reads the table itself; the
+    refresh replaces the content (no duplicates, readers never see it empty)."""
     from ..sinks import tables
 
     spark = p.payment_terms.sparkSession
     name = _table(spark, "payment_terms")
-    tables.full_refresh(p.payment_terms.where("row_idx % 2 = 0"), name)  # a first, partial load
-    tables.full_refresh(p.payment_terms, name)  # the refresh replaces it whole
+    tables.full_refresh(p.payment_terms, name)
+    tables.full_refresh(spark.table(name), name)
     return spark.table(name)
 
 

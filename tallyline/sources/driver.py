@@ -295,16 +295,18 @@ def individuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deposit_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "customer").where("c_custkey % 11 = 4").selectExpr(
+    """One correction row per client (most of them 0)."""
+    return _read(spark, sf_dir, "customer").selectExpr(
         f"{client_key_sql('c_custkey')} AS inn", "'' AS city_invoice", "'' AS source_invoice",
-        f"CAST(c_acctbal AS {MONEY}) AS correction",
+        f"CAST(CASE WHEN c_custkey % 11 = 4 THEN c_acctbal ELSE 0 END AS {MONEY}) AS correction",
     )
 
 
 def pm_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "customer").where("c_custkey % 13 = 2").selectExpr(
+    """One manager-comment row per client (most of them empty)."""
+    return _read(spark, sf_dir, "customer").selectExpr(
         f"{client_key_sql('c_custkey')} AS inn", "'' AS city_invoice", "'' AS source_invoice",
-        "concat('check <', c_name, '> & call') AS comment",
+        "CASE WHEN c_custkey % 13 = 2 THEN concat('check <', c_name, '> & call') ELSE '' END AS comment",
     )
 
 
