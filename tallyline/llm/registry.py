@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, topk
+from . import mixing, packing, topk, urls
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,10 +34,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op6_topk",
     """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id
@@ -56,3 +56,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+@query("op4_urls", urls.ORACLE_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
