@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, topk, urls
+from . import fingerprints, mixing, packing, topk, urls
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+@query("op10_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, sf_dir))
