@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, packing, topk, urls
-from .common import documents
+from . import fingerprints, langid, mixing, packing, topk, urls
+from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +67,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(documents(spark, sf_dir))
+
+
+@query("op1_langid")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fold = bucket_of(F.col("doc_id"), 4)
+    got = langid.identify_documents(docs, F.coalesce(fold != 2, F.lit(True)), ["doc_id"])
+    return got.select("doc_id", F.coalesce(bucket_of(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
