@@ -207,7 +207,7 @@ def sample_by_language(docs: DataFrame, train_chars: int) -> DataFrame:
     """lang, text: about ``train_chars`` characters per language."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text", "doc_id")
     share = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(train_chars)) / F.greatest(F.sum(F.length("text")), F.lit(1))).alias("share"))
-    share = {r.lang: r.share for r in share.toLocalIterator()}  # one row per language
+    share = {r.lang: r.share for r in share.collect()}  # one row per language
     if not share:
         return known.where("false").select("lang", "text")
     u = F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
@@ -240,7 +240,7 @@ def train(docs: DataFrame, pieces: list[str], train_chars: int = TRAIN_CHARS, it
 
     words = sample_by_language(docs, train_chars).mapInArrow(count, "lang string, word string, n long")
     words = stage(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
-    langs = sorted(r.lang for r in words.select("lang").distinct().toLocalIterator())
+    langs = sorted(r.lang for r in words.select("lang").distinct().collect())
     prob = np.full((len(pieces) + 1, len(langs)), 1.0 / (len(pieces) + 1))
     sc = docs.sparkSession.sparkContext
     vocabulary = sc.broadcast(pieces)

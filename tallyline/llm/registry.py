@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, mixing, packing, topk, urls
+from . import fingerprints, langid, mixing, packing, quality, topk, urls
 from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = bucket_of(F.col("doc_id"), 4)
     got = langid.identify_documents(docs, F.coalesce(fold != 2, F.lit(True)), ["doc_id"])
     return got.select("doc_id", F.coalesce(bucket_of(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(bucket_of(F.col("doc_id"), 3) == 1, F.lit(False))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out)
+    got = quality.classify_documents(documents(spark, sf_dir), labels.select("doc_id", F.col("quality").alias("label")))
+    return got.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

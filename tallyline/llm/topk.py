@@ -104,7 +104,7 @@ def _search_block(rows: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> Da
     seen = rows.mapInArrow(bounds, "q long, lo long, hi long, n long").groupBy("q").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
     lo, hi = np.zeros(len(ids), object), np.full(len(ids), -1, object)
     want, inside = np.full(len(ids), k), np.zeros(len(ids), np.int64)
-    for r in seen.toLocalIterator():  # at most query_block rows
+    for r in seen.collect():  # at most query_block rows
         lo[r.q], hi[r.q], inside[r.q] = r.lo, r.hi, r.n
 
     # [lo, hi] holds the kth score of each query; `want` of its rows are wanted
@@ -129,7 +129,7 @@ def _search_block(rows: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> Da
         need = cells.withColumn("above", above)
         wanted = rows.sparkSession.createDataFrame([(i, int(want[q])) for i, q in enumerate(open_)], "r long, want long")
         hit = need.join(F.broadcast(wanted), "r").where("above >= want").groupBy("r").agg(F.max(F.struct("cell", "above", "n")).alias("e"))
-        for r in hit.select("r", "e.*").toLocalIterator():  # at most query_block rows
+        for r in hit.select("r", "e.*").collect():  # at most query_block rows
             i = open_[r.r]
             step = int(width[r.r])
             low = int(lo[i]) + r.cell * step
