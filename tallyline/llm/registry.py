@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, langid, mixing, packing, quality, topk, urls
+from . import fingerprints, jaccard, langid, mixing, packing, quality, topk, urls
 from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out)
     got = quality.classify_documents(documents(spark, sf_dir), labels.select("doc_id", F.col("quality").alias("label")))
     return got.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op8_jaccard")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = jaccard.similar_components(documents(spark, sf_dir), shingle=4, percent=85)
+    return got.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
