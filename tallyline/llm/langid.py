@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, encoded_words, stage, text_of, word_lists
+from .common import byte_slices, encoded_words, stage, word_lists
 
 UND = "und"
 VOCABULARY_FILE = "piece_bpe_32k.model"
@@ -269,13 +269,14 @@ def train(docs: DataFrame, pieces: list[str], train_chars: int = TRAIN_CHARS, it
     return langs, prob
 
 
-def identify(docs: DataFrame, keep: list[str], langs: list[str], prob: np.ndarray, pieces: list[str]) -> DataFrame:
-    """``keep``, lang_pred and score (posterior of lang_pred, all languages
-    equally likely beforehand) for every row of ``docs`` (text)."""
+def identify(docs: DataFrame, keep: list[str], langs: list[str], prob: np.ndarray, pieces: list[str], out=("lang_pred", "score")) -> DataFrame:
+    """``keep``, the predicted language and its score (posterior, all
+    languages equally likely beforehand) for every row of ``docs`` (text)."""
     sc = docs.sparkSession.sparkContext
     model = sc.broadcast((langs, prob, pieces))
-    plain = docs.select(*keep, text_of().alias("_text"))
-    schema = plain.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    cols = keep if "text" in keep else [*keep, "text"]
+    plain = docs.select(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(c) for c in cols])
+    schema = plain.select(*keep).schema.add(out[0], "string").add(out[1], "double")
 
     def run(batches):
         names, p, vocabulary = model.value
@@ -283,8 +284,8 @@ def identify(docs: DataFrame, keep: list[str], langs: list[str], prob: np.ndarra
         cache: dict[str, int] = {}
         rows = np.zeros((0, len(names)))
         for whole in batches:
-            for b in byte_slices(whole, "_text"):
-                text = b.column("_text")
+            for b in byte_slices(whole, "text"):
+                text = b.column("text")
                 flat, off = word_lists(text)
                 words, codes = encoded_words(flat)
                 new = [w for w in words if w not in cache]
@@ -304,15 +305,15 @@ def identify(docs: DataFrame, keep: list[str], langs: list[str], prob: np.ndarra
                     letter = has_letter(text)
                     pred = [names[k] if ok else UND for k, ok in zip(best, letter, strict=True)]
                     score = np.where(letter, score, 0.0)
-                cols = [b.column(c) for c in range(b.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
+                own = [b.column(c) for c in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(pred, pa.string()), pa.array(score)], names=[*keep, *out])
 
     return plain.mapInArrow(run, schema)
 
 
-def identify_documents(docs: DataFrame, learn, keep: list[str], train_chars: int = TRAIN_CHARS) -> DataFrame:
+def identify_documents(docs: DataFrame, learn, keep: list[str], train_chars: int = TRAIN_CHARS, out=("lang_pred", "score")) -> DataFrame:
     """Train on the rows of ``docs`` where the condition ``learn`` holds,
     then identify all rows."""
     pieces = default_vocabulary()
     langs, prob = train(docs.where(learn), pieces, train_chars)
-    return identify(docs, keep, langs, prob, pieces)
+    return identify(docs, keep, langs, prob, pieces, out)

@@ -179,16 +179,15 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     text = text_of()
-    cols = docs.columns
     picked = mix_documents(docs, **options).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"), "copies"
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("source").alias("__source"), F.col("copies").alias("__copies")
     )
     # equal rows are taken equally often, so one entry stands for all of them
-    picked = picked.where("copies > 0").groupBy("_id", "_hash", "_source").agg(F.max("copies").alias("copies"))
+    picked = picked.where("__copies > 0").groupBy("__id", "__hash", "__source").agg(F.max("__copies").alias("__copies"))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(text) == F.col("_hash"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_source"))
+        F.col("doc_id").eqNullSafe(F.col("__id"))
+        & (F.xxhash64(text) == F.col("__hash"))
+        & F.col("source").cast("string").eqNullSafe(F.col("__source"))
     )
-    joined = docs.join(picked, same)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*cols)
+    times = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
+    return docs.join(picked, same).withColumn("__copy", times).select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, mixing, packing, quality, topk, urls
+from . import fingerprints, jaccard, langid, lines, mixing, packing, quality, topk, urls
 from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = jaccard.similar_components(documents(spark, sf_dir), shingle=4, percent=85)
     return got.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@query("op5_lines", lines.ORACLE_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = lines.dedup_lines(documents(spark, sf_dir))
+    return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
