@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, lines, mixing, packing, quality, topk, urls
+from . import fingerprints, jaccard, langid, lines, mixing, packing, quality, repeats, topk, urls
 from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = lines.dedup_lines(documents(spark, sf_dir))
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op3_repeats")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = repeats.remove_repeats(documents(spark, sf_dir))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
