@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import stage, text_of
 
 SHINGLE = 5
 SCALE = 8
@@ -97,6 +97,8 @@ def with_next(docs: DataFrame, carried: list[str], range_rows: int = RANGE_ROWS)
     order = Window.orderBy("_range")
     last = F.max("_range").over(Window.partitionBy())
     firsts = firsts.select("_id", F.coalesce(F.lag("_range").over(order), last).alias("_to"), F.lag("_range").over(order).isNull().alias("_wrap"))
+    # written first, so that the planner knows how few rows they are
+    firsts = stage(firsts, "fingerprint-firsts")
     places = F.array(
         F.struct(F.col("_range").alias("r"), F.lit(0).alias("ghost")),
         F.struct(F.col("_to").alias("r"), F.when(F.col("_wrap"), 2).otherwise(1).alias("ghost")),

@@ -126,7 +126,8 @@ def _sorted_names(names: np.ndarray, depth: int) -> np.ndarray:
 def suffix_buckets(text: np.ndarray, hashes, depth: int, memory: int = MEMORY):
     """Yield arrays of positions, in suffix order from the largest suffix to
     the smallest; suffixes equal in their first ``depth`` symbols are next to
-    each other. ``text`` (small unsigned integers) ends in its only 0;
+    each other. ``text`` (small unsigned integers) ends in its only 0, which
+    is left out;
     ``hashes(start, length)`` gives hashes of substrings."""
     symbols = int(text.max()) + 1
     small = suffix_types(text)

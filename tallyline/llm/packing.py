@@ -22,14 +22,16 @@ extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, encoded_words, stage, text_of, word_lists
+from .common import SLICE_BYTES, byte_slices, encoded_words, stage, text_of, word_lists
 
 SEQ_LEN = 4096
 END_ID = 1
@@ -37,7 +39,7 @@ TOKENIZER_FILE = "word_bpe_49k.json"
 GROUP_TOKENS = 4_000_000
 NODE_BUDGET = 2_000
 MAX_FILLINGS = 4
-WORD_CACHE = 200_000
+WORD_CACHE = 300_000
 
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 
@@ -48,43 +50,87 @@ def default_tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+#: punctuation that the tokenizer splits off a letter or digit before it
+_TAIL = re.compile(r"^(.*[0-9A-Za-z])([.,;:!?%&$*#]+)$", re.S)
+
+#: words that the tokenizer's normaliser only puts in lower case and its
+#: splitter keeps whole; they go straight to its model, spelt byte by byte
+_PLAIN = re.compile(r"[a-zA-Z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+
+
+def _byte_spelling() -> dict[int, int]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others
+    for the code points from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Ids of whole texts by way of their distinct words.
 
     The tokenizer drops white space and no token spans it, so a text's ids
-    are its words' ids one after the other. Words are encoded once and kept
-    in a bounded cache."""
+    are its words' ids one after the other; likewise a word's with closing
+    punctuation. It ignores case, but for its special tokens, which all hold
+    ``<|``. Words are encoded once and kept in a bounded cache: one flat
+    array of ids, and each word's place there."""
 
     def __init__(self, path: str, cache: int = WORD_CACHE):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[str, np.ndarray] = {}
+        self.model = self.tok.model
+        self.spelling = _byte_spelling()
         self.size = cache
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids = np.empty(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        other = [w for w in words if not _PLAIN.fullmatch(w)]
+        words, found, n = plain + other, [], []
+        for w in plain:
+            low = w.lower()
+            if not low.isascii():
+                low = low.encode().decode("latin-1").translate(self.spelling)
+            ids = [t.id for t in self.model.tokenize(low)]
+            found += ids
+            n.append(len(ids))
+        for s in range(0, len(other), 4096):
+            for e in self.tok.encode_batch(other[s:s + 4096], add_special_tokens=False):
+                found += e.ids
+                n.append(len(e.ids))
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.ids = np.concatenate([self.ids, np.array(found, np.uint32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n, dtype=np.int64)])
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the offsets of each text's ids."""
-        flat, off = word_lists(text)
+        special = pc.any(pc.match_substring(pc.fill_null(text, ""), "<|")).as_py()
+        flat, off = word_lists(text, lower=not special)
         words, codes = encoded_words(flat)
-        got = [self.cache.get(w) for w in words]
-        new = [i for i, g in enumerate(got) if g is None]
-        if new:
-            fresh = self.tok.encode_batch([words[i] for i in new], add_special_tokens=False)
-            if len(self.cache) + len(new) > self.size:
-                self.cache.clear()
-            for i, e in zip(new, fresh, strict=True):
-                got[i] = np.array(e.ids, dtype=np.uint32)
-                if len(words[i]) <= 64 and len(self.cache) < self.size:
-                    self.cache[words[i]] = got[i]
         if not words:
             return np.empty(0, np.uint32), np.zeros(len(off), np.int64)
-        table = np.concatenate(got)
-        n = np.fromiter((len(g) for g in got), np.int64, len(got))
-        at = np.concatenate([[0], np.cumsum(n)])[:-1]
-        per = n[codes]
-        ends = np.concatenate([[0], np.cumsum(per)])
-        ids = table[np.repeat(at[codes] - ends[:-1], per) + np.arange(ends[-1])]
-        return ids, ends[off]
+        tails = [None if w[-1].isalnum() else _TAIL.match(w) for w in words]
+        parts = [w if t is None else t[1] for w, t in zip(words, tails, strict=True)]
+        ends = [t[2] if t else "" for t in tails]
+        new = {w for w in parts if w not in self.place} | {w for w in ends if w not in self.place}
+        if len(self.place) + len(new) > self.size:
+            self.clear()
+            new = {*parts, *ends}
+        if new:
+            self._learn(list(new))
+        a = np.fromiter((self.place[w] for w in parts), np.int64, len(parts))[codes]
+        b = np.fromiter((self.place[w] for w in ends), np.int64, len(ends))[codes]
+        which = np.column_stack([a, b]).ravel()
+        n = self.ends[which + 1] - self.ends[which]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        ids = self.ids[np.repeat(self.ends[which] - upto[:-1], n) + np.arange(upto[-1])]
+        return ids, upto[2 * off]
 
 
 def tokenize_pieces(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, end_id: int = END_ID) -> DataFrame:
@@ -94,7 +140,7 @@ def tokenize_pieces(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, end_id:
         enc = WordEncoder(path)
         end = np.array([end_id], np.uint32)
         for whole in batches:
-            for b in byte_slices(whole, "text"):
+            for b in byte_slices(whole, "text", 2 * SLICE_BYTES):
                 ids, off = enc.encode(b.column("text"))
                 rows = []
                 for i, d in enumerate(b.column("doc_id").to_pylist()):
