@@ -20,10 +20,16 @@ TYPE_WORDS = {
 }
 
 
+# a time of day followed by Z or a UTC offset
+ZONED = r"\d{2}:\d{2}.*(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def coerce_datetime(c: str) -> str:
-    """Sentinels and unparseable text -> NULL, wall clock kept (no zone)."""
+    """Sentinels and unparseable text -> NULL; a wall clock without an
+    offset is kept, one with an offset becomes UTC."""
     text = f"trim(CAST({c} AS STRING))"
-    parsed = f"try_cast({text} AS TIMESTAMP_NTZ)"
+    utc = f"convert_timezone(current_timezone(), 'UTC', CAST(try_cast({text} AS TIMESTAMP) AS TIMESTAMP_NTZ))"
+    parsed = f"IF({text} RLIKE {lit(ZONED)}, {utc}, try_cast({text} AS TIMESTAMP_NTZ))"
     sentinels = ", ".join(lit(s) for s in DATE_SENTINELS)
     return (
         f"CASE WHEN {text} IS NULL OR {text} IN ({sentinels}) THEN CAST(NULL AS TIMESTAMP_NTZ) "
@@ -34,7 +40,7 @@ def coerce_datetime(c: str) -> str:
 def coerce_number_default(c: str, type_word: str) -> str:
     """P2 (landed-record flavour): NULL -> 0, then cast; bad text raises (ANSI)."""
     t = TYPE_WORDS[type_word]
-    return f"coalesce(CAST({c} AS {t}), CAST(0 AS {t}))"
+    return f"coalesce({cast_strict(c, type_word)}, CAST(0 AS {t}))"
 
 
 def cast_strict(c: str, type_word: str) -> str:
@@ -43,6 +49,8 @@ def cast_strict(c: str, type_word: str) -> str:
         return coerce_datetime(c)
     if type_word not in TYPE_WORDS:
         return c
+    if type_word == "int":  # '5.0' and '12.7' are whole numbers 5 and 12
+        return f"CAST(CAST({c} AS DECIMAL(38,10)) AS {TYPE_WORDS[type_word]})"
     return f"CAST({c} AS {TYPE_WORDS[type_word]})"
 
 

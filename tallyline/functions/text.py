@@ -7,9 +7,12 @@ from __future__ import annotations
 
 from .sqlexpr import lit
 
+# White space as text functions see it: also the non-breaking and other
+# Unicode spaces that sheet cells hold (Java's \s is ASCII only).
+SPACE = r"[\s\x1c-\x1f\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 # A number as plain decimal text, optional sign and exponent, blanks around.
 # nan / inf / digit underscores are not numbers here (documented divergence).
-NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMERIC_TEXT = rf"^{SPACE}*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?{SPACE}*$"
 
 
 def is_numeric_text(c: str) -> str:
@@ -29,7 +32,7 @@ def pad_short_key(c: str) -> str:
 
 def py_strip(c: str) -> str:
     """str.strip(): all leading/trailing whitespace, not only blanks."""
-    return f"regexp_replace({c}, {lit(r'^\s+|\s+$')}, '')"
+    return f"regexp_replace({c}, {lit(f'^{SPACE}+|{SPACE}+$')}, '')"
 
 
 def grouped_int_sql(c: str) -> str:

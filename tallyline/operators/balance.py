@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import BOUND_COLUMNS
-from ..functions.sqlexpr import in_list, lit
-from ..rules import RuleSet
+from ..functions.sqlexpr import lit
+from ..rules import RuleSet, with_client_rules
 from .invoices import ACCOUNT, INVOICE_MEASURES
 from .leads import pick_leads_measures
 from .partners import PARTNER_COLUMNS
@@ -37,7 +37,8 @@ def unique_lookup(df: DataFrame, keys, values, name: str) -> DataFrame:
         F.expr(f"CASE WHEN count(1) > 1 THEN raise_error({lit('duplicate key in ' + name)}) ELSE first({v}) END AS {v}")
         for v in values
     ]
-    return df.groupBy(*keys).agg(*aggs)
+    known = df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))  # a NULL key never joins
+    return known.groupBy(*keys).agg(*aggs)
 
 
 def balance_expr(corrected: str, correction: str, sale: str) -> str:
@@ -54,7 +55,7 @@ def balance_base(
     rules: RuleSet,
 ) -> DataFrame:
     """J4 + J5 + J7: one row per leads account with every input measure."""
-    lg = leads_terms.alias("lg")
+    lg = with_client_rules(leads_terms, rules).alias("lg")
     ig = invoice_agg.selectExpr(*ACCOUNT, *[f"{c} AS ig_{c}" for c in INVOICE_MEASURES]).alias("ig")
     p = partner_pick.selectExpr("inn AS p_inn", "city_invoice AS p_city", *PARTNER_COLUMNS).alias("p")
     corr = unique_lookup(deposit_corrections, ACCOUNT, ["correction"], "deposit corrections").alias("corr")
@@ -65,8 +66,7 @@ def balance_base(
     def on(other: str):
         return F.expr(" AND ".join(f"lg.{k} = {other}.{k}" for k in ACCOUNT))
 
-    any_branch = in_list("lg.inn", rules.branch_join_any)
-    p_cond = F.expr(f"lg.inn = p.p_inn AND (lg.city_invoice = p.p_city OR {any_branch})")
+    p_cond = F.expr("lg.inn = p.p_inn AND (lg.city_invoice = p.p_city OR lg._any_branch)")
     j = (
         lg.join(ig, on("ig"), "left")
         .join(p, p_cond, "left")
@@ -74,7 +74,7 @@ def balance_base(
         .join(pm, on("pm"), "left")
     )
     return j.selectExpr(
-        "lg.*",
+        *[f"lg.{c}" for c in leads_terms.columns],
         *[f"ig.ig_{c}" for c in INVOICE_MEASURES],
         *[f"p.{c}" for c in PARTNER_COLUMNS],
         "corr.correction AS correction",

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from .. import labels as L
 from ..functions.dates import period_text
 from ..functions.money import MONEY, vat_included
-from ..functions.sqlexpr import case, in_list, lit
+from ..functions.sqlexpr import case, lit
 from ..functions.text import grouped_int_sql
-from ..rules import RuleSet
+from ..rules import RuleSet, with_client_rules, with_splits
 from .balance import balance_expr
 
 
@@ -27,42 +27,32 @@ def decision_exprs(rules: RuleSet) -> dict[str, str]:
     bal = balance_expr("ig_interval_invoice_corrected", "correction", "interval_sale")
     bal_raw = "(coalesce(ig_interval_invoice_corrected, 0) + coalesce(correction, 0) - interval_sale)"
     dep = f"payment_type = {lit(L.DEPOSIT)}"
-    excluded = in_list("inn", rules.excluded_clients)
-    stopped = f"stop_flg = {lit(L.STOP_FLAG)}"
+    excluded = "_excluded"
+    stopped = f"lower(trim(stop_flg)) = {lit(L.STOP_FLAG)}"
     no_leads = "prev_cnt = 0"
     already = "ig_curr_invoice > 0"
     above_min = f"{dep} AND {bal} > deposit_min_value"
     no_setup = "(partner_id IS NULL OR contract_id IS NULL)"
     no_terms = f"project = {lit(L.NO_INFO_PROJECT)}"
     has_terms = f"project != {lit(L.NO_INFO_PROJECT)}"
-
-    short = case(
-        [
-            (excluded, lit(L.REASON_EXCLUDED)),
-            (stopped, lit(L.REASON_STOPPED)),
-            (no_leads, lit(L.REASON_NO_LEADS)),
-            (already, lit(L.REASON_ALREADY_INVOICED)),
-            (above_min, lit(L.REASON_ABOVE_MIN)),
-            (no_setup, lit(L.REASON_ACCOUNTING_SETUP)),
-            (no_terms, lit(L.REASON_NO_TERMS)),
-        ],
-        "''",
-    )
-    long = case(
-        [
-            (excluded, f"concat(coalesce(partner_name, legal_entity), {lit(L.LONG_EXCLUDED_INN)}, inn, {lit(L.LONG_EXCLUDED_TAIL)})"),
-            (stopped, lit(L.LONG_STOPPED)),
-            (no_leads, period_text(L.LONG_NO_LEADS, "leads_prev_start", "leads_prev_end")),
-            (already, f"concat({period_text(L.LONG_ALREADY_FROM, 'invoice_curr_start', 'invoice_curr_end')}, "
-                      f"{lit(L.LONG_ALREADY_AMOUNT)}, {grouped_int_sql('ig_curr_invoice')})"),
-            (above_min, f"concat({lit(L.LONG_ABOVE_MIN_HEAD)}, {grouped_int_sql(bal)}, {lit(L.LONG_ABOVE_MIN_MID)}, "
-                        f"{grouped_int_sql('deposit_min_value')}, {lit(L.LONG_ABOVE_MIN_TAIL)})"),
-            ("partner_id IS NULL", f"concat({lit(L.LONG_SETUP_HEAD)}, inn, {lit(L.LONG_NO_PARTNER_TAIL)})"),
-            ("contract_id IS NULL", f"concat({lit(L.LONG_SETUP_HEAD)}, inn, {lit(L.LONG_NO_CONTRACT_TAIL)})"),
-            (no_terms, f"concat({lit(L.LONG_NO_TERMS)}, inn)"),
-        ],
-        "''",
-    )
+    setup_tail = f"IF(partner_id IS NULL, {lit(L.LONG_NO_PARTNER_TAIL)}, {lit(L.LONG_NO_CONTRACT_TAIL)})"
+    # the ordered rule list: condition, short text, long text
+    reasons = [
+        (excluded, lit(L.REASON_EXCLUDED),
+         f"concat(coalesce(partner_name, legal_entity), {lit(L.LONG_EXCLUDED_INN)}, inn, {lit(L.LONG_EXCLUDED_TAIL)})"),
+        (stopped, lit(L.REASON_STOPPED), lit(L.LONG_STOPPED)),
+        (no_leads, lit(L.REASON_NO_LEADS), period_text(L.LONG_NO_LEADS, "leads_prev_start", "leads_prev_end")),
+        (already, lit(L.REASON_ALREADY_INVOICED),
+         f"concat({period_text(L.LONG_ALREADY_FROM, 'invoice_curr_start', 'invoice_curr_end')}, "
+         f"{lit(L.LONG_ALREADY_AMOUNT)}, {grouped_int_sql('ig_curr_invoice')})"),
+        (above_min, lit(L.REASON_ABOVE_MIN),
+         f"concat({lit(L.LONG_ABOVE_MIN_HEAD)}, {grouped_int_sql(bal)}, {lit(L.LONG_ABOVE_MIN_MID)}, "
+         f"{grouped_int_sql('deposit_min_value')}, {lit(L.LONG_ABOVE_MIN_TAIL)})"),
+        (no_setup, lit(L.REASON_ACCOUNTING_SETUP), f"concat({lit(L.LONG_SETUP_HEAD)}, inn, {setup_tail})"),
+        (no_terms, lit(L.REASON_NO_TERMS), f"concat({lit(L.LONG_NO_TERMS)}, inn)"),
+    ]
+    short = case([(c, s) for c, s, _ in reasons], "''")
+    long = case([(c, t) for c, _, t in reasons], "''")
     amount = case(
         [
             (f"{no_leads} OR {already} OR ({dep} AND {bal_raw} >= deposit_min_value)", "0"),
@@ -101,7 +91,8 @@ def decision_columns(base: DataFrame, rules: RuleSet) -> DataFrame:
     """Adds balance, flag (from the short reason), reasons, amount, errors."""
     ex = decision_exprs(rules)
     flag = f"CASE WHEN new_invoice_description_short = '' THEN {lit(L.YES)} ELSE {lit(L.NO)} END AS new_invoice_flag"
-    return base.selectExpr("*", *[f"{v} AS {k}" for k, v in ex.items()]).selectExpr("*", flag)
+    out = [f"{v} AS {k}" for k, v in ex.items()]
+    return with_client_rules(base, rules).selectExpr(*base.columns, *out).selectExpr("*", flag)
 
 
 # --------------------------------------------------------------------------
@@ -112,8 +103,9 @@ def not_stopped(stop_flg: str = "stop_flg") -> str:
     return f"(coalesce(lower(trim({stop_flg})), '') != {lit(L.STOP_FLAG)})"
 
 
-def _not_excluded(rules: RuleSet) -> str:
-    return f"NOT coalesce({in_list('inn', rules.excluded_clients)}, false)"
+def not_excluded(report: DataFrame, rules: RuleSet) -> DataFrame:
+    """Accounts of clients that may be invoiced (a NULL client may)."""
+    return with_client_rules(report, rules).where("NOT _excluded").select(*report.columns)
 
 
 def select_new_invoices(report: DataFrame) -> DataFrame:
@@ -121,21 +113,21 @@ def select_new_invoices(report: DataFrame) -> DataFrame:
     return report.where(f"new_invoice_flag = {lit(L.YES)} AND {not_stopped()}")
 
 
-def errors_predicate(rules: RuleSet) -> str:
+def errors_predicate() -> str:
     return (
-        f"{_not_excluded(rules)} AND coalesce(new_invoice_flag = {lit(L.NO)}, false) AND {not_stopped()} "
+        f"coalesce(new_invoice_flag = {lit(L.NO)}, false) AND {not_stopped()} "
         f"AND coalesce(prev_cnt > 0 AND interval_sale > 0, false) "
         f"AND (coalesce(project = {lit(L.NO_INFO_PROJECT)}, false) OR partner_id IS NULL OR contract_id IS NULL)"
     )
 
 
-def warnings_predicate(rules: RuleSet) -> str:
+def warnings_predicate() -> str:
     low = (
         f"(coalesce(payment_type = {lit(L.DEPOSIT)} AND interval_invoices_minus_leads <= deposit_min_value * 2, false) "
         f"OR coalesce(interval_invoices_minus_leads < 0, false))"
     )
     return (
-        f"{_not_excluded(rules)} AND coalesce(new_invoice_flag = {lit(L.NO)}, false) AND {not_stopped()} "
+        f"coalesce(new_invoice_flag = {lit(L.NO)}, false) AND {not_stopped()} "
         f"AND NOT (project <=> {lit(L.NO_INFO_PROJECT)}) AND partner_id IS NOT NULL AND contract_id IS NOT NULL "
         f"AND coalesce(prev_cnt > 0, false) AND {low}"
     )
@@ -143,12 +135,12 @@ def warnings_predicate(rules: RuleSet) -> str:
 
 def select_errors(report: DataFrame, rules: RuleSet) -> DataFrame:
     """Accounts that should be invoiced but cannot be."""
-    return report.where(errors_predicate(rules))
+    return not_excluded(report, rules).where(errors_predicate())
 
 
 def select_warnings(report: DataFrame, rules: RuleSet) -> DataFrame:
     """Set-up complete, had leads, balance low."""
-    return report.where(warnings_predicate(rules))
+    return not_excluded(report, rules).where(warnings_predicate())
 
 
 def in_alert_window(run_ts: _dt.datetime, window=("09:50:00", "11:50:00")) -> bool:
@@ -172,42 +164,25 @@ def split_invoices(new_invoices: DataFrame, rules: RuleSet) -> DataFrame:
     part taking the remainder so parts add up exactly. Other accounts pass as
     one part of share 1.
 
-    A literal array of parts per client + ``inline`` (narrow, no join).
+    The parts come by a join with the split rules, one row per client.
     """
-    by_inn: dict[str, list] = {}
-    for r in sorted(rules.split_rules, key=lambda r: (r.inn, r.part_no)):
-        by_inn.setdefault(r.inn, []).append(r)
     amount = f"CAST(new_invoice_amount AS {MONEY})"
+    whole = "array(named_struct('part_no', 1, 'share', 1.0D, 'last', true, 'p_partner', CAST(NULL AS STRING), "\
+            "'p_contract', CAST(NULL AS STRING), 'before', CAST(array() AS array<double>)))"
+
+    def of(share: str) -> str:
+        return f"CAST({amount} * CAST({share} AS DECIMAL(9,6)) AS {MONEY})"
 
-    def share_dec(share: float) -> str:
-        return f"CAST({share!r} AS DECIMAL(9,6))"
-
-    def part(no, share, last, partner, contract, earlier):
-        return (
-            f"named_struct('part_no', {no}, 'share', CAST({share!r} AS DOUBLE), 'share_d', {share_dec(share)}, "
-            f"'last', {lit(last)}, 'p_partner', CAST({lit(partner)} AS STRING), "
-            f"'p_contract', CAST({lit(contract)} AS STRING), 'earlier', CAST({earlier} AS {MONEY}))"
-        )
-
-    whole = f"array({part(1, 1.0, True, None, None, 0)})"
-    branches = []
-    for inn, rs in by_inn.items():
-        items, earlier = [], []
-        for i, r in enumerate(rs):
-            prev = " + ".join(earlier) if earlier else "0"
-            items.append(part(r.part_no, r.share, i == len(rs) - 1, r.partner_id, r.contract_id, prev))
-            earlier.append(f"CAST({amount} * {share_dec(r.share)} AS {MONEY})")
-        branches.append((f"inn = {lit(inn)}", f"array({', '.join(items)})"))
-    parts = case(branches, whole)
+    earlier = f"aggregate(before, CAST(0 AS {MONEY}), (a, x) -> CAST(a + {of('x')} AS {MONEY}))"
     keep = [c for c in new_invoices.columns if c not in ("new_invoice_amount", "partner_id", "contract_id")]
-    exploded = new_invoices.selectExpr("*", f"inline({parts})")
+    exploded = with_splits(new_invoices, rules).selectExpr(*new_invoices.columns, f"inline(coalesce(_parts, {whole}))")
     return exploded.selectExpr(
         *keep,
         "coalesce(p_partner, CAST(partner_id AS STRING)) AS partner_id",
         "coalesce(p_contract, CAST(contract_id AS STRING)) AS contract_id",
         "part_no",
         "share",
-        f"CAST(CASE WHEN last THEN {amount} - earlier ELSE {amount} * share_d END AS {MONEY}) AS new_invoice_amount",
+        f"CAST(CASE WHEN last THEN {amount} - {earlier} ELSE {of('share')} END AS {MONEY}) AS new_invoice_amount",
     )
 
 

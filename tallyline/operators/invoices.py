@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .. import labels as L
 from ..functions.classify import categorize
 from ..functions.dates import Calendar, INVOICE_CURR_WINDOW, INVOICE_WINDOW, pick_by_terms
-from ..functions.sqlexpr import case, in_list, lit
-from ..rules import RuleSet
+from ..functions.sqlexpr import case, lit
+from ..rules import RuleSet, with_partner_rules
 from .leads import lookup
 
 ACCOUNT = ("inn", "city_invoice", "source_invoice")
@@ -56,22 +56,19 @@ def receipts_by_invoice(receipts: DataFrame, receipt_lines: DataFrame) -> DataFr
     )
 
 
-def invoice_branch(partner_inn: str, partner_name: str, comment: str | None, rules: RuleSet) -> str:
+# Expressions over the columns that ``with_partner_rules`` adds by partner key.
+def invoice_branch(partner_name: str, comment: str | None) -> str:
     """Partner-name rules, then comment rules ('ne' is plain !=, C2)."""
-    branches = [
-        (f"{partner_inn} = {lit(i)} AND {partner_name} = {lit(n)}", lit(b)) for i, n, b in rules.branch_by_partner
-    ]
+    found = [f"try_element_at(filter(_pnames, r -> r.name = {partner_name}), 1).branch"]
     if comment is not None:
-        for i, text, match, b in rules.branch_by_comment:
-            op = "=" if match == "eq" else "!="
-            branches.append((f"{partner_inn} = {lit(i)} AND {comment} {op} {lit(text)}", lit(b)))
-    return case(branches, "''")
+        match = f"IF(r.same, {comment} = r.comment, {comment} != r.comment)"
+        found.append(f"try_element_at(filter(_pcomments, r -> {match}), 1).branch")
+    return f"coalesce({', '.join(found)}, '')"
 
 
-def invoice_channel(partner_inn: str, comment: str, rules: RuleSet) -> str:
+def invoice_channel(comment: str, rules: RuleSet) -> str:
     """Comment -> code for listed clients, with a non-empty default."""
-    inner = lookup(comment, rules.channel_comments, lit(rules.channel_default))
-    return case([(in_list(partner_inn, rules.channel_clients), inner)], "''")
+    return case([("_pchannel", lookup(comment, rules.channel_comments, lit(rules.channel_default)))], "''")
 
 
 def invoice_status(is_posted: str = "is_posted", is_deleted: str = "is_deleted") -> str:
@@ -107,6 +104,7 @@ def enrich_invoices(
     top = top_line(lines)
     orgs = organizations.select("organization_id", "organization_name", "organization_inn")
     parts = partners.select("partner_id", "partner_name", "partner_inn", "partner_type")
+    parts = with_partner_rules(parts, rules)  # at partner size, not at fact size
     j = (
         invoices.join(top, "invoice_id", "left")
         .join(receipts_agg, "invoice_id", "left")
@@ -117,15 +115,15 @@ def enrich_invoices(
         "invoice_id",
         "invoice_number",
         "invoice_dt",
-        f"{invoice_branch('partner_inn', 'partner_name', 'invoice_comment', rules)} AS city_invoice",
-        f"{invoice_channel('partner_inn', 'invoice_comment', rules)} AS source_invoice",
+        f"{invoice_branch('partner_name', 'invoice_comment')} AS city_invoice",
+        f"{invoice_channel('invoice_comment', rules)} AS source_invoice",
         "nomenclature_text",
         f"coalesce(nomenclature_text_gr, {lit(L.CATEGORY_DEFAULT)}) AS nomenclature_text_gr",
         f"{invoice_status()} AS invoice_status",
         "organization_name",
         "organization_inn",
         "partner_name",
-        f"{lookup('partner_inn', rules.invoice_key_remap, 'partner_inn')} AS partner_inn",
+        "coalesce(_pkey, partner_inn) AS partner_inn",
         "partner_type",
         "invoice_amount",
         "coalesce(receipt_amount, CAST(0 AS decimal(18,2))) AS receipt_amount",

@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.dates import Calendar, LEADS_PREV_WINDOW, LEADS_WINDOW, pick_by_terms, week_end
-from ..functions.sqlexpr import case, in_list, lit
+from ..functions.sqlexpr import case, lit
 from ..functions.text import pad_short_key
-from ..rules import RuleSet
+from ..rules import RuleSet, with_lead_rules
 
 DEDUP_KEYS = ("_dk_inn", "_dk_phone", "_dk_source", "_dk_city", "_dk_month")
 ACCOUNT = ("inn", "city_invoice", "source_invoice")
@@ -40,22 +40,21 @@ def lookup(key: str, pairs, default: str) -> str:
     return case([(f"{key} = {lit(k)}", lit(v)) for k, v in pairs], default)
 
 
-def client_key(raw: str, rules: RuleSet) -> str:
+# Expressions over the columns that ``with_lead_rules`` adds by raw key.
+def client_key(raw: str) -> str:
     """Remap on the raw key first, else pad a key that lost its zero."""
-    return lookup(raw, rules.lead_key_remap, pad_short_key(raw))
+    return f"coalesce(_remap, {pad_short_key(raw)})"
 
 
-def lead_branch(raw: str, city: str, rules: RuleSet) -> str:
+def lead_branch(city: str) -> str:
     """P13, on the raw key. NULL city of the default client gives NULL."""
-    branches = [(f"{raw} = {lit(k)} AND {city} = ''", lit(b)) for k, b in rules.branch_default]
-    branches.append((in_list(raw, rules.branch_clients), city))
-    return case(branches, "''")
+    return case([(f"_empty_branch IS NOT NULL AND {city} = ''", "_empty_branch"), ("_own_branch", city)], "''")
 
 
-def lead_channel(raw: str, source: str, rules: RuleSet) -> str:
+def lead_channel(source: str, rules: RuleSet) -> str:
     """Ordered prefix test for listed clients, else ''."""
     inner = case([(f"startswith({source}, {lit(p)})", lit(c)) for p, c in rules.channel_prefixes], "''")
-    return case([(in_list(raw, rules.channel_clients), inner)], "''")
+    return case([("_channelled", inner)], "''")
 
 
 LEAD_OUT = (
@@ -66,22 +65,23 @@ LEAD_OUT = (
 
 
 def enrich_leads(leads: DataFrame, rules: RuleSet) -> DataFrame:
-    """Leads with account columns and the duplicate key (narrow, no shuffle)."""
+    """Leads with account columns and the duplicate key. The rule table is a
+    local relation of known size, one row per key."""
     exprs = {
         "week_end": week_end("date_add"),
-        "inn": client_key("inn", rules),
-        "city_invoice": lead_branch("inn", "city", rules),
-        "source_invoice": lead_channel("inn", "source", rules),
+        "inn": client_key("inn"),
+        "city_invoice": lead_branch("city"),
+        "source_invoice": lead_channel("source", rules),
     }
     cols = [f"{exprs[c]} AS {c}" if c in exprs else c for c in LEAD_OUT]
     cols += [
         "inn AS _dk_inn",
         "phone AS _dk_phone",
         "source AS _dk_source",
-        f"{case([(in_list('inn', rules.dedup_city_clients), 'city')], lit(''))} AS _dk_city",
+        "IF(_by_city, city, '') AS _dk_city",
         "trunc(date_add, 'MM') AS _dk_month",
     ]
-    return leads.selectExpr(*cols)
+    return with_lead_rules(leads, rules).selectExpr(*cols)
 
 
 def flag_duplicates(enriched: DataFrame) -> DataFrame:
@@ -210,6 +210,17 @@ def leads_window_measures(firsts: DataFrame, cal: Calendar) -> DataFrame:
     return _window_measures(rows, cal).drop("latest")
 
 
+def first_of_flagged(flagged: DataFrame) -> DataFrame:
+    """R1 on flagged leads (as saved): the rows that are no duplicates."""
+    return flagged.where("duplicate_flag = ''")
+
+
+def latest_entity_of_leads(flagged: DataFrame) -> DataFrame:
+    """W2 straight from the leads: latest legal entity per client key."""
+    pick = "max(struct(date_time_add, lead_id, legal_entity)) AS _p"
+    return flagged.groupBy("inn").agg(F.expr(pick)).selectExpr("inn", "_p.legal_entity AS legal_entity")
+
+
 def latest_entity_of(accounts: DataFrame) -> DataFrame:
     """W2 from the account aggregate: latest legal entity per client key."""
     return accounts.groupBy("inn").agg(F.expr("max(latest) AS _p")).selectExpr(

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from .. import labels as L
 from ..functions.sqlexpr import case, in_list, lit
 from ..functions.text import grouped_int_py, html_escape
-from ..rules import RuleSet
-from .decisions import errors_predicate, gate_alerts, select_new_invoices, warnings_predicate
+from ..rules import RuleSet, with_manager
+from .decisions import gate_alerts, select_errors, select_new_invoices, select_warnings
 
 
 _PROJECT_RAW = "coalesce(project, 'None')"
@@ -29,12 +29,6 @@ def fmt(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN 'nan' ELSE {grouped_int_py(x)} END"
 
 
-def manager_handle(project: str, rules: RuleSet) -> str:
-    """J12: '(handle)' for a known manager, else ''."""
-    h = case([(f"{project} = {lit(p)}", lit(f"({handle})")) for p, handle in rules.manager_contacts], "''")
-    return h
-
-
 def comment_word(source: str, rules: RuleSet) -> str:
     """Channel code back to its invoice comment; 'нет' otherwise."""
     return case([(f"{source} = {lit(code)}", lit(c)) for c, code in rules.channel_comments], lit(L.MSG_COMMENT_NONE))
@@ -56,8 +50,9 @@ def _pm_comment() -> str:
     )
 
 
-def _project(rules: RuleSet) -> str:
-    return f"concat({lit(L.MSG_PM)}, {html_escape(_PROJECT_RAW)}, ' ', {manager_handle('project', rules)})"
+def _project() -> str:
+    """The manager and, from ``with_manager``, the handle."""
+    return f"concat({lit(L.MSG_PM)}, {html_escape(_PROJECT_RAW)}, ' ', _manager)"
 
 
 def _invoice_sum() -> str:
@@ -67,7 +62,7 @@ def _invoice_sum() -> str:
 def error_body(rules: RuleSet) -> str:
     """M1: cannot-invoice alert."""
     no_terms = f"coalesce(project = {lit(L.NO_INFO_PROJECT)}, false)"
-    project = f"CASE WHEN {no_terms} THEN {lit(L.MSG_UNKNOWN_PROJECT)} ELSE {_project(rules)} END"
+    project = f"CASE WHEN {no_terms} THEN {lit(L.MSG_UNKNOWN_PROJECT)} ELSE {_project()} END"
     accountant = f"CASE WHEN partner_id IS NULL OR contract_id IS NULL THEN {lit(rules.accountant_mention)} ELSE '' END"
     pm = _pm_comment()
     return (
@@ -111,7 +106,7 @@ def warning_body(rules: RuleSet) -> str:
     pm = _pm_comment()
     dep = f"payment_type = {lit(L.DEPOSIT)}"
     return (
-        f"concat('<b>', {_project(rules)}, '</b>\\n\\n', "
+        f"concat('<b>', {_project()}, '</b>\\n\\n', "
         f"'<b>\\'', {html_escape(_ENTITY_RAW)}, '\\'</b>\\n', "
         f"'<b>', CASE WHEN {pm} != '' THEN concat({pm}, '\\n') ELSE '' END, '</b>', "
         f"{_inn_line(rules)}, '\\n\\n', {warning_severity()}, '\\n\\n', "
@@ -143,7 +138,7 @@ def invoice_body(rules: RuleSet) -> str:
         f"{lit(L.MSG_LEAD_PRICE)}, {fmt(per_lead)}, '\\n')"
     )
     return (
-        f"concat('<b>', {lit(L.MSG_RESPONSIBLE)}, {_project(rules)}, '</b>\\n\\n', "
+        f"concat('<b>', {lit(L.MSG_RESPONSIBLE)}, {_project()}, '</b>\\n\\n', "
         f"'<b>\\'', {html_escape(_ENTITY_RAW)}, '\\'</b>\\n', "
         f"'<b>', CASE WHEN {pm} != '' THEN concat({pm}, '\\n') ELSE '' END, '</b>', "
         f"{_inn_line(rules)}, '\\n\\n', "
@@ -158,7 +153,7 @@ ALERT_COLUMNS = ("as_of", "channel", "severity", "inn", "city_invoice", "source_
 
 def outbox_errors(report: DataFrame, rules: RuleSet, as_of: _dt.date, run_ts: _dt.datetime) -> DataFrame:
     """M1 + M4 over R9, gated by R11."""
-    rows = gate_alerts(report.where(errors_predicate(rules)), run_ts)
+    rows = with_manager(gate_alerts(select_errors(report, rules), run_ts), rules)
     return rows.selectExpr(
         f"{lit(as_of)} AS as_of", f"{lit(L.CHANNEL_ALARM)} AS channel", "'error' AS severity",
         "inn", "city_invoice", "source_invoice", f"{error_body(rules)} AS body",
@@ -167,7 +162,7 @@ def outbox_errors(report: DataFrame, rules: RuleSet, as_of: _dt.date, run_ts: _d
 
 def outbox_warnings(report: DataFrame, rules: RuleSet, as_of: _dt.date, run_ts: _dt.datetime) -> DataFrame:
     """M2 + M4 over R10, gated by R11."""
-    rows = gate_alerts(report.where(warnings_predicate(rules)), run_ts)
+    rows = with_manager(gate_alerts(select_warnings(report, rules), run_ts), rules)
     return rows.selectExpr(
         f"{lit(as_of)} AS as_of", f"{lit(L.CHANNEL_DUE_SOON)} AS channel", f"{warning_severity()} AS severity",
         "inn", "city_invoice", "source_invoice", f"{warning_body(rules)} AS body",
@@ -224,7 +219,7 @@ def invoice_payload(lines: DataFrame, rules: RuleSet, run_ts: _dt.datetime) -> D
 
 def outbox_invoices(lines: DataFrame, rules: RuleSet, as_of: _dt.date) -> DataFrame:
     """M3 + M4: one notice per invoice to be created."""
-    return lines.selectExpr(
+    return with_manager(lines, rules).selectExpr(
         f"{lit(as_of)} AS as_of", f"{lit(L.CHANNEL_NEW_INVOICE)} AS channel", "'invoice' AS severity",
         "inn", "city_invoice", "source_invoice", "part_no", f"{invoice_body(rules)} AS body",
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sqlexpr import any_of, lit
-from ..rules import RuleSet
+from ..rules import RuleSet, issuer_table, with_partner_rules
 from .invoices import invoice_branch
 
 PARTNER_COLUMNS = (
@@ -28,16 +27,17 @@ def partner_candidates(
     i = individuals.selectExpr(
         "individual_id AS manager_key", "individual_number", "description AS individual_description"
     )
-    issuer = any_of(f"(organization_inn = {lit(org)} AND description = {lit(desc)})" for org, desc in rules.issuers)
+    p = with_partner_rules(p, rules)
     j = (
         p.join(c, "partner_id", "inner")
         .join(o, "organization_id", "inner")
         .join(i, "manager_key", "inner")
-        .where(f"is_deleted = false AND {issuer}")
+        .where("is_deleted = false")
+        .join(issuer_table(partners.sparkSession, rules), ["organization_inn", "description"], "left_semi")
     )
     return j.selectExpr(
         "partner_inn AS inn",
-        f"{invoice_branch('partner_inn', 'partner_name', None, rules)} AS city_invoice",
+        f"{invoice_branch('partner_name', None)} AS city_invoice",
         *PARTNER_COLUMNS,
     )
 

@@ -103,7 +103,7 @@ def clean_terms(sheet: DataFrame, rules: RuleSet, block_rows: int = DEFAULT_BLOC
     step1 = df.selectExpr(
         "row_idx", "project", "legal_entity",
         f"{inn} AS inn",
-        "lower(trim(stop_flg)) AS stop_flg",
+        "stop_flg",
         f"{canon} AS payment_type",
         "deposit_min_value AS _mn",
         f"{av_cut} AS _av",
@@ -112,11 +112,15 @@ def clean_terms(sheet: DataFrame, rules: RuleSet, block_rows: int = DEFAULT_BLOC
         f"CASE WHEN {dash} > 1 THEN {lit(L.NOTE_AVG_DASH)} ELSE '' END AS _n3",
     )
     dep = f"payment_type = {lit(L.DEPOSIT)}"
-    mn_ok, av_ok = is_numeric_text("_mn"), is_numeric_text("_av")
+
+    def amount(c):  # NULL for text that is no number, or one too large for money
+        return f"IF({is_numeric_text(c)}, try_cast(try_cast({py_strip(c)} AS DOUBLE) AS {MONEY}), NULL)"
+
+    mn_ok, av_ok = (f"({amount(c)} IS NOT NULL)" for c in ("_mn", "_av"))
 
     def value(c, ok, default):
         return case(
-            [(f"{dep} AND {ok}", f"CAST(CAST({py_strip(c)} AS DOUBLE) AS {MONEY})"),
+            [(f"{dep} AND {ok}", amount(c)),
              (dep, f"CAST({default} AS {MONEY})")],
             f"CAST(0 AS {MONEY})",
         )

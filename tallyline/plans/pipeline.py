@@ -96,6 +96,13 @@ class Pipeline:
         self.cut_lineage = cut_lineage
         self._cache: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
+        self._saved: set[str] = set()
+
+    def use_saved(self, name: str, df: DataFrame) -> None:
+        """Take a derived table from where it was saved: later stages
+        aggregate from it instead of going through the facts again."""
+        self._cache[name] = df
+        self._saved.add(name)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise a small stage read by several consumers, once, in the
@@ -159,10 +166,11 @@ class Pipeline:
     def lead_accounts(self) -> DataFrame:
         """Account-level leads aggregate: the one pass over the fact table.
         Read by the terms (W2) and by the report, so it is cut once."""
-        return self._memo(
-            "lead_accounts",
-            lambda: self._cut(leads.lead_accounts(leads.lead_groups(self.leads_keyed), self.cal), "lead_accounts"),
-        )
+        if "leads_enriched" in self._saved:
+            build = lambda: leads.leads_window_measures(leads.first_of_flagged(self.leads_enriched), self.cal)
+        else:
+            build = lambda: leads.lead_accounts(leads.lead_groups(self.leads_keyed), self.cal)
+        return self._memo("lead_accounts", lambda: self._cut(build(), "lead_accounts"))
 
     # terms
     @property
@@ -177,6 +185,8 @@ class Pipeline:
 
     @property
     def latest_entity(self) -> DataFrame:
+        if "leads_enriched" in self._saved:
+            return self._memo("latest_entity", lambda: leads.latest_entity_of_leads(self.leads_enriched))
         return self._memo("latest_entity", lambda: leads.latest_entity_of(self.lead_accounts))
 
     @property

@@ -18,6 +18,7 @@ from ..functions.dates import Calendar
 from ..operators import balance, decisions, invoices, leads, outbox, partners, reports, terms
 from ..sources import driver as D
 from . import oracle as O
+from ..rules import with_manager
 from ..session import app_id
 from .pipeline import Pipeline, driver_inputs
 
@@ -595,9 +596,7 @@ def q_run_summary(p: Pipeline) -> DataFrame:
 )
 def q_manager_lookup(p: Pipeline) -> DataFrame:
     """Manager -> chat handle, '' when unknown."""
-    return p.balance_report.selectExpr(
-        *invoices.ACCOUNT, "project", f"{outbox.manager_handle('project', p.rules)} AS manager_handle"
-    )
+    return with_manager(p.balance_report, p.rules).selectExpr(*invoices.ACCOUNT, "project", "_manager AS manager_handle")
 
 
 # ===================================================================== outbox

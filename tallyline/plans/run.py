@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from ..operators import outbox, reports
 from ..rules import RuleSet
+from ..session import remove_stages
 from ..sinks import tables
 from .pipeline import Inputs, Pipeline
 
@@ -36,11 +37,13 @@ def run_daily(
         t = f"{database}.{name}"
         tables.full_refresh(df, t)
         written[name] = t
+        return spark.table(t)
 
-    # derived tables, in dependency order
-    save("leads_enriched", p.leads_enriched)
+    # derived tables, in dependency order; each fact pass runs once, what
+    # follows aggregates from the saved tables
+    p.use_saved("leads_enriched", save("leads_enriched", p.leads_enriched))
+    p.use_saved("invoices_enriched", save("invoices_enriched", p.invoices_enriched))
     save("payment_terms_calendar", p.payment_terms_calendar)
-    save("invoices_enriched", p.invoices_enriched)
     report = p.materialize("balance_report")  # read by every output below
     save("balance_report", report)
 
@@ -55,6 +58,7 @@ def run_daily(
     save("invoice_outbox", outbox.outbox_invoices(lines, rules, as_of))
     save("run_summary", reports.run_summary(lines))
     if log_path:
-        tables.append_json_log(outbox.audit_log(lines, run_ts).selectExpr("line AS value"), log_path)
+        tables.append_json_log(outbox.audit_log(lines, run_ts).select("line"), log_path)
         written["audit_log"] = log_path
+    remove_stages(spark)
     return written

@@ -1,20 +1,23 @@
 """Client-specific rules as data.
 
 The original job spelled these out as CASE branches and Python dicts. Here
-they are rows supplied by the caller. They are bounded, configuration-sized
-lists (tens of rows), so operators turn them into literal ``when`` chains or
-literal maps that run inside whole-stage codegen -- no join, no shuffle. A
-guard refuses rule lists that grow past ``MAX_INLINE_RULES``; beyond that a
-rule list belongs in a table and a join.
+they are rows supplied by the caller. Rules keyed by a client, partner or
+manager grow with the customer base: they become tables with one row per key
+(``lead_rules``, ``partner_rules``, ``client_rules``, ...) that operators
+join; Spark picks the join from their size. Only the ordered pattern lists
+(line categories, source prefixes, terms aliases, comment words) are literal
+expressions. No list has a size limit.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from . import labels as L
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-MAX_INLINE_RULES = 512
+from . import labels as L
 
 
 @dataclass(frozen=True)
@@ -74,14 +77,10 @@ class RuleSet:
     document_constants: tuple[tuple[str, str], ...] = ()
 
     def __post_init__(self):
-        for name, value in self.__dict__.items():
-            if isinstance(value, tuple) and len(value) > MAX_INLINE_RULES:
-                raise ValueError(
-                    f"rule list {name} has {len(value)} rows; more than "
-                    f"{MAX_INLINE_RULES} must be joined as a table"
-                )
-        for inn in {r.inn for r in self.split_rules}:
-            total = sum(r.share for r in self.split_rules if r.inn == inn)
+        shares: dict[str, float] = {}
+        for r in self.split_rules:
+            shares[r.inn] = shares.get(r.inn, 0.0) + r.share
+        for inn, total in shares.items():
             if abs(total - 1.0) > 1e-9:
                 raise ValueError(f"split shares for {inn} sum to {total}, not 1")
 
@@ -91,11 +90,121 @@ class RuleSet:
         return tuple(dict.fromkeys(r[3] for r in self.branch_by_comment))
 
 
-@dataclass(frozen=True)
-class RunParams:
-    """Explicit clocks: no operator reads the wall clock."""
 
-    as_of: "object"  # datetime.date
-    run_ts: "object" = None  # datetime.datetime; alerts gate on its time
-    alert_window: tuple[str, str] = ("09:50:00", "11:50:00")
-    extra: dict = field(default_factory=dict)
+# --------------------------------------------------------------------------
+# Keyed rules as tables, one row per key
+# --------------------------------------------------------------------------
+def first_of(pairs) -> dict:
+    """key -> value; of several rules with one key the first holds."""
+    out: dict = {}
+    for k, v in pairs:
+        out.setdefault(k, v)
+    return out
+
+
+def _table(spark: SparkSession, columns: dict[str, tuple[list, pa.DataType]]) -> DataFrame:
+    """A local relation, so that the planner knows its size."""
+    return spark.createDataFrame(pa.table({n: pa.array(v, t) for n, (v, t) in columns.items()}))
+
+
+def _join(df: DataFrame, key: str, table: DataFrame | None, defaults: dict[str, str]) -> DataFrame:
+    """Left join the rule columns of a row's ``key``; without rules, their
+    defaults as literals and no join."""
+    if table is None:
+        return df.selectExpr("*", *[f"{d} AS {c}" for c, d in defaults.items()])
+    names = df.columns
+    joined = df.join(table, F.col(key) == F.col("_rule_key"), "left")
+    return joined.selectExpr(*[f"`{c}`" for c in names], *[f"coalesce({c}, {d}) AS {c}" for c, d in defaults.items()])
+
+
+def with_lead_rules(leads: DataFrame, rules: RuleSet, key: str = "inn") -> DataFrame:
+    """Add, by raw lead key: ``_remap``, ``_own_branch``, ``_empty_branch``,
+    ``_by_city``, ``_channelled``."""
+    remap, default = first_of(rules.lead_key_remap), first_of(rules.branch_default)
+    branch, city, channel = set(rules.branch_clients), set(rules.dedup_city_clients), set(rules.channel_clients)
+    keys = sorted({*remap, *default, *branch, *city, *channel})
+    table = keys and _table(leads.sparkSession, {
+        "_rule_key": (keys, pa.string()),
+        "_remap": ([remap.get(k) for k in keys], pa.string()),
+        "_own_branch": ([k in branch for k in keys], pa.bool_()),
+        "_empty_branch": ([default.get(k) for k in keys], pa.string()),
+        "_by_city": ([k in city for k in keys], pa.bool_()),
+        "_channelled": ([k in channel for k in keys], pa.bool_()),
+    })
+    text, flag = "CAST(NULL AS STRING)", "false"
+    return _join(leads, key, table or None, {
+        "_remap": text, "_own_branch": flag, "_empty_branch": text, "_by_city": flag, "_channelled": flag})
+
+
+_NAMES = pa.list_(pa.struct([("name", pa.string()), ("branch", pa.string())]))
+_COMMENTS = pa.list_(pa.struct([("same", pa.bool_()), ("comment", pa.string()), ("branch", pa.string())]))
+
+
+def with_partner_rules(df: DataFrame, rules: RuleSet, key: str = "partner_inn") -> DataFrame:
+    """Add, by partner key: ``_pkey`` (remapped key), ``_pchannel`` and the
+    ordered lists ``_pnames`` and ``_pcomments``."""
+    remap, channel = first_of(rules.invoice_key_remap), set(rules.channel_clients)
+    names: dict[str, list] = {}
+    comments: dict[str, list] = {}
+    for k, name, branch in rules.branch_by_partner:
+        names.setdefault(k, []).append({"name": name, "branch": branch})
+    for k, text, match, branch in rules.branch_by_comment:
+        comments.setdefault(k, []).append({"same": match == "eq", "comment": text, "branch": branch})
+    keys = sorted({*remap, *channel, *names, *comments})
+    table = keys and _table(df.sparkSession, {
+        "_rule_key": (keys, pa.string()),
+        "_pkey": ([remap.get(k) for k in keys], pa.string()),
+        "_pchannel": ([k in channel for k in keys], pa.bool_()),
+        "_pnames": ([names.get(k, []) for k in keys], _NAMES),
+        "_pcomments": ([comments.get(k, []) for k in keys], _COMMENTS),
+    })
+    return _join(df, key, table or None, {
+        "_pkey": "CAST(NULL AS STRING)",
+        "_pchannel": "false",
+        "_pnames": "CAST(array() AS array<struct<name:string,branch:string>>)",
+        "_pcomments": "CAST(array() AS array<struct<same:boolean,comment:string,branch:string>>)",
+    })
+
+
+def with_client_rules(df: DataFrame, rules: RuleSet, key: str = "inn") -> DataFrame:
+    """Add, by client key: ``_excluded``, ``_any_branch``."""
+    excluded, anywhere = set(rules.excluded_clients), set(rules.branch_join_any)
+    keys = sorted(excluded | anywhere)
+    table = keys and _table(df.sparkSession, {
+        "_rule_key": (keys, pa.string()),
+        "_excluded": ([k in excluded for k in keys], pa.bool_()),
+        "_any_branch": ([k in anywhere for k in keys], pa.bool_()),
+    })
+    return _join(df, key, table or None, {"_excluded": "false", "_any_branch": "false"})
+
+
+def with_manager(df: DataFrame, rules: RuleSet, key: str = "project") -> DataFrame:
+    """Add ``_manager``: '(handle)' of a known manager, else ''."""
+    handles = first_of(rules.manager_contacts)
+    table = handles and _table(df.sparkSession, {
+        "_rule_key": (list(handles), pa.string()), "_manager": ([f"({h})" for h in handles.values()], pa.string())})
+    return _join(df, key, table or None, {"_manager": "''"})
+
+
+def with_splits(df: DataFrame, rules: RuleSet, key: str = "inn") -> DataFrame:
+    """Add ``_parts``: the client's invoice parts in order, each with the
+    shares before it; null without split rules."""
+    by_inn: dict[str, list] = {}
+    for r in sorted(rules.split_rules, key=lambda r: (r.inn, r.part_no)):
+        own = by_inn.setdefault(r.inn, [])
+        own.append({"part_no": r.part_no, "share": r.share, "last": False, "p_partner": r.partner_id,
+                    "p_contract": r.contract_id, "before": [p["share"] for p in own]})
+    for own in by_inn.values():
+        own[-1]["last"] = True
+    part = pa.struct([("part_no", pa.int32()), ("share", pa.float64()), ("last", pa.bool_()), ("p_partner", pa.string()),
+                      ("p_contract", pa.string()), ("before", pa.list_(pa.float64()))])
+    table = by_inn and _table(df.sparkSession, {
+        "_rule_key": (list(by_inn), pa.string()), "_parts": (list(by_inn.values()), pa.list_(part))})
+    kind = "array<struct<part_no:int,share:double,last:boolean,p_partner:string,p_contract:string,before:array<double>>>"
+    return _join(df, key, table or None, {"_parts": f"CAST(NULL AS {kind})"})
+
+
+def issuer_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
+    """organization_inn, description pairs that may bill."""
+    pairs = sorted(set(rules.issuers))
+    return _table(spark, {"organization_inn": ([a for a, _ in pairs], pa.string()), "description": ([d for _, d in pairs], pa.string())})

@@ -49,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if sc is not None and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
     path = fallback or tempfile.mkdtemp(prefix="tallyline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(path)
@@ -66,6 +68,14 @@ def shared_stage_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tallyline-stages/{app_id(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_stages(spark: SparkSession) -> None:
+    """Delete this application's materialised stages. Only for the end of a
+    run: frames read from them cannot be used afterwards."""
+    root = ensure_checkpoint_dir(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/tallyline-stages/{app_id(spark)}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize_shared(df, name: str):
     """Cut lineage: write the stage once as parquet in the shared checkpoint
     folder and read it back. Unlike ``checkpoint()`` (which runs the plan

@@ -11,6 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import materialize_shared
+
+
+OLD_SUFFIX = "__old"
+
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     """O2: existence probe through the catalog (no LIMIT query)."""
@@ -18,16 +23,32 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def full_refresh(df: DataFrame, name: str, staging_suffix: str = "__staging") -> None:
-    """K1: replace a table's content (stage, then swap)."""
+    """K1: replace a table's content (stage, then swap by two renames).
+
+    The old table is dropped only after the new one has its name. A swap that
+    broke off between the renames is finished by the next refresh."""
     spark = df.sparkSession
+    stage, old = name + staging_suffix, name + OLD_SUFFIX
+    recover(spark, name, staging_suffix)
     if not table_exists(spark, name):
         df.write.mode("overwrite").saveAsTable(name)
         return
-    stage = name + staging_suffix
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     df.write.mode("overwrite").saveAsTable(stage)
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {old}")
+
+
+def recover(spark: SparkSession, name: str, staging_suffix: str = "__staging") -> None:
+    """Finish a swap that was interrupted. The old table is renamed away only
+    once the staged one is complete, so that one takes the name."""
+    stage, old = name + staging_suffix, name + OLD_SUFFIX
+    if not table_exists(spark, old):
+        return
+    if not table_exists(spark, name):
+        spark.sql(f"ALTER TABLE {stage if table_exists(spark, stage) else old} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def append(df: DataFrame, name: str) -> None:
@@ -38,12 +59,14 @@ def append(df: DataFrame, name: str) -> None:
 def materialize(df: DataFrame, name: str, truncate: bool = True) -> None:
     """K3 + K4: create-as-select when absent, else positional insert
     (``insertInto`` matches columns by position, as INSERT ... SELECT does);
-    ``truncate`` replaces the content."""
+    ``truncate`` replaces the content and keeps the table's definition: values
+    are cast to its column types as on any insert. The rows are written to the
+    shared checkpoint folder first, so that they may come from the table."""
     spark = df.sparkSession
     if not table_exists(spark, name):
         df.write.saveAsTable(name)
     elif truncate:
-        full_refresh(df.toDF(*spark.table(name).columns), name)
+        materialize_shared(df, "truncate-insert").write.insertInto(name, overwrite=True)
     else:
         df.write.insertInto(name, overwrite=False)
 
@@ -58,8 +81,13 @@ def write_header_detail(header: DataFrame, detail: DataFrame | None, header_tabl
 
 
 def append_json_log(df: DataFrame, path: str) -> None:
-    """K6: append JSON lines (one object per row) under a shared path."""
-    df.write.mode("append").json(path)
+    """K6: append JSON lines under a shared path: one column of JSON objects
+    as text is written as it is, other rows become one object each (nulls
+    kept)."""
+    if len(df.columns) == 1 and df.dtypes[0][1] == "string":
+        df.write.mode("append").text(path)
+    else:
+        df.write.mode("append").option("ignoreNullFields", False).json(path)
 
 
 def write_bundle(frames: dict[str, DataFrame], root: str, as_of) -> dict[str, str]:

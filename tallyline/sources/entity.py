@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.classify import categorize
-from ..functions.coerce import coerce_by_word
+from ..functions.coerce import coerce_by_word, coerce_datetime
 from ..functions.sqlexpr import ident
 
 
@@ -76,9 +76,28 @@ def _records(raw: DataFrame, spec: EntitySpec) -> DataFrame:
 
 
 def read_entity_files(spark: SparkSession, path: str, spec: EntitySpec, multi_line: bool = True) -> DataFrame:
-    """S1 + S2: landed files -> raw record rows (only mapped fields read)."""
-    raw = spark.read.schema(envelope_schema(spec)).option("multiLine", multi_line).json(path)
-    return _records(raw, spec)
+    """S1 + S2: landed files -> raw record rows (only mapped fields read).
+    S4: without a mapping, all fields with inferred types. A malformed or
+    truncated document fails the run."""
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
+    if not spec.columns:
+        return inferred_records(reader.json(path))
+    return _records(reader.schema(envelope_schema(spec)).json(path), spec)
+
+
+def inferred_records(raw: DataFrame) -> DataFrame:
+    """Record rows of documents read with an inferred schema: those of the
+    ``value`` array of envelopes, or the rows themselves. A folder that mixes
+    both kinds needs a mapping."""
+    kind = dict(raw.dtypes).get("value", "")
+    if not kind.startswith("array<struct<"):
+        return raw
+    if bare := [c for c in raw.columns if c != "value" and not c.startswith("odata") and not c.startswith("@")]:
+        raise ValueError(f"envelopes and bare records ({', '.join(bare)}) need a column mapping")
+    return raw.selectExpr("inline(value)")
+
+
+FAIL = "map('mode', 'FAILFAST')"  # a malformed document fails the run
 
 
 def parse_entity_text(df: DataFrame, text_col: str, spec: EntitySpec) -> DataFrame:
@@ -87,8 +106,8 @@ def parse_entity_text(df: DataFrame, text_col: str, spec: EntitySpec) -> DataFra
     arr = ArrayType(record_schema(spec)).simpleString()
     t = ident(text_col)
     parsed = df.selectExpr(
-        f"CASE WHEN ltrim({t}) LIKE '[%' THEN from_json({t}, '{arr}') "
-        f"ELSE from_json({t}, '{env}').value END AS _docs"
+        f"CASE WHEN ltrim({t}) LIKE '[%' THEN from_json({t}, '{arr}', {FAIL}) "
+        f"ELSE from_json({t}, '{env}', {FAIL}).value END AS _docs"
     )
     return parsed.selectExpr("inline(_docs)")
 
@@ -116,12 +135,14 @@ def detail_rows(records: DataFrame, spec: EntitySpec, null_default: bool = True)
     if not spec.explode_column:
         raise ValueError(f"{spec.name}: no explode column configured")
     ref = spec.ref_key
-    if ref not in {f.name for f in record_schema(spec).fields}:  # N3, checked before the job runs
+    if ref not in records.columns:  # N3, checked before the job runs
         raise ValueError(f"{spec.name}: parent key {ref!r} not among the record fields")
     exploded = records.selectExpr(
         f"{ident(ref)} AS {ident(spec.ref_target)}", f"explode_outer({ident(spec.explode_column)}) AS _e"
     )
     flat = exploded.selectExpr(ident(spec.ref_target), "_e.*")
+    if not spec.detail_columns:  # all element fields, as they are
+        return flat
     out = [ident(spec.ref_target)] + [
         f"{coerce_by_word(ident(c.source), c.type_word, null_default)} AS {ident(c.target)}" for c in spec.detail_columns
     ]
@@ -140,6 +161,14 @@ def ingest(records: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFrame |
     return header, detail
 
 
+def incremental_records(records: DataFrame, source_field: str, cutoff) -> DataFrame:
+    """S3 on whole documents, before the header and detail rows are made, so
+    that the lines of excluded documents stay out too."""
+    from ..functions.sqlexpr import lit
+
+    return records.where(f"{coerce_datetime(ident(source_field))} > {lit(cutoff)}")
+
+
 def incremental(header: DataFrame, date_col: str, cutoff) -> DataFrame:
     """S3: rows strictly after the cut-off (pushed to the scan when the
     column is stored typed)."""

@@ -3,14 +3,15 @@
 Everything is read as text with the header row naming the columns; the
 mapping renames human headers to field names. Row order matters (the terms
 column is forward-filled), so ``row_idx`` is assigned at the scan:
-``monotonically_increasing_id`` is increasing in file order within a split,
-and a quoted multi-line CSV file is one split. A recomputed task gets the
-same ids (same split, same order).
+``monotonically_increasing_id`` is increasing within a split, and a quoted
+multi-line CSV file is one split. Spark packs a folder's files by size, so
+the ids only order the rows of one file; the files are ordered by name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ..functions.coerce import cast_strict
 from ..functions.sqlexpr import ident, lit
@@ -35,7 +36,12 @@ def read_sheet_csv(spark: SparkSession, path: str, columns=TERMS_SHEET_COLUMNS)
         .option("inferSchema", False)
         .csv(path)
     )
-    return map_sheet(raw.selectExpr("monotonically_increasing_id() AS row_idx", "*"), columns)
+    own = raw.selectExpr("monotonically_increasing_id() AS _row", "_metadata.file_path AS _file", "*")
+    # files in the order of their names, rows in the order of each file
+    files = own.groupBy("_file").agg(F.min("_row").alias("_first"))
+    files = files.select("_file", "_first", F.row_number().over(Window.orderBy("_file")).alias("_nr"))
+    ordered = own.join(files, "_file").withColumn("row_idx", (F.col("_nr") - 1) * F.lit(1 << 40) + F.col("_row") - F.col("_first"))
+    return map_sheet(ordered, columns)
 
 
 def parse_sheet_lines(lines: DataFrame, line_col: str, order_col: str, columns=TERMS_SHEET_COLUMNS) -> DataFrame:

@@ -16,13 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.entity import EntitySpec, _records, envelope_schema, ingest, incremental
-
-
-def _checkpoint_root(spark: SparkSession) -> str:
-    from ..session import ensure_checkpoint_dir
-
-    return ensure_checkpoint_dir(spark)
+from ..sources.entity import EntitySpec, _records, envelope_schema, incremental_records, ingest
 
 
 def start_incremental_ingest(
@@ -30,26 +24,30 @@ def start_incremental_ingest(
     landing: str,
     spec: EntitySpec,
     out_root: str,
-    checkpoint_location: str | None = None,
-    cutoff_column: str | None = None,
+    checkpoint_location: str,
+    cutoff_field: str | None = None,
     cutoff=None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    multi_line: bool = True,
 ) -> StreamingQuery:
-    reader = spark.readStream.schema(envelope_schema(spec)).option("multiLine", True)
+    """``checkpoint_location`` must stay the same from run to run: it holds
+    which files were ingested. ``cutoff_field`` is the landed date field."""
+    reader = spark.readStream.schema(envelope_schema(spec)).option("multiLine", multi_line).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     records = _records(reader.json(landing), spec)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if cutoff_field and cutoff is not None:
+            batch = incremental_records(batch, cutoff_field, cutoff)
+        batch = batch.persist()  # parsed once for both writes
         header, detail = ingest(batch, spec)
-        if cutoff_column and cutoff is not None:
-            header = incremental(header, cutoff_column, cutoff)
         header.write.mode("overwrite").parquet(f"{out_root}/{spec.header_table or spec.name}/batch_id={batch_id}")
         if detail is not None:
             detail.write.mode("overwrite").parquet(f"{out_root}/{spec.detail_table}/batch_id={batch_id}")
+        batch.unpersist()
 
-    ckpt = checkpoint_location or f"{_checkpoint_root(spark)}/ingest_{spec.name}"
-    writer = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    writer = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

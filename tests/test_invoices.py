@@ -5,7 +5,7 @@ from decimal import Decimal
 from tallyline import labels as L
 from tallyline.functions.classify import categorize
 from tallyline.operators import invoices
-from tallyline.rules import RuleSet
+from tallyline.rules import RuleSet, with_partner_rules
 
 RULES = RuleSet(
     branch_by_partner=(("1000000001", "Alpha North", "North"), ("1000000001", "Alpha South", "South")),
@@ -20,10 +20,10 @@ def test_branch_channel_rules(spark):
     rows = [("1000000001", "Alpha North", None), ("1000000001", "Other", "x"), ("0300000001", "Z", "North"),
             ("0300000001", "Z", "elsewhere"), ("0300000001", "Z", None), ("1000000002", "B", "clicks"),
             ("1000000002", "B", None), ("1000000003", "C", "clicks")]
-    df = spark.createDataFrame(rows, "pin string, pname string, comment string")
-    out = df.selectExpr(
-        f"{invoices.invoice_branch('pin', 'pname', 'comment', RULES)} AS b",
-        f"{invoices.invoice_channel('pin', 'comment', RULES)} AS c",
+    df = spark.createDataFrame(rows, "pin string, pname string, comment string").coalesce(1)
+    out = with_partner_rules(df, RULES, "pin").selectExpr(
+        f"{invoices.invoice_branch('pname', 'comment')} AS b",
+        f"{invoices.invoice_channel('comment', RULES)} AS c",
     ).collect()
     assert [r.b for r in out] == ["North", "", "North", "South", "", "", "", ""]  # C2: NULL comment -> ''
     assert [r.c for r in out] == ["", "", "", "", "", "C", "V", ""]

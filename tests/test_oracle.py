@@ -6,13 +6,12 @@ The driver runs the same comparison at sf 0.01; here sf 0.001 keeps it fast.
 import pytest
 
 import __spark_entry__ as E
+from tallyline.plans.registry import ORACLE as SQL
+from tallyline.plans.registry import QUERIES
 from tools.oracle_check import compare, duck
 
 from .conftest import SF_SMALL
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():

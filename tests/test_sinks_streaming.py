@@ -23,6 +23,11 @@ def test_full_refresh_append_materialize(spark):
     assert sorted((r.id, r.v) for r in spark.table("t_mat").collect()) == [(1, "x"), (2, "y"), (9, "z")]
     tables.materialize(a.where("id = 2"), "t_mat", truncate=True)
     assert [r.id for r in spark.table("t_mat").collect()] == [2]
+    # truncate keeps the definition, by position, also from the table itself
+    tables.materialize(spark.sql("SELECT CAST(7 AS INT) AS v, 8 AS other"), "t_mat")
+    assert spark.table("t_mat").dtypes == [("id", "bigint"), ("v", "string")]
+    tables.materialize(spark.table("t_mat").selectExpr("id + 1", "v"), "t_mat")
+    assert [tuple(r) for r in spark.table("t_mat").collect()] == [(8, "8")]
     tables.analyze(spark, ["t_mat"])
     assert tables.table_exists(spark, "t_mat") and not tables.table_exists(spark, "t_missing")
 
@@ -33,7 +38,19 @@ def test_bundle_and_json_log(spark, scratch):
     assert spark.read.parquet(paths["report"]).count() == 1
     log = os.path.join(scratch, "log")
     tables.append_json_log(a.selectExpr("to_json(named_struct('id', id, 'note', note), map('ignoreNullFields','false')) AS value"), log)
-    assert spark.read.text(log).first()[0] == '{"value":"{\\"id\\":1,\\"note\\":null}"}'
+    tables.append_json_log(a, log)  # rows become objects, nulls kept
+    assert [r[0] for r in spark.read.text(log).collect()] == ['{"id":1,"note":null}'] * 2
+
+
+def test_interrupted_swap_is_finished(spark):
+    a, b = (spark.createDataFrame([(i,)], "id long") for i in (1, 2))
+    tables.full_refresh(a, "t_swap")
+    b.write.saveAsTable("t_swap__staging")
+    spark.sql("ALTER TABLE t_swap RENAME TO t_swap__old")  # broke off here: no table t_swap
+    tables.recover(spark, "t_swap")
+    assert [r.id for r in spark.table("t_swap").collect()] == [2] and not tables.table_exists(spark, "t_swap__old")
+    tables.full_refresh(a, "t_swap")
+    assert [r.id for r in spark.table("t_swap").collect()] == [1]
 
 
 def test_streaming_ingest_only_new_files(spark, scratch):

