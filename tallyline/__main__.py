@@ -32,8 +32,10 @@ def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="tallyline", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--input-dir", help="folder with one parquet dataset per domain table")
+    src.add_argument("--landing", help="JSON list of landed entity sets (see plans/ingest.py); loaded into --database, then reported from there")
     src.add_argument("--driver-data", help="driver test tables folder, e.g. /root/testdata/sf0.01")
-    ap.add_argument("--rules", help="RuleSet as JSON (with --input-dir)")
+    ap.add_argument("--sheet", help="CSV file or folder of the payment-terms sheet (with --landing)")
+    ap.add_argument("--rules", help="RuleSet as JSON (with --input-dir or --landing)")
     ap.add_argument("--as-of", default=_dt.date.today().isoformat(), help="run date (YYYY-MM-DD)")
     ap.add_argument("--run-ts", default=None, help="run timestamp for alert gating (YYYY-MM-DDTHH:MM:SS)")
     ap.add_argument("--database", default="tallyline", help="catalog database to write the tables into")
@@ -59,6 +61,13 @@ def main(argv=None) -> int:
     if a.driver_data:
         rules = driver.driver_rules()
         inputs = driver_inputs(spark, a.driver_data, rules)
+    elif a.landing:
+        from .plans.ingest import ingest_all, landings_from_json, table_inputs
+
+        rules = _rules_from_json(a.rules) if a.rules else RuleSet()
+        with open(a.landing, encoding="utf-8") as f:
+            ingest_all(spark, landings_from_json(f.read()), a.database, a.sheet)
+        inputs = table_inputs(spark, a.database)
     else:
         rules = _rules_from_json(a.rules) if a.rules else RuleSet()
         inputs = Inputs({t: (lambda t=t: spark.read.parquet(f"{a.input_dir}/{t}")) for t in INPUT_TABLES})

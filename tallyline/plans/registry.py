@@ -8,6 +8,7 @@ oracle does the same), so both sides can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -752,6 +753,61 @@ def q_src_incremental(p: Pipeline) -> DataFrame:
     return entity.incremental(entity.header_rows(rec, spec), "doc_date", D.ENTITY_AS_OF_CUTOFF)
 
 
+@register(
+    "src_incremental_detail",
+    "SELECT l.ref, CAST(COALESCE(l.line_no_raw, 0) AS BIGINT) AS line_no, l.text, "
+    "CAST(CAST(COALESCE(l.sum_raw, 0) AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM doc_lines_v l JOIN docs_v d USING (ref) "
+    f"WHERE d.doc_date > TIMESTAMP '{D.ENTITY_AS_OF_CUTOFF.isoformat(sep=' ')}'",
+    ["docs_v", "doc_lines_v"],
+)
+def q_src_incremental_detail(p: Pipeline) -> DataFrame:
+    """S3 on whole documents: the lines of excluded documents stay out."""
+    from ..sources import entity
+
+    spec, rec = _docs(p)
+    return entity.detail_rows(entity.incremental_records(rec, "Date", D.ENTITY_AS_OF_CUTOFF), spec)
+
+
+@register(
+    "ingest_landed_rows",
+    "SELECT 'document' AS table_name, ref, doc_date, number, CAST(CAST(COALESCE(amount_raw, 0) AS DECIMAL(18,2)) AS DOUBLE) AS amount, "
+    "is_posted, partner_key, comment, NULL::BIGINT AS line_no, NULL::VARCHAR AS text FROM docs_v UNION ALL "
+    "SELECT 'document_line', ref, NULL, NULL, CAST(CAST(COALESCE(sum_raw, 0) AS DECIMAL(18,2)) AS DOUBLE), NULL, NULL, NULL, "
+    "CAST(COALESCE(line_no_raw, 0) AS BIGINT), text FROM doc_lines_v",
+    ["docs_v", "doc_lines_v"],
+)
+def q_ingest_landed_rows(p: Pipeline) -> DataFrame:
+    """S1-S4 + N1-N4 + K5 + S7: documents landed as files, ingested into
+    their header and detail tables, and all rows of both read back."""
+    import uuid
+
+    from ..session import shared_stage_path
+    from . import ingest
+
+    docs = p.inputs["entity_documents"]
+    spark, spec = docs.sparkSession, D.document_spec()
+    path = shared_stage_path(spark, "landing")
+    docs.select("payload").write.text(path)
+    spec = replace(spec, header_table=f"document_{uuid.uuid4().hex[:12]}", detail_table=f"document_line_{uuid.uuid4().hex[:12]}")
+    written = ingest.ingest_all(spark, [ingest.Landing(spec, path, multi_line=False)], _sink_db(spark))
+    header = spark.table(written[spec.header_table]).selectExpr(
+        "'document' AS table_name", "*", "CAST(NULL AS BIGINT) AS line_no", "CAST(NULL AS STRING) AS text")
+    detail = spark.table(written[spec.detail_table]).selectExpr("'document_line' AS table_name", "*")
+    return header.unionByName(detail, allowMissingColumns=True)
+
+
+@register("sink_truncate_insert", "SELECT CAST(1 AS BIGINT) AS row_no, inn, CAST(payment_type AS VARCHAR) AS note FROM terms_dedup", ["terms_dedup"])
+def q_sink_truncate_insert(p: Pipeline) -> DataFrame:
+    """K4: replaced by position; the table keeps its names and types."""
+    from ..sinks import tables
+
+    df = p.terms_dedup
+    name = _table(df.sparkSession, "truncate_insert")
+    tables.materialize(df.selectExpr("CAST(0 AS BIGINT) AS row_no", "inn", "project AS note"), name)
+    tables.materialize(df.selectExpr("CAST(1 AS INT) AS a", "inn AS b", "payment_type AS c"), name)
+    return df.sparkSession.table(name)
+
+
 @register(
     "src_passthrough",
     'SELECT ref AS "Ref_Key", raw_date AS "Date", number AS "Number", CAST(amount_raw AS VARCHAR) AS "Amount", '

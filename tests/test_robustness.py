@@ -64,6 +64,27 @@ def test_passthrough_keeps_every_field_with_its_type(spark, scratch):
     assert sorted(map(tuple, detail.collect()), key=str) == [("a", 1, "x"), ("b", None, None)]
 
 
+def test_landed_sets_become_tables(spark, scratch):
+    from tallyline.plans.ingest import ingest_all, landings_from_json, table_inputs
+
+    with open(os.path.join(scratch, "d.json"), "w") as f:
+        json.dump({"value": [{"Ref_Key": "a", "Date": "2024-01-02", "G": [{"N": 1}, {"N": 2}]}, {"Ref_Key": "b", "Date": "2023-01-02", "G": []}]}, f)
+    os.makedirs(os.path.join(scratch, "sheet"))
+    with open(os.path.join(scratch, "sheet", "s.csv"), "w") as f:
+        f.write(",".join(h for h, _, _ in sheet.TERMS_SHEET_COLUMNS) + "\np,e,1,,,,\n")
+    conf = [{"name": "inv", "path": os.path.join(scratch, "d.json"), "columns": [["Ref_Key", "id"], ["Date", "dt", "datetime"], ["G", "G"]],
+             "explode_column": "G", "detail_columns": [["N", "line_no", "int"]], "header_table": "invoice", "detail_table": "invoice_line"}]
+    written = ingest_all(spark, landings_from_json(json.dumps(conf)), "tl_landed", os.path.join(scratch, "sheet"))
+    inputs = table_inputs(spark, "tl_landed")
+    assert set(written) == {"invoice", "invoice_line", "terms_sheet"}
+    assert sorted(r.id for r in inputs["invoice"].collect()) == ["a", "b"]
+    assert sorted((r.id, r.line_no) for r in inputs["invoice_line"].collect()) == [("a", 1), ("a", 2), ("b", 0)]
+    assert inputs["terms_sheet"].first().project == "p"
+    conf[0] |= {"cutoff_field": "Date", "cutoff": "2024-01-01"}  # appended: the later document and its lines only
+    ingest_all(spark, landings_from_json(json.dumps(conf)), "tl_landed")
+    assert inputs["invoice"].count() == 3 and inputs["invoice_line"].count() == 5
+
+
 def test_cut_off_leaves_out_whole_documents(spark):
     rec = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "")], "Ref_Key string, Date string")
     assert [r.Ref_Key for r in entity.incremental_records(rec, "Date", __import__("datetime").datetime(2024, 1, 1)).collect()] == ["b"]
