@@ -31,8 +31,8 @@ from ..session import app_id
 AS_OF = _dt.date(2024, 1, 25)
 # a later run date: January is a closed month then (monthly snapshot path)
 SNAPSHOT_AS_OF = _dt.date(2024, 3, 10)
-# more run dates: first half of a month, last day of a month
-VARIANT_AS_OF = {"d10": _dt.date(2024, 1, 10), "d31": _dt.date(2024, 1, 31)}
+# more run dates: first half of a month, last day of a month, the next month
+VARIANT_AS_OF = {"d10": _dt.date(2024, 1, 10), "d31": _dt.date(2024, 1, 31), "feb": _dt.date(2024, 2, 10)}
 RUN_TS = _dt.datetime(2024, 1, 25, 10, 0, 0)
 BASE_DAY = _dt.date(2024, 1, 1)
 ORDER_EPOCH = _dt.date(1995, 1, 1)
@@ -138,7 +138,8 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         _read(spark, sf_dir, "events")
-        .selectExpr("*", f"{sale} AS _sale")
+        # events lie in one month; a third of them moves a month back, a third forward
+        .selectExpr("* EXCEPT (ts)", "timestampadd(DAY, 31 * (CAST(event_id % 3 AS INT) - 1), ts) AS ts", f"{sale} AS _sale")
         .selectExpr(
             "concat('proj-', CAST(user_id % 4 AS STRING)) AS project",
             "CAST(ts AS DATE) AS date_add",
@@ -172,7 +173,7 @@ def terms_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_custkey AS row_idx",
             f"element_at(array({managers}), CAST(c_nationkey % 5 + 1 AS INT)) AS project",
             "c_name AS legal_entity",
-            "CASE WHEN c_custkey % 211 = 13 THEN CAST(NULL AS STRING)"
+            "CASE WHEN c_custkey % 211 = 13 OR c_custkey % 31 = 30 THEN CAST(NULL AS STRING)"
             " WHEN c_custkey % 97 = 11 THEN concat('X', CAST(c_custkey AS STRING))"
             " WHEN c_custkey % 10 = 3 THEN CAST(c_custkey + 700000000 AS STRING)"
             " WHEN c_custkey % 10 = 7 THEN concat(CAST(c_custkey + 7700000000 AS STRING), '.0')"
@@ -239,9 +240,13 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def receipt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line by line, or, for some invoices, exactly what was billed."""
     net = f"CAST(CAST(l_extendedprice AS {MONEY}) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS {MONEY})"
-    return (
+    exact = _read(spark, sf_dir, "orders").where("o_orderkey % 14 = 7").selectExpr(
+        "o_orderkey AS receipt_id", "o_orderkey AS invoice_id", f"CAST(o_totalprice AS {MONEY}) AS receipt_amount")
+    by_line = (
         _read(spark, sf_dir, "lineitem")
+        .where("l_orderkey % 14 != 7")
         .selectExpr("l_orderkey", f"{net} AS _net")
         .selectExpr(
             "l_orderkey AS receipt_id",
@@ -250,6 +255,7 @@ def receipt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             f" AS {MONEY}) AS receipt_amount",
         )
     )
+    return by_line.unionByName(exact)
 
 
 # ------------------------------------------------------------ dimensions ----
