@@ -97,6 +97,7 @@ class Pipeline:
         self._cache: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
         self._saved: set[str] = set()
+        self.made: list[str] = []  # paths of this pipeline's written stages
 
     def use_saved(self, name: str, df: DataFrame) -> None:
         """Take a derived table from where it was saved: later stages
@@ -107,7 +108,7 @@ class Pipeline:
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise a small stage read by several consumers, once, in the
         shared checkpoint folder (see ``session.materialize_shared``)."""
-        return materialize_shared(df, name) if self.cut_lineage else df
+        return materialize_shared(df, name, self.made) if self.cut_lineage else df
 
     def _memo(self, name, fn):
         if name not in self._cache:
@@ -281,7 +282,7 @@ class Pipeline:
     def materialize(self, name: str) -> DataFrame:
         """Cut lineage of any named stage read by several outputs (written
         once under ``spark.checkpoint.dir``; survives executor loss)."""
-        df = materialize_shared(getattr(self, name), name)
+        df = materialize_shared(getattr(self, name), name, self.made)
         self._cache[name] = df
         return df
 

@@ -20,7 +20,7 @@ from ..operators import balance, decisions, invoices, leads, outbox, partners, r
 from ..sources import driver as D
 from . import oracle as O
 from ..rules import with_manager
-from ..session import app_id
+from ..session import app_id, folder_version
 from .pipeline import Pipeline, driver_inputs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -48,10 +48,14 @@ _PIPELINES: dict[tuple, Pipeline] = {}
 
 def pipeline(spark: SparkSession, sf_dir: str, as_of=None) -> Pipeline:
     """One lazily built pipeline per (session, data folder, run date):
-    queries that share stages share the same plans and materialised stages."""
+    queries that share stages share the same plans and materialised stages.
+    When the folder's tables change, its pipelines are built anew."""
     as_of = as_of or D.AS_OF
-    key = (id(spark), app_id(spark), sf_dir, as_of)
+    version = folder_version(spark, sf_dir)
+    key = (id(spark), app_id(spark), sf_dir, as_of, version)
     if key not in _PIPELINES:
+        for old in [k for k in _PIPELINES if k[:3] == key[:3] and k[4] != version]:
+            del _PIPELINES[old]
         rules = D.driver_rules()
         _PIPELINES[key] = Pipeline(driver_inputs(spark, sf_dir, rules), rules, as_of)
     return _PIPELINES[key]

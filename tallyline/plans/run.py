@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from ..operators import outbox, reports
 from ..rules import RuleSet
-from ..session import remove_stages
+from ..session import remove_paths
 from ..sinks import tables
 from .pipeline import Inputs, Pipeline
 
@@ -60,5 +60,5 @@ def run_daily(
     if log_path:
         tables.append_json_log(outbox.audit_log(lines, run_ts).select("line"), log_path)
         written["audit_log"] = log_path
-    remove_stages(spark)
+    remove_paths(spark, p.made)
     return written

@@ -37,6 +37,14 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "app")
 
 
+def folder_version(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and modification times of a folder's tables: changes when
+    one of them is written anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*.parquet")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set one only when unset
     (local runs and tests), in a fresh scratch folder."""
@@ -68,21 +76,23 @@ def shared_stage_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tallyline-stages/{app_id(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def remove_stages(spark: SparkSession) -> None:
-    """Delete this application's materialised stages. Only for the end of a
-    run: frames read from them cannot be used afterwards."""
-    root = ensure_checkpoint_dir(spark)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/tallyline-stages/{app_id(spark)}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def remove_paths(spark: SparkSession, paths) -> None:
+    """Delete materialised stages; frames read from them are of no use then."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize_shared(df, name: str):
+def materialize_shared(df, name: str, made: list[str] | None = None):
     """Cut lineage: write the stage once as parquet in the shared checkpoint
     folder and read it back. Unlike ``checkpoint()`` (which runs the plan
     again to write it) the plan runs once; unlike a cache it survives
-    executor loss; unlike ``localCheckpoint`` it is not executor-local."""
+    executor loss; unlike ``localCheckpoint`` it is not executor-local. The
+    path is added to ``made``, for whoever deletes it in the end."""
     spark = df.sparkSession
     path = shared_stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.parquet(path)
 

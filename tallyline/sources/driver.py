@@ -26,7 +26,7 @@ from ..functions.classify import categorize
 from ..functions.money import MONEY
 from ..functions.sqlexpr import lit
 from ..rules import RuleSet, SplitRule
-from ..session import app_id
+from ..session import app_id, folder_version
 
 AS_OF = _dt.date(2024, 1, 25)
 # a later run date: January is a closed month then (monthly snapshot path)
@@ -115,9 +115,9 @@ _READS: dict[tuple, DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One resolved scan per (session, table); views over the same table
-    share it (Catalyst prunes columns per use)."""
-    key = (id(spark), app_id(spark), sf_dir, name)
+    """One resolved scan per (session, table version); views over the same
+    table share it (Catalyst prunes columns per use)."""
+    key = (id(spark), app_id(spark), sf_dir, folder_version(spark, sf_dir), name)
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _READS[key]

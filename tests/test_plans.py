@@ -72,3 +72,15 @@ def test_shared_stages_are_materialised_once(spark):
         files = df.inputFiles()
         assert files and all("tallyline-stages" in f for f in files)
         assert all(f.startswith(root) or root.split(":", 1)[-1] in f for f in files)
+
+
+def test_a_changed_folder_gets_a_new_pipeline(spark, scratch):
+    import os
+    import shutil
+
+    for name in os.listdir(SF_SMALL):
+        shutil.copy(os.path.join(SF_SMALL, name), scratch)
+    first = pipeline(spark, scratch)
+    assert pipeline(spark, scratch) is first
+    os.utime(os.path.join(scratch, "events.parquet"), (1, 1))
+    assert pipeline(spark, scratch) is not first
