@@ -26,8 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of recurring templates; ``n_chars`` follows."""
-    got = lines.drop_recurring(docs)
+    """Documents without lines of templates that recur in texts with lines of
+    their own; ``n_chars`` follows."""
+    got = lines.drop_boilerplate(docs)
     if "n_chars" in docs.columns:
         n = F.when(F.col("__n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
         got = got.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))

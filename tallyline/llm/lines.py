@@ -13,8 +13,18 @@ as ``MIN_VARIETY`` of those documents. The second condition tells boilerplate
 from the lines of copied documents, which stay for the near-duplicate
 operators. All lines of recurring templates are dropped.
 
+That rule is the one of ``ORACLE_SQL``. It keeps a line that a large group of
+copies holds as well, and tells nothing of lines between blank lines or inside
+a shared block. ``witnessed`` is the rule without these gaps, which the corpus
+pipeline uses: evidence are distinct texts, not documents. Templates that
+``MIN_DOCS`` texts hold are common; a text's other lines are its own. A common
+template recurs when texts with ``MIN_DOCS`` different sets of own lines hold
+it whose own lines are ``OWN_SHARE`` of their tokens or more. Copies share
+their own lines, and near copies have few.
+
 Only (template, document) and (template, surroundings) pairs are shuffled to
-count; both are reduced to distinct ones before the shuffle.
+count, or with ``witnessed`` (template, text) pairs and the common lines; all
+are reduced to distinct ones before the shuffle.
 
 Defined results: a null text is empty and has no lines; lines without tokens
 are never dropped; a document may lose all lines and then is empty; rows that
@@ -31,6 +41,7 @@ from .common import stage, text_of
 
 MIN_DOCS = 20
 MIN_VARIETY = 0.5
+OWN_SHARE = 0.5
 SHORT, LONG = 6, 16
 MIN_LEAD, LEAD = 4, 0.6
 _WS = r"\x20\x09-\x0D"
@@ -52,13 +63,17 @@ def add_templates(df: DataFrame, text_col: str) -> DataFrame:
     df = df.withColumn("_masked", masked)
     df = df.withColumn("_t", F.transform("_masked", lambda x: F.filter(F.split(x, f"[{_WS}]+"), lambda w: w != "")))
     keys = F.transform("_t", lambda t: F.when(F.size(t) > 0, F.xxhash64(F.size(t), F.slice(t, F.lit(1), _depth(F.size(t))))))
-    return df.withColumn("keys", keys).drop("_masked", "_t")
+    return df.withColumn("keys", keys).withColumn("sizes", F.transform("_t", F.size)).drop("_masked", "_t")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    base = docs.select(F.col("doc_id"), text_of().alias("_text")).withColumn("text_hash", F.xxhash64("_text"))
+    return add_templates(base, "_text")
 
 
 def line_table(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, pos, key, around: one row per line with a key."""
-    base = docs.select(F.col("doc_id"), text_of().alias("_text")).withColumn("text_hash", F.xxhash64("_text"))
-    base = add_templates(base, "_text").select("doc_id", "text_hash", "keys")
+    base = _keyed(docs).select("doc_id", "text_hash", "keys")
     places = F.transform(
         "keys",
         lambda k, i: F.struct(
@@ -78,11 +93,48 @@ def recurring(table: DataFrame, min_docs: int = MIN_DOCS, min_variety: float = M
     return docs.where(F.col("docs") >= min_docs).join(around, "key").where(F.col("surroundings") >= min_variety * F.col("docs"))
 
 
+def _mark(key: Column) -> Column:
+    """36 bits of a key, which can be added up."""
+    return F.shiftrightunsigned(key, 28)
+
+
+def size_table(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, pos, key, n (tokens), total (tokens of the text),
+    mark (sum over its lines): one row per line with a key."""
+    base = _keyed(docs).select("doc_id", "text_hash", "keys", "sizes")
+    zero = F.lit(0).cast("long")
+    base = base.withColumn("total", F.aggregate("sizes", zero, lambda x, n: x + n))
+    base = base.withColumn("mark", F.aggregate("keys", zero, lambda x, k: x + F.coalesce(_mark(k), zero)))
+    places = F.transform("keys", lambda k, i: F.struct(i.alias("pos"), k.alias("key"), F.get("sizes", i).alias("n")))
+    rows = base.withColumn("p", F.explode(F.filter(places, lambda p: p["key"].isNotNull())))
+    return rows.select("doc_id", "text_hash", "p.pos", "p.key", "p.n", "total", "mark")
+
+
+def witnessed(table: DataFrame, min_docs: int = MIN_DOCS, own_share: float = OWN_SHARE) -> DataFrame:
+    """key of the templates that recur in texts with own lines."""
+    texts = table.select("key", "text_hash").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("texts"))
+    common = stage(texts.where(F.col("texts") >= min_docs).select("key"), "lines-common")
+    shared = stage(table.join(common, "key").select("text_hash", "pos", "key", "n", "total", "mark").distinct(), "lines-shared")
+    own = shared.groupBy("text_hash", "total", "mark").agg(F.sum("n").alias("n"), F.sum(_mark(F.col("key"))).alias("marks"))
+    own = own.where(F.col("total") - F.col("n") >= F.lit(own_share) * F.col("total")).select("text_hash", (F.col("mark") - F.col("marks")).alias("own"))
+    pairs = shared.select("key", "text_hash").distinct().join(own, "text_hash").select("key", "own").distinct()
+    return pairs.groupBy("key").agg(F.count(F.lit(1)).alias("owns")).where(F.col("owns") >= min_docs).select("key")
+
+
+def drop_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, own_share: float = OWN_SHARE) -> DataFrame:
+    """As ``drop_recurring``, by the rule of ``witnessed``."""
+    table = stage(size_table(docs), "lines")
+    return _without(docs, table, stage(witnessed(table, min_docs, own_share), "lines-recurring"))
+
+
 def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_variety: float = MIN_VARIETY) -> DataFrame:
     """All columns of ``docs`` with ``text`` rid of recurring lines, and
     ``__n_lines`` and ``__n_dropped``."""
     table = stage(line_table(docs), "lines")
-    gone = stage(recurring(table, min_docs, min_variety).select("key"), "lines-recurring")
+    return _without(docs, table, stage(recurring(table, min_docs, min_variety).select("key"), "lines-recurring"))
+
+
+def _without(docs: DataFrame, table: DataFrame, gone: DataFrame) -> DataFrame:
     drop = table.join(gone, "key").select("doc_id", "text_hash", "pos").distinct()
     drop = drop.groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("__drop"))
     drop = drop.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th"), "__drop")

@@ -1,6 +1,7 @@
 import duckdb
 import random
 
+import corpus_pipeline
 from tallyline.llm import lines
 
 from .helpers import CLASHING, DOC, doc, frame, odd_docs, with_extras
@@ -60,3 +61,22 @@ def test_edges(spark):
     assert out.columns == [*docs.columns, "__n_lines", "__n_dropped"] and out.count() == len(odd_docs())
     a, b = (lines.dedup_lines(frame(spark, corpus(), DOC, n)) for n in (1, 5))
     assert digest(a) == digest(b)
+
+
+def kept_lines(spark, rows):
+    got = corpus_pipeline.line_dedup(spark, frame(spark, rows), None).collect()
+    assert len(got) == len(rows)
+    return {r["doc_id"]: r["text"] for r in got}
+
+
+def own(i, n=3):
+    rng = random.Random(i)
+    return [" ".join(f"{rng.choice('bcdfglmnprst')}{rng.choice('aeiou')}{chr(97 + i % 26)}{chr(97 + i // 26)}{rng.choice('xyz')}" for _ in range(8)) for _ in range(n)]
+
+
+def test_pipeline_drops_a_line_of_copies_and_of_many_other_texts(spark):
+    copy = "\n".join([*own(600), "All rights reserved.", *own(601)])
+    rows = [doc(i, "\n".join([*own(i), "All rights reserved."])) for i in range(40)] + [doc(1000 + i, copy) for i in range(200)]
+    got = kept_lines(spark, rows)
+    assert all(got[i] == "\n".join(own(i)) for i in range(40))
+    assert all(got[1000 + i] == "\n".join([*own(600), *own(601)]) for i in range(200))
