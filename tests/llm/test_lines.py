@@ -80,3 +80,25 @@ def test_pipeline_drops_a_line_of_copies_and_of_many_other_texts(spark):
     got = kept_lines(spark, rows)
     assert all(got[i] == "\n".join(own(i)) for i in range(40))
     assert all(got[1000 + i] == "\n".join([*own(600), *own(601)]) for i in range(200))
+
+
+def test_pipeline_drops_blocks_and_lines_between_blank_lines(spark):
+    head, mid, foot = (["Home of the news", "Sport", "Log in here"], ["We use cookies.", "Read our terms.", "Accept all of them."], ["About us", "Contact", "Imprint"])
+    rows = []
+    for i in range(30):
+        a, b, c, d = (own(25 * k + i, 2) for k in (0, 2, 4, 6))
+        rows.append(doc(i, "\n".join([*head, *a, *mid, *b, "", "Share this page.", "", *c, *d, *foot])))
+    near = own(500, 20)
+    rows += [doc(100 + i, "\n".join([*near[:10], *own(300 + i, 1), *near[10:]])) for i in range(40)]  # near copies stay
+    rows += [doc(200 + i, "This page is gone.") for i in range(40)]  # so do copies of one line
+    got = kept_lines(spark, rows)
+    for i in range(30):
+        a, b, c, d = (own(25 * k + i, 2) for k in (0, 2, 4, 6))
+        assert got[i] == "\n".join([*a, *b, "", "", *c, *d])
+    assert all(got[r[0]] == r[1] for r in rows[30:])
+
+
+def test_copies_of_every_page_do_not_hide_its_block(spark):
+    rows = [doc(100 * i + k, "\n".join(["Menu", "Search", "Help", *own(i)])) for i in range(25) for k in range(22)]
+    got = kept_lines(spark, rows)
+    assert all(got[100 * i + k] == "\n".join(own(i)) for i in range(25) for k in range(22))
