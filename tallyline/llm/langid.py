@@ -35,8 +35,11 @@ TRAIN_CHARS = 3_000_000
 ITERATIONS = 3
 SMOOTHING = 0.01
 WORD_START = "▁"
-#: words up to this length go through the vectorised pass, in plain doubles
+#: words up to this length go through the vectorised pass, in plain doubles;
+#: longer ones are rescaled (prediction) or summed as logarithms (training)
 SHORT = 24
+#: characters of long words that training handles at once, or a single word
+LONG_CHARS = 50_000
 WORD_CACHE = 200_000
 
 
@@ -141,6 +144,28 @@ class Lattice:
         self._sweep(beta, left[order], (start + m + word)[order], (start + word)[order], prob, ids[order])
         return beta
 
+    def _long_expected(self, words: list[str], weight: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        """As ``expected``, with sums of logarithms that cannot underflow."""
+        start, m, ids, word, first = self.edges(words)
+        n, own = len(words), np.arange(len(words))
+        source, target, step = start + word, start + m + word, logp[ids]
+        at_end, left = start + m - first[word], first[word + 1] - start
+        ends = []
+        for node, level, a, b in ((first[:-1] + own, at_end, source, target), (first[1:] + own, left, target, source)):
+            value = np.full(first[-1] + n, -np.inf)
+            value[node] = 0.0
+            order = np.lexsort((b, level))
+            lev, a, b, p = level[order], a[order], b[order], step[order]
+            bounds = np.concatenate([[0], np.flatnonzero(np.diff(lev)) + 1, [len(lev)]])
+            for s, e in zip(bounds[:-1], bounds[1:], strict=True):
+                t = b[s:e]
+                heads = np.concatenate([[0], np.flatnonzero(np.diff(t)) + 1])
+                value[t[heads]] = np.logaddexp.reduceat(value[a[s:e]] + p[s:e], heads)
+            ends.append(value)
+        alpha, beta = ends
+        w = np.exp(alpha[source] + step + beta[target] - alpha[first[1:] + own][word]) * weight[word]
+        return np.bincount(ids, w, self.n_pieces)
+
     @staticmethod
     def _sweep(value, level, source, target, prob, ids) -> None:
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(level)) + 1, [len(level)]])
@@ -187,7 +212,8 @@ class Lattice:
     def expected(self, words: list[str], weight: np.ndarray, prob: np.ndarray) -> np.ndarray:
         """Expected count of every piece, each word counted ``weight`` times."""
         total = np.zeros(self.n_pieces)
-        at = np.flatnonzero(np.fromiter((len(w) <= SHORT for w in words), bool, len(words)))
+        size = np.fromiter((len(w) for w in words), np.int64, len(words))
+        at = np.flatnonzero(size <= SHORT)
         for s in range(0, len(at), 20_000):
             own = at[s:s + 20_000]
             e = self.edges([words[i] for i in own])
@@ -196,6 +222,18 @@ class Lattice:
             z = alpha[first[1:] + np.arange(len(own)), 0]
             w = alpha[start + word, 0] * prob[ids, 0] * beta[start + m + word, 0] * (weight[own] / z)[word]
             total += np.bincount(ids, w, self.n_pieces)
+        at = np.flatnonzero(size > SHORT)
+        at = at[np.argsort(size[at], kind="stable")]  # like lengths share their levels
+        with np.errstate(divide="ignore"):
+            logp = np.log(prob[:, 0]) if len(at) else prob
+        ends = np.cumsum(size[at])
+        s = 0
+        while s < len(at):
+            base = ends[s - 1] if s else 0
+            stop = max(s + 1, int(np.searchsorted(ends, base + LONG_CHARS, side="right")))
+            own = at[s:stop]
+            total += self._long_expected([words[i] for i in own], weight[own], logp)
+            s = stop
         return total
 
 

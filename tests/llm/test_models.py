@@ -49,6 +49,29 @@ def test_expected_counts_are_those_of_all_segmentations():
     np.testing.assert_allclose(lattice.expected(words, weight, prob), want, rtol=1e-9)
 
 
+def test_long_words_count_like_short_ones(monkeypatch):
+    lattice = langid.Lattice(["▁", "a", "b", "ab", "▁a", "ba", "bab"])
+    rng = np.random.default_rng(3)
+    prob = rng.random((8, 1)) / 4
+    words = ["".join(rng.choice(list("abx"), n)) for n in (1, 4, 9, 12, 20, 24)]
+    want = lattice.expected(words, np.arange(1.0, 7.0), prob)
+    monkeypatch.setattr(langid, "SHORT", 3)
+    monkeypatch.setattr(langid, "LONG_CHARS", 25)
+    np.testing.assert_allclose(lattice.expected(words, np.arange(1.0, 7.0), prob), want, rtol=1e-9)
+    monkeypatch.undo()
+    long = lattice.expected(["x" * 5000], np.array([2.0]), prob * 1e-6)
+    np.testing.assert_allclose(long[[-1, 0]], [10_000, 2], rtol=1e-6)
+
+
+def test_languages_without_spaces(spark):
+    rng = random.Random(5)
+    syllables = {"xx": ["the", "ing", "and", "ous"], "yy": ["der", "ung", "sch", "ein"]}
+    text = lambda lang: " ".join("".join(rng.choice(syllables[lang]) for _ in range(40)) for _ in range(3))
+    rows = [(i, text(lang), lang, None, None) for i, lang in enumerate(rng.choice(["xx", "yy"]) for _ in range(80))]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_documents(frame(spark, rows), F.col("doc_id") % 4 != 2, ["doc_id"]).collect()}
+    assert all(got[i] == lang for i, _, lang, _, _ in rows if i % 4 == 2)
+
+
 def labelled(n):
     rng = random.Random(3)
     syllables = {"en": ["the", "ing", "and", "ous", "th"], "de": ["der", "ung", "sch", "ein", "ü"], "fr": ["les", "eau", "é", "tion", "que"]}
