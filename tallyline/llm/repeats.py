@@ -15,6 +15,9 @@ narrow it down first, none of which loses a match:
    cell share a core of ``width - cell`` bytes at least, and are keyed by it.
    A passage in very many documents thus meets only where nearly a whole
    window agrees. Cells are settled as regions were.
+   Where the open cells of one key hold more than ``shard_bytes``, they are
+   dealt into cells half as wide and settled again, down to single windows,
+   whose core is the whole window and settles them.
 3. Suffix sorting. Cells still open, one per distinct text, are dealt into
    shards by key. A shard's suffixes are sorted by induction with queues on
    disk (``induced``); neighbours that agree in ``width`` bytes are repeats.
@@ -160,12 +163,36 @@ def _settle(table: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     return twice, open_
 
 
+def _cells(text: np.ndarray, a: int, b: int, p: int, width: int, gram: int, cell: int) -> list[tuple]:
+    """Of windows a to b, whose bytes are ``text``: first and last window,
+    anchor's place, key, two hashes and bytes of every cell."""
+    poly, second = PolyHash(text), PolyHash(text, 0xC2B2AE3D27D4EB4F)
+    out: list[tuple] = []
+    for c in range((p - b) // cell, (p - a) // cell + 1):
+        lo, hi = c * cell, min((c + 1) * cell, width - gram + 1) - 1
+        s, e = max(a, p - hi), min(b, p - lo)
+        core = poly.of(np.array([p - lo - a]), width + lo - hi)[0]
+        key = _mix(np.array([core], np.uint64) + np.uint64(c))[0]
+        at, n = np.array([s - a]), e + width - s
+        out.append((s, e, p, key, poly.of(at, n)[0], second.of(at, n)[0], text[s - a:e - a + width].tobytes()))
+    return out
+
+
+def _cell_batch(uid: list, cells: list[tuple]) -> pa.RecordBatch:
+    s, e, p, key, r1, r2, data = zip(*cells, strict=True)
+    longs = [pa.array(x, pa.int64()) for x in (uid, s, e, p)]
+    hashes = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (key, r1, r2)]
+    return pa.RecordBatch.from_arrays([*longs, *hashes, pa.array(data, pa.binary())], names=["uid", "a", "b", "p", "key", "r1", "r2", "data"])
+
+
+CELLS = "uid long, a long, b long, p long, key long, r1 long, r2 long, data binary"
+
+
 def cell_table(docs: DataFrame, regions: DataFrame, width: int, gram: int, cell: int) -> DataFrame:
-    """uid, a, b, key, r1, r2, data: the cells of ``regions`` (uid, a, b, p),
+    """uid, a, b, p, key, r1, r2, data: the cells of ``regions`` (uid, a, b, p),
     with their text."""
     lists = regions.groupBy("uid").agg(F.array_sort(F.collect_set(F.struct("a", "b", "p"))).alias("regions"))
     wanted = docs.join(lists, "uid").dropDuplicates(["uid"]).select("uid", "text", "regions")
-    span = width - gram + 1
 
     def run(batches):
         for batch in batches:
@@ -173,30 +200,28 @@ def cell_table(docs: DataFrame, regions: DataFrame, width: int, gram: int, cell:
                 raw = np.frombuffer(batch.column("text")[k].as_py().encode("utf-8", "surrogatepass"), np.uint8)
                 out: list[tuple] = []
                 for r in batch.column("regions")[k].as_py():
-                    a, b, p = r["a"], r["b"], r["p"]
-                    text = raw[a:b + width]
-                    poly, second = PolyHash(text), PolyHash(text, 0xC2B2AE3D27D4EB4F)
-                    for c in range((p - b) // cell, (p - a) // cell + 1):
-                        lo, hi = c * cell, min((c + 1) * cell, span) - 1
-                        s, e = max(a, p - hi), min(b, p - lo)
-                        core = poly.of(np.array([p - lo - a]), width + lo - hi)[0]
-                        key = _mix(np.array([core], np.uint64) + np.uint64(c))[0]
-                        at, n = np.array([s - a]), e + width - s
-                        out.append((s, e, key, poly.of(at, n)[0], second.of(at, n)[0], raw[s:e + width].tobytes()))
+                    out += _cells(raw[r["a"]:r["b"] + width], r["a"], r["b"], r["p"], width, gram, cell)
                 if out:
-                    s, e, key, r1, r2, data = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([batch.column("uid")[k].as_py()] * len(out), pa.int64()),
-                            pa.array(s, pa.int64()),
-                            pa.array(e, pa.int64()),
-                            *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (key, r1, r2)],
-                            pa.array(data, pa.binary()),
-                        ],
-                        names=["uid", "a", "b", "key", "r1", "r2", "data"],
-                    )
+                    yield _cell_batch([batch.column("uid")[k].as_py()] * len(out), out)
+
+    return wanted.mapInArrow(run, CELLS)
+
+
+def narrower(cells: DataFrame, width: int, gram: int, cell: int) -> DataFrame:
+    """The same for ``cells`` (uid, a, b, p, data), dealt into cells of another
+    width."""
+
+    def run(batches):
+        for whole in batches:
+            for batch in byte_slices(whole, "data"):
+                uid, out = [], []
+                for r in batch.to_pylist():
+                    own = _cells(np.frombuffer(r["data"], np.uint8), r["a"], r["b"], r["p"], width, gram, cell)
+                    uid += [r["uid"]] * len(own)
+                    out += own
+                yield _cell_batch(uid, out)
 
-    return wanted.mapInArrow(run, "uid long, a long, b long, key long, r1 long, r2 long, data binary")
+    return cells.select("uid", "a", "b", "p", "data").mapInArrow(run, CELLS)
 
 
 def repeated_windows(cells: list[bytes], width: int) -> list[np.ndarray]:
@@ -235,20 +260,43 @@ def _runs(at: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(at[np.concatenate([[0], cut + 1])].tolist(), at[np.append(cut, len(at) - 1)].tolist(), strict=True))
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, cell: int = CELL, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """uid, a, b: runs of windows of ``docs`` (uid, text) that are repeats,
-    by their first and last start; runs may touch or overlap."""
+def open_cells(docs: DataFrame, width: int, gram: int, cell: int, key_bytes: int) -> tuple[DataFrame, DataFrame, int]:
+    """Runs of repeated windows found without sorting (uid, a, b); cells left
+    to sort (key, uid, a, data), of one key ``key_bytes`` at most, and their
+    bytes."""
     regions = stage(region_table(docs, width, gram), "repeat-regions")
     twice, open_ = _settle(regions, ["m"])
     spans = twice.select("uid", "a", "b")
     wanted = regions.join(open_.select("m", "r1", "r2", "uid", "a"), ["m", "r1", "r2", "uid", "a"], "left_semi")
-    cells = stage(cell_table(docs, wanted, width, gram, cell), "repeat-cells")
-    twice, open_ = _settle(cells.drop("data"), ["key"])
-    spans = spans.unionByName(twice.select("uid", "a", "b"))
-    left = cells.join(open_, ["key", "r1", "r2", "uid", "a"], "left_semi").dropDuplicates(["key", "r1", "r2"])
-    left = stage(left.select("key", "uid", "a", "data"), "repeat-open")
-    total = left.agg(F.sum(F.length("data"))).first()[0] or 0
-    shards = max(1, -(-int(total) // shard_bytes))
+    cells, parts, total = cell_table(docs, wanted, width, gram, cell), [], 0
+    while True:
+        cells = stage(cells, "repeat-cells")
+        twice, open_ = _settle(cells.drop("data"), ["key"])
+        spans = spans.unionByName(twice.select("uid", "a", "b"))
+        left = cells.join(open_, ["key", "r1", "r2", "uid", "a"], "left_semi").dropDuplicates(["key", "r1", "r2"])
+        left = stage(left.select("key", "uid", "a", "b", "p", "data"), "repeat-open")
+        sizes = stage(left.groupBy("key").agg(F.sum(F.length("data")).alias("bytes")), "repeat-sizes")
+        hot = F.broadcast(sizes.where(F.col("bytes") > key_bytes).select("key"))
+        got = sizes.agg(F.sum("bytes"), F.max("bytes")).first()
+        if cell == 1 or (got[1] or 0) <= key_bytes:
+            parts.append(left)
+            total += int(got[0] or 0)
+            break
+        parts.append(left.join(hot, "key", "left_anti"))
+        total += int(sizes.where(F.col("bytes") <= key_bytes).agg(F.sum("bytes")).first()[0] or 0)
+        cell = -(-cell // 2)
+        cells = narrower(left.join(hot, "key", "left_semi"), width, gram, cell)
+    left = parts[0]
+    for part in parts[1:]:
+        left = left.unionByName(part)
+    return spans, left.select("key", "uid", "a", "data"), total
+
+
+def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, cell: int = CELL, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """uid, a, b: runs of windows of ``docs`` (uid, text) that are repeats,
+    by their first and last start; runs may touch or overlap."""
+    spans, left, total = open_cells(docs, width, gram, cell, shard_bytes)
+    shards = max(1, -(-total // shard_bytes))
 
     def search(table):
         cells = table.column("data").to_pylist()

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyline.llm import repeats
 from tallyline.llm.induced import suffix_buckets
@@ -52,6 +53,19 @@ def test_equals_brute_force(spark, width, gram, cell):
     check(spark, passages(width + gram, 80, width), width, gram=gram, cell=cell, shard_bytes=3000)
 
 
+def test_a_key_of_many_cells_is_cut_before_the_shards(spark):
+    rng = random.Random(11)
+    text = lambda k: "".join(rng.choice("abcdefgh é") for _ in range(k))
+    shared = text(50)
+    rows = [doc(i, text(20) + shared + text(20)) for i in range(150)]
+    check(spark, rows, 40, gram=8, cell=9, shard_bytes=3000)
+    docs = frame(spark, rows).select(F.col("doc_id").alias("uid"), "text")
+    for limit, held in ((10**9, False), (3000, True)):
+        left = repeats.open_cells(docs, 40, 8, 9, limit)[1]
+        largest = left.groupBy("key").agg(F.sum(F.length("data")).alias("n")).agg(F.max("n")).first()[0] or 0
+        assert (largest <= 3000) == held
+
+
 def test_few_letters_and_runs(spark):
     rng = random.Random(8)
     rows = [doc(i, "".join(rng.choice("ab") for _ in range(rng.randrange(200)))) for i in range(30)]
