@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, lines, mixing, packing, quality, repeats, topk, urls
+from . import audit, fingerprints, jaccard, langid, lines, mixing, packing, quality, repeats, topk, urls
 from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = repeats.remove_repeats(documents(spark, sf_dir))
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_audit", audit.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_documents(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
