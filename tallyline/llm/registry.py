@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, fingerprints, jaccard, langid, lines, mixing, packing, quality, repeats, topk, urls
+from . import audit, fingerprints, jaccard, langid, lines, mixing, packing, quality, repeats, topk, urls, variants
 from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_audit", audit.ORACLE_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_documents(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op12_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(variants.occurrences(documents(spark, sf_dir)))
