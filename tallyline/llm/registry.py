@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, fingerprints, jaccard, langid, lines, mixing, packing, quality, repeats, topk, urls, variants
+from . import audit, chat, fingerprints, jaccard, langid, lines, mixing, packing, quality, repeats, topk, urls, variants
 from .common import bucket_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,16 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_variants")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(variants.occurrences(documents(spark, sf_dir)))
+
+
+#: a conversation whose texts hold the template's control strings
+HARD_CASE = (
+    "SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text "
+    "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+)
+
+
+@query("op11_chat", chat.ORACLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(turns.unionByName(spark.sql(HARD_CASE))))
