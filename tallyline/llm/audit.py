@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections import Counter
+from contextlib import contextmanager
 from itertools import permutations
 
 import numpy as np
@@ -54,7 +55,13 @@ BATCHES = 8
 GROUP_TEXTS = 512
 #: parts that rows of one doc_id are dealt to where they meet the labels
 SALTS = 8
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: state beyond memory; only changes go to the shared folder at each commit;
+#: no space is set aside (4 MB a state partition) before it is needed
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 COMBINED = "bucket long, text_key string, doc_id long, later boolean, part string, mask int, good int, toxic int, n long"
 DELTA = "part string, mask int, good int, toxic int, n long"
@@ -198,6 +205,19 @@ def _update(key, frames, state):
         yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """The session's settings ``conf`` for a while."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = BATCHES, group_texts: int = GROUP_TEXTS) -> DataFrame:
     """Documents per (part, mask, good, toxic) of the Parquet files at
     ``path``, kept by the stream."""
@@ -213,10 +233,7 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = B
         _update, DELTA, "entries string", "append", GroupStateTimeout.NoTimeout
     )
     root = shared_stage_path(spark, "audit-deltas")
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
-    try:
+    with settings(spark, STATE_STORE):
         query = (
             deltas.writeStream.format("parquet")
             .outputMode("append")
@@ -225,11 +242,6 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = B
             .start(f"{root}/rows")
         )
         query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, before)
     found = spark.read.schema(DELTA).parquet(f"{root}/rows")
     total = found.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
     return total.where("n <> 0")
