@@ -45,6 +45,21 @@ def folder_version(spark: SparkSession, folder: str) -> tuple:
     return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
 
 
+def landed_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, size, modification time) of all files at ``path`` (a file, a
+    folder or a pattern), hidden ones left out."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for top in fs.globStatus(hadoop) or []:
+        files = fs.listFiles(top.getPath(), True)
+        while files.hasNext():
+            s = files.next()
+            if not s.getPath().getName().startswith(("_", ".")):
+                out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return sorted(out)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set one only when unset
     (local runs and tests), in a fresh scratch folder."""

@@ -1,20 +1,26 @@
 """Table writes: K1-K8 (+ O2).
 
-Writes go through the session catalog (managed tables under the warehouse)
-or to paths in shared storage. A full refresh never truncates a table in
-place: the new content is written to a staging table first and swapped in,
-so readers never see an empty or half-loaded table and a retried job does
-not duplicate rows (C14).
+Writes go through the session catalog or to paths in shared storage. A full
+refresh never truncates a table in place: the new content is written to a
+version folder of its own, and the table's location is then changed to it, in
+one catalog change. Readers see the old content or the new, never an empty,
+half-loaded or missing table, and a retried job does not duplicate rows (C14).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
 
-from ..session import materialize_shared
+from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.sqlexpr import lit
+from ..session import materialize_shared, remove_paths
 
-OLD_SUFFIX = "__old"
+#: folder of a table's versions, beside the database's tables
+VERSIONS = "__versions"
+#: name that holds a new definition while the table gets it
+NEXT = "__next"
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -22,33 +28,91 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def full_refresh(df: DataFrame, name: str, staging_suffix: str = "__staging") -> None:
-    """K1: replace a table's content (stage, then swap by two renames).
+def _place(spark: SparkSession, name: str) -> str:
+    """Where the database would keep a managed table of this name."""
+    db, _, table = name.rpartition(".")
+    root = spark.catalog.getDatabase(db or spark.catalog.currentDatabase()).locationUri
+    return f"{root.rstrip('/')}/{table}"
+
+
+def location(spark: SparkSession, name: str) -> str:
+    return next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location")
+
+
+def _shape(df: DataFrame) -> list[tuple[str, str]]:
+    return [(n, t) for n, t in df.dtypes]
 
-    The old table is dropped only after the new one has its name. A swap that
-    broke off between the renames is finished by the next refresh."""
+
+def _create(spark: SparkSession, name: str, ddl: str, path: str, partition_by=()) -> None:
+    by = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet {by} LOCATION {lit(path)}")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def full_refresh(df: DataFrame, name: str, partition_by=(), expect: int | None = None) -> None:
+    """K1: replace a table's content by one change of its location.
+
+    With ``expect`` the written rows are counted first; another number stops
+    the refresh and leaves the table as it was. The version before stays for
+    running readers, older ones are deleted. A table of other columns or with
+    partitions gets a new definition instead: it is kept under ``NEXT`` while
+    the old one is dropped, and ``recover`` finishes such a change."""
     spark = df.sparkSession
-    stage, old = name + staging_suffix, name + OLD_SUFFIX
-    recover(spark, name, staging_suffix)
+    recover(spark, name)
+    root = _place(spark, name) + VERSIONS
+    path = f"{root}/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    if expect is not None and (found := spark.read.schema(df.schema).parquet(path).count()) != expect:
+        remove_paths(spark, [path])
+        raise ValueError(f"{name}: {found} rows out of {expect} records")
+    ddl = df._jdf.schema().toDDL()
+    keep = {path}
     if not table_exists(spark, name):
-        df.write.mode("overwrite").saveAsTable(name)
-        return
-    spark.sql(f"DROP TABLE IF EXISTS {stage}")
-    df.write.mode("overwrite").saveAsTable(stage)
-    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
-    spark.sql(f"DROP TABLE {old}")
-
-
-def recover(spark: SparkSession, name: str, staging_suffix: str = "__staging") -> None:
-    """Finish a swap that was interrupted. The old table is renamed away only
-    once the staged one is complete, so that one takes the name."""
-    stage, old = name + staging_suffix, name + OLD_SUFFIX
-    if not table_exists(spark, old):
+        _create(spark, name, ddl, path, partition_by)
+    elif not partition_by and _shape(spark.table(name)) == _shape(df) and not _partitions(spark, name):
+        keep.add(location(spark, name))
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {lit(path)}")
+        spark.catalog.refreshTable(name)
+    else:
+        keep.add(location(spark, name))
+        _create(spark, name + NEXT, ddl, path, partition_by)
+        spark.sql(f"DROP TABLE {name}")
+        _create(spark, name, ddl, path, partition_by)
+        spark.sql(f"DROP TABLE {name + NEXT}")
+    clean_versions(spark, name, keep)
+
+
+def _partitions(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def recover(spark: SparkSession, name: str) -> None:
+    """Finish a change of definition that broke off: what stands under
+    ``NEXT`` is complete, so a missing table is created from it."""
+    if not table_exists(spark, name + NEXT):
         return
     if not table_exists(spark, name):
-        spark.sql(f"ALTER TABLE {stage if table_exists(spark, stage) else old} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+        ddl = spark.table(name + NEXT)._jdf.schema().toDDL()
+        _create(spark, name, ddl, location(spark, name + NEXT), _partitions(spark, name + NEXT))
+    spark.sql(f"DROP TABLE {name + NEXT}")
+
+
+def clean_versions(spark: SparkSession, name: str, keep) -> None:
+    """Delete the table's folders but ``keep`` (paths)."""
+    place = _place(spark, name)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(place).getFileSystem(spark._jsc.hadoopConfiguration())
+    plain = lambda p: path(p).toUri().getPath().rstrip("/")
+    kept = {plain(k) for k in keep}
+    found = [s.getPath().toString() for s in fs.globStatus(path(f"{place}{VERSIONS}/*")) or []]
+    remove_paths(spark, [p for p in [*found, place] if plain(p) not in kept])
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """The table and all its versions."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    clean_versions(spark, name, ())
 
 
 def append(df: DataFrame, name: str) -> None:
@@ -72,12 +136,14 @@ def materialize(df: DataFrame, name: str, truncate: bool = True) -> None:
 
 
 def write_header_detail(header: DataFrame, detail: DataFrame | None, header_table: str, detail_table: str,
-                        truncate: bool = True) -> None:
-    """K5: one payload -> header table + detail table."""
-    write = full_refresh if truncate else append
-    write(header, header_table)
+                        truncate: bool = True, expect: int | None = None) -> None:
+    """K5: one payload -> header table + detail table; ``expect`` header rows."""
+    if truncate:
+        full_refresh(header, header_table, expect=expect)
+    else:
+        append(header, header_table)
     if detail is not None and detail_table:
-        write(detail, detail_table)
+        (full_refresh if truncate else append)(detail, detail_table)
 
 
 def append_json_log(df: DataFrame, path: str) -> None:

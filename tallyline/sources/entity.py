@@ -17,11 +17,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from ..functions.classify import categorize
 from ..functions.coerce import coerce_by_word, coerce_datetime
-from ..functions.sqlexpr import ident
+from ..functions.sqlexpr import ident, lit
+
+
+FAIL = "map('mode', 'FAILFAST')"  # a malformed document fails the run
+MALFORMED, NO_RECORDS = "malformed", "no records"
 
 
 @dataclass(frozen=True)
@@ -56,29 +60,62 @@ class EntitySpec:
 
 
 def record_schema(spec: EntitySpec) -> StructType:
+    """All fields as text; elements without a mapping of their own are maps of
+    field name to text."""
     fields = [StructField(c.source, StringType()) for c in spec.columns]
     if spec.explode_column:
         detail = StructType([StructField(c.source, StringType()) for c in spec.detail_columns])
+        detail = detail if spec.detail_columns else MapType(StringType(), StringType())
         fields = [f for f in fields if f.name != spec.explode_column]
         fields.append(StructField(spec.explode_column, ArrayType(detail)))
     return StructType(fields)
 
 
 def envelope_schema(spec: EntitySpec) -> StructType:
+    """``value`` is read as text where the records have a field of that name."""
     rec = record_schema(spec)
-    return StructType([StructField("value", ArrayType(rec))] + [f for f in rec.fields if f.name != "value"])
+    own = [f for f in rec.fields if f.name == "value"]
+    return StructType([StructField("value", StringType() if own else ArrayType(rec))] + [f for f in rec.fields if f.name != "value"])
 
 
-def _records(raw: DataFrame, spec: EntitySpec) -> DataFrame:
+def _record_arrays(spec: EntitySpec) -> tuple[str, str]:
+    """SQL of a document's records, and of whether it is an entity set at all:
+    an envelope with its array, or a bare record that has its key (or any
+    field, where the key is not mapped). Error answers are neither."""
     rec = record_schema(spec)
-    own = ", ".join(ident(f.name) for f in rec.fields)
-    return raw.selectExpr(f"inline(CASE WHEN value IS NOT NULL THEN value ELSE array(struct({own})) END)")
+    names = [f.name for f in rec.fields]
+    envelope, inside = "value IS NOT NULL", "value"
+    if "value" in names:
+        envelope = "ltrim(value) LIKE '[%'"
+        inside = f"from_json(value, '{ArrayType(rec).simpleString()}', {FAIL})"
+    keys = [spec.ref_key] if spec.ref_key in names else names
+    bare = " OR ".join(f"{ident(k)} IS NOT NULL" for k in keys)
+    records = f"CASE WHEN {bare} THEN array(struct({', '.join(map(ident, names))})) WHEN {envelope} THEN {inside} END"
+    return records, f"({envelope} OR {bare})"
+
+
+def _records(raw: DataFrame, spec: EntitySpec) -> DataFrame:
+    records, usable = _record_arrays(spec)
+    refuse = f"raise_error('{spec.name}: a document without records')"
+    return raw.selectExpr(f"inline(IF({usable}, {records}, {refuse}))")
+
+
+def read_documents(spark: SparkSession, path: str, spec: EntitySpec, multi_line: bool = True) -> DataFrame:
+    """One row a landed document: ``file``, ``refused`` (why it is no entity
+    set; else null), ``text`` (of a malformed one) and its ``records``."""
+    schema = envelope_schema(spec).add("_malformed", StringType())
+    reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+    raw = reader.option("columnNameOfCorruptRecord", "_malformed").json(path)
+    records, usable = _record_arrays(spec)
+    refused = f"CASE WHEN _malformed IS NOT NULL THEN '{MALFORMED}' WHEN NOT {usable} THEN '{NO_RECORDS}' END"
+    out = raw.selectExpr("_metadata.file_path AS file", f"{refused} AS refused", "_malformed AS text", f"{records} AS records")
+    return out.selectExpr("file", "refused", "text", "IF(refused IS NULL, records, NULL) AS records")
 
 
 def read_entity_files(spark: SparkSession, path: str, spec: EntitySpec, multi_line: bool = True) -> DataFrame:
     """S1 + S2: landed files -> raw record rows (only mapped fields read).
     S4: without a mapping, all fields with inferred types. A malformed or
-    truncated document fails the run."""
+    truncated document, or an answer that is no entity set, fails the run."""
     reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if not spec.columns:
         return inferred_records(reader.json(path))
@@ -97,17 +134,13 @@ def inferred_records(raw: DataFrame) -> DataFrame:
     return raw.selectExpr("inline(value)")
 
 
-FAIL = "map('mode', 'FAILFAST')"  # a malformed document fails the run
-
-
 def parse_entity_text(df: DataFrame, text_col: str, spec: EntitySpec) -> DataFrame:
     """S1 on a text column of JSON documents (envelope or bare list)."""
-    env = envelope_schema(spec).simpleString()
     arr = ArrayType(record_schema(spec)).simpleString()
     t = ident(text_col)
     parsed = df.selectExpr(
         f"CASE WHEN ltrim({t}) LIKE '[%' THEN from_json({t}, '{arr}', {FAIL}) "
-        f"ELSE from_json({t}, '{env}', {FAIL}).value END AS _docs"
+        f"ELSE from_json({t}, 'struct<value:{arr}>', {FAIL}).value END AS _docs"
     )
     return parsed.selectExpr("inline(_docs)")
 
@@ -140,9 +173,9 @@ def detail_rows(records: DataFrame, spec: EntitySpec, null_default: bool = True)
     exploded = records.selectExpr(
         f"{ident(ref)} AS {ident(spec.ref_target)}", f"explode_outer({ident(spec.explode_column)}) AS _e"
     )
-    flat = exploded.selectExpr(ident(spec.ref_target), "_e.*")
     if not spec.detail_columns:  # all element fields, as they are
-        return flat
+        return _unmapped_elements(exploded, spec)
+    flat = exploded.selectExpr(ident(spec.ref_target), "_e.*")
     out = [ident(spec.ref_target)] + [
         f"{coerce_by_word(ident(c.source), c.type_word, null_default)} AS {ident(c.target)}" for c in spec.detail_columns
     ]
@@ -154,6 +187,15 @@ def detail_rows(records: DataFrame, spec: EntitySpec, null_default: bool = True)
     return rows
 
 
+def _unmapped_elements(exploded: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Element fields under their own names. Of maps, the distinct field names
+    are gathered first (as many as the set has fields, not rows)."""
+    if not exploded.schema["_e"].dataType.simpleString().startswith("map"):
+        return exploded.selectExpr(ident(spec.ref_target), "_e.*")
+    names = exploded.selectExpr("explode(map_keys(_e)) AS n").distinct().orderBy("n").collect()
+    return exploded.selectExpr(ident(spec.ref_target), *[f"_e[{lit(r.n)}] AS {ident(r.n)}" for r in names if r.n != spec.ref_target])
+
+
 def ingest(records: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFrame | None]:
     """S1-S4 + N1-N4: (header, detail) DataFrames of one entity set."""
     header = header_rows(records, spec)
@@ -164,14 +206,10 @@ def ingest(records: DataFrame, spec: EntitySpec) -> tuple[DataFrame, DataFrame |
 def incremental_records(records: DataFrame, source_field: str, cutoff) -> DataFrame:
     """S3 on whole documents, before the header and detail rows are made, so
     that the lines of excluded documents stay out too."""
-    from ..functions.sqlexpr import lit
-
     return records.where(f"{coerce_datetime(ident(source_field))} > {lit(cutoff)}")
 
 
 def incremental(header: DataFrame, date_col: str, cutoff) -> DataFrame:
     """S3: rows strictly after the cut-off (pushed to the scan when the
     column is stored typed)."""
-    from ..functions.sqlexpr import lit
-
     return header.where(f"{ident(date_col)} > {lit(cutoff)}")

@@ -42,15 +42,65 @@ def test_bundle_and_json_log(spark, scratch):
     assert [r[0] for r in spark.read.text(log).collect()] == ['{"id":1,"note":null}'] * 2
 
 
-def test_interrupted_swap_is_finished(spark):
+def test_interrupted_definition_change_is_finished(spark):
     a, b = (spark.createDataFrame([(i,)], "id long") for i in (1, 2))
     tables.full_refresh(a, "t_swap")
-    b.write.saveAsTable("t_swap__staging")
-    spark.sql("ALTER TABLE t_swap RENAME TO t_swap__old")  # broke off here: no table t_swap
+    tables.full_refresh(b, "t_swap__next")
+    spark.sql("DROP TABLE t_swap")  # broke off here: no table t_swap
     tables.recover(spark, "t_swap")
-    assert [r.id for r in spark.table("t_swap").collect()] == [2] and not tables.table_exists(spark, "t_swap__old")
+    assert [r.id for r in spark.table("t_swap").collect()] == [2] and not tables.table_exists(spark, "t_swap__next")
     tables.full_refresh(a, "t_swap")
     assert [r.id for r in spark.table("t_swap").collect()] == [1]
+    tables.full_refresh(a.selectExpr("id", "'x' AS v"), "t_swap")  # other columns
+    assert [tuple(r) for r in spark.table("t_swap").collect()] == [(1, "x")]
+    tables.full_refresh(a.selectExpr("id", "'x' AS v"), "t_swap", partition_by=("v",))
+    tables.full_refresh(b.selectExpr("id", "'y' AS v"), "t_swap", partition_by=("v",))
+    assert [tuple(r) for r in spark.table("t_swap").collect()] == [(2, "y")]
+
+
+def test_a_polling_reader_always_finds_a_whole_table(spark):
+    import threading
+
+    name = "t_polled"
+    tables.full_refresh(spark.range(100).selectExpr("id", "0 AS version"), name)
+    seen, errors, done = [], [], threading.Event()
+
+    def poll():
+        while not done.is_set():
+            try:
+                seen.append(tuple(spark.table(name).selectExpr("count(*)", "min(version)", "max(version)").first()))
+            except Exception as e:  # noqa: BLE001
+                errors.append(e)
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for k in range(1, 6):
+        time.sleep(0.3)
+        tables.full_refresh(spark.range(100).selectExpr("id", f"{k} AS version"), name)
+    done.set()
+    reader.join()
+    assert not errors and len(seen) > 3
+    assert all(n == 100 and low == high for n, low, high in seen)
+    assert spark.table(name).first().version == 5
+
+
+def test_old_versions_go_and_a_wrong_count_changes_nothing(spark):
+    import pytest
+
+    name = "t_versions"
+    for k in range(4):
+        tables.full_refresh(spark.range(k + 1), name)
+    folder = tables._place(spark, name).removeprefix("file:") + tables.VERSIONS
+    assert len(os.listdir(folder)) == 2  # the current one and the one before
+    with pytest.raises(ValueError, match="3 rows out of 5"):
+        tables.full_refresh(spark.range(3), name, expect=5)
+    assert spark.table(name).count() == 4 and len(os.listdir(folder)) == 2
+    tables.full_refresh(spark.range(0), name, expect=0)
+    assert spark.table(name).count() == 0
+    spark.range(2).write.mode("append").saveAsTable(name)
+    assert spark.table(name).count() == 2
+    tables.drop_table(spark, name)
+    assert not os.path.exists(folder) or not os.listdir(folder)
 
 
 def test_streaming_ingest_only_new_files(spark, scratch):
