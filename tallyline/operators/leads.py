@@ -166,12 +166,13 @@ def snapshot_boundary(cal: Calendar) -> str:
     return cal.prev_month_01
 
 
-def month_snapshot(groups: DataFrame, upto: str) -> DataFrame:
-    """Closed months (< ``upto``) pre-aggregated per (account, month).
+def month_snapshot(groups: DataFrame, upto: str | None) -> DataFrame:
+    """Closed months (< ``upto``; all without it) pre-aggregated per (account,
+    month).
 
     Exact because duplicate groups never span months (the month is part of
-    the duplicate key). Maintained by appending newly closed months."""
-    firsts = groups.where(f"_dk_month < {upto}")
+    the duplicate key). Kept by month in ``plans/snapshot.py``."""
+    firsts = groups.where(f"_dk_month < {upto}") if upto else groups
     return firsts.groupBy(
         F.expr("_f.inn AS inn"), F.expr("_f.city_invoice AS city_invoice"),
         F.expr("_f.source_invoice AS source_invoice"), F.expr("_dk_month AS month"),
@@ -194,7 +195,8 @@ def lead_accounts_incremental(snapshot: DataFrame, keyed: DataFrame, cal: Calend
     month start and duplicate groups are month-local), so on a table
     partitioned or sorted by date it prunes files before the scan."""
     boundary = snapshot_boundary(cal)
-    snap_rows = snapshot.where(f"month < {boundary}").selectExpr(
+    # a lead without a date is in no window, only in the totals
+    snap_rows = snapshot.where(f"month < {boundary} OR month IS NULL").selectExpr(
         *ACCOUNT, "month AS date_add", "max_ts AS date_time_add", "npos", "purchase", "sale", "latest AS _latest"
     )
     live_rows = _measure_rows(lead_groups(keyed.where(f"date_add >= {boundary}")))

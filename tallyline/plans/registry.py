@@ -20,7 +20,7 @@ from ..operators import balance, decisions, invoices, leads, outbox, partners, r
 from ..sources import driver as D
 from . import oracle as O
 from ..rules import with_manager
-from ..session import app_id, folder_version
+from ..session import app_id, ensure_checkpoint_dir, folder_version
 from .pipeline import Pipeline, driver_inputs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -800,6 +800,107 @@ def q_ingest_landed_rows(p: Pipeline) -> DataFrame:
     return header.unionByName(detail, allowMissingColumns=True)
 
 
+DOC_ROWS_SQL = """SELECT 'document' AS table_name, ref, doc_date, number, CAST(CAST(COALESCE(amount_raw, 0) AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+{posted} AS is_posted, partner_key, comment, NULL::BIGINT AS line_no, NULL::VARCHAR AS text FROM docs_v d WHERE {where}
+UNION ALL SELECT 'document_line', l.ref, NULL, NULL, CAST(CAST(COALESCE(sum_raw, 0) AS DECIMAL(18,2)) AS DOUBLE), NULL, NULL, NULL,
+CAST({line} AS BIGINT), text FROM doc_lines_v l JOIN docs_v d ON l.ref = d.ref WHERE {where}"""
+
+
+def _land(df: DataFrame, column: str) -> str:
+    from ..session import shared_stage_path
+
+    path = shared_stage_path(df.sparkSession, "landing")
+    df.select(column).write.text(path)
+    return path
+
+
+def _own_tables(spec):
+    import uuid
+
+    return replace(spec, header_table=f"document_{uuid.uuid4().hex[:12]}", detail_table=f"document_line_{uuid.uuid4().hex[:12]}")
+
+
+_FIRST_CUT = "2000-01-01 00:00:00"
+_SECOND_CUT = D.ENTITY_AS_OF_CUTOFF.isoformat(sep=" ")
+
+
+@register(
+    "ingest_upsert",
+    DOC_ROWS_SQL.format(
+        posted=f"d.is_posted AND d.doc_date <= TIMESTAMP '{_SECOND_CUT}'",
+        where=f"d.doc_date > TIMESTAMP '{_FIRST_CUT}'",
+        line=f"CASE WHEN d.doc_date > TIMESTAMP '{_SECOND_CUT}' AND line_no_raw = 2 THEN 3 ELSE COALESCE(line_no_raw, 0) END",
+    ),
+    ["docs_v", "doc_lines_v"],
+)
+def q_ingest_upsert(p: Pipeline) -> DataFrame:
+    """S3 + K5: all dated documents, then newer versions of those after the
+    cut-off (not posted, other line numbers), each load done twice."""
+    from datetime import datetime
+
+    from . import ingest
+
+    docs = p.inputs["entity_documents"]
+    spark, spec = docs.sparkSession, _own_tables(D.document_spec())
+    newer = "replace(replace(payload, '\"Posted\":true', '\"Posted\":false'), '\"LineNumber\":2', '\"LineNumber\":3') AS payload"
+    loads = [
+        ingest.Landing(spec, _land(docs, "payload"), False, "Date", datetime.fromisoformat(_FIRST_CUT)),
+        ingest.Landing(spec, _land(docs.selectExpr(newer), "payload"), False, "Date", D.ENTITY_AS_OF_CUTOFF),
+    ]
+    for landing in loads:
+        for _ in range(2):
+            written = ingest.ingest_all(spark, [landing], _sink_db(spark))
+    header = spark.table(written[spec.header_table]).drop("doc_month").selectExpr(
+        "'document' AS table_name", "*", "CAST(NULL AS BIGINT) AS line_no", "CAST(NULL AS STRING) AS text")
+    detail = spark.table(written[spec.detail_table]).drop("doc_month").selectExpr("'document_line' AS table_name", "*")
+    return header.unionByName(detail, allowMissingColumns=True)
+
+
+@register(
+    "ingest_refused",
+    "SELECT 'malformed' AS refused, CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS loaded FROM docs_v "
+    "UNION ALL SELECT 'no records', CAST(2 * count(*) AS BIGINT), 0 FROM docs_v",
+    ["docs_v"],
+)
+def q_ingest_refused(p: Pipeline) -> DataFrame:
+    """Whole documents beside a truncated one, an error answer and an empty
+    value for each; the load stops, and what was refused is listed."""
+    from ..sinks import tables
+    from . import ingest
+
+    docs = p.inputs["entity_documents"]
+    spark, spec = docs.sparkSession, _own_tables(D.document_spec())
+    spec = replace(spec, name=f"refused_{spec.header_table}")
+    broken = (
+        "explode(array(payload, left(payload, length(payload) - 1), "
+        "concat('{\"odata.error\":{\"code\":\"', doc_id, '\"}}'), '{\"value\":null}')) AS payload"
+    )
+    db = _sink_db(spark)
+    try:
+        ingest.ingest_all(spark, [ingest.Landing(spec, _land(docs.selectExpr(broken), "payload"), False)], db)
+    except ingest.IngestError:
+        pass
+    loaded = spark.table(f"{db}.{spec.header_table}").count() if tables.table_exists(spark, f"{db}.{spec.header_table}") else 0
+    listed = spark.table(f"{db}.{ingest.QUARANTINE}").where(F.col("entity") == spec.name)
+    return listed.groupBy("refused").agg(F.count("*").alias("n"), F.lit(loaded).cast("long").alias("loaded"))
+
+
+@register(
+    "nested_flatten_unmapped",
+    "SELECT ref, CAST(line_no_raw AS BIGINT) AS line_no, text, CAST(CAST(sum_raw AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM doc_lines_v",
+    ["doc_lines_v"],
+)
+def q_nested_flatten_unmapped(p: Pipeline) -> DataFrame:
+    """N2 of landed files without a mapping of the elements: all their fields,
+    as text."""
+    from ..sources import entity
+
+    docs = p.inputs["entity_documents"]
+    spec = replace(D.document_spec(), detail_columns=())
+    detail = entity.detail_rows(entity.read_entity_files(docs.sparkSession, _land(docs, "payload"), spec, multi_line=False), spec)
+    return detail.selectExpr("ref", "CAST(LineNumber AS BIGINT) AS line_no", "Text AS text", "CAST(Sum AS DECIMAL(18,2)) AS amount")
+
+
 @register("sink_truncate_insert", "SELECT CAST(1 AS BIGINT) AS row_no, inn, CAST(payment_type AS VARCHAR) AS note FROM terms_dedup", ["terms_dedup"])
 def q_sink_truncate_insert(p: Pipeline) -> DataFrame:
     """K4: replaced by position; the table keeps its names and types."""
@@ -1021,13 +1122,18 @@ def q_lead_month_snapshot(p: Pipeline) -> DataFrame:
     ["leads_grp_snap"],
 )
 def q_leads_period_agg_snapshot(p: Pipeline) -> DataFrame:
-    """A1 at a later run date from the monthly snapshot + open months only;
-    equal to the full recompute."""
-    cal = _snap_cal()
-    groups = leads.lead_groups(p.leads_keyed)
-    snap = leads.month_snapshot(groups, leads.snapshot_boundary(cal))
-    acc = leads.lead_accounts_incremental(snap, p.leads_keyed, cal)
-    return leads.leads_period_agg(acc, terms.terms_calendar(p.terms_all, cal))
+    """A1 at a later run date from stored months + open months only: the
+    tables are built for an earlier run date, then brought up to date; equal
+    to the full recompute."""
+    from . import snapshot
+
+    cal, source = _snap_cal(), p.inputs["leads"]
+    spark = source.sparkSession
+    db = f"{_sink_db(spark)}_months"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{ensure_checkpoint_dir(spark).rstrip('/')}/tallyline-months'")
+    for run_date in (D.AS_OF, D.SNAPSHOT_AS_OF):
+        snapshot.update(spark, source, p.rules, Calendar.of(run_date), db)
+    return leads.leads_period_agg(snapshot.lead_accounts(spark, source, p.rules, cal, db), terms.terms_calendar(p.terms_all, cal))
 
 
 # ============================================================ other run dates

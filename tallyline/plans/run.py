@@ -17,6 +17,7 @@ from ..operators import outbox, reports
 from ..rules import RuleSet
 from ..session import remove_paths
 from ..sinks import tables
+from . import snapshot
 from .pipeline import Inputs, Pipeline
 
 
@@ -39,9 +40,13 @@ def run_daily(
         written[name] = t
         return spark.table(t)
 
-    # derived tables, in dependency order; each fact pass runs once, what
-    # follows aggregates from the saved tables
-    p.use_saved("leads_enriched", save("leads_enriched", p.leads_enriched))
+    # derived tables, in dependency order; leads are flagged and summed by
+    # month, so only open and changed months are read; the invoice facts are
+    # read once, what follows aggregates from the saved tables
+    snapshot.update(spark, inputs["leads"], rules, p.cal, database)
+    written["leads_enriched"] = f"{database}.leads_enriched"
+    p.use_saved("leads_enriched", spark.table(written["leads_enriched"]).drop(snapshot.MONTH))
+    p.use_lead_accounts(snapshot.lead_accounts(spark, inputs["leads"], rules, p.cal, database))
     p.use_saved("invoices_enriched", save("invoices_enriched", p.invoices_enriched))
     save("payment_terms_calendar", p.payment_terms_calendar)
     report = p.materialize("balance_report")  # read by every output below

@@ -115,6 +115,27 @@ def drop_table(spark: SparkSession, name: str) -> None:
     clean_versions(spark, name, ())
 
 
+def replace_partitions(df: DataFrame, name: str, part: str, values) -> None:
+    """The partitions ``values`` (text) of ``name`` become the rows of ``df``;
+    all others stay untouched. The rows are written to the shared checkpoint
+    folder first, so they may come from the table itself."""
+    spark, values = df.sparkSession, set(values)
+    if not table_exists(spark, name):
+        df.write.partitionBy(part).saveAsTable(name)
+        return
+    made: list[str] = []
+    staged = materialize_shared(df.select(*spark.table(name).columns), "partitions", made)
+    # a session of its own: the mode must not change under another thread's write
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.read.schema(staged.schema).parquet(made[0]).write.insertInto(name, overwrite=True)
+    written = {r[0] for r in staged.select(part).distinct().collect()}  # as many as partitions, not rows
+    for value in values - written:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part} = {lit(value)})")
+    spark.catalog.refreshTable(name)
+    remove_paths(spark, made)
+
+
 def append(df: DataFrame, name: str) -> None:
     """K2: append-only load (creates the table on first write)."""
     df.write.mode("append").saveAsTable(name)

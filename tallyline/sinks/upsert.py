@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sqlexpr import ident, lit
-from ..session import landed_files, materialize_shared
-from .tables import append, full_refresh, table_exists
+from ..session import landed_files
+from .tables import append, full_refresh, replace_partitions, table_exists
 
 #: partition column: month of the document, or ``NO_MONTH``
 PART, NO_MONTH = "doc_month", "none"
@@ -61,16 +61,8 @@ def merge_by_key(rows: DataFrame, name: str, key: str, old_part: DataFrame | Non
     touched = target.join(keys, key, "left_semi").select(PART).unionByName(rows.select(PART)).distinct()
     months = [r[0] for r in touched.collect()]  # as many as partitions, not rows
     kept = target.where(F.col(PART).isin(months)).join(keys, key, "left_anti")
-    made: list[str] = []
-    merged = materialize_shared(kept.unionByName(rows.select(*kept.columns)), "upsert", made)
-    # a session of its own: the mode must not change under another thread's write
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    own.read.schema(merged.schema).parquet(made[0]).write.insertInto(name, overwrite=True)
-    spark.catalog.refreshTable(name)
-    left = {r[0] for r in merged.select(PART).distinct().collect()}
-    for month in set(months) - left:  # its documents all went to other months
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PART} = {lit(month)})")
+    # documents may all have left a month
+    replace_partitions(kept.unionByName(rows.select(*kept.columns)), name, PART, months)
 
 
 def fingerprint(spark: SparkSession, path: str, *settings) -> str:
