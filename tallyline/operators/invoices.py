@@ -179,7 +179,7 @@ def invoices_period_agg(enriched: DataFrame, terms_cal: DataFrame, cal: Calendar
     return pick_invoice_measures(invoice_window_measures(enriched, cal, rules), terms_cal)
 
 
-def pick_invoice_measures(measures: DataFrame, terms_cal: DataFrame) -> DataFrame:
+def pick_invoice_measures(measures: DataFrame, terms_cal: DataFrame, keep=()) -> DataFrame:
     """J2 + the per-client window pick on account-sized measures."""
     j = measures.join(terms_cal.select("inn", "payment_type"), "inn", "inner")
 
@@ -188,6 +188,7 @@ def pick_invoice_measures(measures: DataFrame, terms_cal: DataFrame) -> DataFram
 
     inv, rec = pick(INVOICE_WINDOW, "inv"), pick(INVOICE_WINDOW, "rec")
     return j.selectExpr(
+        *keep,
         *ACCOUNT,
         "total_invoice",
         f"{greater_sum('total_receipt', 'total_invoice')} AS total_invoice_corrected",

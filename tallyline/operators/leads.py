@@ -245,7 +245,8 @@ def pick_leads_measures(payment_type: str = "payment_type") -> list[str]:
     return out
 
 
-def leads_period_agg(accounts: DataFrame, terms_cal: DataFrame) -> DataFrame:
-    """A1 + J1: per account measures, only clients that have terms (inner)."""
+def leads_period_agg(accounts: DataFrame, terms_cal: DataFrame, keep=()) -> DataFrame:
+    """A1 + J1: per account measures, only clients that have terms (inner);
+    ``keep`` are further columns to carry."""
     joined = accounts.join(terms_cal.select("inn", "payment_type"), "inn", "inner")
-    return joined.selectExpr(*ACCOUNT, *pick_leads_measures())
+    return joined.selectExpr(*keep, *ACCOUNT, *pick_leads_measures())

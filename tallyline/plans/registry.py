@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from .. import labels as L
 from ..functions.dates import Calendar
-from ..operators import balance, decisions, invoices, leads, outbox, partners, reports, terms
+from ..operators import balance, daysums, decisions, invoices, leads, outbox, partners, reports, terms
 from ..sources import driver as D
 from . import oracle as O
 from ..rules import with_manager
@@ -1136,6 +1136,23 @@ def q_leads_period_agg_snapshot(p: Pipeline) -> DataFrame:
     return leads.leads_period_agg(snapshot.lead_accounts(spark, source, p.rules, cal, db), terms.terms_calendar(p.terms_all, cal))
 
 
+# ============================================================ many run dates
+def _of_dates(sql: str, table: str) -> str:
+    return sql.replace("SELECT inn", "SELECT as_of, inn").replace(f"FROM {table}", f"FROM {table}_quarter")
+
+
+@register("leads_period_agg_quarter", _of_dates(LEADS_AGG_SQL, "leads_grp"), ["leads_grp_quarter"])
+def q_leads_period_agg_quarter(p: Pipeline) -> DataFrame:
+    """A1 at every run date of a quarter, from one pass over the leads."""
+    return daysums.leads_period_agg(p.first_leads, p.terms_all, O.QUARTER)
+
+
+@register("invoices_period_agg_quarter", _of_dates(INV_AGG_SQL, "invoices_grp"), ["invoices_grp_quarter"])
+def q_invoices_period_agg_quarter(p: Pipeline) -> DataFrame:
+    """A2 at every run date of a quarter, from one pass over the invoices."""
+    return daysums.invoices_period_agg(p.invoices_enriched, p.terms_all, p.rules, O.QUARTER)
+
+
 # ============================================================ other run dates
 def _leads_agg_of(v: Pipeline) -> DataFrame:
     terms_cal = v.payment_terms_calendar
