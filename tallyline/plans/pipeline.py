@@ -105,12 +105,6 @@ class Pipeline:
         self._cache[name] = df
         self._saved.add(name)
 
-    def use_lead_accounts(self, df: DataFrame) -> None:
-        """Take the account-level leads aggregate from here (the stored months
-        and the open ones); written once, as it is read several times."""
-        self._cache["lead_accounts"] = self._cut(df, "lead_accounts")
-        self._saved.add("lead_accounts")
-
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise a small stage read by several consumers, once, in the
         shared checkpoint folder (see ``session.materialize_shared``)."""
