@@ -47,15 +47,24 @@ def top_line(lines: DataFrame) -> DataFrame:
     )
 
 
-def receipts_by_invoice(receipts: DataFrame, receipt_lines: DataFrame) -> DataFrame:
-    """R3 + J9 + A3: posted, not deleted receipts; sum and latest date."""
+def live_receipt_lines(receipts: DataFrame, receipt_lines: DataFrame) -> DataFrame:
+    """R3 + J9: the lines of posted, not deleted receipts."""
     live = receipts.where("is_posted = true AND is_deleted = false").select("receipt_id", "receipt_dt")
-    joined = receipt_lines.join(live, "receipt_id", "inner")
-    return joined.groupBy("invoice_id").agg(
+    return receipt_lines.join(live, "receipt_id", "inner").select("invoice_id", "receipt_amount", "receipt_dt")
+
+
+def sum_receipts(live_lines: DataFrame) -> DataFrame:
+    """A3: sum and latest date per invoice."""
+    return live_lines.groupBy("invoice_id").agg(
         F.expr("sum(receipt_amount) AS receipt_amount"), F.expr("max(receipt_dt) AS receipt_dt")
     )
 
 
+def receipts_by_invoice(receipts: DataFrame, receipt_lines: DataFrame) -> DataFrame:
+    """R3 + J9 + A3: posted, not deleted receipts; sum and latest date."""
+    return sum_receipts(live_receipt_lines(receipts, receipt_lines))
+
+
 # Expressions over the columns that ``with_partner_rules`` adds by partner key.
 def invoice_branch(partner_name: str, comment: str | None) -> str:
     """Partner-name rules, then comment rules ('ne' is plain !=, C2)."""
@@ -132,6 +141,36 @@ def enrich_invoices(
     )
 
 
+def billable_invoices(
+    invoices: DataFrame, lines: DataFrame, receipts_agg: DataFrame, partners: DataFrame, rules: RuleSet
+) -> DataFrame:
+    """R4 first: what the period aggregate reads, of billable invoices only.
+
+    The category is known from the line pick, which is keyed by invoice id
+    like the invoices and the receipt sums: the others are gone before rows
+    move to the partners, and organisations are not joined at all."""
+    top = top_line(lines)
+    default = lit(L.CATEGORY_DEFAULT)
+    own = f"coalesce(nomenclature_text_gr, {default})"
+    if rules.billable_category == L.CATEGORY_DEFAULT:  # invoices without lines belong to it
+        j = invoices.join(top, "invoice_id", "left").where(f"{own} = {lit(rules.billable_category)}")
+    else:
+        j = invoices.join(top.where(f"nomenclature_text_gr = {lit(rules.billable_category)}"), "invoice_id")
+    parts = with_partner_rules(partners.select("partner_id", "partner_name", "partner_inn"), rules)
+    j = j.join(receipts_agg, "invoice_id", "left").join(parts, "partner_id", "left")
+    return j.selectExpr(
+        "invoice_id",
+        "invoice_dt",
+        f"{invoice_branch('partner_name', 'invoice_comment')} AS city_invoice",
+        f"{invoice_channel('invoice_comment', rules)} AS source_invoice",
+        f"{own} AS nomenclature_text_gr",
+        f"{invoice_status()} AS invoice_status",
+        "coalesce(_pkey, partner_inn) AS partner_inn",
+        "invoice_amount",
+        "coalesce(receipt_amount, CAST(0 AS decimal(18,2))) AS receipt_amount",
+    )
+
+
 def invoice_window_measures(enriched: DataFrame, cal: Calendar, rules: RuleSet) -> DataFrame:
     """A2 before the pick (R4 billable filter first)."""
     billable = enriched.where(f"nomenclature_text_gr = {lit(rules.billable_category)}")

@@ -56,6 +56,9 @@ class Inputs:
                     self._built[k] = f() if callable(f) else f
         return self._built[k]
 
+    def __contains__(self, k: str) -> bool:
+        return k in self._factories
+
     @classmethod
     def of(cls, tables: dict[str, DataFrame]) -> "Inputs":
         return cls(dict(tables))
@@ -210,10 +213,12 @@ class Pipeline:
     # invoices
     @property
     def receipts_by_invoice(self) -> DataFrame:
-        return self._memo(
-            "receipts_by_invoice",
-            lambda: invoices.receipts_by_invoice(self.inputs["receipt"], self.inputs["receipt_line"]),
-        )
+        def build():
+            if "live_receipt_line" in self.inputs:  # stored by invoice id, see plans/layout.py
+                return invoices.sum_receipts(self.inputs["live_receipt_line"])
+            return invoices.receipts_by_invoice(self.inputs["receipt"], self.inputs["receipt_line"])
+
+        return self._memo("receipts_by_invoice", build)
 
     @property
     def invoices_enriched(self) -> DataFrame:
@@ -225,6 +230,19 @@ class Pipeline:
             ),
         )
 
+    @property
+    def billable_invoices(self) -> DataFrame:
+        """What the period aggregate reads; from the saved table if there is one."""
+        if "invoices_enriched" in self._saved:
+            return self.invoices_enriched
+        i = self.inputs
+        return self._memo(
+            "billable_invoices",
+            lambda: invoices.billable_invoices(
+                i["invoice"], i["invoice_line"], self.receipts_by_invoice, i["partner"], self.rules
+            ),
+        )
+
     @property
     def leads_agg(self) -> DataFrame:
         return self._memo(
@@ -238,7 +256,7 @@ class Pipeline:
         return self._memo(
             "invoice_measures",
             lambda: self._cut(
-                invoices.invoice_window_measures(self.invoices_enriched, self.cal, self.rules), "invoice_measures"
+                invoices.invoice_window_measures(self.billable_invoices, self.cal, self.rules), "invoice_measures"
             ),
         )
 

@@ -43,42 +43,57 @@ def _shape(df: DataFrame) -> list[tuple[str, str]]:
     return [(n, t) for n, t in df.dtypes]
 
 
-def _create(spark: SparkSession, name: str, ddl: str, path: str, partition_by=()) -> None:
+def _create(spark: SparkSession, name: str, ddl: str, path: str, partition_by=(), bucket_by=None) -> None:
     by = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    if bucket_by:
+        by += f" CLUSTERED BY ({bucket_by[1]}) SORTED BY ({bucket_by[1]}) INTO {bucket_by[0]} BUCKETS"
     spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet {by} LOCATION {lit(path)}")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def full_refresh(df: DataFrame, name: str, partition_by=(), expect: int | None = None) -> None:
+def _write_version(df: DataFrame, name: str, path: str, partition_by, bucket_by) -> None:
+    """The rows as Parquet at ``path``; buckets need a table to be written by,
+    which is dropped again (its files stay)."""
+    if not bucket_by:
+        df.write.partitionBy(*partition_by).parquet(path)
+        return
+    n, key = bucket_by
+    load = f"{name}__load_{uuid.uuid4().hex[:8]}"
+    df.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(load)
+    df.sparkSession.sql(f"DROP TABLE {load}")
+
+
+def full_refresh(df: DataFrame, name: str, partition_by=(), expect: int | None = None, bucket_by: tuple[int, str] | None = None) -> None:
     """K1: replace a table's content by one change of its location.
 
     With ``expect`` the written rows are counted first; another number stops
     the refresh and leaves the table as it was. The version before stays for
     running readers, older ones are deleted. A table of other columns or with
     partitions gets a new definition instead: it is kept under ``NEXT`` while
-    the old one is dropped, and ``recover`` finishes such a change."""
+    the old one is dropped, and ``recover`` finishes such a change.
+    ``bucket_by``: number of buckets and the column they are made by."""
     spark = df.sparkSession
     recover(spark, name)
     root = _place(spark, name) + VERSIONS
     path = f"{root}/{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    _write_version(df, name, path, partition_by, bucket_by)
     if expect is not None and (found := spark.read.schema(df.schema).parquet(path).count()) != expect:
         remove_paths(spark, [path])
         raise ValueError(f"{name}: {found} rows out of {expect} records")
     ddl = df._jdf.schema().toDDL()
     keep = {path}
     if not table_exists(spark, name):
-        _create(spark, name, ddl, path, partition_by)
-    elif not partition_by and _shape(spark.table(name)) == _shape(df) and not _partitions(spark, name):
+        _create(spark, name, ddl, path, partition_by, bucket_by)
+    elif _buckets(spark, name) == bucket_by and not partition_by and _shape(spark.table(name)) == _shape(df) and not _partitions(spark, name):
         keep.add(location(spark, name))
         spark.sql(f"ALTER TABLE {name} SET LOCATION {lit(path)}")
         spark.catalog.refreshTable(name)
     else:
         keep.add(location(spark, name))
-        _create(spark, name + NEXT, ddl, path, partition_by)
+        _create(spark, name + NEXT, ddl, path, partition_by, bucket_by)
         spark.sql(f"DROP TABLE {name}")
-        _create(spark, name, ddl, path, partition_by)
+        _create(spark, name, ddl, path, partition_by, bucket_by)
         spark.sql(f"DROP TABLE {name + NEXT}")
     clean_versions(spark, name, keep)
 
@@ -87,6 +102,13 @@ def _partitions(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def _buckets(spark: SparkSession, name: str) -> tuple[int, str] | None:
+    found = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if found.get("Num Buckets", "0") in ("0", "-1"):
+        return None
+    return int(found["Num Buckets"]), found["Bucket Columns"].strip("[]`")
+
+
 def recover(spark: SparkSession, name: str) -> None:
     """Finish a change of definition that broke off: what stands under
     ``NEXT`` is complete, so a missing table is created from it."""
@@ -94,7 +116,7 @@ def recover(spark: SparkSession, name: str) -> None:
         return
     if not table_exists(spark, name):
         ddl = spark.table(name + NEXT)._jdf.schema().toDDL()
-        _create(spark, name, ddl, location(spark, name + NEXT), _partitions(spark, name + NEXT))
+        _create(spark, name, ddl, location(spark, name + NEXT), _partitions(spark, name + NEXT), _buckets(spark, name + NEXT))
     spark.sql(f"DROP TABLE {name + NEXT}")
 
 
