@@ -1096,6 +1096,78 @@ def q_report_bundle_counts(p: Pipeline) -> DataFrame:
     return out
 
 
+# ------------------------------------------------ what was written, read back
+def register_as(name: str, like: str):
+    """Another way to the rows of query ``like``."""
+
+    def deco(fn):
+        register(name)(fn)
+        ORACLE[name] = ORACLE[like]
+        return fn
+
+    return deco
+
+
+@register_as("report_bundle_errors", "report_errors")
+def q_report_bundle_errors(p: Pipeline) -> DataFrame:
+    """K7 + T2: the error extract as the dated bundle holds it."""
+    from ..session import shared_stage_path
+    from ..sinks import tables
+
+    spark = p.balance_report.sparkSession
+    paths = tables.write_bundle(p.outputs(), shared_stage_path(spark, "bundle"), D.AS_OF.isoformat())
+    return spark.read.parquet(paths["errors"])
+
+
+@register_as("daily_run_report", "report_full")
+def q_daily_run_report(p: Pipeline) -> DataFrame:
+    """The balance report as a whole daily run leaves it, the run done
+    twice (the second takes the finished tables)."""
+    import uuid
+
+    from . import run
+
+    spark = p.inputs["leads"].sparkSession
+    db = f"tallyline_daily_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{ensure_checkpoint_dir(spark).rstrip('/')}/{db}'")
+    for _ in range(2):
+        written = run.run_daily(spark, p.inputs, p.rules, p.as_of, D.RUN_TS, db)
+    return spark.table(written["balance_report"])
+
+
+@register_as("invoices_colocated", "invoices_enriched")
+def q_invoices_colocated(p: Pipeline) -> DataFrame:
+    """J8 + A3 + W4 from tables stored by invoice id."""
+    import uuid
+
+    from . import layout
+
+    spark = p.inputs["invoice"].sparkSession
+    db = f"tallyline_layout_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{ensure_checkpoint_dir(spark).rstrip('/')}/{db}'")
+    return Pipeline(layout.colocate(spark, p.inputs, db, 8), p.rules, p.as_of).invoices_enriched
+
+
+@register(
+    "table_statistics",
+    "SELECT 'leads' AS entity, true AS found, CAST(count(*) AS BIGINT) AS row_count FROM leads_enriched "
+    "UNION ALL SELECT 'nowhere', false, NULL::BIGINT",
+    ["leads_enriched"],
+)
+def q_table_statistics(p: Pipeline) -> DataFrame:
+    """K8 + O2: the row count that ANALYZE put into the catalog."""
+    from ..sinks import tables
+
+    spark, name = p.inputs["leads"].sparkSession, _table(p.inputs["leads"].sparkSession, "leads")
+    tables.full_refresh(p.inputs["leads"], name)
+    tables.analyze(spark, [name])
+    stored = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Statistics'")
+    found = {n: tables.table_exists(spark, t) for n, t in (("leads", name), ("nowhere", f"{name}_nowhere"))}
+    counted = stored.selectExpr(
+        "'leads' AS entity", f"{str(found['leads']).lower()} AS found", "CAST(regexp_extract(data_type, '(\\\\d+) rows', 1) AS BIGINT) AS row_count")
+    return counted.unionByName(spark.sql(f"SELECT 'nowhere' AS entity, {str(found['nowhere']).lower()} AS found, CAST(NULL AS BIGINT) AS row_count"))
+
+
 # ================================================================== snapshot
 def _snap_cal():
     return Calendar.of(D.SNAPSHOT_AS_OF)
