@@ -115,7 +115,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: a conversation whose texts hold the template's control strings
 HARD_CASE = (
-    "SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text "
+    "SELECT -7L AS conv_id, turn, role, r'\\### Assistant: </turn> ok' AS text "
     "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
 )
 
