@@ -31,5 +31,5 @@ def test_run_over_the_smallest_tables(spark):
 
 def test_every_operator_is_registered():
     numbers = {int(n[2:].split("_")[0]) for n in registry.QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(registry.ORACLE) <= set(registry.QUERIES)
