@@ -33,6 +33,8 @@ from ..functions.text import pad_short_key
 from ..rules import RuleSet, with_lead_rules
 
 DEDUP_KEYS = ("_dk_inn", "_dk_phone", "_dk_source", "_dk_city", "_dk_month")
+#: parts a duplicate group is dealt over
+SALTS = 64
 ACCOUNT = ("inn", "city_invoice", "source_invoice")
 
 
@@ -84,21 +86,38 @@ def enrich_leads(leads: DataFrame, rules: RuleSet) -> DataFrame:
     return with_lead_rules(leads, rules).selectExpr(*cols)
 
 
-def flag_duplicates(enriched: DataFrame) -> DataFrame:
+def flag_duplicates(enriched: DataFrame, salts: int = SALTS) -> DataFrame:
     """Every lead with ``duplicate_flag`` ('' for the first of its group).
 
-    First-of-group is found by a partial+final aggregate and joined back on
-    the (null-safe) duplicate key; AQE's skew-join split handles a hot key on
-    the fact side of that join.
+    The leads are read once and their full rows are shuffled once, dealt by
+    (group, salt), so a hot group spreads over ``salts`` parts. Each part finds
+    its own first lead where it lies; only those (group, salt, time, id) move
+    again, to find the first of the group, and come back to the parts as flags.
+    The group is one struct, which is never NULL and whose NULL fields equal
+    each other, so plain equality joins it.
+
+    The salt follows the lead id, so a task run again deals its rows alike. Its
+    ``0 * rand()`` adds nothing; a CTE that is not deterministic is planned once
+    for both of its readers, which share the one shuffle.
     """
-    firsts = enriched.groupBy(*DEDUP_KEYS).agg(F.expr("min(struct(date_time_add, lead_id)) AS _first"))
-    e, f = enriched.alias("e"), firsts.alias("f")
-    cond = F.expr(" AND ".join(f"e.{k} <=> f.{k}" for k in DEDUP_KEYS))
-    flag = (
-        f"CASE WHEN struct(e.date_time_add, e.lead_id) = f._first THEN '' "
-        f"ELSE {lit(L.DUPLICATE_FLAG)} END AS duplicate_flag"
+    return enriched.sparkSession.sql(
+        f"""
+WITH dealt AS (
+  SELECT /*+ REPARTITION(_group, _salt) */ * FROM (
+    SELECT {", ".join(LEAD_OUT)}, struct({", ".join(DEDUP_KEYS)}) AS _group,
+      CAST(pmod(xxhash64(lead_id), {int(salts)}) + 0 * rand(0) AS INT) AS _salt
+    FROM {{enriched}})
+), parts AS (
+  SELECT _group, _salt, min(struct(date_time_add, lead_id)) AS _own FROM dealt GROUP BY _group, _salt
+), firsts AS (
+  SELECT _group, _salt, min(_own) OVER (PARTITION BY _group) AS _first FROM parts
+)
+SELECT {", ".join("d." + c for c in LEAD_OUT)},
+  CASE WHEN struct(d.date_time_add, d.lead_id) = f._first THEN '' ELSE {lit(L.DUPLICATE_FLAG)} END AS duplicate_flag
+FROM dealt d JOIN firsts f ON d._group = f._group AND d._salt = f._salt
+""",
+        enriched=enriched,
     )
-    return e.join(f, cond, "left").selectExpr(*[f"e.{c}" for c in LEAD_OUT], flag)
 
 
 def first_leads(enriched: DataFrame) -> DataFrame:

@@ -89,6 +89,29 @@ def q_lead_dedup(p: Pipeline) -> DataFrame:
     return p.leads_enriched
 
 
+_HOT = "IF(lead_id % 3 = 0, {}, {})"
+
+
+@register(
+    "lead_dedup_hot",
+    f"""SELECT lead_id, date_add, date_time_add,
+  CASE WHEN row_number() OVER (
+    PARTITION BY CASE WHEN lead_id % 3 = 0 THEN 'hot' ELSE inn END, CASE WHEN lead_id % 3 <> 0 THEN phone END,
+      CASE WHEN lead_id % 3 = 0 THEN 'web' ELSE source END, CASE WHEN lead_id % 3 = 0 THEN '' ELSE dk_city END, dk_month
+    ORDER BY date_time_add NULLS FIRST, lead_id) > 1
+  THEN {O.q(L.DUPLICATE_FLAG)} ELSE '' END AS duplicate_flag
+FROM leads_k""",
+    ["leads_k"],
+)
+def q_lead_dedup_hot(p: Pipeline) -> DataFrame:
+    """W1 with a third of all leads under one client, source and (missing) phone."""
+    hot = p.leads_keyed.withColumns({
+        k: F.expr(_HOT.format(v, k))
+        for k, v in (("_dk_inn", "'hot'"), ("_dk_phone", "NULL"), ("_dk_source", "'web'"), ("_dk_city", "''"))
+    })
+    return leads.flag_duplicates(hot).select("lead_id", "date_add", "date_time_add", "duplicate_flag")
+
+
 LEADS_AGG_SQL = f"""SELECT inn, city_invoice, source_invoice, total_cnt, last_lead_dttm,
   {O.dbl('total_purchase', 'total_sale')}, interval_cnt, {O.dbl('interval_purchase', 'interval_sale')},
   prev_cnt, {O.dbl('prev_purchase', 'prev_sale')} FROM leads_grp"""

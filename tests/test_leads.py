@@ -73,3 +73,31 @@ def test_latest_entity_from_groups(spark):
     acc = leads.lead_accounts(leads.lead_groups(keyed), Calendar.of(dt.date(2024, 1, 25)))
     got = {r.inn: r.legal_entity for r in leads.latest_entity_of(acc).collect()}
     assert got == {"1000000001": "new"}
+
+
+def test_hot_group_missing_keys_and_repeated_rows(spark):
+    """A third of all leads in one group with a missing phone, ties in time,
+    a lead without a time (first), and a lead that occurs twice."""
+    from collections import defaultdict
+
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        ts = f"2024-01-{1 + i * 7 % 28:02d} {i % 5:02d}:00:00"
+        rows.append(lead(i, "1000000001" if hot else f"20000{i % 500:05d}", None if hot else str(i % 7), ts))
+    rows[1] = rows[1][:2] + (None,) + rows[1][3:]
+    rows += [rows[0], rows[1], rows[2]]
+    keyed = leads.enrich_leads(spark.createDataFrame(rows, SCHEMA).repartition(4), RULES)
+    for salts in (1, 64):
+        out = leads.flag_duplicates(keyed, salts).select("lead_id", "duplicate_flag").collect()
+        groups = defaultdict(list)
+        for r in rows:
+            groups[r[3], r[8], r[5], r[1].month].append((r[2] is not None, r[2] or dt.datetime.min, r[15]))
+        first = {min(g)[2] for g in groups.values()}
+        assert len(out) == len(rows)
+        assert all((r.duplicate_flag == "") == (r.lead_id in first) for r in out)
+
+
+def test_no_leads(spark):
+    keyed = leads.enrich_leads(spark.createDataFrame([], SCHEMA), RULES)
+    assert leads.flag_duplicates(keyed).collect() == []

@@ -22,6 +22,20 @@ def test_dedup_aggregates_before_the_shuffle(spark):
     assert plan.index("partial_min") > plan.index("Exchange")  # printed top-down: partial sits below the shuffle
 
 
+def test_dedup_flags_read_the_leads_once(spark):
+    """One scan and one shuffle of full rows, shared by the readers of it."""
+    p = pipeline(spark, SF_SMALL)
+    flagged = leads.flag_duplicates(p.leads_keyed)
+    flagged.collect()
+    plan = _physical(flagged).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan and plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    full = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert sum("REPARTITION_BY_COL" in line for line in full) == 1
+    assert "RoundRobin" not in plan
+    # only (group, salt, time, id) moves besides
+    assert all("_group" in line for line in full) and len(full) <= 3
+
+
 def test_period_aggregate_never_joins_the_fact_table(spark):
     """The leads measures aggregate before any join with the terms table."""
     p = pipeline(spark, SF_SMALL)
