@@ -242,15 +242,31 @@ def has_letter(text: pa.Array) -> np.ndarray:
 
 
 def sample_by_language(docs: DataFrame, train_chars: int) -> DataFrame:
-    """lang, text: about ``train_chars`` characters per language."""
+    """lang, text: about ``train_chars`` characters per language.
+
+    Documents are drawn whole, by a hash of the id. A language that is thinned
+    also keeps its document of the smallest hash, of which at most
+    ``train_chars`` characters are learnt from, so that no language is lost."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("lang").cast("string").alias("lang"), "text", "doc_id")
-    share = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(train_chars)) / F.greatest(F.sum(F.length("text")), F.lit(1))).alias("share"))
-    share = {r.lang: r.share for r in share.collect()}  # one row per language
+    mark = F.xxhash64(F.lit(37), "doc_id", "text")
+    share = known.groupBy("lang").agg(
+        F.least(F.lit(1.0), F.lit(float(train_chars)) / F.greatest(F.sum(F.length("text")), F.lit(1))).alias("share"),
+        F.min(mark).alias("first"),
+    ).collect()  # one row per language
+    first = {r.lang: r.first for r in share if r.share < 1}
+    share = {r.lang: r.share for r in share}
     if not share:
         return known.where("false").select("lang", "text")
     u = F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     per = F.create_map(*[F.lit(x) for kv in sorted(share.items()) for x in kv])
-    return known.where(u < F.try_element_at(per, F.col("lang"))).select("lang", "text")
+    drawn = u < F.try_element_at(per, F.col("lang"))
+    sample = known.where(drawn).select("lang", "text")
+    if not first:
+        return sample
+    firsts = F.create_map(*[F.lit(x) for kv in sorted(first.items()) for x in kv])
+    kept = known.where(~drawn & (mark == F.try_element_at(firsts, F.col("lang"))))
+    kept = kept.select("lang", F.substring("text", 1, int(train_chars)).alias("text"))
+    return sample.unionByName(kept.dropDuplicates(["lang"]))
 
 
 def train(docs: DataFrame, pieces: list[str], train_chars: int = TRAIN_CHARS, iterations: int = ITERATIONS) -> tuple[list[str], np.ndarray]:

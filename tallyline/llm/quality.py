@@ -161,13 +161,18 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 5) -> Rank
 
 
 def train(featured: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Ranker:
-    """``featured``: doc_id, features; ``labels``: doc_id, label (0 or 1)."""
-    known = labels.where("label IN (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
-    n = known.count()
+    """``featured``: doc_id, features; ``labels``: doc_id, label (0 or 1).
+
+    Equal rows of one id count once, and the joined rows are thinned to about
+    ``train_rows``, however many rows an id has in either table."""
+    known = labels.where("label IN (0, 1)").select("doc_id", F.col("label").cast("int").alias("label")).distinct()
+    rows = featured.select("doc_id", "features").join(known, "doc_id").select("doc_id", "features", "label").distinct()
+    rows = stage(rows, "quality-labelled")
+    n = rows.count()
     if n > train_rows:
-        u = F.pmod(F.xxhash64(F.lit(31), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-        known = known.where(u < train_rows / n)
-    rows = featured.join(known, "doc_id").select("doc_id", "features", "label").toArrow()
+        u = F.pmod(F.xxhash64(F.lit(31), "doc_id", "features", "label"), F.lit(1 << 30)) / float(1 << 30)
+        rows = rows.where(u < train_rows / n)
+    rows = rows.toArrow()
     if not rows.num_rows:
         return Ranker(None, None, None, None, 0.5)
     rows = rows.sort_by([("doc_id", "ascending"), ("label", "ascending")])

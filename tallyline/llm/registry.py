@@ -100,7 +100,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_repeats")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = repeats.remove_repeats(documents(spark, sf_dir))
-    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"))
 
 
 @query("op13_audit", audit.ORACLE_SQL)

@@ -276,7 +276,7 @@ def open_cells(docs: DataFrame, width: int, gram: int, cell: int, key_bytes: int
         left = cells.join(open_, ["key", "r1", "r2", "uid", "a"], "left_semi").dropDuplicates(["key", "r1", "r2"])
         left = stage(left.select("key", "uid", "a", "b", "p", "data"), "repeat-open")
         sizes = stage(left.groupBy("key").agg(F.sum(F.length("data")).alias("bytes")), "repeat-sizes")
-        hot = F.broadcast(sizes.where(F.col("bytes") > key_bytes).select("key"))
+        hot = sizes.where(F.col("bytes") > key_bytes).select("key")
         got = sizes.agg(F.sum("bytes"), F.max("bytes")).first()
         if cell == 1 or (got[1] or 0) <= key_bytes:
             parts.append(left)

@@ -82,3 +82,35 @@ def test_rows_are_repeated_with_their_own_columns(spark):
         want[g["doc_id"]] = want.get(g["doc_id"], 0) + g["copies"]
     got = {r["doc_id"]: r["n"] for r in out.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_equal_rows_at_the_end_of_the_budget(spark):
+    """A budget may end inside a large group of equal rows: as many as fit."""
+    rows = [doc(1, "w " * 10, source="a")] * 1500 + [doc(i, "x " * 10, source="b") for i in range(500)]
+    rows += [doc(7, "w " * 7, source=None)] * 2100
+    got = mixing.mix_documents(frame(spark, rows), rows_per_range=50).collect()
+    assert len(got) == len(rows)
+    taken, target = {}, {}
+    for g in got:
+        taken[g["source"]] = taken.get(g["source"], 0) + g["taken"]
+        target[g["source"]] = g["target"]
+    assert all(abs(taken[s] - target[s]) <= 10 for s in target)
+    assert len({g["copies"] for g in got if g["source"] == "a"}) == 2
+
+
+def test_mixed_equal_rows_that_differ_in_other_columns(spark):
+    rows = [doc(1, "w " * 10, lang="en" if i % 3 else None, source="a") for i in range(1500)]
+    rows += [doc(i, "x " * 10, source="b") for i in range(500)]
+    docs = frame(spark, rows)
+    want = {r["source"]: r["n"] for r in mixing.mix_documents(docs).groupBy("source").agg(F.sum("copies").alias("n")).collect()}
+    out = mixing.mixed_rows(docs)
+    assert {r["source"]: r["n"] for r in out.groupBy("source").agg(F.count("*").alias("n")).collect()} == want
+    most = out.groupBy("lang", "source").count().where("source = 'a'").collect()
+    low = want["a"] // 1500
+    assert all(low * n <= r["count"] <= (low + 1) * n for r in most for n in [sum(x[3] == "a" and x[2] == r["lang"] for x in rows)])
+
+
+def test_key_ranges_stay_small_for_poor_documents(spark):
+    rows = [doc(i, "#$%& *** [[ ]] ~~", source="a") for i in range(4000)] + [doc(-i, "a b c", source="b") for i in range(1, 10)]
+    rows = frame(spark, rows)
+    check([tuple(r) for r in rows.collect()], mixing.mix_documents(rows, rows_per_range=100).collect())

@@ -146,3 +146,21 @@ def test_ranker_prefers_the_good_of_each_pair():
     s = r.score(x)
     assert (s[y == 1][:, None] > s[y == 0][None, :]).mean() > 0.99
     assert abs((s < 0.5).mean() - (y == 0).mean()) < 0.01  # the quantile
+
+
+def test_no_language_is_lost_by_thinning(spark):
+    rows = [doc(i, f"{chr(97 + i) * 4} {chr(98 + i) * 3} " * 300, f"l{i:02d}") for i in range(20)] + [doc(3, "dddd eee", "l03")] * 5
+    got = langid.sample_by_language(frame(spark, rows), 1000).collect()
+    assert {r["lang"] for r in got} == {f"l{i:02d}" for i in range(20)}
+    assert {len(r["text"]) for r in got} <= {1000, len("aaaa bbb " * 300), len("dddd eee")}
+
+
+def test_labelled_rows_of_one_id_stay_within_the_bound(spark, monkeypatch):
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(x)) or fit(x, y))
+    docs = frame(spark, [doc(1, "a b c " * (1 + i)) for i in range(400)] + [doc(1, "equal")] * 400)
+    table = spark.createDataFrame([(1, i % 2) for i in range(300)], "doc_id long, label int")
+    assert quality.classify_documents(docs, table, train_rows=100).count() == 800
+    assert quality.classify_documents(docs, table).count() == 800
+    assert 60 <= seen[0] <= 150 and seen[1] == 802
