@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -51,6 +53,15 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
         start = stop
 
 
+def release() -> None:
+    """Give memory that a task no longer uses back to the system: a Python
+    worker is used again by later stages and would keep it until it ends."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def word_lists(text: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of every text (null: none) as one flat
     array, and the offsets of each text's words in it."""

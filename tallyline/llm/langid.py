@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, encoded_words, stage, word_lists
+from .common import byte_slices, encoded_words, release, stage, word_lists
 
 UND = "und"
 VOCABULARY_FILE = "piece_bpe_32k.model"
@@ -41,6 +41,8 @@ SHORT = 24
 #: characters of long words that training handles at once, or a single word
 LONG_CHARS = 50_000
 WORD_CACHE = 200_000
+#: and at most so many characters, but for those of one slice of text
+CACHE_CHARS = 8 << 20
 
 
 def default_vocabulary() -> list[str]:
@@ -336,6 +338,7 @@ def identify(docs: DataFrame, keep: list[str], langs: list[str], prob: np.ndarra
         names, p, vocabulary = model.value
         lattice = Lattice(vocabulary)
         cache: dict[str, int] = {}
+        held = 0
         rows = np.zeros((0, len(names)))
         for whole in batches:
             for b in byte_slices(whole, "text"):
@@ -343,8 +346,9 @@ def identify(docs: DataFrame, keep: list[str], langs: list[str], prob: np.ndarra
                 flat, off = word_lists(text)
                 words, codes = encoded_words(flat)
                 new = [w for w in words if w not in cache]
-                if len(cache) + len(new) > WORD_CACHE:
-                    cache, rows, new = {}, rows[:0], words
+                held += sum(map(len, new))
+                if len(cache) + len(new) > WORD_CACHE or held > CACHE_CHARS:
+                    cache, rows, new, held = {}, rows[:0].copy(), words, sum(map(len, words))
                 rows = np.concatenate([rows, lattice.log_prob(new, p)]) if new and names else rows
                 cache.update(zip(new, range(len(cache), len(cache) + len(new)), strict=True))
                 n = len(text)
@@ -361,6 +365,8 @@ def identify(docs: DataFrame, keep: list[str], langs: list[str], prob: np.ndarra
                     score = np.where(letter, score, 0.0)
                 own = [b.column(c) for c in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(pred, pa.string()), pa.array(score)], names=[*keep, *out])
+        del lattice, cache, rows
+        release()
 
     return plain.mapInArrow(run, schema)
 
