@@ -53,31 +53,25 @@ def decision_exprs(rules: RuleSet) -> dict[str, str]:
     ]
     short = case([(c, s) for c, s, _ in reasons], "''")
     long = case([(c, t) for c, _, t in reasons], "''")
+    # Nothing where the period is settled; a deposit client's average and
+    # what its balance lacks; other clients' revenue less what was invoiced
+    settled = f"{no_leads} OR {already} OR ({dep} AND {bal_raw} >= deposit_min_value)"
     amount = case(
-        [
-            (f"{no_leads} OR {already} OR ({dep} AND {bal_raw} >= deposit_min_value)", "0"),
-            (f"{dep} AND {bal_raw} >= 0", "deposit_average_value"),
-            (f"{dep} AND {bal_raw} < 0", f"deposit_average_value - {bal_raw}"),
-        ],
+        [(settled, "0"), (f"{dep} AND {bal_raw} IS NOT NULL", f"deposit_average_value + greatest(-{bal_raw}, 0)")],
         "interval_sale - coalesce(ig_interval_invoice_corrected, 0)",
     )
+    # The ordered rule list: account state, condition, text
+    missing = [("partner_id", L.ERR_SETUP_PARTNER), ("contract_id", L.ERR_SETUP_CONTRACT)]
+    gaps = ", ".join(f"IF({c} IS NULL, {lit(t)}, {lit(L.ERR_SETUP_BLANK)})" for c, t in missing)
     active = "prev_cnt > 0 AND interval_sale > 0"
-    setup_text = (
-        f"concat({lit(L.ERR_SETUP_HEAD)}, "
-        f"CASE WHEN partner_id IS NULL THEN {lit(L.ERR_SETUP_PARTNER)} ELSE {lit(L.ERR_SETUP_BLANK)} END, "
-        f"CASE WHEN contract_id IS NULL THEN {lit(L.ERR_SETUP_CONTRACT)} ELSE {lit(L.ERR_SETUP_BLANK)} END)"
-    )
-    errors = case(
-        [
-            (excluded, "''"),
-            (f"{active} AND {no_terms}", lit(L.ERR_NO_TERMS)),
-            (f"{active} AND {has_terms} AND {no_setup}", setup_text),
-            (f"interval_sale > 0 AND {has_terms} AND {already} AND {bal} < deposit_min_value",
-             f"concat({lit(L.ERR_INVOICED_HEAD)}, {grouped_int_sql('ig_curr_invoice')}, {lit(L.ERR_INVOICED_MID)}, "
-             f"{grouped_int_sql(bal)})"),
-        ],
-        "''",
-    )
+    problems = [
+        (active, no_terms, lit(L.ERR_NO_TERMS)),
+        (active, f"{has_terms} AND {no_setup}", f"concat({lit(L.ERR_SETUP_HEAD)}, {gaps})"),
+        ("interval_sale > 0", f"{has_terms} AND {already} AND {bal} < deposit_min_value",
+         f"concat({lit(L.ERR_INVOICED_HEAD)}, {grouped_int_sql('ig_curr_invoice')}, {lit(L.ERR_INVOICED_MID)}, "
+         f"{grouped_int_sql(bal)})"),
+    ]
+    errors = f"IF({excluded}, '', {case([(f'{state} AND {c}', text) for state, c, text in problems], lit(''))})"
     return {
         "interval_invoices_minus_leads": bal,
         "new_invoice_description_short": short,
