@@ -7,24 +7,16 @@ tokens at least) is the path in the tree and everything behind it a wildcard;
 shorter and longer lines are parsed to their last token. The leaf is the
 line's template.
 
-A template recurs when ``MIN_DOCS`` documents or more hold it, and in
-surroundings (templates of the lines before and after) that differ as often
-as ``MIN_VARIETY`` of those documents. The second condition tells boilerplate
-from the lines of copied documents, which stay for the near-duplicate
-operators. All lines of recurring templates are dropped.
-
-That rule is the one of ``ORACLE_SQL``. It keeps a line that a large group of
-copies holds as well, and tells nothing of lines between blank lines or inside
-a shared block. ``witnessed`` is the rule without these gaps, which the corpus
-pipeline uses: evidence are distinct texts, not documents. Templates that
-``MIN_DOCS`` texts hold are common; a text's other lines are its own. A common
-template recurs when texts with ``MIN_DOCS`` different sets of own lines hold
-it whose own lines are ``OWN_SHARE`` of their tokens or more. Copies share
-their own lines, and near copies have few.
-
-Only (template, document) and (template, surroundings) pairs are shuffled to
-count, or with ``witnessed`` (template, text) pairs and the common lines; all
-are reduced to distinct ones before the shuffle.
+Evidence are distinct texts, not documents. Templates that ``MIN_DOCS`` texts
+hold are common; a text's other lines are its own. A common template recurs
+when texts with ``MIN_DOCS`` different sets of own lines hold it whose own
+lines are ``OWN_SHARE`` of their tokens or more. Copies share their own lines,
+and near copies have few: that tells boilerplate from the lines of copied
+documents, which stay for the near-duplicate operators. All lines of recurring
+templates are dropped, in copies as well.
+
+Only distinct (template, text) pairs and the common lines are shuffled to
+count.
 
 Defined results: a null text is empty and has no lines; lines without tokens
 are never dropped; a document may lose all lines and then is empty; rows that
@@ -40,7 +32,6 @@ from pyspark.sql import functions as F
 from .common import stage, text_of
 
 MIN_DOCS = 20
-MIN_VARIETY = 0.5
 OWN_SHARE = 0.5
 SHORT, LONG = 6, 16
 MIN_LEAD, LEAD = 4, 0.6
@@ -71,28 +62,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return add_templates(base, "_text")
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, pos, key, around: one row per line with a key."""
-    base = _keyed(docs).select("doc_id", "text_hash", "keys")
-    places = F.transform(
-        "keys",
-        lambda k, i: F.struct(
-            i.alias("pos"),
-            k.alias("key"),
-            F.xxhash64(F.when(i > 0, F.get(F.col("keys"), i - 1)), F.get(F.col("keys"), i + 1)).alias("around"),
-        ),
-    )
-    rows = base.select("doc_id", "text_hash", F.explode(F.filter(places, lambda p: p["key"].isNotNull())).alias("p"))
-    return rows.select("doc_id", "text_hash", "p.pos", "p.key", "p.around")
-
-
-def recurring(table: DataFrame, min_docs: int = MIN_DOCS, min_variety: float = MIN_VARIETY) -> DataFrame:
-    """key, docs, surroundings of the recurring templates."""
-    docs = table.select("key", F.xxhash64("doc_id", "text_hash").alias("d")).distinct().groupBy("key").agg(F.count(F.lit(1)).alias("docs"))
-    around = table.select("key", "around").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("surroundings"))
-    return docs.where(F.col("docs") >= min_docs).join(around, "key").where(F.col("surroundings") >= min_variety * F.col("docs"))
-
-
 def _mark(key: Column) -> Column:
     """36 bits of a key, which can be added up."""
     return F.shiftrightunsigned(key, 28)
@@ -122,16 +91,10 @@ def witnessed(table: DataFrame, min_docs: int = MIN_DOCS, own_share: float = OWN
 
 
 def drop_boilerplate(docs: DataFrame, min_docs: int = MIN_DOCS, own_share: float = OWN_SHARE) -> DataFrame:
-    """As ``drop_recurring``, by the rule of ``witnessed``."""
-    table = stage(size_table(docs), "lines")
-    return _without(docs, table, stage(witnessed(table, min_docs, own_share), "lines-recurring"))
-
-
-def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, min_variety: float = MIN_VARIETY) -> DataFrame:
     """All columns of ``docs`` with ``text`` rid of recurring lines, and
     ``__n_lines`` and ``__n_dropped``."""
-    table = stage(line_table(docs), "lines")
-    return _without(docs, table, stage(recurring(table, min_docs, min_variety).select("key"), "lines-recurring"))
+    table = stage(size_table(docs), "lines")
+    return _without(docs, table, stage(witnessed(table, min_docs, own_share), "lines-recurring"))
 
 
 def _without(docs: DataFrame, table: DataFrame, gone: DataFrame) -> DataFrame:
@@ -148,35 +111,39 @@ def _without(docs: DataFrame, table: DataFrame, gone: DataFrame) -> DataFrame:
     return both.select(*out, F.size("__lines").alias("__n_lines"), F.coalesce(F.size("__drop"), F.lit(0)).alias("__n_dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_variety: float = MIN_VARIETY) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, own_share: float = OWN_SHARE) -> DataFrame:
     """doc_id, text (rid of recurring lines), n_lines, n_dropped."""
-    got = drop_recurring(docs.select("doc_id", "text"), min_docs, min_variety)
+    got = drop_boilerplate(docs.select("doc_id", "text"), min_docs, own_share)
     return got.withColumnRenamed("__n_lines", "n_lines").withColumnRenamed("__n_dropped", "n_dropped")
 
 
 ORACLE_SQL = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
+), x AS (
+  SELECT text, string_split(text, chr(10)) AS lines FROM d WHERE text <> '' GROUP BY text
 ), l AS (
-  SELECT doc_id, text, unnest(CASE WHEN text = '' THEN [] ELSE string_split(text, chr(10)) END) AS line,
-    generate_subscripts(CASE WHEN text = '' THEN [] ELSE string_split(text, chr(10)) END, 1) AS pos FROM d
+  SELECT text, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM x
 ), t AS (
-  SELECT doc_id, text, line, pos, list_filter(regexp_split_to_array(
+  SELECT text, line, pos, list_filter(regexp_split_to_array(
     regexp_replace(line, '[^{_WS}0-9]*[0-9][^{_WS}]*', '<*>', 'g'), '[{_WS}]+'), lambda w: w <> '') AS tok FROM l
 ), k AS (
-  SELECT *, CASE WHEN len(tok) = 0 THEN NULL WHEN len(tok) BETWEEN {SHORT} AND {LONG}
+  SELECT text, line, pos, len(tok) AS n, CASE WHEN len(tok) = 0 THEN NULL WHEN len(tok) BETWEEN {SHORT} AND {LONG}
     THEN row(len(tok), tok[1:greatest({MIN_LEAD}, CAST(ceil(len(tok) * {LEAD}) AS INTEGER))]) ELSE row(len(tok), tok) END AS key FROM t
-), a AS (
-  SELECT *, row(lag(key) OVER w, lead(key) OVER w) AS around FROM k WINDOW w AS (PARTITION BY doc_id, text ORDER BY pos)
+), c AS (
+  SELECT key FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT text) >= {MIN_DOCS}
+), o AS (
+  SELECT text, list(hash(key) ORDER BY hash(key)) FILTER (key NOT IN (SELECT key FROM c)) AS own
+  FROM k WHERE key IS NOT NULL GROUP BY text
+  HAVING coalesce(sum(n) FILTER (key NOT IN (SELECT key FROM c)), 0) >= {OWN_SHARE} * sum(n)
 ), r AS (
-  SELECT key FROM a WHERE key IS NOT NULL GROUP BY key
-  HAVING count(DISTINCT row(doc_id, text)) >= {MIN_DOCS} AND count(DISTINCT around) >= {MIN_VARIETY} * count(DISTINCT row(doc_id, text))
+  SELECT key FROM k JOIN o USING (text) WHERE key IN (SELECT key FROM c) GROUP BY key HAVING count(DISTINCT own) >= {MIN_DOCS}
 ), s AS (
-  SELECT doc_id, text, count(*) AS n_lines, count(*) FILTER (key IS NOT NULL AND key IN (SELECT key FROM r)) AS n_dropped,
+  SELECT text, count(*) AS n_lines, count(*) FILTER (key IS NOT NULL AND key IN (SELECT key FROM r)) AS n_dropped,
     string_agg(line, chr(10) ORDER BY pos) FILTER (key IS NULL OR key NOT IN (SELECT key FROM r)) AS kept
-  FROM a GROUP BY doc_id, text
+  FROM k GROUP BY text
 )
 SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(n_dropped, 0) AS INTEGER) AS n_dropped,
   sha256(coalesce(kept, '')) AS kept_sha256
-FROM d LEFT JOIN s USING (doc_id, text)
+FROM d LEFT JOIN s USING (text)
 """

@@ -54,10 +54,28 @@ def test_equals_the_sql(spark):
     assert mine == set(con.execute(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({lines.ORACLE_SQL})").fetchall())
 
 
+def sql_kept(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    return set(con.execute(f"SELECT doc_id, n_dropped, kept_sha256 FROM ({lines.ORACLE_SQL})").fetchall())
+
+
+def test_query_drops_what_copies_and_blank_lines_hid(spark):
+    import hashlib
+
+    copy = "\n".join([*own(600), "All rights reserved.", *own(601)])
+    rows = [doc(i, "\n".join([*own(i), "", "Share this page.", "", "All rights reserved."])) for i in range(100)]
+    rows += [doc(1000 + i, copy) for i in range(200)]
+    got = lines.dedup_lines(frame(spark, rows)).collect()
+    assert all(r["n_dropped"] == (2 if r["doc_id"] < 1000 else 1) for r in got) and len(got) == 300
+    assert {(r["doc_id"], r["n_dropped"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in got} == sql_kept(rows)
+
+
 def test_edges(spark):
     assert lines.dedup_lines(frame(spark, [])).collect() == []
     docs = frame(spark, with_extras(odd_docs()), CLASHING)
-    out = lines.drop_recurring(docs)
+    out = lines.drop_boilerplate(docs)
     assert out.columns == [*docs.columns, "__n_lines", "__n_dropped"] and out.count() == len(odd_docs())
     a, b = (lines.dedup_lines(frame(spark, corpus(), DOC, n)) for n in (1, 5))
     assert digest(a) == digest(b)
