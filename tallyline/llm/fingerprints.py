@@ -10,8 +10,8 @@ shingle.
 
 Everything is DataFrame functions; the text of the next document comes by a
 window over ranges of ids, with the first row of every range copied into the
-range before it, so that the text is shuffled once and no window holds more
-than about ``RANGE_ROWS`` rows.
+range before it, so that the text is shuffled once and a window holds
+about ``RANGE_ROWS`` rows; rows that repeat one id stay together in one.
 
 Defined results: a null text is empty; texts without words have the
 fingerprint of no hashes, and are like each other only; a null id comes

@@ -8,6 +8,12 @@ the incumbent are pruned; the incumbent starts as the best-fit-decreasing
 solution, and is kept if the search finds nothing better within its node
 budget (the budget bounds time only: every document is always packed).
 
+Limits of the enumeration: a level tries its 3 largest sizes that fit, a bin's
+enumeration ends after 400 steps or at the first filling without waste, the
+``MAX_FILLINGS`` fullest fillings are branched on, and dominance is tested by
+swaps of one document for one. Where best fit misses the lower bound, a group
+may thus keep more sequences than the fewest possible.
+
 At scale the pieces are dealt into groups by a hash of their identity. A
 group holds about ``group_tokens`` tokens whatever the corpus size, so no
 group grows with a hot key, and every group is packed on its own. A group

@@ -18,7 +18,8 @@ Defined results: vectors that are null, or hold null or non-finite
 components, take no part, nor do rows with a null id; shorter vectors count
 as padded with zeros; a query's own row is any row of its id; of rows that
 repeat a query's id the smallest vector is the query; a repeated candidate
-row is a candidate each time; an empty table gives no rows.
+row is a candidate each time; an empty table gives no rows. Scores must fit
+64-bit integers: beyond that they wrap around.
 """
 
 from __future__ import annotations
