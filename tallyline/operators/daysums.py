@@ -1,15 +1,20 @@
 """R2 / D2 / A2 for many run dates in one pass over the facts.
 
-Every measure of a period is a difference of two cumulative sums. Facts are
-summed to one row per (account, day) with partial aggregates; the days are cut
-at the *points* (each window's last day and the day before its first) that the
-run dates look up, and summed up to them per account. A window's sum is then
-the cumulative sum at its end less the one before its start; its latest date
-is the running maximum at its end, if that lies inside the window.
+Every measure of a period is a difference of two cumulative sums. The run
+dates look these up at *points* only (each window's last day and the day before
+its first), so facts are summed per account and point, those of a day counting
+from the first point on or after it. An account's cumulative sums become one
+row with a list, and each run date picks its two entries a window from that
+list. A window's sum is the cumulative sum at its end less the one before its
+start; its latest date is the running maximum at its end, if that lies inside
+the window.
 
 The number of run dates is a parameter, so the points of an account (at most
 two for each window and date) are bounded whatever the facts are: a hot
-account holds that many rows here, and its facts collapsed to days map-side.
+account's list holds that many entries, and its facts collapsed to points
+map-side. Rows are multiplied by the run dates last, behind every shuffle, sort
+and join (terms join the accounts): what moves and lies on disk does not grow
+with the dates.
 """
 
 from __future__ import annotations
@@ -37,56 +42,62 @@ def bounds_of(spark: SparkSession, dates: Iterable[_dt.date], windows: Callable[
     return [(r.d, name, r[f"{name}_lo"], r[f"{name}_hi"]) for r in rows for name in named]
 
 
-def period_measures(rows: DataFrame, day: str, sums: dict[str, str], bounds: list[tuple], maxima: dict[str, str] = {}, keys=leads.ACCOUNT) -> DataFrame:
+def period_measures(rows: DataFrame, day: str, sums: dict[str, str], bounds: list[tuple], maxima: dict[str, str] = {}, keys=leads.ACCOUNT, side: DataFrame | None = None) -> DataFrame:
     """Per (account, run date): for every measure of ``sums`` its total
     ``total_<m>``, for every window ``<m>_<w>`` (sum), ``n_<m>_<w>`` (values
     that are not null), ``rows_<w>`` and ``all_rows``, and for every measure
-    of ``maxima`` ``total_<m>`` and ``<m>_<w>``."""
-    spark = rows.sparkSession
+    of ``maxima`` ``total_<m>`` and ``<m>_<w>``. ``side`` is inner-joined to
+    the accounts by inn; its other columns are kept."""
     one = _dt.timedelta(days=1)
     points = sorted({p for _, _, lo, hi in bounds for p in (lo - one, hi)})
     place = {p: i for i, p in enumerate(points)}
     last = len(points)
+    # the first point on or after the day; days after the last point, or none, count in the totals only
+    cut = F.array(*[F.lit(p) for p in points])
+    at = F.when(F.col("_day").isNull(), F.lit(last)).otherwise(F.size(F.filter(cut, lambda p: p < F.col("_day"))))
     parts = [F.count("*").alias("c_rows")]
     parts += [F.sum(F.expr(e)).alias(f"s_{m}") for m, e in sums.items()]
     parts += [F.count(F.expr(e)).alias(f"c_{m}") for m, e in sums.items()]
     parts += [F.max(F.expr(e)).alias(f"m_{m}") for m, e in maxima.items()]
-    daily = rows.withColumn("_day", F.expr(day)).groupBy(*keys, "_day").agg(*parts)
-    added = [c for c in daily.columns if c[:2] in ("s_", "c_")]
-    tops = [c for c in daily.columns if c[:2] == "m_"]
-    # the first point on or after the day; days after the last point, or none, count in the totals only
-    cut = F.array(*[F.lit(p) for p in points])
-    at = F.coalesce(F.size(F.filter(cut, lambda p: p < F.col("_day"))), F.lit(last))
-    at = F.when(F.col("_day").isNull(), F.lit(last)).otherwise(at)
-    merge = [F.sum(c).alias(c) for c in added] + [F.max(c).alias(c) for c in tops]
-    cells = daily.withColumn("_at", at).groupBy(*keys, "_at").agg(*merge)
-    cell = F.struct("_at", *added, *tops)
-    types = {f.name: f.dataType for f in cells.schema.fields}
-    empty = lambda i: F.struct(i.alias("_at"), *[F.lit(None).cast(types[c]).alias(c) for c in [*added, *tops]])
-    every = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda i: empty(i.cast("int")))
-    # one row for each point of an account, from the same pass
-    dense = cells.groupBy(*keys).agg(F.concat(F.collect_list(cell), every).alias("_cells"))
-    dense = dense.select(*keys, F.explode("_cells").alias("_c")).select(*keys, "_c.*").groupBy(*keys, "_at").agg(*merge)
+    cells = rows.withColumn("_day", F.expr(day)).withColumn("_at", at).groupBy(*keys, "_at").agg(*parts)
+    added = [c for c in cells.columns if c[:2] in ("s_", "c_")]
+    tops = [c for c in cells.columns if c[:2] == "m_"]
     upto = Window.partitionBy(*keys).orderBy("_at")
-    whole = Window.partitionBy(*keys)
     running = [F.sum(c).over(upto).alias(c) for c in added] + [F.max(c).over(upto).alias(c) for c in tops]
-    totals = [F.sum(c).over(whole).alias(f"t_{c}") for c in added] + [F.max(c).over(whole).alias(f"t_{c}") for c in tops]
-    cumulative = dense.select(*keys, "_at", *running, *totals)
-    looked = [(place[hi], d, w, 1, lo) for d, w, lo, hi in bounds] + [(place[lo - one], d, w, -1, lo) for d, w, lo, _ in bounds]
-    looked = spark.createDataFrame(looked, f"_at int, {AS_OF} date, _w string, _sign int, _lo date")
-    found = cumulative.join(looked, "_at").groupBy(*keys, AS_OF)
-    out = [F.first("t_c_rows").alias("all_rows")]
-    out += [F.first(f"t_s_{m}").alias(f"total_{m}") for m in sums] + [F.first(f"t_m_{m}").alias(f"total_{m}") for m in maxima]
-    for w in dict.fromkeys(b[1] for b in bounds):
-        own = F.col("_w") == w
-        signed = lambda c, own=own: F.coalesce(F.sum(F.when(own, F.col("_sign") * F.col(c))), F.lit(0))
-        out.append(signed("c_rows").alias(f"rows_{w}"))
+    # an entry holds for so many points, up to the next one
+    holds = (F.lead("_at", 1, last).over(upto) - F.col("_at")).alias("_holds")
+    entry = F.struct("_at", "_holds", *added, *tops)
+    accounts = cells.select(*keys, "_at", holds, *running).groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_sums"))
+    kept = []
+    if side is not None:
+        accounts, kept = accounts.join(side, "inn"), [c for c in side.columns if c != "inn"]
+    # the place in the list (from 1; 0 before the first entry) of every point
+    found = F.flatten(F.transform("_sums", lambda e, i: F.array_repeat(i + 1, e["_holds"])))
+    found = F.concat(F.array_repeat(F.lit(0), F.col("_sums")[0]["_at"]), found)
+    wanted: dict[_dt.date, dict] = {}
+    for d, w, lo, hi in bounds:
+        wanted.setdefault(d, {})[w] = (place[lo - one], place[hi], lo)
+    windows = list(dict.fromkeys(b[1] for b in bounds))
+    one_date = lambda d, of: F.struct(
+        F.lit(d).alias(AS_OF), *[F.lit(of[w][k]).alias(f"{n}_{w}") for w in windows for k, n in enumerate(("before", "end", "lo"))])
+    each = F.array(*[one_date(d, of) for d, of in wanted.items()])
+    dated = accounts.select(*keys, *kept, "_sums", found.alias("_found")).withColumn("_d", F.explode(each))
+    entry_at = lambda name: F.get("_sums", F.get("_found", F.col(f"_d.{name}")) - 1)
+    looked = [entry_at(f"{n}_{w}").alias(f"_{n}_{w}") for w in windows for n in ("before", "end")]
+    dated = dated.select(*keys, *kept, "_d", F.element_at("_sums", -1).alias("_all"), *looked)
+    out = [F.col(f"_d.{AS_OF}").alias(AS_OF), F.col("_all.c_rows").alias("all_rows")]
+    out += [F.col(f"_all.s_{m}").alias(f"total_{m}") for m in sums] + [F.col(f"_all.m_{m}").alias(f"total_{m}") for m in maxima]
+    types = {f.name: f.dataType for f in accounts.schema["_sums"].dataType.elementType.fields}
+    for w in windows:
+        zero = lambda c, n, w=w: F.coalesce(F.col(f"_{n}_{w}.{c}"), F.lit(0)).cast(types[c])
+        within = lambda c: (zero(c, "end") - zero(c, "before")).cast(types[c])  # noqa: E731, B023
+        out.append(within("c_rows").alias(f"rows_{w}"))
         for m in sums:
-            out += [signed(f"s_{m}").alias(f"{m}_{w}"), signed(f"c_{m}").alias(f"n_{m}_{w}")]
+            out += [within(f"s_{m}").alias(f"{m}_{w}"), within(f"c_{m}").alias(f"n_{m}_{w}")]
         for m in maxima:
-            inside = own & (F.col("_sign") == 1) & (F.to_date(f"m_{m}") >= F.col("_lo"))
-            out.append(F.max(F.when(inside, F.col(f"m_{m}"))).alias(f"{m}_{w}"))
-    return found.agg(*out)
+            latest = F.col(f"_end_{w}.m_{m}")
+            out.append(F.when(F.to_date(latest) >= F.col(f"_d.lo_{w}"), latest).alias(f"{m}_{w}"))
+    return dated.select(*keys, *kept, *out)
 
 
 def _or_zero(m: str, w: str) -> str:
@@ -95,13 +106,18 @@ def _or_zero(m: str, w: str) -> str:
     return f"IF(all_rows = rows_{w} AND n_{m}_{w} = 0, NULL, {m}_{w})"
 
 
-def lead_accounts(firsts: DataFrame, dates) -> DataFrame:
+def _terms(terms: DataFrame | None) -> DataFrame | None:
+    return None if terms is None else terms.select("inn", "payment_type")
+
+
+def lead_accounts(firsts: DataFrame, dates, terms: DataFrame | None = None) -> DataFrame:
     """A1 before the pick, for every run date: the columns of
-    ``leads.lead_accounts`` behind ``as_of``; ``firsts`` are first leads (R1)."""
+    ``leads.lead_accounts`` behind ``as_of``; ``firsts`` are first leads (R1).
+    With ``terms``, of clients that have terms, and their ``payment_type``."""
     bounds = bounds_of(firsts.sparkSession, dates, Calendar.leads_windows)
     sums = {"cnt": "CAST(IF(sale > 0, 1, 0) AS BIGINT)", "purchase": "purchase", "sale": "sale"}
-    got = period_measures(firsts, "date_add", sums, bounds, {"lead": "date_time_add"})
-    cols = [AS_OF, *leads.ACCOUNT, "CAST(total_cnt AS BIGINT) AS total_cnt", "total_lead AS last_lead_dttm", "total_purchase", "total_sale"]
+    got = period_measures(firsts, "date_add", sums, bounds, {"lead": "date_time_add"}, side=_terms(terms))
+    cols = [AS_OF, *leads.ACCOUNT, *(["payment_type"] if terms is not None else []), "CAST(total_cnt AS BIGINT) AS total_cnt", "total_lead AS last_lead_dttm", "total_purchase", "total_sale"]
     for w in dict.fromkeys(b[1] for b in bounds):
         cols += [f"CAST(cnt_{w} AS BIGINT) AS cnt_{w}", f"{_or_zero('purchase', w)} AS purchase_{w}", f"{_or_zero('sale', w)} AS sale_{w}"]
     return got.selectExpr(*cols)
@@ -109,18 +125,18 @@ def lead_accounts(firsts: DataFrame, dates) -> DataFrame:
 
 def leads_period_agg(firsts: DataFrame, terms: DataFrame, dates) -> DataFrame:
     """A1 + J1 for every run date (``as_of``); ``terms`` has inn and payment_type."""
-    return leads.leads_period_agg(lead_accounts(firsts, dates), terms, (AS_OF,))
+    return leads.pick_of_terms(lead_accounts(firsts, dates, terms), (AS_OF,))
 
 
-def invoice_measures(enriched: DataFrame, rules: RuleSet, dates) -> DataFrame:
-    """A2 before the pick, for every run date."""
+def invoice_measures(enriched: DataFrame, rules: RuleSet, dates, terms: DataFrame | None = None) -> DataFrame:
+    """A2 before the pick, for every run date; ``terms`` as in ``lead_accounts``."""
     billable = enriched.where(f"nomenclature_text_gr = {lit(rules.billable_category)}").withColumnRenamed("partner_inn", "inn")
     bounds = bounds_of(enriched.sparkSession, dates, Calendar.invoice_windows)
     valid = f"invoice_status = {lit(L.STATUS_VALID)}"
     sums = {"inv": f"IF({valid}, invoice_amount, 0)", "rec": f"IF({valid}, receipt_amount, 0)", "cinv": "invoice_amount", "crec": "receipt_amount"}
     maxima = {"maxdt": f"IF({valid}, invoice_dt, NULL)", "cmax": "invoice_dt"}
-    got = period_measures(billable, "CAST(invoice_dt AS DATE)", sums, bounds, maxima)
-    cols = [AS_OF, *leads.ACCOUNT, "total_inv AS total_invoice", "total_rec AS total_receipt", "total_maxdt AS total_max_invoice_dt"]
+    got = period_measures(billable, "CAST(invoice_dt AS DATE)", sums, bounds, maxima, side=_terms(terms))
+    cols = [AS_OF, *leads.ACCOUNT, *(["payment_type"] if terms is not None else []), "total_inv AS total_invoice", "total_rec AS total_receipt", "total_maxdt AS total_max_invoice_dt"]
     for w in dict.fromkeys(b[1] for b in bounds):
         cols += [f"{_or_zero('inv', w)} AS inv_{w}", f"{_or_zero('rec', w)} AS rec_{w}", f"maxdt_{w}"]
     for w in sorted({*INVOICE_CURR_WINDOW.values(), OTHER_WINDOW}):  # any status, null when empty
@@ -130,4 +146,4 @@ def invoice_measures(enriched: DataFrame, rules: RuleSet, dates) -> DataFrame:
 
 def invoices_period_agg(enriched: DataFrame, terms: DataFrame, rules: RuleSet, dates) -> DataFrame:
     """A2 + J2 for every run date (``as_of``)."""
-    return invoices.pick_invoice_measures(invoice_measures(enriched, rules, dates), terms, (AS_OF,))
+    return invoices.pick_of_terms(invoice_measures(enriched, rules, dates, terms), (AS_OF,))

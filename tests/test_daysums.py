@@ -50,3 +50,22 @@ def test_facts_are_read_once(spark, scratch):
 def test_empty_facts(spark):
     firsts = leads.first_leads(leads.enrich_leads(spark.createDataFrame([], SCHEMA), RULES))
     assert daysums.lead_accounts(firsts, DATES).count() == 0
+
+
+def _multiplied_last(df):
+    """Rows meet the run dates above every shuffle, sort, aggregate and join."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate explode")]
+    return not any(step in above for step in ("Join", "Aggregate", "Sort", "Window", "Repartition"))
+
+
+def _terms_of(spark):
+    return spark.createDataFrame([("77", "x", 1), ("88", "y", 2)], "inn string, payment_type string, other int")
+
+
+def test_invoices_of_many_dates_move_as_accounts(spark):
+    rules = D.driver_rules()
+    schema = "partner_inn string, city_invoice string, source_invoice string, nomenclature_text_gr string, invoice_status string, invoice_dt timestamp_ntz, invoice_amount decimal(18,2), receipt_amount decimal(18,2)"
+    facts = spark.createDataFrame([("77", "", "", rules.billable_category, "x", dt.datetime(2024, 1, 5), Decimal(1), Decimal(2))], schema)
+    got = daysums.invoices_period_agg(facts, _terms_of(spark), rules, DATES)
+    assert _multiplied_last(got) and got.count() == len(DATES)
