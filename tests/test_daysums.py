@@ -69,3 +69,11 @@ def test_invoices_of_many_dates_move_as_accounts(spark):
     facts = spark.createDataFrame([("77", "", "", rules.billable_category, "x", dt.datetime(2024, 1, 5), Decimal(1), Decimal(2))], schema)
     got = daysums.invoices_period_agg(facts, _terms_of(spark), rules, DATES)
     assert _multiplied_last(got) and got.count() == len(DATES)
+
+
+def test_leads_of_many_dates_move_as_accounts(spark):
+    given = [("p", dt.date(2024, 1, 5), None, i, "E", "web", "c", "n", str(k), "", "b", "s", None, Decimal(1), Decimal(2), k)
+             for k, i in enumerate(("77", "88", "99"))]
+    firsts = leads.first_leads(leads.enrich_leads(spark.createDataFrame(given, SCHEMA), RULES))
+    got = daysums.leads_period_agg(firsts, _terms_of(spark), DATES)
+    assert _multiplied_last(got) and got.count() == 2 * len(DATES)
