@@ -9,11 +9,11 @@ many documents stay out of the prefixes. Rare tokens of a prefix are indexed
 singly; in small sets, whose combinations are few, frequent ones are indexed
 by pairs over the longer prefix, in larger sets singly. Sizes near the limit
 are indexed both ways, so that no pair falls between. Which tokens count as
-frequent is estimated on a sample of documents, and only the order depends on
-it: any order gives every link.
+frequent is counted over all documents, and only the order depends on it: any
+order gives every link.
 
 Then candidates are verified in two steps that lose no link: first every
-document of an index entry against the entry's smallest document (its head),
+document of an index entry against one document of the entry (its head),
 which joins most copies at once; then the documents of a head that are
 outside its largest component against all others of that head, as far as the
 lengths, the places of the entries in the two sets, and the distances to the
@@ -43,10 +43,12 @@ from pyspark.sql import functions as F
 from .common import WORD_RE, byte_slices, encoded_words, release, stage, text_of, word_lists
 from .components import connected_components
 
-#: one document in so many is looked at to find frequent tokens
-SAMPLE = 4
-#: sampled prefixes that must hold a token to make it frequent
-FREQUENT = 8
+#: documents that must hold a token to make it frequent
+FREQUENT = 32
+#: one document in so many is looked at: all are
+SAMPLE = 1
+#: groups that tokens are counted in
+PARTS = 1024
 #: at most so many frequent tokens are kept and broadcast (8 bytes each)
 MAX_FREQUENT = 1_000_000
 #: bytes of text whose shingles are hashed at once (about 30 times that in arrays)
@@ -123,8 +125,9 @@ def _sets_by_row(docs: DataFrame, shingle: int, percent: int, frequent: np.ndarr
                     name = _mix(_mix(h1 + size.astype(np.uint64)) ^ h2).view(np.int64)
                 if not whole:
                     if len(last) and len(gram):
-                        at = np.minimum(np.searchsorted(last, gram), len(last) - 1)
-                        gram = gram | np.where(last[at] == gram, np.uint64(OFTEN), np.uint64(0))
+                        cut = gram >> np.uint64(30)
+                        at = np.minimum(np.searchsorted(last, cut), len(last) - 1)
+                        gram = gram | np.where(last[at] == cut, np.uint64(OFTEN), np.uint64(0))
                         gram = gram[np.lexsort((gram, np.repeat(np.arange(len(size)), size)))]
                     gram, off = _cut(gram, off, np.where(size > 0, prefix_length(size, percent) + 1, 0))
                 yield pa.RecordBatch.from_arrays(
@@ -135,28 +138,44 @@ def _sets_by_row(docs: DataFrame, shingle: int, percent: int, frequent: np.ndarr
     return docs.select("id", "text").mapInArrow(run, "id long, n long, class long, tokens array<long>")
 
 
-def frequent_tokens(docs: DataFrame, shingle: int, percent: int) -> np.ndarray:
-    """Tokens that many sampled documents hold in the first part, twice as
-    long as a prefix, of their sets in hash order."""
+def frequent_tokens(docs: DataFrame, shingle: int) -> np.ndarray:
+    """Tokens that many documents hold, cut to their upper 32 bits (tokens of
+    one cut count together, which only moves them in the order). All tokens of
+    all documents are counted; they move as packed lists of 4 bytes each."""
 
     def run(batches):
         for b0 in batches:
-            for b in byte_slices(b0, "text"):
-                gram, off = shingle_sets(b.column("text"), shingle)
-                size = np.diff(off)
-                gram, off = _cut(gram, off, np.where(size > 0, 2 * prefix_length(size, percent) + 16, 0))
-                t, n = np.unique(gram, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n)], names=["t", "n"])
+            for b in byte_slices(b0, "text", SET_BYTES):
+                t, n = np.unique((shingle_sets(b.column("text"), shingle)[0] >> np.uint64(30)).astype(np.uint32), return_counts=True)
+                part = t % PARTS
+                order = np.argsort(part, kind="stable")
+                t, n, part = t[order], n[order], part[order]
+                ends = np.searchsorted(part, np.arange(PARTS + 1))
+                rows = []
+                for p in np.flatnonzero(np.diff(ends)):
+                    own, k = t[ends[p]:ends[p + 1]], n[ends[p]:ends[p + 1]]
+                    rows.append((int(p), own[k == 1].tobytes(), own[k > 1].tobytes(), k[k > 1].astype(np.uint32).tobytes()))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["part", "once", "t", "n"])
+                release()
+
+    def count(table):
+        once, t, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32) for c in ("once", "t", "n"))
+        found, at = np.unique(np.concatenate([once, t]), return_inverse=True)
+        seen = np.bincount(at, np.concatenate([np.ones(len(once)), n]), len(found)).astype(np.int64)
+        often = seen >= FREQUENT
+        return pa.table({"t": found[often].astype(np.int64), "n": seen[often]})
 
-    sample = docs.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(SAMPLE)) == 0).select("text")
-    seen = sample.mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+    parts = docs.select("text").mapInArrow(run, "part long, once binary, t binary, n binary")
+    seen = parts.groupBy("part").applyInArrow(count, "t long, n long")
     top = seen.orderBy(F.desc("n"), "t").limit(MAX_FREQUENT).select("t").toArrow().column("t").to_numpy()
-    return np.sort(top.view(np.uint64))
+    return np.sort(top.astype(np.uint64))
 
 
 def _index(rows: DataFrame, percent: int) -> DataFrame:
-    """key, class, rest: the index entries of every row (class, n, tokens);
-    ``rest`` counts the set's tokens from the entry's (first) one on."""
+    """key, class, rest, place: the index entries of every row (class, n,
+    tokens); ``rest`` counts the set's tokens from the entry's (first) one on,
+    ``place`` those before it."""
     low, high = PAIR_MAX * percent // 100, -(-PAIR_MAX * 100 // percent)
 
     def run(batches):
@@ -184,11 +203,11 @@ def _index(rows: DataFrame, percent: int) -> DataFrame:
                         rest.append(n[i] - place[a])
             ids = np.concatenate(ids)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), b.column("class").take(pa.array(ids)), pa.array(np.concatenate(rest))],
-                names=["key", "class", "rest"],
+                [pa.array(np.concatenate(keys).view(np.int64)), b.column("class").take(pa.array(ids)), pa.array(np.concatenate(rest)), pa.array(n[ids] - np.concatenate(rest))],
+                names=["key", "class", "rest", "place"],
             )
 
-    return rows.select("class", "n", "tokens").mapInArrow(run, "key long, class long, rest long")
+    return rows.select("class", "n", "tokens").mapInArrow(run, "key long, class long, rest long, place long")
 
 
 def _close(a: str, b: str, percent: int):
@@ -256,13 +275,17 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """id, n (set size) and component (smallest id reachable by links) of
     every row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    frequent = frequent_tokens(texts, shingle, percent)
+    frequent = frequent_tokens(texts, shingle)
     rows = stage(_sets_by_row(texts, shingle, percent, frequent), "jaccard-prefixes")
     full = rows.where("n > 0 AND id IS NOT NULL")
     classes = stage(full.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n")), "jaccard-classes")
 
     entries = _index(full, percent)
-    heads = entries.groupBy("key").agg(F.min("class").alias("head"), F.max("class").alias("tail")).where("head <> tail").drop("tail")
+    # the head has the fewest tokens before the entry: of copies with edits of
+    # their own, whose new tokens come first, one with few edits, which most are near to
+    least = F.min(F.struct("place", "class")).alias("m")
+    heads = entries.groupBy("key").agg(least, F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z").select("key", F.col("m.class").alias("head"))
+    entries = entries.drop("place")
     # of a pair under the head of its first shared entry, ``rest`` is at least
     # what follows that entry
     members = entries.join(heads, "key").groupBy("head", "class").agg(F.max("rest").alias("rest"))

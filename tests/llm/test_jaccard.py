@@ -137,3 +137,37 @@ def test_components_of_random_links(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert {(r["node"], r["component"]) for r in got} == {(x, find(x)) for x in linked}
     assert len(got) == len(linked)
+
+
+def test_frequent_tokens_are_counted_over_all_documents_and_whole_sets(spark):
+    """A word run in as many documents as FREQUENT, and no document more."""
+    def rows(n):
+        return [doc(i, "one two three four five six seven " + " ".join(f"x{i}y{k}" for k in range(30))) for i in range(n)]
+
+    def count(n):
+        texts = frame(spark, rows(n)).selectExpr("doc_id AS id", "text")
+        return len(jaccard.frequent_tokens(texts, 4))
+
+    assert count(jaccard.FREQUENT) == 4 and count(jaccard.FREQUENT - 1) == 0
+
+
+def test_unlinked_copies_with_edits_of_their_own_meet_no_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(120):  # 10 words of their own change some 40 of 147 shingles
+        words = list(base)
+        for k in rng.sample(range(150), 10):
+            words[k] = f"own{i}k{k}"
+        rows.append(doc(i, " ".join(words)))
+    pairs, plain = [], jaccard.stage
+
+    def stage(df, name):
+        out = plain(df, name)
+        if name == "jaccard-rest":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", stage)
+    check(spark, rows)
+    assert pairs[0] < 5 * len(rows)
