@@ -68,3 +68,12 @@ def test_the_aggregate_joins_no_organisation_and_fewer_rows_meet_the_partners(sp
     assert billable.count() == every.where(f"nomenclature_text_gr = '{RULES.billable_category}'").count() < every.count()
     partner_join = plan.index("Join LeftOuter, (partner_id")
     assert partner_join < plan.index("Join Inner, (invoice_id")  # printed top-down: billable first, partners last
+
+
+def test_buckets_follow_the_rows(spark, monkeypatch):
+    from tallyline.plans import layout
+
+    inputs = {n: spark.range(k) for n, k in (("invoice", 10), ("invoice_line", 95), ("receipt_line", 30))}
+    assert layout.buckets_for(inputs) == layout.LEAST
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 5)
+    assert layout.buckets_for(inputs) == 19
