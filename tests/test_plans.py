@@ -98,3 +98,22 @@ def test_a_changed_folder_gets_a_new_pipeline(spark, scratch):
     assert pipeline(spark, scratch) is first
     os.utime(os.path.join(scratch, "events.parquet"), (1, 1))
     assert pipeline(spark, scratch) is not first
+
+
+def test_the_bundle_takes_its_extracts_from_the_written_report(spark, monkeypatch):
+    from tallyline.plans import registry
+    from tallyline.plans.pipeline import Pipeline, driver_inputs
+    from tallyline.sinks import tables
+    from tallyline.sources import driver as D
+
+    plans, plain = {}, tables.write_bundle
+
+    def write(frames, root, as_of):
+        plans.update({n: df._jdf.queryExecution().optimizedPlan().toString() for n, df in frames.items()})
+        return plain(frames, root, as_of)
+
+    monkeypatch.setattr(tables, "write_bundle", write)
+    rules = D.driver_rules()
+    registry.q_report_bundle_counts(Pipeline(driver_inputs(spark, SF_SMALL, rules), rules, D.AS_OF))
+    assert set(plans) == {"invoice_report", "new_invoices", "errors", "payment_terms"}
+    assert "Join" in plans["invoice_report"] and "Join" not in plans["new_invoices"] + plans["errors"]
