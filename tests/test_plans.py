@@ -22,6 +22,17 @@ def test_dedup_aggregates_before_the_shuffle(spark):
     assert plan.index("partial_min") > plan.index("Exchange")  # printed top-down: partial sits below the shuffle
 
 
+def _sorted_after_dealing(plan: str) -> bool:
+    """The pick's partial aggregate lies above the exchange that deals rows out."""
+    return "REPARTITION_BY_COL" in plan and plan.rindex("partial_min") < plan.index("REPARTITION_BY_COL")
+
+
+def test_scan_tasks_do_not_sort_the_facts(spark):
+    """A sort-based aggregate over a scan would hold a whole file in one task."""
+    p = pipeline(spark, SF_SMALL)
+    assert _sorted_after_dealing(_physical(leads.lead_groups(p.leads_keyed)))
+
+
 def test_dedup_flags_read_the_leads_once(spark):
     """One scan and one shuffle of full rows, shared by the readers of it."""
     p = pipeline(spark, SF_SMALL)
