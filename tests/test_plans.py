@@ -1,6 +1,6 @@
 """Plan-shape guards for the scale design (skew, pushdown, no fact joins)."""
 
-from tallyline.operators import leads
+from tallyline.operators import invoices, leads
 from tallyline.plans.registry import pipeline
 
 from .conftest import SF_SMALL
@@ -31,6 +31,18 @@ def test_scan_tasks_do_not_sort_the_facts(spark):
     """A sort-based aggregate over a scan would hold a whole file in one task."""
     p = pipeline(spark, SF_SMALL)
     assert _sorted_after_dealing(_physical(leads.lead_groups(p.leads_keyed)))
+    assert _sorted_after_dealing(_physical(invoices.top_line(p.invoice_lines)))
+    assert _sorted_after_dealing(_physical(p.billable_invoices)) and _sorted_after_dealing(_physical(p.invoices_enriched))
+
+
+def test_an_invoice_of_very_many_lines_lies_in_several_parts(spark):
+    lines = spark.range(1000).selectExpr(
+        "id DIV 1000 AS invoice_id", "CAST(id AS INT) AS line_no", "concat('t', id) AS nomenclature_text", "'c' AS nomenclature_text_gr",
+        "CAST(id % 7 AS DECIMAL(18,2)) AS amount")
+    dealt = invoices.dealt_lines(lines)
+    by = _physical(dealt).split("Exchange hashpartitioning(")[1].split("REPARTITION")[0]
+    assert by.count("#") == 2  # invoice and line number
+    assert [tuple(r) for r in invoices.top_line(dealt).collect()] == [(0, "t6", "c")]
 
 
 def test_dedup_flags_read_the_leads_once(spark):
