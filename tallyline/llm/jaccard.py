@@ -47,8 +47,10 @@ from .components import connected_components
 FREQUENT = 32
 #: one document in so many is looked at: all are
 SAMPLE = 1
-#: groups that tokens are counted in
+#: groups that tokens are counted in (2^8 at least: 3 bytes hold the rest of 32 bits)
 PARTS = 1024
+#: tokens that a task holds to count them together
+HELD_TOKENS = 1 << 20
 #: at most so many frequent tokens are kept and broadcast (8 bytes each)
 MAX_FREQUENT = 1_000_000
 #: bytes of text whose shingles are hashed at once (about 30 times that in arrays)
@@ -138,33 +140,65 @@ def _sets_by_row(docs: DataFrame, shingle: int, percent: int, frequent: np.ndarr
     return docs.select("id", "text").mapInArrow(run, "id long, n long, class long, tokens array<long>")
 
 
+def _counted(values: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, and how often each comes."""
+    found, at = np.unique(values, return_inverse=True)
+    return found, np.bincount(at, times, len(found)).astype(np.int64)
+
+
+def _three_bytes(values: np.ndarray) -> bytes:
+    """Numbers below 2^24, packed."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _from_three_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return out.view("<u4").reshape(-1)
+
+
 def frequent_tokens(docs: DataFrame, shingle: int) -> np.ndarray:
     """Tokens that many documents hold, cut to their upper 32 bits (tokens of
     one cut count together, which only moves them in the order). All tokens of
-    all documents are counted; they move as packed lists of 4 bytes each."""
+    all documents are counted; they move as packed lists. A list's part is the
+    lower bits of its tokens, so it holds the upper ones only, in 3 bytes each;
+    what a task sees again within ``HELD_TOKENS`` tokens moves once."""
 
     def run(batches):
+        def packed():
+            t, n = _counted(np.concatenate(held), np.concatenate(times))
+            part = t % PARTS
+            order = np.argsort(part, kind="stable")
+            t, n, part = t[order] // PARTS, n[order], part[order]
+            ends = np.searchsorted(part, np.arange(PARTS + 1))
+            rows = []
+            for p in np.flatnonzero(np.diff(ends)):
+                own, k = t[ends[p]:ends[p + 1]], n[ends[p]:ends[p + 1]]
+                rows.append((int(p), _three_bytes(own[k == 1]), _three_bytes(own[k > 1]), k[k > 1].astype(np.uint32).tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["part", "once", "t", "n"])
+
+        held: list[np.ndarray] = []
+        times: list[np.ndarray] = []
         for b0 in batches:
             for b in byte_slices(b0, "text", SET_BYTES):
                 t, n = np.unique((shingle_sets(b.column("text"), shingle)[0] >> np.uint64(30)).astype(np.uint32), return_counts=True)
-                part = t % PARTS
-                order = np.argsort(part, kind="stable")
-                t, n, part = t[order], n[order], part[order]
-                ends = np.searchsorted(part, np.arange(PARTS + 1))
-                rows = []
-                for p in np.flatnonzero(np.diff(ends)):
-                    own, k = t[ends[p]:ends[p + 1]], n[ends[p]:ends[p + 1]]
-                    rows.append((int(p), own[k == 1].tobytes(), own[k > 1].tobytes(), k[k > 1].astype(np.uint32).tobytes()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["part", "once", "t", "n"])
+                if len(t):
+                    held.append(t)
+                    times.append(n.astype(np.uint32))
+                if sum(map(len, held)) >= HELD_TOKENS:
+                    yield packed()
+                    held, times = [], []
                 release()
+        if held:
+            yield packed()
 
     def count(table):
-        once, t, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32) for c in ("once", "t", "n"))
-        found, at = np.unique(np.concatenate([once, t]), return_inverse=True)
-        seen = np.bincount(at, np.concatenate([np.ones(len(once)), n]), len(found)).astype(np.int64)
+        part = table.column("part")[0].as_py()
+        once, t = (_from_three_bytes(b"".join(table.column(c).to_pylist())) for c in ("once", "t"))
+        n = np.frombuffer(b"".join(table.column("n").to_pylist()), np.uint32)
+        found, seen = _counted(np.concatenate([once, t]), np.concatenate([np.ones(len(once), np.uint32), n]))
         often = seen >= FREQUENT
-        return pa.table({"t": found[often].astype(np.int64), "n": seen[often]})
+        return pa.table({"t": found[often].astype(np.int64) * PARTS + part, "n": seen[often]})
 
     parts = docs.select("text").mapInArrow(run, "part long, once binary, t binary, n binary")
     seen = parts.groupBy("part").applyInArrow(count, "t long, n long")

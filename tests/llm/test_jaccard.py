@@ -2,6 +2,8 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyline.llm import components, jaccard
@@ -171,3 +173,19 @@ def test_unlinked_copies_with_edits_of_their_own_meet_no_pairs(spark, monkeypatc
     monkeypatch.setattr(jaccard, "stage", stage)
     check(spark, rows)
     assert pairs[0] < 5 * len(rows)
+
+
+def test_counted_tokens_move_in_three_bytes_and_once_a_task(spark, monkeypatch):
+    some = np.array([0, 1, 255, 256, 65536, (1 << 22) - 1], np.uint32)
+    packed = jaccard._three_bytes(some)
+    assert len(packed) == 3 * len(some) and (jaccard._from_three_bytes(packed) == some).all()
+    rows = [doc(i, " ".join(f"w{(i * 7 + k) % 40}" for k in range(i % 30))) for i in range(200)]
+    texts = frame(spark, rows).select("text")
+    flat = [np.unique(jaccard.shingle_sets(pa.array([r["text"]]), 4)[0]) >> np.uint64(30) for r in texts.collect()]
+    token, n = np.unique(np.concatenate(flat), return_counts=True)
+    monkeypatch.setattr(jaccard, "FREQUENT", 56)
+    monkeypatch.setattr(jaccard, "SET_BYTES", 200)
+    assert 0 < (n >= 56).sum() < len(n)
+    for held in (1, 100, 1 << 20):
+        monkeypatch.setattr(jaccard, "HELD_TOKENS", held)
+        assert (jaccard.frequent_tokens(texts, 4) == token[n >= 56]).all()
