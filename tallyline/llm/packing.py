@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, byte_slices, encoded_words, stage, text_of, word_lists
+from .common import byte_slices, encoded_words, release, stage, text_of, word_lists
 
 SEQ_LEN = 4096
 END_ID = 1
@@ -46,6 +46,9 @@ GROUP_TOKENS = 4_000_000
 NODE_BUDGET = 2_000
 MAX_FILLINGS = 4
 WORD_CACHE = 300_000
+#: bytes of text that are tokenised together: what a worker holds besides its
+#: words is some 30 times as much
+ENCODE_BYTES = 1 << 20
 
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 
@@ -146,7 +149,7 @@ def tokenize_pieces(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, end_id:
         enc = WordEncoder(path)
         end = np.array([end_id], np.uint32)
         for whole in batches:
-            for b in byte_slices(whole, "text", 2 * SLICE_BYTES):
+            for b in byte_slices(whole, "text", ENCODE_BYTES):
                 ids, off = enc.encode(b.column("text"))
                 rows = []
                 for i, d in enumerate(b.column("doc_id").to_pylist()):
@@ -160,6 +163,8 @@ def tokenize_pieces(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, end_id:
                     [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"],
                 )
+        del enc
+        release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(run, PIECES_SCHEMA)
 

@@ -1,5 +1,6 @@
 import random
 import zlib
+from unittest.mock import Mock
 
 import numpy as np
 import pyarrow as pa
@@ -112,3 +113,20 @@ def test_bin_completion_finds_the_least_bins():
     assert packing.bin_completion([], 10) == []
     # best fit needs three here, the search two
     assert len(packing.bin_completion([4, 4, 3, 3, 3, 3], 10)) == 2
+
+
+def test_a_worker_tokenises_a_slice_of_a_batch_at_a_time(spark, monkeypatch):
+    sizes, encode = [], packing.WordEncoder.encode
+
+    def noted(self, text):
+        sizes.append(sum(map(len, text.to_pylist())))
+        return encode(self, text)
+
+    monkeypatch.setattr(packing.WordEncoder, "encode", noted)
+    docs = Mock()
+    packing.tokenize_pieces(docs, packing.default_tokenizer_path())
+    run = docs.select.return_value.mapInArrow.call_args.args[0]
+    texts = [f"word{i % 7} and {'more ' * 200}" for i in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    assert sum(b.num_rows for b in run(iter([batch]))) == len(texts)
+    assert max(sizes) <= 1 << 20 and sum(sizes) == sum(map(len, texts))
