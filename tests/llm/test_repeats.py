@@ -1,6 +1,9 @@
 import random
+import tracemalloc
+from unittest.mock import Mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +102,24 @@ def test_suffix_order_with_queues_on_disk():
         poly = repeats.PolyHash(text)
         got = np.concatenate(list(suffix_buckets(text, poly.of, 1000, memory=rng.choice([1, 5, 1000])))).tolist()
         assert got[::-1] == sorted(range(len(t) - 1), key=lambda i: t[i:])
+
+
+def test_a_worker_holds_a_slice_of_a_batch_at_a_time(monkeypatch):
+    monkeypatch.setattr(repeats.PolyHash, "POWERS", {})
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdefgh ", k=2000)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"uid": list(range(len(texts))), "text": texts})
+    docs = Mock()
+    repeats.region_table(docs, repeats.WIDTH, repeats.GRAM)
+    run = docs.select.return_value.mapInArrow.call_args.args[0]
+    cells = [t[:500].encode() for t in texts] * 4
+    cells = cells[:repeats.SHARD_BYTES // 500]
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in run(iter([batch]))) >= len(texts)
+        assert tracemalloc.get_traced_memory()[1] < 100e6  # 4 MB of text
+        tracemalloc.reset_peak()
+        repeats.repeated_windows(cells, repeats.WIDTH)
+        assert tracemalloc.get_traced_memory()[1] < 200e6  # a whole shard
+    finally:
+        tracemalloc.stop()
