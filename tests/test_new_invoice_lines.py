@@ -31,6 +31,7 @@ WANTED = {
     "audit_log": {"inn": INN, "part_no": 1, "line": (
         '{"datetime":"2024-01-25T10:00:00","inn":"1000000009","status":null,"new_invoice_amount":210.00,"interval_invoice":0.00,'
         '"interval_receipt":0.00,"correction":0.00,"interval_sale":210.00,"response_body":null}')},
+    "invoice_line": {"inn": INN, "part_no": 1, "line_text": L.LINE_TEXT_POSTPAY, "line_quantity": 2.0, "line_price": Decimal(105)},
 }
 
 
