@@ -1,6 +1,7 @@
 """The lines of the invoices to create, asked for at any time."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -32,6 +33,7 @@ WANTED = {
         '{"datetime":"2024-01-25T10:00:00","inn":"1000000009","status":null,"new_invoice_amount":210.00,"interval_invoice":0.00,'
         '"interval_receipt":0.00,"correction":0.00,"interval_sale":210.00,"response_body":null}')},
     "invoice_line": {"inn": INN, "part_no": 1, "line_text": L.LINE_TEXT_POSTPAY, "line_quantity": 2.0, "line_price": Decimal(105)},
+    "invoice_payload": {"inn": INN, "part_no": 1, "partner_id": "5", "contract_id": "6", "new_invoice_amount": Decimal(210), "vat_amount": Decimal(10)},
 }
 
 
@@ -65,3 +67,11 @@ def test_new_invoices_do_not_wait_for_or_take_past_lines(given, name, report_fir
     got = [r.asDict() for r in getattr(registry, f"q_{name}")(p).collect()]
     assert [{k: r[k] for k in WANTED[name]} for r in got] == [WANTED[name]]
     assert p.invoice_lines.columns == given["invoice_line"].columns
+
+
+def test_payload_of_a_query_asked_for_alone(given):
+    row = registry.q_invoice_payload(OneThread(given, RULES, D.AS_OF, cut_lineage=False)).first()
+    doc = json.loads(row.payload)
+    (line,) = doc[L.DOCUMENT_LINES_FIELD]
+    assert (doc["Date"], doc["Posted"]) == ("2024-01-25T10:00:00", True)
+    assert {L.LINE_TEXT_POSTPAY, 2.0, 105.0, 210.0, 10.0} <= {v for v in line.values()}
