@@ -34,6 +34,7 @@ WANTED = {
         '"interval_receipt":0.00,"correction":0.00,"interval_sale":210.00,"response_body":null}')},
     "invoice_line": {"inn": INN, "part_no": 1, "line_text": L.LINE_TEXT_POSTPAY, "line_quantity": 2.0, "line_price": Decimal(105)},
     "invoice_payload": {"inn": INN, "part_no": 1, "partner_id": "5", "contract_id": "6", "new_invoice_amount": Decimal(210), "vat_amount": Decimal(10)},
+    "outbox_invoices": {"as_of": D.AS_OF, "channel": L.CHANNEL_NEW_INVOICE, "severity": "invoice", "inn": INN, "part_no": 1},
 }
 
 
@@ -75,3 +76,9 @@ def test_payload_of_a_query_asked_for_alone(given):
     (line,) = doc[L.DOCUMENT_LINES_FIELD]
     assert (doc["Date"], doc["Posted"]) == ("2024-01-25T10:00:00", True)
     assert {L.LINE_TEXT_POSTPAY, 2.0, 105.0, 210.0, 10.0} <= {v for v in line.values()}
+
+
+def test_notice_of_a_query_asked_for_alone(given):
+    body = registry.q_outbox_invoices(OneThread(given, RULES, D.AS_OF, cut_lineage=False)).first().body
+    parts = [L.MSG_INVOICE + "210" + L.MSG_RUB_VAT + "10)", L.MSG_LEAD_COUNT + "2\n", L.MSG_LEAD_COST + "210\n", L.MSG_LEAD_PRICE + "105\n"]
+    assert "Ann (@example_1)" in body and all(x in body for x in parts)
