@@ -35,6 +35,7 @@ WANTED = {
     "invoice_line": {"inn": INN, "part_no": 1, "line_text": L.LINE_TEXT_POSTPAY, "line_quantity": 2.0, "line_price": Decimal(105)},
     "invoice_payload": {"inn": INN, "part_no": 1, "partner_id": "5", "contract_id": "6", "new_invoice_amount": Decimal(210), "vat_amount": Decimal(10)},
     "outbox_invoices": {"as_of": D.AS_OF, "channel": L.CHANNEL_NEW_INVOICE, "severity": "invoice", "inn": INN, "part_no": 1},
+    "vat_extract": {"inn": INN, "part_no": 1, "new_invoice_amount": Decimal(210), "vat_amount": Decimal(10)},
 }
 
 
