@@ -33,6 +33,16 @@ def spark():
     yield spark
 
 
+@pytest.fixture(scope="module", autouse=True)
+def cached_frames_end_with_their_module():
+    """Spark puts a cached frame into any later plan that is the same."""
+    from pyspark.sql import SparkSession
+
+    yield
+    if session := SparkSession.getActiveSession():
+        session.catalog.clearCache()
+
+
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="tallyline-case-")
